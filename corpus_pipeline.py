@@ -4,17 +4,52 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tempoframe.llm import near_dup
-from tempoframe.llm.workspace import new_path, table
+from tempoframe.llm import decontaminate, mixing, near_dup, quality, shards
+from tempoframe.llm.workspace import new_path, staged, table
+
+#: Share of the tokens that the mixing stage keeps.
+KEEP = 0.7
+
+
+def _only(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Documents whose id is in ``ids`` (or is not, for ``left_anti``); a null id is in none."""
+    return docs.join(staged(ids.select("doc_id").distinct(), "ids"), "doc_id", how).select(*docs.columns)
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject; those without an id are judged like the others."""
+    forest = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
+    return quality.accepted(docs, forest)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one with the smallest id."""
+    """One document of each group of near duplicates stays, the one with the smallest id; so do documents without an id."""
     found = near_dup.near_duplicates(docs, words=5, threshold=80)
-    return docs.join(found.where("kept").select("doc_id").distinct(), "doc_id", "left_semi")
+    return _only(docs, found.where("not kept"), "left_anti")
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage."""
+    return _only(docs, decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")), "left_anti")
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sample of documents that brings sources, languages and topics to their target weights."""
+    return _only(docs, mixing.mixed(docs, keep=KEEP).where("not kept"), "left_anti")
+
+
+def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The shard and slot of each document that is left."""
+    return shards.shard_documents(docs, n_shards=8)
 
 
-STAGES = [("near_duplicates", near_duplicate_stage)]
+STAGES = [
+    ("quality", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("mixing", mixing_stage),
+    ("sharding", sharding_stage),
+]
 
 #: The quality classifier has no SQL form, so the pipeline is tested against a brute-force version.
 ORACLE_SQL = None

@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tempoframe.llm import near_dup
-
-_QUERIES = (near_dup.op10_near_duplicates,)
-_ORACLES = (near_dup.ORACLE,)
+from tempoframe.llm import decontaminate, mixing, near_dup, quality, shards
+
+_QUERIES = (
+    decontaminate.op2_decontamination,
+    shards.op4_sharding,
+    mixing.op5_mixing,
+    quality.op6_quality,
+    near_dup.op10_near_duplicates,
+)
+_ORACLES = (decontaminate.ORACLE, mixing.ORACLE, near_dup.ORACLE)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
