@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,3 +43,17 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
         stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
+
+
+def local_components(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Smallest reachable index of each of ``n`` nodes joined by the edges (a, b), within a task."""
+    label = np.arange(n)
+    while len(a):
+        before = label.copy()
+        low = np.minimum(label[a], label[b])
+        np.minimum.at(label, a, low)
+        np.minimum.at(label, b, low)
+        label = label[label]
+        if (label == before).all():
+            break
+    return label

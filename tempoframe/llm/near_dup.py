@@ -5,17 +5,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempoframe.llm import kernels
-from tempoframe.llm.graph import connected_components
+from tempoframe.llm.graph import connected_components, local_components
 from tempoframe.llm.workspace import staged, table
 
 BANDS, ROWS = 64, 8
 #: Ids up to this many are sent to every executor (16 MB); beyond it the ids are joined by shuffling.
 BROADCAST_IDS = 1_000_000
+#: Members of a bucket that are compared as pairs; documents of a block where buckets are larger.
+SMALL_BUCKET, BLOCK = 32, 512
 
 _SKETCH = "doc_id long, n_shingles long, fp_hi long, fp_lo long, bands array<long>"
 _SETS = "doc_id long, fp_hi long, fp_lo long, shingles array<long>"
@@ -76,6 +79,50 @@ def _chunks(batch: pa.RecordBatch, words: int, most: int = 256) -> Iterator[tupl
         yield lo, sets
 
 
+def _dense_links(source: DataFrame, rows: DataFrame, words: int, threshold: int) -> DataFrame:
+    """Spanning links (u, v) between members of different components that meet in large buckets.
+
+    Families are what large buckets join; a family is cut into blocks of about ``BLOCK`` documents and each pair of blocks is a
+    task's group, so a group is bounded whatever the family's size.
+    """
+    star = rows.where("id <> head").select(F.col("head").alias("u"), F.col("id").alias("v")).distinct()
+    family = staged(connected_components(star).select(F.col("node").alias("doc_id"), F.col("component").alias("family")), "families")
+    counts = family.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    label = rows.groupBy(F.col("id").alias("doc_id")).agg(F.min("c").alias("c"))
+    plan = staged(family.join(label, "doc_id").join(counts, "family"), "plan")
+    sets = _sets_of(source, plan.select("doc_id"), words).join(plan, "doc_id")
+    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks"))
+    units = sets.select("doc_id", "c", "shingles", "family", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("k"))
+    units = units.select("doc_id", "c", "shingles", "family", "own", F.least("own", "k").alias("i"), F.greatest("own", "k").alias("j"))
+    return units.groupBy("family", "i", "j").applyInPandas(_block_links(threshold), "u long, v long")
+
+
+def _block_links(threshold: int):
+    def links(unit: pd.DataFrame) -> pd.DataFrame:
+        unit = unit.sort_values("doc_id", kind="stable").reset_index(drop=True)
+        ids, c, sets = unit["doc_id"].to_numpy(), unit["c"].to_numpy(), unit["shingles"].tolist()
+        sizes = np.array([len(s) for s in sets])
+        vocabulary, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        doc = np.repeat(np.arange(len(sets)), sizes)
+        shared = times[code] > 1  # a shingle of one document adds to no intersection
+        doc, code = doc[shared], (np.cumsum(times > 1) - 1)[code[shared]]
+        both = np.zeros((len(sets), len(sets)), np.float32)
+        order = np.argsort(code, kind="stable")
+        doc, code = doc[order], code[order]
+        for a in range(0, int((times > 1).sum()), 4096):
+            lo, hi = np.searchsorted(code, [a, a + 4096])
+            has = np.zeros((len(sets), 4096), np.float32)
+            has[doc[lo:hi], code[lo:hi] - a] = 1
+            both += has @ has.T
+        near = (100 * both >= threshold * (sizes[:, None] + sizes[None, :] - both)) & (c[:, None] != c[None, :])
+        u, v = np.nonzero(np.triu(near, 1))
+        root = local_components(u, v, len(ids))
+        leaf = root != np.arange(len(ids))
+        return pd.DataFrame({"u": ids[root[leaf]], "v": ids[leaf]})
+
+    return links
+
+
 def _similar(threshold: int) -> Column:
     shared = F.size(F.array_intersect("set_a", "set_b"))
     return 100 * shared >= threshold * (F.size("set_a") + F.size("set_b") - shared)
@@ -94,8 +141,10 @@ def near_duplicates(
     without a doc_id links with nothing and has a null ``component_id`` and ``kept`` true. An empty table gives no rows.
 
     A class sends one key a band; a bucket's members are compared with its smallest member first (as many pairs as
-    members). Members that are in one component by then need no more; in what is left of a bucket, members of
-    different components and of fitting sizes are compared with each other, so no candidate link is lost.
+    members). Members that are in one component by then need no more. In what is left of a bucket, members of different
+    components are compared with each other, so no candidate link is lost: in small buckets as pairs of fitting sizes,
+    at most half of ``SMALL_BUCKET`` a member; families of large buckets block by block inside tasks, which emit a
+    spanning forest of the links and no pairs.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sketch = staged(source.mapInArrow(_sketch(words), _SKETCH), "sketch")
@@ -120,18 +169,19 @@ def near_duplicates(
     # What the stars leave: buckets that still hold several components.
     label = F.coalesce(F.col("component"), F.col("id")).alias("c")
     placed = buckets.join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", "head", label)
-    mixed = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
-    left = staged(placed.join(mixed.hint("shuffle_hash"), "key"), "left")
+    mixed = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m")).where("lo <> hi")
+    left = staged(placed.join(mixed.select("key", "m").hint("shuffle_hash"), "key"), "left")
+    few, many = left.where(F.col("m") <= SMALL_BUCKET), left.where(F.col("m") > SMALL_BUCKET)
     fits = (100 * F.least("a.n", "b.n") >= threshold * F.greatest("a.n", "b.n")) & (F.col("a.c") != F.col("b.c"))
     rest = (
-        left.alias("a")
-        .join(left.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & fits)
+        few.alias("a")
+        .join(few.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & fits)
         .where("a.id <> a.head")
         .select(F.col("a.id").alias("u"), F.col("b.id").alias("v"))
         .distinct()
     )
     more = _confirmed(source, rest, words, threshold)
-    found = connected_components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(more))
+    found = connected_components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(more).unionAll(_dense_links(source, many, words, threshold)))
     final = F.coalesce("component", "rep", "doc_id").alias("component_id")
     return (
         members.join(found.withColumnRenamed("node", "rep"), "rep", "left")
@@ -140,18 +190,18 @@ def near_duplicates(
     )
 
 
+def _sets_of(source: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """``doc_id`` and the distinct shingle sets of the documents in ``ids``."""
+    wanted = staged(ids.distinct(), "wanted")
+    small = wanted.count() <= BROADCAST_IDS
+    chosen = source.join(F.broadcast(wanted) if small else wanted, "doc_id", "left_semi")
+    return chosen.mapInArrow(_sets(words), _SETS).dropDuplicates(["doc_id", "fp_hi", "fp_lo"]).select("doc_id", "shingles")
+
+
 def _confirmed(source: DataFrame, pairs: DataFrame, words: int, threshold: int) -> DataFrame:
     """Those pairs (u, v) whose full sets are similar."""
     pairs = staged(pairs, "pairs")
-    wanted = staged(pairs.select("u").unionAll(pairs.select("v")).distinct().withColumnRenamed("u", "doc_id"), "wanted")
-    small = wanted.count() <= BROADCAST_IDS
-    chosen = source.join(F.broadcast(wanted) if small else wanted, "doc_id", "left_semi")
-    sets = (
-        chosen.mapInArrow(_sets(words), _SETS)
-        .dropDuplicates(["doc_id", "fp_hi", "fp_lo"])
-        .select("doc_id", "shingles")
-    )
-    sets = staged(sets, "sets")
+    sets = staged(_sets_of(source, pairs.select(F.explode(F.array("u", "v")).alias("doc_id")), words), "sets")
     return (
         pairs.join(sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("set_b")), "v")
         .join(sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("set_a")), "u")
