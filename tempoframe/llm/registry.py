@@ -6,16 +6,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tempoframe.llm import decontaminate, mixing, near_dup, quality, shards
+from tempoframe.llm import (
+    archives,
+    chat,
+    decontaminate,
+    embedding_dedup,
+    licenses,
+    line_dedup,
+    mixing,
+    near_dup,
+    quality,
+    shards,
+)
 
 _QUERIES = (
+    line_dedup.op1_line_dedup,
     decontaminate.op2_decontamination,
+    licenses.op3_license_scan,
     shards.op4_sharding,
     mixing.op5_mixing,
     quality.op6_quality,
+    embedding_dedup.op7_embedding_dedup,
+    archives.op8_warc,
+    chat.op9_chat_format,
     near_dup.op10_near_duplicates,
 )
-_ORACLES = (decontaminate.ORACLE, mixing.ORACLE, near_dup.ORACLE)
+_ORACLES = tuple(
+    m.ORACLE for m in (line_dedup, decontaminate, licenses, mixing, embedding_dedup, archives, chat, near_dup)
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
