@@ -6,19 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tempoframe.plans import events
+
 Query = Callable[[SparkSession, str], DataFrame]
+MODULES = (events,)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The query that ``entry`` runs."""
-    return queries()["left_join_aggregates"](spark, sf_dir)
+    return events.left_join_aggregates(spark, sf_dir)
 
 
 def queries() -> dict[str, Query]:
     """Queries by name."""
-    return {}
+    return {f.__name__: f for m in MODULES for f in m.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL by the name of its query."""
-    return {}
+    return {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
