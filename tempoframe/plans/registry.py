@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tempoframe.plans import events
+from tempoframe.plans import events, features
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = (events,)
+MODULES = (events, features)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
