@@ -38,14 +38,14 @@ def layered_sql(source: str, layers: Layers) -> str:
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """Doubles rounded for comparison, without negative zero."""
+    """Doubles rounded for comparison, halves up, without negative zero."""
     doubles = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
-    return df.withColumns({c: F.round(c, places) + F.lit(0.0) for c in doubles}) if doubles else df
+    return df.withColumns({c: F.round(F.col(c) + 1e-10, places) + F.lit(0.0) for c in doubles}) if doubles else df
 
 
 def rounded_sql(sql: str, doubles: Sequence[str], places: int = 6) -> str:
     """The same for a query; ``doubles`` names its double columns."""
-    parts = ", ".join(f"round({c}, {places}) + 0.0::DOUBLE AS {c}" for c in doubles)
+    parts = ", ".join(f"round({c} + 1e-10::DOUBLE, {places}) + 0.0::DOUBLE AS {c}" for c in doubles)
     return f"SELECT * REPLACE ({parts}) FROM ({sql}) AS r" if doubles else sql
 
 

@@ -59,7 +59,7 @@ def pass_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def big_chances_created(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Big chances by match and passer."""
-    return pas.big_chances_created(projected(spark, sf_dir, "match_events"), _shots(spark, sf_dir))
+    return pas.big_chances_created(_passes(spark, sf_dir), _shots(spark, sf_dir))
 
 
 def xa_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,7 +237,7 @@ pass_totals AS (
   FROM (SELECT *, is_corner + is_free_kick + is_throw_in + is_goal_kick = 0 AS o FROM passes) GROUP BY match_id, player_id)"""
 CREATED = """
 created AS (
-  SELECT p.match_id, p.player_id, count(*) AS big_chances_created FROM shots s JOIN match_events p
+  SELECT p.match_id, p.player_id, count(*) AS big_chances_created FROM shots s JOIN passes p
   ON p.match_id = s.match_id AND p.team_id = s.team_id AND p.event_id = s.related_event_id WHERE s.xg >= 0.3 GROUP BY p.match_id, p.player_id)"""
 CARDS = """
 cards AS (
@@ -257,7 +257,7 @@ ORACLES = {
         [c for c in pas.NUMERIC if not c.startswith(("ends_", "enters_", "is_"))],
     ),
     "pass_totals": f"WITH {_M}, {PASSES}, {PASS_TOTALS} SELECT * FROM pass_totals",
-    "big_chances_created": f"{_S}, {CREATED} SELECT * FROM created",
+    "big_chances_created": f"{_S}, {PASSES}, {CREATED} SELECT * FROM created",
     "xa_targets": rounded_sql(f"""{_S} SELECT match_id, team_id, related_event_id AS event_id, count(*) AS linked_shots, sum(xg) AS xa_target,
         sum(is_goal)::BIGINT AS goals_created, 1::BIGINT AS shot_created FROM shots WHERE related_event_id > 0 GROUP BY match_id, team_id, related_event_id""", ["xa_target"]),
     "derive_shots": rounded_sql(f"{_S} SELECT match_id, event_id, {', '.join(_SHOT_FLAGS)}, distance_to_goal, angle_to_goal, body_part, situation, shot_location_name FROM shots", ["distance_to_goal", "angle_to_goal"]),

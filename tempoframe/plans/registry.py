@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tempoframe.plans import events, features
+from tempoframe.plans import events, features, players
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = (events, features)
+MODULES = (events, features, players)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
