@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempoframe.llm.graph import connected_components
-from tempoframe.llm.workspace import staged, table
+from tempoframe.llm.workspace import staged, table, width
 
 #: Edits between near lines, and characters from which lines are compared; shorter ones are duplicates only if equal.
 EDITS, LEAST_CHARS = 2, 24
+#: Frequent letters; their counts tell most lines apart before a pair is made.
+LETTERS = "entriaso"
 #: Lines in candidate pairs up to this many are found by a broadcast of their ids (16 MB), more by shuffling.
 BROADCAST_IDS = 1_000_000
 
@@ -48,6 +50,25 @@ def probe_keys(line: Column, length: Column, edits: int) -> Column:
     return F.array(*keys)
 
 
+def letter_counts(line: Column) -> Column:
+    """Counts of eight frequent letters, each modulo 256, as the bytes of a long."""
+    n = F.octet_length(line)
+    packed = F.lit(0).cast("long")
+    for k, letter in enumerate(LETTERS):
+        times = (n - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))).cast("long")
+        packed = packed.bitwiseOR(F.shiftleft(times.bitwiseAND(F.lit(255)), 8 * k))
+    return packed
+
+
+def counts_apart(a: Column, b: Column) -> Column:
+    """Least sum of differences that two ``letter_counts`` tell; an edit changes it by two at most."""
+    total = F.lit(0).cast("long")
+    for k in range(len(LETTERS)):
+        d = F.abs(F.shiftrightunsigned(a, 8 * k).bitwiseAND(F.lit(255)) - F.shiftrightunsigned(b, 8 * k).bitwiseAND(F.lit(255)))
+        total = total + F.least(d, 256 - d)
+    return total
+
+
 def _chars(text: Column) -> Column:
     return F.filter(F.split(text, ""), lambda c: c != "")
 
@@ -98,11 +119,12 @@ def near_lines(lines: DataFrame, edits: int, least_chars: int) -> DataFrame:
     if least_chars <= 2 * edits:
         raise ValueError("compared lines need more than twice as many characters as edits")
     n = F.char_length("line")
-    sized = lines.where(n >= least_chars).select("id", "line", n.alias("n"))
+    sized = lines.where(n >= least_chars).select("id", "line", n.alias("n"), letter_counts(F.col("line")).alias("counts"))
     line, length = F.col("line"), F.col("n")
-    index = sized.select(F.col("id").alias("v"), F.explode(index_keys(line, length, edits)).alias("key"))
-    probes = sized.select(F.col("id").alias("u"), F.explode(probe_keys(line, length, edits)).alias("key"))
-    pairs = probes.join(index, "key").where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    index = sized.select(F.col("id").alias("v"), F.col("counts").alias("cv"), F.explode(index_keys(line, length, edits)).alias("key"))
+    probes = sized.select(F.col("id").alias("u"), F.col("counts").alias("cu"), F.explode(probe_keys(line, length, edits)).alias("pkey"))
+    alike = (F.col("pkey") == F.col("key")) & (F.col("u") != F.col("v")) & (counts_apart(F.col("cu"), F.col("cv")) <= 2 * edits)
+    pairs = probes.join(index, alike).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     pairs = staged(pairs.distinct(), "pairs")
     ids = staged(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct(), "ids")
     few = ids.count() <= BROADCAST_IDS
@@ -110,6 +132,7 @@ def near_lines(lines: DataFrame, edits: int, least_chars: int) -> DataFrame:
     both = pairs.join(texts.select(F.col("id").alias("u"), F.col("line").alias("a")), "u").join(
         texts.select(F.col("id").alias("v"), F.col("line").alias("b")), "v"
     )
+    both = both.repartition(width(lines.sparkSession), "u", "v")  # the work is in the comparisons, not in the bytes
     return edit_distance(both, "a", "b", edits).where(F.col("distance") <= edits).select("u", "v")
 
 
@@ -125,7 +148,8 @@ def line_classes(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_C
 
     A line within k edits of another keeps one of its k + 1 segments: each line is indexed by its segments and probes
     with the few substrings that can be such a segment of a line at most k shorter. Equal lines are one row from the
-    start; keys are hashes, so that texts move only for candidate pairs.
+    start; keys are hashes, so that texts move only for candidate pairs. Pairs whose letter counts are too far apart for
+    ``edits`` are not made: of a family of lines that differ in whole words, few pairs are left.
     """
     lines = distinct_lines(docs)
     links = staged(near_lines(lines, edits, least_chars), "links")
