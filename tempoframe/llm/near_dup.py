@@ -182,7 +182,7 @@ def near_duplicates(
     )
     more = _confirmed(source, rest, words, threshold)
     found = connected_components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(more).unionAll(_dense_links(source, many, words, threshold)))
-    final = F.coalesce("component", "rep", "doc_id").alias("component_id")
+    final = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).alias("component_id")
     return (
         members.join(found.withColumnRenamed("node", "rep"), "rep", "left")
         .select("doc_id", "n_shingles", final)
