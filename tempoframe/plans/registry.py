@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tempoframe.plans import events, features, forms, players
+from tempoframe.plans import events, features, forms, players, publishing
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = (events, features, players, forms)
+MODULES = (events, features, players, forms, publishing)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
