@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tempoframe.plans import events, features, forms, ingestion, players, publishing
+from tempoframe.plans import events, features, forms, ingestion, modelling, players, publishing
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = (events, features, players, forms, publishing, ingestion)
+MODULES = (events, features, players, forms, publishing, ingestion, modelling)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
