@@ -7,9 +7,10 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def normalize_name(names: pd.Series) -> pd.Series:
     """Letters without marks in lower case, runs of anything but a-z and 0-9 as one space, trimmed; null stays null."""
 
