@@ -11,7 +11,7 @@ from tempoframe.llm.workspace import staged, table, width
 #: Edits between near lines, and characters from which lines are compared; shorter ones are duplicates only if equal.
 EDITS, LEAST_CHARS = 2, 24
 #: Frequent letters; their counts tell most lines apart before a pair is made.
-LETTERS = "entriaso"
+LETTERS = "entrias"
 #: Lines in candidate pairs up to this many are found by a broadcast of their ids (16 MB), more by shuffling.
 BROADCAST_IDS = 1_000_000
 
@@ -50,23 +50,28 @@ def probe_keys(line: Column, length: Column, edits: int) -> Column:
     return F.array(*keys)
 
 
-def letter_counts(line: Column) -> Column:
-    """Counts of eight frequent letters, each modulo 256, as the bytes of a long."""
+def line_sketch(line: Column) -> Column:
+    """Length and counts of seven frequent letters, each modulo 256, as the bytes of a long."""
     n = F.octet_length(line)
-    packed = F.lit(0).cast("long")
-    for k, letter in enumerate(LETTERS):
+    packed = F.char_length(line).cast("long").bitwiseAND(F.lit(255))
+    for k, letter in enumerate(LETTERS, 1):
         times = (n - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))).cast("long")
         packed = packed.bitwiseOR(F.shiftleft(times.bitwiseAND(F.lit(255)), 8 * k))
     return packed
 
 
-def counts_apart(a: Column, b: Column) -> Column:
-    """Least sum of differences that two ``letter_counts`` tell; an edit changes it by two at most."""
-    total = F.lit(0).cast("long")
-    for k in range(len(LETTERS)):
-        d = F.abs(F.shiftrightunsigned(a, 8 * k).bitwiseAND(F.lit(255)) - F.shiftrightunsigned(b, 8 * k).bitwiseAND(F.lit(255)))
-        total = total + F.least(d, 256 - d)
-    return total
+def _byte(sketch: Column, k: int) -> Column:
+    return F.shiftrightunsigned(sketch, 8 * k).bitwiseAND(F.lit(255))
+
+
+def sketches_apart(a: Column, b: Column) -> Column:
+    """Least sum of differences in the counts of the seven letters and of all others; an edit changes it by two at most."""
+    around = lambda d: F.least(F.pmod(d, F.lit(256)), F.pmod(-d, F.lit(256)))
+    rest, total = _byte(a, 0) - _byte(b, 0), F.lit(0).cast("long")
+    for k in range(1, len(LETTERS) + 1):
+        d = _byte(a, k) - _byte(b, k)
+        rest, total = rest - d, total + around(d)
+    return total + around(rest)
 
 
 def _chars(text: Column) -> Column:
@@ -79,7 +84,7 @@ def edit_distance(df: DataFrame, a: str, b: str, edits: int, name: str = "distan
     Banded and bit-parallel: the cells of a column within ``edits`` of the diagonal are bits of a word, bit t of column j
     for row j - edits + t of the longer string. Of each column only the rises and falls between its cells are
     kept, as two words; a few word operations take them to the next column, and the distance is read along the
-    diagonal that ends in the last cell. Null strings have a null distance.
+    diagonal that ends in the last cell. Common starts and ends are taken off first. Null strings have a null distance.
     """
     width = 2 * edits + 1
     full, top = (1 << width) - 1, 1 << (width - 1)
@@ -101,6 +106,11 @@ def edit_distance(df: DataFrame, a: str, b: str, edits: int, name: str = "distan
     )
     cols = [c for c in df.columns]
     chars = df.select(*cols, F.inline_outer(F.array(pair)))
+    for _ in range(2):  # what the strings share at their start, and then, turned round, at their end
+        apart = F.array_position(F.zip_with(F.slice("l", 1, F.size("s")), "s", lambda x, y: x == y), F.lit(False)).cast("int")
+        skip = F.when(apart > 0, apart).otherwise(F.size("s") + 1)
+        cut = [F.reverse(F.slice(c, F.col("skip"), F.greatest(F.size(c) - F.col("skip") + 1, F.lit(0)))).alias(c) for c in ("l", "s")]
+        chars = chars.select(*cols, "l", "s", "gap", F.inline_outer(F.array(F.struct(skip.alias("skip"))))).select(*cols, F.inline_outer(F.array(F.struct(*cut, "gap"))))
     masks = F.expr(f"if(size(s) > 0, transform(sequence(1, size(s)), j -> {bits}), array())")
     masked = chars.select(*cols, "gap", F.inline_outer(F.array(F.struct(masks.alias("masks")))))
     score = F.expr(f"if(gap > {edits}, {edits + 1}, aggregate(masks, {start}, (x, m) -> {step}, x -> x.score))")
@@ -108,10 +118,11 @@ def edit_distance(df: DataFrame, a: str, b: str, edits: int, name: str = "distan
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
-    """Every different line that is not blank, with the number of its copies, its first document and an id."""
+    """Every different line that is not blank, with the number of its copies, its first document, an id and a sketch."""
     lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(F.split("text", "\n")).alias("line"))
     found = lines.where("trim(line) <> ''").groupBy("line").agg(F.count("*").alias("n_copies"), F.min("doc_id").alias("first_doc_id"))
-    return staged(found.withColumn("id", F.monotonically_increasing_id()), "lines")  # ids hold once they are written
+    made = found.withColumns({"id": F.monotonically_increasing_id(), "sketch": line_sketch(F.col("line"))})
+    return staged(made, "lines")  # ids hold once they are written
 
 
 def near_lines(lines: DataFrame, edits: int, least_chars: int) -> DataFrame:
@@ -119,11 +130,13 @@ def near_lines(lines: DataFrame, edits: int, least_chars: int) -> DataFrame:
     if least_chars <= 2 * edits:
         raise ValueError("compared lines need more than twice as many characters as edits")
     n = F.char_length("line")
-    sized = lines.where(n >= least_chars).select("id", "line", n.alias("n"), letter_counts(F.col("line")).alias("counts"))
+    sized = lines.where(n >= least_chars).select("id", "line", n.alias("n"), "sketch")
     line, length = F.col("line"), F.col("n")
-    index = sized.select(F.col("id").alias("v"), F.col("counts").alias("cv"), F.explode(index_keys(line, length, edits)).alias("key"))
-    probes = sized.select(F.col("id").alias("u"), F.col("counts").alias("cu"), F.explode(probe_keys(line, length, edits)).alias("pkey"))
-    alike = (F.col("pkey") == F.col("key")) & (F.col("u") != F.col("v")) & (counts_apart(F.col("cu"), F.col("cv")) <= 2 * edits)
+    index = sized.select(F.col("id").alias("v"), F.col("sketch").alias("sv"), F.explode(index_keys(line, length, edits)).alias("key"))
+    probes = sized.select(F.col("id").alias("u"), F.col("sketch").alias("su"), F.explode(probe_keys(line, length, edits)).alias("pkey"))
+    # Lines of one length probe each other: one direction is enough. (Lengths differ by far less than 256.)
+    once = (_byte(F.col("su"), 0) != _byte(F.col("sv"), 0)) | (F.col("u") > F.col("v"))
+    alike = (F.col("pkey") == F.col("key")) & once & (sketches_apart(F.col("su"), F.col("sv")) <= 2 * edits)
     pairs = probes.join(index, alike).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     pairs = staged(pairs.distinct(), "pairs")
     ids = staged(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct(), "ids")
