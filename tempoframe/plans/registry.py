@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tempoframe.plans import events, features, fitting, forms, increments, ingestion, modelling, players, publishing
+from tempoframe.plans import events, features, files, fitting, forms, increments, ingestion, modelling, players, publishing
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = (events, features, players, forms, publishing, ingestion, modelling, increments, fitting)
+MODULES = (events, features, players, forms, publishing, ingestion, modelling, increments, fitting, files)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
