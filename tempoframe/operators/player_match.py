@@ -61,3 +61,12 @@ def player_match_features(
     for part in parts:
         rows = rows.join(part, KEYS, "left").fillna(0, [c for c in part.columns if c not in KEYS])
     return rows
+
+
+def enrich_increment(
+    pending: DataFrame, lineups: DataFrame, events: DataFrame, passes: DataFrame, shots: DataFrame, keepers: DataFrame, grid: DataFrame
+) -> DataFrame:
+    """Player-match rows of the pending matches alone (``match_id``): every input is cut down to them before any work is done."""
+    ids = pending.select("match_id").distinct()
+    only = lambda df: df.join(ids, "match_id", "left_semi")
+    return player_match_features(only(lineups), only(events), only(passes), only(shots), only(keepers), grid)

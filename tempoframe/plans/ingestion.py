@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tempoframe.functions import nested as nes
 from tempoframe.functions.expressions import rounded, rounded_sql
 from tempoframe.operators import ingest as ing
 from tempoframe.plans.fixtures import ctes, projected, table
@@ -35,6 +36,20 @@ def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.join(sides, "match_id").select("match_id", F.to_json(body).alias("payload"))
 
 
+def extract_embedded_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads found again in pages that hold them."""
+    page = F.concat(F.lit('<html><script>var a = "{"; require.data = '), F.col("payload"), F.lit("; f({});</script>"))
+    pages = nes.extract_embedded_json(_payloads(spark, sf_dir).select("match_id", page.alias("html")), "require.data = ")
+    return ing.parsed(pages).select("match_id", F.size("p.events").cast("long").alias("events"), F.size("p.home.players").cast("long").alias("home_players"))
+
+
+def walk_raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where event objects are in all payloads."""
+    found = nes.walk_raw_events(_payloads(spark, sf_dir))
+    place = F.regexp_replace("json_path", r"\[\d+\]", "[]")
+    return found.groupBy("match_id", place.alias("place")).agg(F.count("*").alias("objects"), F.count_distinct("event_json").alias("different"))
+
+
 def flatten_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All matches."""
     return ing.flatten_matches(_payloads(spark, sf_dir))
@@ -155,7 +170,7 @@ def content_hash_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = (
-    flatten_matches, completed_filter, explode_teams, explode_players, explode_events_dedup, unpack_coded_fields, qualifiers_to_map, stable_event_uid, conform_schema,
+    extract_embedded_json, walk_raw_events, flatten_matches, completed_filter, explode_teams, explode_players, explode_events_dedup, unpack_coded_fields, qualifiers_to_map, stable_event_uid, conform_schema,
     union_by_name_relaxed, scan_history_dedup, extract_page_links, normalize_season_label, resolve_alias, clean_valuation_records, quality_issue_rows,
     event_quality_checks, content_hash_files,
 )
@@ -166,6 +181,10 @@ _RECORDS = """records AS (SELECT o_custkey AS player_id, date_trunc('year', o_or
   o_orderkey % 14 = 0 AS hidden, o_orderkey % 11 = 0 AS retired, CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey % 13 END AS ts, o_orderkey AS list_index FROM orders)"""
 
 ORACLES = {
+    "extract_embedded_json": f"""WITH {_L}, n AS (SELECT match_id, count(*) AS home_players FROM player_matches WHERE team_id = 1 GROUP BY match_id)
+        SELECT e.match_id, count(*) AS events, any_value(n.home_players) AS home_players FROM match_events e JOIN n ON n.match_id = e.match_id GROUP BY e.match_id""",
+    "walk_raw_events": f"""WITH {_M} SELECT match_id, '$.events[]' AS place, count(*) AS objects, count(*) AS different FROM match_events GROUP BY match_id
+        UNION ALL SELECT match_id, '$.home.incidentEvents[]', count(*), count(*) FROM match_events WHERE event_id % 10 = 0 GROUP BY match_id""",
     "flatten_matches": f"WITH {_M} SELECT DISTINCT match_id, '2024-08-01' AS start_date, CASE WHEN match_id % 3 = 0 THEN '6' ELSE '1' END AS status_code, '1 : 0' AS score, CASE WHEN match_id % 2 = 0 THEN '1 : 0' ELSE ' ' END AS ft_score, 1::BIGINT AS home_team_id, 2::BIGINT AS away_team_id FROM match_events",
     "completed_filter": f"WITH {_M} SELECT DISTINCT match_id, CASE WHEN match_id % 3 = 0 THEN '6' ELSE '1' END AS status_code FROM match_events WHERE match_id % 3 = 0 OR match_id % 2 = 0",
     "explode_teams": f"WITH {_M} SELECT DISTINCT match_id, t.side, t.team_id, 'Team ' || t.team_id AS team_name FROM match_events, (VALUES ('home', 1::BIGINT), ('away', 2::BIGINT)) t(side, team_id)",

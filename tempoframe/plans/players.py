@@ -61,6 +61,15 @@ def player_match_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_rows(spark, sf_dir).select("season", "match_id", "player_id", "team_id", "position_group", "minutes", *TOTALS))
 
 
+def enrich_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Player-match rows of the pending third of the matches."""
+    events = _events(spark, sf_dir)
+    lineups = _minutes(spark, sf_dir).withColumn("position_group", F.coalesce(app.position_group(F.col("position_code"), "lenient"), F.lit("Midfielder")))
+    pending = events.select("match_id").where("match_id % 3 = 0")
+    made = pm.enrich_increment(pending, lineups, events, fea._passes(spark, sf_dir), fea._shots(spark, sf_dir), fea._keepers(spark, sf_dir), projected(spark, sf_dir, "value_grid"))
+    return rounded(made.select("match_id", "player_id", "minutes", *TOTALS))
+
+
 def pass_completion_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pass priors."""
     return rounded(rat.pass_completion_prior(_rows(spark, sf_dir)))
@@ -158,7 +167,7 @@ def rating_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = (
-    appearance_minutes, position_group_map, propagate_positions, player_match_features, pass_completion_prior, per90_log_features, zscore_fit, zscore_apply,
+    appearance_minutes, position_group_map, propagate_positions, player_match_features, enrich_increment, pass_completion_prior, per90_log_features, zscore_fit, zscore_apply,
     rating_components, position_composite, composite_restandardize, outfield_rating, goalkeeper_rating, rating_adjustments, primary_position,
     apply_primary_position, rating_validate,
 )
@@ -302,6 +311,7 @@ ORACLES = {
         first AS (SELECT match_id, player_id, g FROM chain QUALIFY row_number() OVER (PARTITION BY match_id, player_id ORDER BY depth, g) = 1)
         SELECT s.match_id, s.player_id, f.g AS position_group FROM start s LEFT JOIN first f ON f.match_id = s.match_id AND f.player_id = s.player_id""",
     "player_match_features": rounded_sql(f"{_R} SELECT season, match_id, player_id, team_id, position_group, minutes, {', '.join(TOTALS)} FROM player_rows", _DOUBLE_TOTALS),
+    "enrich_increment": rounded_sql(f"{_R} SELECT match_id, player_id, minutes, {', '.join(TOTALS)} FROM player_rows WHERE match_id % 3 = 0", _DOUBLE_TOTALS),
     "pass_completion_prior": rounded_sql(f"{_R}, {PRIORS} SELECT * FROM priors", ["observed_variance", "sampling_variance", "between_match_variance", "pass_completion_prior", "prior_strength"]),
     "per90_log_features": rounded_sql(f"{_P} SELECT match_id, player_id, {', '.join(_PER90)} FROM per90", list(_PER90)),
     "zscore_fit": rounded_sql(f"{_P}, {STATS} SELECT * FROM stats", ["mean", "std"]),
