@@ -23,6 +23,22 @@ def scan_jsonl_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.scan_jsonl_strict(spark, path, "o_orderkey long, o_custkey long, o_orderpriority string")
 
 
+def sink_json_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders, exported as CSV and read back."""
+    path = shared_path(spark, "csv")
+    src.sink_json_csv(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), path, "csv")
+    return spark.read.option("header", True).schema("o_orderkey long, o_orderstatus string").csv(path)
+
+
+def scan_entity_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers by nation, a document each."""
+    path = shared_path(spark, "documents")
+    s = table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("entity")).agg(F.sort_array(F.collect_list(F.struct(F.col("s_suppkey").alias("y")))).alias("list"))
+    s.select("entity", F.to_json(F.struct("list")).alias("value")).repartition(1, "entity").write.partitionBy("entity").text(path)
+    rows = src.scan_entity_documents(spark, path, "struct<y:bigint>", r"/entity=(\d+)/")
+    return rows.select("entity_id", F.col("list_index").cast("long").alias("list_index"), F.col("item.y").alias("y"))
+
+
 def scan_work_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Work items of all customers from a CSV manifest."""
     path, k = shared_path(spark, "manifest"), F.col("c_custkey")
@@ -78,10 +94,12 @@ def stream_upsert_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(stm.stream_upsert(stream, ["player_id", "match_id"]))
 
 
-QUERIES = (scan_jsonl_strict, scan_work_manifest, scan_overrides, sink_partition_overwrite, scan_match_partitions, stream_form_state, stream_upsert_partitions)
+QUERIES = (sink_json_csv, scan_entity_documents, scan_jsonl_strict, scan_work_manifest, scan_overrides, sink_partition_overwrite, scan_match_partitions, stream_form_state, stream_upsert_partitions)
 
 _R = ctes("player_ratings")
 ORACLES = {
+    "sink_json_csv": "SELECT o_orderkey, o_orderstatus FROM orders",
+    "scan_entity_documents": "SELECT s_nationkey AS entity_id, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS list_index, s_suppkey AS y FROM supplier",
     "scan_jsonl_strict": "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders",
     "scan_work_manifest": "SELECT DISTINCT c_custkey // 2 AS match_id, 'https://x/matches/' || (c_custkey // 2) || '/live' AS match_url FROM customer",
     "scan_overrides": "SELECT s_suppkey AS player_id, s_suppkey AS candidate_id FROM supplier",

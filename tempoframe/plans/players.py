@@ -10,6 +10,7 @@ from tempoframe.functions.state import written
 from tempoframe.operators import appearances as app
 from tempoframe.operators import player_match as pm
 from tempoframe.operators import ratings as rat
+from tempoframe.operators import serving as ser
 from tempoframe.plans import features as fea
 from tempoframe.plans.events import ACTIONS, CARRIES, DEFENCE, VALUED
 from tempoframe.plans.fixtures import ctes, projected
@@ -144,6 +145,12 @@ def rating_adjustments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_rated(spark, sf_dir).select("match_id", "player_id", "decisive_action_bonus", "card_penalty", "big_chance_miss_penalty", "own_goal_penalty", "post_match_rating"))
 
 
+def materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The serving table of all players."""
+    rows = written(_rows(spark, sf_dir), "player-rows").withColumn("match_date", F.date_add(F.lit("2024-08-01"), F.col("match_id").cast("int")))
+    return rounded(ser.materialize(rows))
+
+
 def primary_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Primary positions by season and player."""
     return rat.primary_position(_lineups(spark, sf_dir))
@@ -168,7 +175,7 @@ def rating_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = (
     appearance_minutes, position_group_map, propagate_positions, player_match_features, enrich_increment, pass_completion_prior, per90_log_features, zscore_fit, zscore_apply,
-    rating_components, position_composite, composite_restandardize, outfield_rating, goalkeeper_rating, rating_adjustments, primary_position,
+    rating_components, position_composite, composite_restandardize, outfield_rating, goalkeeper_rating, rating_adjustments, materialize, primary_position,
     apply_primary_position, rating_validate,
 )
 
@@ -322,6 +329,12 @@ ORACLES = {
     "outfield_rating": rounded_sql(f"{_C}, {RATED} SELECT match_id, player_id, standardized_composite, base_rating FROM ratings WHERE position_group <> 'Goalkeeper'", ["standardized_composite", "base_rating"]),
     "goalkeeper_rating": rounded_sql(f"{_C}, {RATED} SELECT match_id, player_id, base_rating FROM ratings WHERE position_group = 'Goalkeeper'", ["base_rating"]),
     "rating_adjustments": rounded_sql(f"{_C}, {RATED} SELECT match_id, player_id, decisive_action_bonus, card_penalty, big_chance_miss_penalty, own_goal_penalty, post_match_rating FROM ratings", ["decisive_action_bonus", "card_penalty", "big_chance_miss_penalty", "own_goal_penalty", "post_match_rating"]),
+    "materialize": rounded_sql(f"""{_C}, {RATED}, dated AS (SELECT player_id, match_id, DATE '2024-08-01' + match_id::INT AS d, minutes AS m, post_match_rating AS r FROM ratings),
+        newest AS (SELECT * FROM dated QUALIFY row_number() OVER (PARTITION BY player_id ORDER BY d DESC, match_id DESC) = 1),
+        form AS (SELECT n.player_id, sum(x.m * x.r * pow(2.0::DOUBLE, -(n.d - x.d) / 90.0::DOUBLE)) / sum(x.m * pow(2.0::DOUBLE, -(n.d - x.d) / 90.0::DOUBLE)) AS f
+                 FROM newest n JOIN dated x ON x.player_id = n.player_id GROUP BY n.player_id)
+        SELECT n.player_id, n.match_id, r AS rating, f AS form_rating_ewm, r - 6 AS impact, CASE WHEN r > 6.25 THEN 'positive' WHEN r < 5.75 THEN 'negative' ELSE 'neutral' END AS impact_label
+        FROM newest n JOIN form USING (player_id)""", ["rating", "form_rating_ewm", "impact"]),
     "primary_position": f"WITH {ctes('player_matches')}, {_LINEUPS}, {_PRIMARY} SELECT * FROM season_best",
     "apply_primary_position": f"""WITH {ctes('player_matches')}, {_LINEUPS}, {_PRIMARY}
         SELECT l.match_id, l.player_id, CASE WHEN started = 1 THEN l.position_group ELSE coalesce(s.primary_position, c.primary_position) END AS position_group

@@ -23,10 +23,10 @@ def scan_jsonl_strict(spark: SparkSession, path: str, schema: str | StructType)
     return lines.withColumn("r", row).select(checked.alias(first), *rest)
 
 
-def scan_entity_documents(spark: SparkSession, path: str, element: str) -> DataFrame:
-    """One JSON document per file: ``entity_id`` from the file name, and each element of its ``list`` with its place; an empty list gives one row of nulls."""
+def scan_entity_documents(spark: SparkSession, path: str, element: str, pattern: str = r"/(\d+)\.json$") -> DataFrame:
+    """One JSON document per file: ``entity_id`` from the file's path by ``pattern``, and each element of its ``list`` with its place; an empty list gives one row of nulls."""
     docs = spark.read.option("wholetext", True).text(path).select(
-        F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)", 1).try_cast("long").alias("entity_id"), F.from_json("value", f"list array<{element}>").alias("d")
+        F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).try_cast("long").alias("entity_id"), F.from_json("value", f"list array<{element}>").alias("d")
     )
     return docs.select("entity_id", F.posexplode_outer("d.list").alias("list_index", "item"))
 
