@@ -11,7 +11,7 @@ from tempoframe.llm.workspace import staged, table, width
 #: Edits between near lines, and characters from which lines are compared; shorter ones are duplicates only if equal.
 EDITS, LEAST_CHARS = 2, 24
 #: Frequent letters; their counts tell most lines apart before a pair is made.
-LETTERS = "entrias"
+LETTERS = "entriashdlcoug"
 #: Lines in candidate pairs up to this many are found by a broadcast of their ids (16 MB), more by shuffling.
 BROADCAST_IDS = 1_000_000
 
@@ -51,25 +51,25 @@ def probe_keys(line: Column, length: Column, edits: int) -> Column:
 
 
 def line_sketch(line: Column) -> Column:
-    """Length and counts of seven frequent letters, each modulo 256, as the bytes of a long."""
+    """Length modulo 256 and the counts of fourteen frequent letters modulo 16, in a long."""
     n = F.octet_length(line)
     packed = F.char_length(line).cast("long").bitwiseAND(F.lit(255))
-    for k, letter in enumerate(LETTERS, 1):
+    for k, letter in enumerate(LETTERS):
         times = (n - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))).cast("long")
-        packed = packed.bitwiseOR(F.shiftleft(times.bitwiseAND(F.lit(255)), 8 * k))
+        packed = packed.bitwiseOR(F.shiftleft(times.bitwiseAND(F.lit(15)), 8 + 4 * k))
     return packed
 
 
-def _byte(sketch: Column, k: int) -> Column:
-    return F.shiftrightunsigned(sketch, 8 * k).bitwiseAND(F.lit(255))
+def _bits(sketch: Column, start: int, width: int) -> Column:
+    return F.shiftrightunsigned(sketch, start).bitwiseAND(F.lit((1 << width) - 1))
 
 
 def sketches_apart(a: Column, b: Column) -> Column:
-    """Least sum of differences in the counts of the seven letters and of all others; an edit changes it by two at most."""
-    around = lambda d: F.least(F.pmod(d, F.lit(256)), F.pmod(-d, F.lit(256)))
-    rest, total = _byte(a, 0) - _byte(b, 0), F.lit(0).cast("long")
-    for k in range(1, len(LETTERS) + 1):
-        d = _byte(a, k) - _byte(b, k)
+    """Least sum of differences in the counts of the letters and of all other characters; an edit changes it by two at most."""
+    around = lambda d: F.least(F.pmod(d, F.lit(16)), F.pmod(-d, F.lit(16)))
+    rest, total = _bits(a, 0, 8) - _bits(b, 0, 8), F.lit(0).cast("long")
+    for k in range(len(LETTERS)):
+        d = _bits(a, 8 + 4 * k, 4) - _bits(b, 8 + 4 * k, 4)
         rest, total = rest - d, total + around(d)
     return total + around(rest)
 
@@ -135,11 +135,12 @@ def near_lines(lines: DataFrame, edits: int, least_chars: int) -> DataFrame:
     index = sized.select(F.col("id").alias("v"), F.col("sketch").alias("sv"), F.explode(index_keys(line, length, edits)).alias("key"))
     probes = sized.select(F.col("id").alias("u"), F.col("sketch").alias("su"), F.explode(probe_keys(line, length, edits)).alias("pkey"))
     # Lines of one length probe each other: one direction is enough. (Lengths differ by far less than 256.)
-    once = (_byte(F.col("su"), 0) != _byte(F.col("sv"), 0)) | (F.col("u") > F.col("v"))
+    once = (_bits(F.col("su"), 0, 8) != _bits(F.col("sv"), 0, 8)) | (F.col("u") > F.col("v"))
     alike = (F.col("pkey") == F.col("key")) & once & (sketches_apart(F.col("su"), F.col("sv")) <= 2 * edits)
     pairs = probes.join(index, alike).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     pairs = staged(pairs.distinct(), "pairs")
-    ids = staged(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct(), "ids")
+    ends = [pairs.select(F.col(c).alias("id")).distinct() for c in ("u", "v")]
+    ids = staged(ends[0].unionAll(ends[1]).distinct(), "ids")
     few = ids.count() <= BROADCAST_IDS
     texts = staged(sized.join(F.broadcast(ids) if few else ids, "id", "left_semi").select("id", "line"), "texts")
     both = pairs.join(texts.select(F.col("id").alias("u"), F.col("line").alias("a")), "u").join(
@@ -166,7 +167,8 @@ def line_classes(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_C
     """
     lines = distinct_lines(docs)
     links = staged(near_lines(lines, edits, least_chars), "links")
-    degree = links.select(F.explode(F.array("u", "v")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
+    ends = [links.groupBy(F.col(c).alias("id")).agg(F.count("*").alias("n")) for c in ("u", "v")]
+    degree = ends[0].unionAll(ends[1]).groupBy("id").agg(F.sum("n").alias("n_links"))
     parts = staged(connected_components(links).withColumnRenamed("node", "id").join(degree, "id"), "parts")
     named = lines.select(
         "id", F.md5(F.col("line").cast("binary")).alias("line_md5"), F.char_length("line").cast("long").alias("n_chars"), "n_copies", "first_doc_id"
