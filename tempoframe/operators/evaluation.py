@@ -167,7 +167,7 @@ def interval_coverage(rows: DataFrame, actual: str, lower: str, upper: str) -> D
 
 
 def promotion_gate(metrics: DataFrame) -> DataFrame:
-    """Checks of a candidate's metrics row against the baselines in it, and whether all pass."""
+    """Checks of a candidate's metrics row against the baselines in it, and whether all pass; a fitted candidate's row says in ``converged`` if its fit did."""
     tests = {
         "beats_zero_mae": F.col("mae") < F.col("zero_mae"),
         "beats_zero_direction": F.col("direction_accuracy") > F.col("zero_direction"),
@@ -175,5 +175,7 @@ def promotion_gate(metrics: DataFrame) -> DataFrame:
         "positive_r2": F.col("r2") > 0,
         "coverage": F.col("coverage") >= 0.80,
     }
+    if "converged" in metrics.columns:
+        tests["em_converged"] = F.col("converged")
     rows = metrics.select(F.inline(F.array(*(F.struct(F.lit(k).alias("check"), F.coalesce(v, F.lit(False)).alias("passed")) for k, v in tests.items()))))
     return rows.crossJoin(F.broadcast(rows.agg(F.bool_and("passed").alias("promoted"))))  # one row

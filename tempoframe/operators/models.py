@@ -95,75 +95,180 @@ def score_xa(rows: DataFrame, models: tuple[PipelineModel, PipelineModel], calib
     return both.withColumn("xa_model", clip(F.col("p_shot_created") * F.col("conditional_shot_xg") * calibration, 0, 1))
 
 
+#: Scales of the half-normal priors: spread of coefficients, position intercepts, age slopes, form slopes, player intercepts and noise.
+SCALE_PRIORS = {"beta": 0.30, "position": 0.25, "age": 0.15, "form": 0.15, "player": 0.20, "sigma": 0.40}
+#: Prior deviation of the intercept, and rate of the exponential prior of nu - 2.
+INTERCEPT_SD, NU_RATE = 0.5, 0.10
+_NUS = 2 + np.geomspace(0.02, 200, 40)
+
+
 @dataclass(frozen=True)
 class RobustFit:
-    """Mode and curvature of a Student-t regression with shrunken player intercepts."""
+    """Mode and curvature of a Student-t regression with shrunken effects of positions and players.
+
+    ``terms`` names the entries of ``beta`` as (kind, position, effect). ``players`` holds of each player the intercept ``u``, its variance ``v``, the part ``c``
+    of it that remains when beta is known, and ``h``, by which it falls as beta rises.
+    """
 
     predictors: tuple[str, ...]
+    terms: tuple[tuple[str, str | None, str], ...]
+    levels: tuple[str, ...]
+    position: str | None
+    slopes: tuple[str, ...]
     beta: np.ndarray
     covariance: np.ndarray
     sigma: float
-    tau: float
+    scales: dict[str, float]
     nu: float
     converged: bool
+    rounds: int
     players: DataFrame
 
 
-def robust_hierarchical_fit(rows: DataFrame, target: str, predictors: list[str], player: str = "player_id", nu: float = 5.0, rounds: int = 12, tolerance: float = 1e-4) -> RobustFit:
-    """Student-t regression with an intercept for each player drawn towards zero, by expectation maximisation.
+def _design(batch: pd.DataFrame, predictors: tuple[str, ...], levels: tuple[str, ...], position: str | None, slopes: tuple[str, ...]) -> np.ndarray:
+    """Rows of the normal equations: one, predictors, then for each effect of positions one column a level."""
+    x = np.column_stack([np.ones(len(batch)), *(batch[c].to_numpy(np.float64) for c in predictors)])
+    if position is None:
+        return x
+    at = pd.Index(levels).get_indexer(batch[position])
+    if (at < 0).any():
+        raise ValueError(f"no effects of position {sorted(set(batch[position][at < 0].astype(str)))}")
+    here = np.eye(len(levels))[at]
+    return np.hstack([x, here, *(here * batch[[c]].to_numpy(np.float64) for c in slopes)])
+
+
+def _scale(n: float, q: float, prior: float) -> float:
+    """The scale at which -n log s - q / 2s² - s² / 2 prior² is largest."""
+    return math.sqrt(max(2 * q / (n + math.sqrt(n * n + 4 * q / prior**2)), 1e-12)) if q > 0 else 1e-6
 
-    Every round is one aggregate: rows are weighted by (nu + 1) / (nu + r² / s²), sums by player take the player's intercept out of
-    the normal equations (Schur complement), and their totals, whose size is that of the predictors, are solved on the driver. This approximates a
-    sampled posterior by its mode and curvature; rows with nulls are left out.
+
+def _nu(logs: np.ndarray, n: float) -> float:
+    """The largest of the profile of nu, between the places of the grid by a parabola; ``logs`` are sums of log(1 + r² / nu s²)."""
+    gamma = np.array([math.lgamma((v + 1) / 2) - math.lgamma(v / 2) - math.log(v) / 2 for v in _NUS])
+    f = n * gamma - (_NUS + 1) / 2 * logs - NU_RATE * (_NUS - 2)
+    i, t = int(f.argmax()), np.log(_NUS - 2)
+    if not 0 < i < len(f) - 1:
+        return float(_NUS[i])
+    bend = f[i - 1] - 2 * f[i] + f[i + 1]
+    return 2 + math.exp(t[i] + (t[1] - t[0]) / 2 * (f[i - 1] - f[i + 1]) / bend) if bend < 0 else float(_NUS[i])
+
+
+def _summed(rows: DataFrame, task) -> np.ndarray:
+    """The sum over all batches of the vectors that ``task`` makes of them; tasks return one each."""
+
+    def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for batch in batches:
+            if len(batch):
+                total = task(batch) if total is None else total + task(batch)
+        if total is not None:
+            yield pd.DataFrame({"i": np.arange(len(total)), "s": total})
+
+    got = rows.mapInPandas(added, "i int, s double").groupBy("i").agg(F.sum("s").alias("s")).toPandas()
+    return got.sort_values("i")["s"].to_numpy()
+
+
+def robust_hierarchical_fit(
+    rows: DataFrame, target: str, predictors: list[str], player: str = "player_id", position: str | None = None, age: str | None = None, form: str | None = None,
+    rounds: int = 200, tolerance: float = 1e-4, must_converge: bool = True,
+) -> RobustFit:
+    """Student-t regression with intercepts of players and of positions and slopes of positions on ``age`` and ``form`` (two of the predictors), all drawn towards zero.
+
+    Expectation maximisation: rows are weighted by (nu + 1) / (nu + r² / s²), sums by player take the player's intercept out of the normal equations (Schur
+    complement), and their totals, whose size is that of the predictors and positions, are solved on the driver. The scales of all effects and of the noise
+    have half-normal priors and are moved to where the effects and their degrees of freedom agree; nu - 2 has an exponential prior and is taken from the
+    profile of the likelihood. Rounds end when coefficients, scales and the logarithm of nu move by less than ``tolerance`` (nu: its hundredfold); if they do not, an
+    error is raised, or without ``must_converge`` the fit says so. This approximates a sampled posterior by its mode and curvature; rows with nulls are left out.
     """
-    x = ["_one", *predictors]
-    k = len(x)
-    base = rows.dropna(subset=[target, player, *predictors]).select(F.col(player).alias("player"), F.col(target).cast("double").alias("y"), *(F.col(c).cast("double").alias(c) for c in predictors)).withColumn("_one", F.lit(1.0))
-    base = written(base, "fit-rows")
+    slopes = tuple(c for c in (age, form) if c is not None)
+    if position is None and slopes or not set(slopes) <= set(predictors):
+        raise ValueError("slopes of positions need a position and are on predictors")
+    keys = [player] if position is None else [player, position]
+    named = [F.col(player).alias("player"), F.col(target).cast("double").alias("y"), *(F.col(c).cast("double").alias(c) for c in predictors)]
+    base = written(rows.dropna(subset=[target, *keys, *predictors]).select(*named, *([] if position is None else [F.col(position).cast("string").alias("position")])), "fit-rows")
+    levels = () if position is None else tuple(sorted(r[0] for r in base.select("position").distinct().collect()))
+    shape = (tuple(predictors), levels, None if position is None else "position", slopes)
+    kinds = [("position", "intercept"), *((n, f"{n}_slope") for n, c in (("age", age), ("form", form)) if c is not None)] if levels else []
+    terms = (("coefficient", None, "intercept"), *(("coefficient", None, c) for c in predictors), *(("position", v, e) for _, e in kinds for v in levels))
+    k, q = len(terms), len(predictors)
+    groups = {"beta": slice(1, 1 + q)} | {n: slice(1 + q + i * len(levels), 1 + q + (i + 1) * len(levels)) for i, (n, _) in enumerate(kinds)}
+    columns = [f"x{j}" for j in range(k)]
+    first = base.agg(F.stddev_pop("y").alias("s"), F.count("*").alias("n"), F.percentile("y", 0.5).alias("m")).first()
+    n = first["n"]
+    if not n:
+        raise ValueError("no row is complete")
+    sigma, nu, beta = max(first["s"], 1e-6), 5.0, np.zeros(k)
+    scales, beta[0] = {g: SCALE_PRIORS[g] / 2 for g in (*groups, "player")}, first["m"]
     players = base.select("player").distinct().withColumn("u", F.lit(0.0))
-    first = base.agg(F.stddev_pop("y").alias("s"), F.avg("y").alias("m")).first()
-    beta, s2, t2 = np.zeros(k), max((first["s"] or 1.0) ** 2, 1e-6), max((first["s"] or 1.0) ** 2, 1e-6) / 4
-    beta[0], converged, inverse = first["m"] or 0.0, False, np.eye(k)
-    for _ in range(rounds):
-        fitted = sum((F.col(c) * float(b) for c, b in zip(x, beta, strict=True)), F.lit(0.0))
-        r = F.col("y") - fitted - F.col("u")
-        weighted = base.join(players, "player").withColumns({"_w": (nu + 1) / (nu + r * r / s2), "_r2": r * r})
-        pairs = [(i, j) for i in range(k) for j in range(i, k)]
-        by = weighted.groupBy("player").agg(
-            F.sum("_w").alias("w"), F.sum(F.col("_w") * F.col("y")).alias("wy"), F.sum(F.col("_w") * F.col("_r2")).alias("wr"), F.count("*").alias("n"),
-            *(F.sum(F.col("_w") * F.col(c)).alias(f"wx{i}") for i, c in enumerate(x)), *(F.sum(F.col("_w") * F.col(c) * F.col("y")).alias(f"wxy{i}") for i, c in enumerate(x)),
-            *(F.sum(F.col("_w") * F.col(x[i]) * F.col(x[j])).alias(f"wxx{i}_{j}") for i, j in pairs),
-        )
-        by = written(by, "player-sums")
-        pull = s2 / t2
-        d = F.col("w") + pull
-        total = by.agg(
-            *(F.sum(F.col(f"wxx{i}_{j}") - F.col(f"wx{i}") * F.col(f"wx{j}") / d).alias(f"a{i}_{j}") for i, j in pairs), *(F.sum(F.col(f"wxy{i}") - F.col(f"wx{i}") * F.col("wy") / d).alias(f"b{i}") for i in range(k)),
-            F.sum("wr").alias("wr"), F.sum("n").alias("n"),
-        ).first()
-        a = np.zeros((k, k))
-        for i, j in pairs:
-            a[i, j] = a[j, i] = total[f"a{i}_{j}"]
-        inverse = np.linalg.pinv(a + 1e-9 * np.eye(k))
-        new = inverse @ np.array([total[f"b{i}"] for i in range(k)])
-        moved = np.abs(new - beta).max()
-        beta, s2 = new, max(total["wr"] / total["n"], 1e-9)
-        gap = sum((F.col(f"wx{i}") * float(b) for i, b in enumerate(beta)), F.lit(0.0))
-        players = by.select("player", ((F.col("wy") - gap) / d).alias("u"), (F.lit(s2) / d).alias("v"))
-        t2 = max(players.agg(F.avg(F.col("u") * F.col("u") + F.col("v"))).first()[0], 1e-9)
-        players = written(players, "player-effects")
-        if moved < tolerance:
-            converged = True
-            break
-        players = players.select("player", "u", "v")
-    return RobustFit(tuple(predictors), beta, s2 * inverse, math.sqrt(s2), math.sqrt(t2), nu, converged, players)
+    n_players = players.count()
+    converged, done = False, 0
+    while done < rounds and not converged:
+        done += 1
+        known = base.join(players.select("player", "u"), "player")
+
+        def weighted(batches: Iterator[pd.DataFrame], beta=beta, sigma=sigma, nu=nu) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                d = _design(batch, *shape)
+                r = (batch["y"] - batch["u"]).to_numpy() - d @ beta
+                yield pd.DataFrame({"player": batch["player"], "w": (nu + 1) / (nu + r * r / sigma**2), "y": batch["y"], **dict(zip(columns, d.T, strict=True))})
+
+        player_type = base.schema["player"].dataType.simpleString()
+        made = known.mapInPandas(weighted, f"player {player_type}, w double, y double, {', '.join(f'{c} double' for c in columns)}")
+        by = written(made.groupBy("player").agg(F.sum("w").alias("w"), *(F.sum(F.col("w") * F.col(c)).alias(c) for c in ("y", *columns))), "player-sums")
+
+        def crossed(batch: pd.DataFrame, beta=beta, sigma=sigma, nu=nu) -> np.ndarray:
+            d, y = _design(batch, *shape), batch["y"].to_numpy()
+            r2 = (y - batch["u"].to_numpy() - d @ beta) ** 2 / sigma**2
+            v = np.column_stack([y, d])
+            return np.concatenate([(v.T @ (v * ((nu + 1) / (nu + r2))[:, None])).ravel(), *(np.log1p(r2 / x).sum(keepdims=True) for x in _NUS)])
+
+        pull = (sigma / scales["player"]) ** 2
+
+        def taken(batch: pd.DataFrame, pull=pull) -> np.ndarray:
+            v, d = batch[["y", *columns]].to_numpy(), batch["w"].to_numpy() + pull
+            return (v.T @ (v / d[:, None])).ravel()
+
+        whole, logs = np.split(_summed(known, crossed), [(k + 1) ** 2])
+        whole, nu_was, nu = whole.reshape(k + 1, k + 1), nu, _nu(logs, n)
+        m = whole - _summed(by, taken).reshape(k + 1, k + 1)
+        precision = np.full(k, INTERCEPT_SD**-2.0)
+        for g, part in groups.items():
+            precision[part] = scales[g] ** -2.0
+        covariance = np.linalg.inv(m[1:, 1:] / sigma**2 + np.diag(precision))
+        new = covariance @ m[1:, 0] / sigma**2
+
+        def solved(batches: Iterator[pd.DataFrame], beta=new, covariance=covariance, sigma=sigma, pull=pull) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                d = batch["w"].to_numpy() + pull
+                h = batch[columns].to_numpy() / d[:, None]
+                c, u = sigma**2 / d, batch["y"].to_numpy() / d - h @ beta
+                # what the intercept takes from the sum of w r²
+                ur = u * (u * batch["w"].to_numpy() - 2 * u * d)
+                yield pd.DataFrame({"player": batch["player"], "u": u, "v": c + ((h @ covariance) * h).sum(axis=1), "c": c, "h": list(h), "ur": ur})
+
+        players = written(by.mapInPandas(solved, f"player {player_type}, u double, v double, c double, h array<double>, ur double"), "player-effects")
+        got = players.agg(F.sum(F.col("u") ** 2).alias("uu"), F.sum("v").alias("vv"), F.sum("ur").alias("ur")).first()
+        side = np.concatenate(([1.0], -new))
+        rss = max(side @ whole @ side + got["ur"], 1e-12 * n)
+        free = {g: max(part.stop - part.start - (np.diag(covariance)[part]).sum() / scales[g] ** 2, 1e-9) for g, part in groups.items()} | {"player": max(n_players - got["vv"] / scales["player"] ** 2, 1e-9)}
+        size = {g: float((new[part] ** 2).sum()) for g, part in groups.items()} | {"player": got["uu"]}
+        was = np.array([*beta, *scales.values(), sigma])
+        scales = {g: _scale(free[g], size[g], SCALE_PRIORS[g]) for g in scales}
+        sigma = _scale(max(n - sum(free.values()) - 1, 1.0), rss, SCALE_PRIORS["sigma"])
+        beta = new
+        moved = np.abs(np.array([*beta, *scales.values(), sigma]) - was).max()
+        converged = bool(moved < tolerance and abs(math.log(nu / nu_was)) < 100 * tolerance)
+    if must_converge and not converged:
+        raise RuntimeError(f"no convergence within {rounds} rounds")
+    return RobustFit(tuple(predictors), terms, levels, position, slopes, beta, covariance, sigma, scales, nu, converged, done, players)
 
 
 def effect_summary(fit: RobustFit) -> DataFrame:
-    """Mean, deviation, 90 % limits and probability above zero of every coefficient and player intercept."""
+    """Mean, deviation, 90 % limits and probability above zero of every coefficient, effect of a position and player intercept."""
     spark = fit.players.sparkSession
-    terms = [(n, float(b), float(math.sqrt(max(v, 0)))) for n, b, v in zip(("intercept", *fit.predictors), fit.beta, np.diag(fit.covariance), strict=True)]
-    rows = spark.createDataFrame(terms, "effect string, mean double, sd double").withColumn("kind", F.lit("coefficient"))
+    named = ((kind, e if level is None else f"{level}: {e}") for kind, level, e in fit.terms)
+    terms = [(e, float(b), float(math.sqrt(max(v, 0))), kind) for (kind, e), b, v in zip(named, fit.beta, np.diag(fit.covariance), strict=True)]
+    rows = spark.createDataFrame(terms, "effect string, mean double, sd double, kind string")
     rows = rows.unionByName(fit.players.select(F.col("player").cast("string").alias("effect"), F.col("u").alias("mean"), F.sqrt("v").alias("sd"), F.lit("player").alias("kind")))
     z = F.col("mean") / F.when(F.col("sd") > 0, F.col("sd"))
     # the normal distribution by its logistic approximation, within 0.0002
@@ -175,23 +280,26 @@ def posterior_score(rows: DataFrame, fit: RobustFit, key: str, player: str = "pl
     """Median, 5 to 95 % range and probability of a rise of each row's predicted change.
 
     Draws of the coefficients are made once and sent along; the noise of a row comes from a generator seeded by its key, so results do not depend on
-    partitions. An unknown player has no intercept of its own. Null predictors raise an error.
+    partitions. An unknown player has no intercept of its own. Null predictors and unknown positions raise an error.
     """
-    x = ["_one", *fit.predictors]
     sample = np.random.default_rng(seed).multivariate_normal(fit.beta, fit.covariance, draws)
     nu, sigma = fit.nu, fit.sigma
-    known = fit.players.select(F.col("player").alias(player), "u", F.sqrt("v").alias("su"))
-    joined = rows.select(F.col(key).alias("row_key"), player, *fit.predictors).join(known, player, "left").withColumns({"_one": F.lit(1.0), "u": F.coalesce("u", F.lit(0.0)), "su": F.coalesce("su", F.lit(0.0))})
+    known = fit.players.select(F.col("player").alias(player), "u", F.sqrt("c").alias("su"), "h")
+    position = [] if fit.position is None else [F.col(fit.position).cast("string").alias("position")]
+    shape = (fit.predictors, fit.levels, "position" if position else None, fit.slopes)
+    zeros = F.array_repeat(F.lit(0.0), len(fit.beta))
+    joined = rows.select(F.col(key).alias("row_key"), player, *fit.predictors, *position).join(known, player, "left").withColumns({"u": F.coalesce("u", F.lit(0.0)), "su": F.coalesce("su", F.lit(0.0)), "h": F.coalesce("h", zeros)})
+    off = sample - fit.beta
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            m = batch[x].to_numpy(np.float64)
+            m = _design(batch, *shape)
             if np.isnan(m).any():
                 raise ValueError("a predictor is null")
             out = np.zeros((len(batch), 4))
-            for i, (row, k, u, su) in enumerate(zip(m, batch["row_key"], batch["u"], batch["su"], strict=True)):
+            for i, (row, k, u, su, h) in enumerate(zip(m, batch["row_key"], batch["u"], batch["su"], batch["h"], strict=True)):
                 rng = np.random.default_rng([seed, int(k) & 0xFFFFFFFFFFFF])
-                d = sample @ row + u + su * rng.standard_normal(draws)
+                d = sample @ row + u - off @ h + su * rng.standard_normal(draws)
                 y = d + sigma * rng.standard_t(nu, draws)
                 out[i] = (np.median(d), *np.quantile(y, (0.05, 0.95)), (y > 0).mean())
             yield pd.DataFrame({"row_key": batch["row_key"], **dict(zip(("median", "lower", "upper", "p_increase"), out.T, strict=True))})

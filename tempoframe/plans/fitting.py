@@ -32,12 +32,13 @@ def xa_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _fit(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, mod.RobustFit]:
     rows = on_tables(spark, sf_dir, f"WITH {MODEL_ROWS} SELECT s.*, o_custkey AS player_id FROM scored s JOIN orders ON o_orderkey = row_id")
-    return rows, mod.robust_hierarchical_fit(rows, "actual", ["predicted", "a1"])
+    return rows, mod.robust_hierarchical_fit(rows, "actual", ["predicted", "a1"], position="level", age="a1", form="predicted")
 
 
 def robust_hierarchical_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Coefficients of the robust fit."""
-    return mod.effect_summary(_fit(spark, sf_dir)[1]).where("kind = 'coefficient'")
+    """Coefficients of the robust fit, its noise, and whether it converged."""
+    fit = _fit(spark, sf_dir)[1]
+    return mod.effect_summary(fit).where("kind = 'coefficient'").withColumns({"sigma": F.lit(fit.sigma), "nu": F.lit(fit.nu), "converged": F.lit(fit.converged)})
 
 
 def effect_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
