@@ -8,17 +8,27 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``.
+
+    Where the session names none, a local session sets a temporary one; a cluster, whose machines share no local folder, is an error.
+    """
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        path = "file://" + tempfile.mkdtemp(prefix="spark-")
+        spark.conf.set("spark.checkpoint.dir", path)
+    return path.rstrip("/")
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """An unused path in ``spark.checkpoint.dir``; a temporary folder is set only where the session names none."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """An unused path in the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as written to the shared folder and read back."""
+    """``df`` as written to the shared folder and read back, so that lost tasks reread it instead of recomputing."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
