@@ -1,33 +1,17 @@
-"""Shared-folder tables, which cut lineage and survive the loss of executors."""
+"""Tables of the training-data operators: the given ones, those in the shared folder, and joins that a common key does not load."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tempoframe.functions.state import shared_path as new_path
+from tempoframe.functions.state import written as staged
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one is set only where the session names none."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """An unused path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
+__all__ = ["join_counted", "new_path", "staged", "table", "width"]
 
-def staged(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and returns it as read back, so that lost tasks reread it instead of recomputing."""
-    path = new_path(df.sparkSession, name)
-    writer = df.write.mode("errorifexists").option("compression", "zstd")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Keys of at least this many rows can be hot, and at most this many keys are: both bound what a hot key costs.
+HOT_ROWS, MAX_HOT = 1_000, 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,3 +22,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def width(spark: SparkSession) -> int:
     """Shuffle partitions of the session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def join_counted(rows: DataFrame, keyed: DataFrame, on: list[str], copies: str = "copies") -> DataFrame:
+    """Inner join of ``rows`` with ``keyed``, which has one row a key and in ``copies`` how many of ``rows`` have it.
+
+    A key of more than ``HOT_ROWS`` rows and more than a ``MAX_HOT``-th of all would fill one task; there are at most
+    ``MAX_HOT`` such keys, so they are broadcast, and only the rows of other keys are shuffled.
+    """
+    least = max(HOT_ROWS, (keyed.agg(F.sum(copies)).first()[0] or 0) // MAX_HOT)
+    hot = F.broadcast(keyed.where(F.col(copies) > least))
+    if hot.isEmpty():
+        return rows.join(keyed, on)
+    rest = rows.join(hot.select(*on), on, "left_anti").join(keyed.where(F.col(copies) <= least), on)
+    return rows.join(hot, on).unionByName(rest)
