@@ -15,6 +15,8 @@ SENTENCES = {
     "mt0": "Released under the MIT License",
     "mt1": "MIT License",
     "mt2": "Licensed under the MIT License",
+    "mt6": "The MIT License",
+    "mt7": "The MIT License (MIT)",
     "mt3": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions",
     "mt4": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
     "mt5": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT",
@@ -33,6 +35,14 @@ SENTENCES = {
     "gp5": "See the GNU General Public License for more details",
     "gp6": "GNU General Public License, version 3",
     "gp7": "GNU General Public License, version 2",
+    "lg0": "GNU Lesser General Public License, version 3",
+    "lg1": "GNU Lesser General Public License, version 2.1",
+    "lg2": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "lg3": "either version 2.1 of the License, or (at your option) any later version",
+    "lg4": "See the GNU Lesser General Public License for more details",
+    "ag0": "GNU Affero General Public License, version 3",
+    "ag1": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "ag2": "See the GNU Affero General Public License for more details",
     "bs0": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
     "bs1": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
     "bs2": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
@@ -46,6 +56,8 @@ SENTENCES = {
     "mp0": "This Source Code Form is subject to the terms of the Mozilla Public License, v",
     "mp1": "If a copy of the MPL was not distributed with this file, You can obtain one at",
     "is0": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "is1": "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "zl0": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions",
     "un0": "This is free and unencumbered software released into the public domain",
 }
 # Rules, as licence and the sentences that must follow one another.
@@ -53,6 +65,8 @@ RULES = {
     "mit-notice": ("MIT", ("mt0",)),
     "mit-title": ("MIT", ("mt1",)),
     "mit-licensed": ("MIT", ("mt2",)),
+    "mit-the-title": ("MIT", ("mt6",)),
+    "mit-the-title-short": ("MIT", ("mt7",)),
     "mit-text": ("MIT", ("mt3", "mt4", "mt5")),
     "mit-full": ("MIT", ("mt1", "mt3", "mt4", "mt5")),
     "apache-2.0-notice": ("Apache-2.0", ("ap0",)),
@@ -64,6 +78,12 @@ RULES = {
     "gpl-2.0-title": ("GPL-2.0-only", ("gp7",)),
     "gpl-3.0-or-later-header": ("GPL-3.0-or-later", ("gp1", "gp3", "gp4", "gp5")),
     "gpl-2.0-or-later-header": ("GPL-2.0-or-later", ("gp2", "gp3", "gp4", "gp5")),
+    "lgpl-3.0-title": ("LGPL-3.0-only", ("lg0",)),
+    "lgpl-2.1-title": ("LGPL-2.1-only", ("lg1",)),
+    "lgpl-3.0-or-later-header": ("LGPL-3.0-or-later", ("lg2", "gp3", "gp4", "lg4")),
+    "lgpl-2.1-or-later-header": ("LGPL-2.1-or-later", ("lg3", "gp3", "gp4", "lg4")),
+    "agpl-3.0-title": ("AGPL-3.0-only", ("ag0",)),
+    "agpl-3.0-or-later-header": ("AGPL-3.0-or-later", ("ag1", "gp3", "gp4", "ag2")),
     "bsd-2-clause-text": ("BSD-2-Clause", ("bs0", "bs1", "bs2")),
     "bsd-3-clause-text": ("BSD-3-Clause", ("bs0", "bs1", "bs2", "bs3")),
     "cc-by-nc-4.0-notice": ("CC-BY-NC-4.0", ("cc0",)),
@@ -74,12 +94,15 @@ RULES = {
     "cc-by-sa-4.0-long": ("CC-BY-SA-4.0", ("cc5",)),
     "mpl-2.0-header": ("MPL-2.0", ("mp0", "mp1")),
     "isc-text": ("ISC", ("is0",)),
+    "isc-text-and": ("ISC", ("is1",)),
+    "zlib-text": ("Zlib", ("zl0",)),
     "unlicense-text": ("Unlicense", ("un0",)),
 }
-#: Every rule has a sentence with one of these words; other documents need no further look.
-ANCHORS = ("licens", "permission is hereby granted", "permission to use", "gnu general public", "redistribution and use", "unencumbered")
-#: Sentences end at their marks before white space and at line ends; the second reading joins lines first, for wrapped notices.
-BREAKS = (r"[.!?;:]+(?:\s+|$)|\n+", r"[.!?;:]+(?:\s+|$)|\n\s*\n")
+#: Every rule has a sentence with one of these words, which neither white space nor a line's end can part; other documents need no further look.
+ANCHORS = ("licens", "permission", "redistribution", "unencumbered")
+#: Sentences end at their marks before white space and at line ends; the second reading joins lines first, for wrapped
+#: notices, and ends at lines of nothing but white space and marks of comments.
+BREAKS = (r"[.!?;:]+(?:\s+|$)|\n+", r"[.!?;:]+(?:\s+|$)|\n[\s#*/;%-]*\n")
 #: Unknown sentences that may stand between two sentences of a rule.
 GAP = 2
 
