@@ -15,8 +15,8 @@ from tempoframe.llm.workspace import staged, table
 Turns = Sequence[tuple[str, str]]
 Template = Callable[[Turns], str]
 
-#: A text that no conversation holds; where it comes out tells where a template puts a turn's text.
-PROBE = "\ue000probe\uf8ff"
+#: Where such a text comes out tells where a template puts a turn's text; it is lengthened until the conversation does not hold it.
+PROBE = "\ue000probe{}\uf8ff"
 _CONTROL = re.compile(r"\\|###|</turn>")
 _TURN = re.compile(r"### ((?:\\.|[^\\:])*): ((?:\\.|(?!</turn>)[^\\])*)</turn>\n", re.S)
 
@@ -53,19 +53,21 @@ def locate(template: Template, turns: Turns) -> tuple[str, list[tuple[int, int,
 
     Returns the whole output, for each turn the span (start, end) that it added and the span of its text within
     (-1, -1 where the template does not show it), and the turns at which the template changed what it had said before.
-    A turn's text is found by rendering the turn with ``PROBE`` instead: what stands before and after the probe frames
-    the text. Once history was rewritten, all texts are looked up in the whole output, each by a probe of its own.
+    A turn's text is found by rendering the turn with a probe instead, a text that occurs nowhere in the conversation:
+    what stands before and after the probe frames the text. Once history was rewritten, all texts are looked up in the whole output, each by a probe of its own.
     """
+    whole = template(turns) + "".join(x for turn in turns for x in turn)
+    probe = next(p for p in (PROBE.format("." * k) for k in range(len(whole) + 1)) if p not in whole)
     before, spans, rewrites = "", [], []
     for k in range(1, len(turns) + 1):
         now = template(turns[:k])
         if not now.startswith(before):
             rewrites.append(k - 1)
         same = len(before) if now.startswith(before) else _common(before, now)
-        spans.append((same, len(now), *_text_span(template, turns[:k], k - 1, now)))
+        spans.append((same, len(now), *_text_span(template, turns[:k], k - 1, now, probe)))
         before = now
     if rewrites:
-        spans = [(a, min(b, len(before)), *_text_span(template, turns, i, before)) for i, (a, b, _, _) in enumerate(spans)]
+        spans = [(a, min(b, len(before)), *_text_span(template, turns, i, before, probe)) for i, (a, b, _, _) in enumerate(spans)]
     return before, spans, rewrites
 
 
@@ -73,11 +75,11 @@ def _common(a: str, b: str) -> int:
     return next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
 
 
-def _text_span(template: Template, turns: Turns, i: int, output: str) -> tuple[int, int]:
-    probed = template([*turns[:i], (turns[i][0], PROBE), *turns[i + 1 :]])
-    at = probed.find(PROBE)
-    tail = len(probed) - at - len(PROBE)
-    if at < 0 or output[:at] != probed[:at] or output[len(output) - tail :] != probed[at + len(PROBE) :]:
+def _text_span(template: Template, turns: Turns, i: int, output: str, probe: str) -> tuple[int, int]:
+    probed = template([*turns[:i], (turns[i][0], probe), *turns[i + 1 :]])
+    at = probed.find(probe)
+    tail = len(probed) - at - len(probe)
+    if at < 0 or output[:at] != probed[:at] or output[len(output) - tail :] != probed[at + len(probe) :]:
         return -1, -1
     return at, len(output) - tail
 
