@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempoframe.llm.graph import connected_components, local_components
-from tempoframe.llm.workspace import staged, table
+from tempoframe.llm.workspace import join_counted, staged, table
 
 #: Vectors of a cell at the mean, most pivots, and vectors of a block that a task holds from either side of a cell.
 CELL, MAX_PIVOTS, HOME_BLOCK, GUEST_BLOCK = 8_192, 1_024, 4_096, 16_384
@@ -23,6 +23,7 @@ _SLACK = 1e-6
 
 def _units(values: list[np.ndarray]) -> np.ndarray:
     x = np.stack(values).astype(np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)  # squares of very large or small components leave the range of doubles
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
@@ -112,7 +113,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     for d in sizes:
         part = _range_join(classes.where(F.size("embedding") == d), threshold)
         found = part if found is None else found.unionAll(part)
-    member = rows.where("fine").join(classes, "embedding").select("vec_id", "rep", "copies")
+    member = join_counted(rows.where("fine").select("vec_id", "embedding"), classes, ["embedding"]).select("vec_id", "rep", "copies")
     rest = rows.where("not fine").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     if found is not None:
         found = staged(found, "links")
