@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tempoframe.llm import kernels
 from tempoframe.llm.graph import connected_components, local_components
-from tempoframe.llm.workspace import staged, table
+from tempoframe.llm.workspace import join_counted, staged, table
 
 BANDS, ROWS = 64, 8
 #: Ids up to this many are sent to every executor (16 MB); beyond it the ids are joined by shuffling.
@@ -82,19 +82,29 @@ def _chunks(batch: pa.RecordBatch, words: int, most: int = 256) -> Iterator[tupl
 def _dense_links(source: DataFrame, rows: DataFrame, words: int, threshold: int) -> DataFrame:
     """Spanning links (u, v) between members of different components that meet in large buckets.
 
-    Families are what large buckets join; a family is cut into blocks of about ``BLOCK`` documents and each pair of blocks is a
-    task's group, so a group is bounded whatever the family's size.
+    Buckets that share members form a family. A family is compared as a whole, so that pairs of many buckets are compared
+    once, or bucket by bucket where that moves fewer sets, as in families that only a chain of buckets holds
+    together. Either kind of group is cut into blocks of about ``BLOCK`` documents, and each pair of blocks is a task's
+    group: it is bounded whatever the group's size.
     """
     star = rows.where("id <> head").select(F.col("head").alias("u"), F.col("id").alias("v")).distinct()
     family = staged(connected_components(star).select(F.col("node").alias("doc_id"), F.col("component").alias("family")), "families")
-    counts = family.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    cost = lambda n: n * F.ceil(n / F.lit(float(BLOCK)))
+    buckets = rows.groupBy("key").agg(F.min("head").alias("doc_id"), F.first("m").alias("m")).join(family, "doc_id")
+    apart = buckets.groupBy("family").agg(F.sum(cost(F.col("m"))).alias("apart"))
+    sized = family.groupBy("family").agg(F.count("*").alias("size")).join(apart, "family")
+    sized = staged(sized.select("family", "size", (cost(F.col("size")) <= F.col("apart")).alias("whole")), "sized")
     label = rows.groupBy(F.col("id").alias("doc_id")).agg(F.min("c").alias("c"))
-    plan = staged(family.join(label, "doc_id").join(counts, "family"), "plan")
+    one = family.join(sized.where("whole"), "family").select("doc_id", F.col("family").alias("group"), F.lit(True).alias("whole"), F.col("size").alias("m"))
+    each = rows.join(buckets.join(sized.where("not whole"), "family").select("key"), "key").select(
+        F.col("id").alias("doc_id"), F.col("key").alias("group"), F.lit(False).alias("whole"), "m"
+    )
+    plan = staged(one.unionAll(each).withColumn("blocks", F.ceil(F.col("m") / BLOCK)).join(label, "doc_id"), "plan")
     sets = _sets_of(source, plan.select("doc_id"), words).join(plan, "doc_id")
     own = F.pmod(F.xxhash64("doc_id"), F.col("blocks"))
-    units = sets.select("doc_id", "c", "shingles", "family", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("k"))
-    units = units.select("doc_id", "c", "shingles", "family", "own", F.least("own", "k").alias("i"), F.greatest("own", "k").alias("j"))
-    return units.groupBy("family", "i", "j").applyInPandas(_block_links(threshold), "u long, v long")
+    units = sets.select("doc_id", "c", "shingles", "group", "whole", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("k"))
+    units = units.select("doc_id", "c", "shingles", "group", "whole", F.least("own", "k").alias("i"), F.greatest("own", "k").alias("j"))
+    return units.groupBy("whole", "group", "i", "j").applyInPandas(_block_links(threshold), "u long, v long")
 
 
 def _block_links(threshold: int):
@@ -149,13 +159,17 @@ def near_duplicates(
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sketch = staged(source.mapInArrow(_sketch(words), _SKETCH), "sketch")
     fp = ["fp_hi", "fp_lo"]
-    classes = sketch.where("doc_id is not null and n_shingles > 0").groupBy(*fp).agg(F.min("doc_id").alias("rep"))
-    members = staged(
-        sketch.select("doc_id", "n_shingles", *fp).join(classes, fp, "left").select("doc_id", "n_shingles", "rep"), "classes"
-    )
+    filled = sketch.where("doc_id is not null and n_shingles > 0")
+    classes = staged(filled.groupBy(*fp).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
+    # Documents that link with nothing stay out of the joins, where they would all have one (null) key.
+    alone = sketch.where("doc_id is null or n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    # Rows of one doc_id with different sets: their classes are linked.
+    several = filled.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    parts = staged(filled.join(several, "doc_id", "left_semi").select("doc_id", *fp).distinct().join(classes, fp).select("doc_id", "rep"), "parts")
+    same = parts.join(parts.groupBy("doc_id").agg(F.min("rep").alias("u")), "doc_id").select("u", F.col("rep").alias("v"))
     reps = (
         sketch.where("n_shingles > 0")
-        .join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", *fp])
+        .join(classes.select(F.col("rep").alias("doc_id"), *fp), ["doc_id", *fp])
         .dropDuplicates(["doc_id", *fp])
     )
     rows = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
@@ -181,13 +195,13 @@ def near_duplicates(
         .distinct()
     )
     more = _confirmed(source, rest, words, threshold)
-    found = connected_components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionAll(more).unionAll(_dense_links(source, many, words, threshold)))
-    final = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).alias("component_id")
-    return (
-        members.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("doc_id", "n_shingles", final)
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-    )
+    known = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
+    found = connected_components(known.unionAll(more).unionAll(_dense_links(source, many, words, threshold)).unionAll(same))
+    component = F.coalesce("component", "rep").alias("component_id")
+    named = staged(classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(*fp, "copies", component), "named")
+    linked = join_counted(filled.select("doc_id", "n_shingles", *fp), named, fp).select("doc_id", "n_shingles", "component_id")
+    out = linked.unionAll(alone)
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def _sets_of(source: DataFrame, ids: DataFrame, words: int) -> DataFrame:
