@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempoframe.llm.graph import connected_components
-from tempoframe.llm.workspace import staged, table, width
+from tempoframe.llm.workspace import join_counted, staged, table, width
 
-#: Edits between near lines, and characters from which lines are compared; shorter ones are duplicates only if equal.
-EDITS, LEAST_CHARS = 2, 24
+#: Characters from which lines are compared within one edit, and within two; the shorter line of a pair decides. At one edit
+#: in eight characters and fewer, lines are duplicates only if equal.
+STEPS = (9, 24)
 #: Frequent letters; their counts tell most lines apart before a pair is made.
 LETTERS = "entriashdlcoug"
 #: Lines in candidate pairs up to this many are found by a broadcast of their ids (16 MB), more by shuffling.
@@ -30,24 +33,42 @@ def _key(segment: int, length: Column, line: Column, start: Column, size: Column
     return F.xxhash64(F.lit(segment), length, F.substring(line, start + 1, size))
 
 
-def index_keys(line: Column, length: Column, edits: int) -> Column:
+def _by_length(length: Column, steps: tuple[int, ...], keys: Callable[[int], list[Column]]) -> Column:
+    """``keys`` for the edits that lines of a length may have; none for lines that are not compared."""
+    none = F.array().cast("array<bigint>")
+    chosen = F.when(length < steps[0], none)
+    for edits, least in enumerate(steps, 1):
+        above = steps[edits] if edits < len(steps) else None
+        chosen = chosen.when(length < above, F.array(*keys(edits))) if above else chosen.otherwise(F.array(*keys(edits)))
+    return chosen
+
+
+def index_keys(line: Column, length: Column, steps: tuple[int, ...]) -> Column:
     """Keys of a line's own segments."""
-    return F.array(*(_key(i, length, line, start, size) for i, (start, size) in enumerate(_segments(length, edits))))
+    return _by_length(length, steps, lambda edits: [_key(i, length, line, start, size) for i, (start, size) in enumerate(_segments(length, edits))])
 
 
-def probe_keys(line: Column, length: Column, edits: int) -> Column:
-    """Keys of the substrings that can equal a segment of a line as long or up to ``edits`` shorter.
+def probe_keys(line: Column, length: Column, steps: tuple[int, ...]) -> Column:
+    """Keys of the substrings that can equal a segment of a line as long or shorter by as many edits as that line may have.
 
-    Of segment i at start p, in a line that is d shorter, a match that must be considered begins within i of p (no more edits
-    lie to its left) and within ``edits - i`` of p + d (no more to its right).
+    Of segment i at start p, in a line that is d shorter and may have k edits, a match that must be considered begins
+    within i of p (no more edits lie to its left) and within ``k - i`` of p + d (no more to its right).
     """
-    keys = []
-    for d in range(edits + 1):
+
+    def shorter(d: int) -> Column:
         other = (length - d).cast("int")
-        for i, (start, size) in enumerate(_segments(other, edits)):
-            for shift in range(max(-i, d - (edits - i)), min(i, d + edits - i) + 1):
-                keys.append(_key(i, other, line, start + shift, size))
-    return F.array(*keys)
+
+        def keys(edits: int) -> list[Column]:
+            return [
+                _key(i, other, line, start + shift, size)
+                for i, (start, size) in enumerate(_segments(other, edits))
+                for shift in range(max(-i, d - (edits - i)), min(i, d + edits - i) + 1)
+                if d <= edits
+            ]
+
+        return _by_length(other, steps, keys)
+
+    return F.concat(*(shorter(d) for d in range(len(steps) + 1)))
 
 
 def line_sketch(line: Column) -> Column:
@@ -125,15 +146,20 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
     return staged(made, "lines")  # ids hold once they are written
 
 
-def near_lines(lines: DataFrame, edits: int, least_chars: int) -> DataFrame:
-    """Pairs (u, v) of ids of different lines within ``edits``; both have ``least_chars`` characters or more."""
-    if least_chars <= 2 * edits:
+def near_lines(lines: DataFrame, steps: tuple[int, ...] = STEPS) -> DataFrame:
+    """Pairs (u, v) of ids of different lines within the edits that the shorter one's length allows.
+
+    Lines of ``steps[0]`` characters or more may be one edit apart, of ``steps[1]`` or more two, and so on. A common segment is
+    one key of the join; adaptive execution splits it where it holds much of the table.
+    """
+    if any(least <= 2 * edits for edits, least in enumerate(steps, 1)) or list(steps) != sorted(steps):
         raise ValueError("compared lines need more than twice as many characters as edits")
-    n = F.char_length("line")
-    sized = lines.where(n >= least_chars).select("id", "line", n.alias("n"), "sketch")
+    n, edits = F.char_length("line"), len(steps)
+    allowed = lambda c: sum((F.when(c >= least, 1).otherwise(0) for least in steps), F.lit(0))
+    sized = lines.where(n >= steps[0]).select("id", "line", n.alias("n"), "sketch")
     line, length = F.col("line"), F.col("n")
-    index = sized.select(F.col("id").alias("v"), F.col("sketch").alias("sv"), F.explode(index_keys(line, length, edits)).alias("key"))
-    probes = sized.select(F.col("id").alias("u"), F.col("sketch").alias("su"), F.explode(probe_keys(line, length, edits)).alias("pkey"))
+    index = sized.select(F.col("id").alias("v"), F.col("sketch").alias("sv"), F.explode(index_keys(line, length, steps)).alias("key"))
+    probes = sized.select(F.col("id").alias("u"), F.col("sketch").alias("su"), F.explode(probe_keys(line, length, steps)).alias("pkey"))
     # Lines of one length probe each other: one direction is enough. (Lengths differ by far less than 256.)
     once = (_bits(F.col("su"), 0, 8) != _bits(F.col("sv"), 0, 8)) | (F.col("u") > F.col("v"))
     alike = (F.col("pkey") == F.col("key")) & once & (sketches_apart(F.col("su"), F.col("sv")) <= 2 * edits)
@@ -147,64 +173,69 @@ def near_lines(lines: DataFrame, edits: int, least_chars: int) -> DataFrame:
         texts.select(F.col("id").alias("v"), F.col("line").alias("b")), "v"
     )
     both = both.repartition(width(lines.sparkSession), "u", "v")  # the work is in the comparisons, not in the bytes
-    return edit_distance(both, "a", "b", edits).where(F.col("distance") <= edits).select("u", "v")
+    short = F.least(F.char_length("a"), F.char_length("b"))
+    return edit_distance(both, "a", "b", edits).where(F.col("distance") <= allowed(short)).select("u", "v")
 
 
-def line_classes(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
+def line_classes(docs: DataFrame, steps: tuple[int, ...] = STEPS) -> DataFrame:
     """Classes of equal and near-equal lines of all documents.
 
     Returns one row per different line: ``line_md5``, ``n_chars``, ``n_copies``, ``first_doc_id`` (smallest doc_id that has the
-    line), ``n_links`` (different lines within ``edits`` insertions, deletions and substitutions of it), ``class_md5``
-    (smallest line_md5 reachable by links) and ``kept`` (``line_md5 = class_md5``). Lines end at line feeds; blank lines and null texts have
-    no row; lines of fewer than ``least_chars`` characters link with nothing. Copies within and across documents count alike, so repeated rows only
-    raise ``n_copies``; rows without a doc_id count too, ``first_doc_id`` is null where there is no other. Other columns
-    are ignored; an empty table gives no rows.
+    line), ``n_links`` (different lines within the edits that ``steps`` allows the shorter of both), ``class_md5``
+    (smallest line_md5 reachable by links) and ``kept`` (``line_md5 = class_md5``). Lines end at line feeds; blank lines and
+    null texts have no row; lines of fewer than ``steps[0]`` characters link with nothing. Copies within and across
+    documents count alike, so repeated rows only raise ``n_copies``; rows without a doc_id count too, ``first_doc_id`` is
+    null where there is no other. Other columns are ignored; an empty table gives no rows.
 
     A line within k edits of another keeps one of its k + 1 segments: each line is indexed by its segments and probes
     with the few substrings that can be such a segment of a line at most k shorter. Equal lines are one row from the
-    start; keys are hashes, so that texts move only for candidate pairs. Pairs whose letter counts are too far apart for
-    ``edits`` are not made: of a family of lines that differ in whole words, few pairs are left.
+    start; keys are hashes, so that texts move only for candidate pairs. Pairs whose letter counts are too far apart
+    are not made: of a family of lines that differ in whole words, few pairs are left.
     """
     lines = distinct_lines(docs)
-    links = staged(near_lines(lines, edits, least_chars), "links")
+    links = staged(near_lines(lines, steps), "links")
     ends = [links.groupBy(F.col(c).alias("id")).agg(F.count("*").alias("n")) for c in ("u", "v")]
     degree = ends[0].unionAll(ends[1]).groupBy("id").agg(F.sum("n").alias("n_links"))
-    parts = staged(connected_components(links).withColumnRenamed("node", "id").join(degree, "id"), "parts")
     named = lines.select(
         "id", F.md5(F.col("line").cast("binary")).alias("line_md5"), F.char_length("line").cast("long").alias("n_chars"), "n_copies", "first_doc_id"
     )
-    placed = named.join(parts, "id", "left")
-    heads = placed.where("component is not null").groupBy("component").agg(F.min("line_md5").alias("head"))
-    out = placed.join(heads, "component", "left")
-    label = F.coalesce("head", "line_md5")
-    return out.select(
-        "line_md5", "n_chars", "n_copies", "first_doc_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        label.alias("class_md5"), (F.col("line_md5") == label).alias("kept"),
-    )
+    parts = staged(connected_components(links).withColumnRenamed("node", "id").join(degree, "id"), "parts")
+    linked = staged(named.join(parts, "id"), "linked")  # lines with links alone: the others have no component to be joined by
+    heads = linked.groupBy("component").agg(F.min("line_md5").alias("class_md5"), F.count("*").alias("copies"))
+    cols = ["line_md5", "n_chars", "n_copies", "first_doc_id", "n_links", "class_md5"]
+    found = join_counted(linked, staged(heads, "heads"), ["component"]).select(*cols)
+    alone = named.join(parts.select("id"), "id", "left_anti").withColumns({"n_links": F.lit(0).cast("long"), "class_md5": F.col("line_md5")})
+    return found.unionAll(alone.select(*cols)).withColumn("kept", F.col("line_md5") == F.col("class_md5"))
 
 
 def without_repeats(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """``docs`` with ``text`` rid of every line whose class has a kept line elsewhere.
 
-    Of a class the kept line stays, in the first place (of lines in order) of its first document; blank lines stay everywhere.
-    Rows without a doc_id are returned as they are. All columns of ``docs`` are returned.
+    Of a class the kept line stays, in the first place (of rows, then lines, in order) of its first document; blank lines stay
+    everywhere. Rows without a doc_id and null texts are returned as they are, an empty text stays empty. Rows are told apart
+    by a number of their own, so rows that share a doc_id keep their own lines. All columns of ``docs`` are returned; a
+    column named ``_row`` is not allowed. An empty table gives no rows.
     """
-    rows = docs.where("doc_id is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    keyed = rows.withColumn("line_md5", F.md5(F.col("line").cast("binary")))
-    known = classes.where("n_copies > 1 or not kept").select("line_md5", "first_doc_id", F.col("kept").alias("stays"))
-    judged = keyed.join(known, "line_md5", "left")
-    place = judged.groupBy("line_md5", "doc_id").agg(F.min("at").alias("first_at"))
-    judged = judged.join(place, ["line_md5", "doc_id"])
-    stays = F.col("stays").isNull() | (F.col("stays") & (F.col("doc_id") == F.col("first_doc_id")) & (F.col("at") == F.col("first_at")))
-    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "line"))), lambda x: x["line"]), "\n")
-    kept = judged.where(stays).groupBy("doc_id").agg(text.alias("_text"))
-    joined = docs.join(kept, "doc_id", "left")
+    numbered = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    rows = numbered.where("doc_id is not null and text is not null")
+    lines = rows.select("_row", F.col("doc_id").alias("_doc"), F.posexplode(F.split("text", "\n")).alias("_at", "_line"))
+    lines = staged(lines.withColumn("line_md5", F.md5(F.col("_line").cast("binary"))), "lines")
+    known = classes.where("n_copies > 1 or not kept").select("line_md5", F.col("first_doc_id").alias("_first"), F.col("kept").alias("_stays"))
+    blank = F.trim("_line") == ""
+    counted = lines.where(~blank).groupBy("line_md5").agg(F.count("*").alias("copies"))
+    known = staged(counted.join(known, "line_md5"), "known")
+    judged = join_counted(lines.where(~blank), known, ["line_md5"])
+    place = judged.where("_stays and _doc = _first").groupBy("line_md5").agg(F.min(F.struct("_row", "_at")).alias("p"))
+    judged_out = judged.select("_row", "_at").join(place.select("p._row", "p._at"), ["_row", "_at"], "left_anti")
+    left = lines.join(staged(judged_out, "gone"), ["_row", "_at"], "left_anti")
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_at", "_line"))), lambda x: x["_line"]), "\n")
+    kept = left.groupBy("_row").agg(text.alias("_text"))
     rest = F.when(F.col("doc_id").isNull() | F.col("text").isNull(), F.col("text")).otherwise(F.coalesce("_text", F.lit("")))
-    return joined.withColumn("text", rest).select(*docs.columns)
+    return numbered.join(kept, "_row", "left").withColumn("text", rest).select(*docs.columns)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classes of the lines of all documents, two edits apart at most."""
+    """Classes of the lines of all documents, one or two edits apart by length."""
     return line_classes(table(spark, sf_dir, "documents"))
 
 
@@ -217,18 +248,18 @@ WITH RECURSIVE s AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line
 d AS MATERIALIZED (
   SELECT line, md5(line) AS h, length(line) AS n, count(*) AS n_copies, min(doc_id) AS first_doc_id
   FROM s WHERE trim(line, ' ') <> '' GROUP BY line),
-p AS (SELECT line, h, n, k, unnest([0, 1, 2]) AS part FROM (SELECT *, n // 3 AS k FROM d WHERE n >= {LEAST_CHARS})),
+p AS (SELECT line, h, n, t, n // t AS k, unnest(range(0, t)) AS part FROM (SELECT *, CASE WHEN n >= {STEPS[1]} THEN 3 ELSE 2 END AS t FROM d WHERE n >= {STEPS[0]})),
 q AS (SELECT h, n, part, substr(line, part * k + 1, k) AS seg FROM p),
-g AS (SELECT line, h, n, unnest(range(n - 2, n + 3)) AS m FROM d WHERE n >= {LEAST_CHARS}),
+g AS (SELECT line, h, m, CASE WHEN m >= {STEPS[1]} THEN 3 ELSE 2 END AS t FROM (SELECT *, unnest(range(n - 2, n + 3)) AS m FROM d WHERE n >= {STEPS[0]}) WHERE m >= {STEPS[0]}),
 w AS (
-  SELECT line, h, n, m, part, unnest(range(part * (m // 3) - 1, part * (m // 3) + 4)) AS at0
-  FROM (SELECT *, unnest([0, 1, 2]) AS part FROM g)),
+  SELECT line, h, m, t, part, unnest(range(part * (m // t) - 1, part * (m // t) + 4)) AS at0
+  FROM (SELECT *, unnest(range(0, t)) AS part FROM g)),
 c AS (
   SELECT DISTINCT w.h AS u, q.h AS v FROM w JOIN q
-  ON q.n = w.m AND q.part = w.part AND q.seg = substr(w.line, w.at0, w.m // 3) AND q.h <> w.h WHERE w.at0 > 0),
+  ON q.n = w.m AND q.part = w.part AND q.seg = substr(w.line, w.at0, w.m // w.t) AND q.h <> w.h WHERE w.at0 > 0),
 e AS MATERIALIZED (
   SELECT u, v FROM c JOIN d a ON a.h = c.u JOIN d b ON b.h = c.v
-  WHERE levenshtein({_BYTES.format('a.line')}, {_BYTES.format('b.line')}) <= {EDITS}),
+  WHERE levenshtein({_BYTES.format('a.line')}, {_BYTES.format('b.line')}) <= CASE WHEN least(a.n, b.n) >= {STEPS[1]} THEN 2 ELSE 1 END),
 r AS (SELECT u, u AS c FROM e UNION SELECT e.v, r.c FROM r JOIN e ON e.u = r.u)
 SELECT d.h AS line_md5, d.n AS n_chars, d.n_copies, d.first_doc_id, coalesce(x.k, 0) AS n_links,
        coalesce(m.c, d.h) AS class_md5, coalesce(m.c, d.h) = d.h AS kept

@@ -47,6 +47,17 @@ def test_embeddings_match_brute_force(spark, monkeypatch):
     assert all(got[i].n_links == 0 and got[i].kept and got[i].component_id == i for i in (600, 601, 602, 603))
 
 
+def test_vectors_of_any_magnitude(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "CELL", 8)
+    rng = np.random.default_rng(2)
+    near = [(i, (np.ones(4) + 0.01 * rng.normal(size=4)).tolist()) for i in range(29)]
+    wild = [(100, [1e-200, 0.0, 0.0, 0.0]), (101, [2e-200, 0.0, 0.0, 0.0]), (102, [1e200, 0.0, 0.0, 0.0]), (103, [5e-324, 0.0, 0.0, 0.0]), (104, [0.0, -1e308, 0.0, 0.0])]
+    df = spark.createDataFrame(near + wild, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_vectors(df).collect()}
+    assert all(got[i] == (28, 0) for i in range(29))
+    assert all(got[i] == (3, 100) for i in range(100, 104)) and got[104] == (0, 104)
+
+
 def test_archives_round_trip(spark, monkeypatch):
     monkeypatch.setattr(archives, "FILE_BYTES", 600)
     long_page = "<p>é\r\n\r\nWARC/1.1\n</p>" * 20
@@ -83,6 +94,12 @@ def test_chat_reads_back():
     assert [(a, b) for a, b, _, _ in spans] == list(zip([0, *(s[1] for s in spans[:-1])], (s[1] for s in spans), strict=True))
 
 
+def test_probes_that_a_conversation_holds():
+    turns = [("user", chat.PROBE.format("")), ("assistant", "hello"), ("user", chat.PROBE.format(".")), ("assistant", "bye")]
+    text, spans, rewrites = chat.locate(chat.marked_turns, turns)
+    assert rewrites == [] and [text[s[2] : s[3]] for s in spans] == [t for _, t in turns]
+
+
 def test_templates_that_rewrite_history():
     def forgetful(turns):
         return "".join(f"[{r}]{t if i >= len(turns) - 2 else '...'}" for i, (r, t) in enumerate(turns))
