@@ -19,9 +19,23 @@ def valuation_clean(valuations: DataFrame) -> DataFrame:
     return valuations.where(ok).withColumn("_n", first).where("_n = 1").drop("_n")
 
 
+# Fixed column names: counts that are added up over an interval and given per 90 minutes, and rating components that are averaged.
+SUMMED = ("goals", "assists", "xg", "xgot", "xa", "big_chances_missed", "big_chance_xg_missed", "own_goals")
+COMPONENTS = (
+    "threat_component", "creation_component", "progression_component", "retention_component", "attacking_xpv_component", "defensive_component", "finishing_component",
+)
+
+
 def ratings_prepare(ratings: DataFrame) -> DataFrame:
-    """Rated rows with minutes, one per player and match (the latest date)."""
-    rows = ratings.where(F.col("rating").isNotNull()).withColumn("minutes", F.coalesce(F.col("minutes").cast("double"), F.lit(0.0)))
+    """Rated rows, one per player and match (the latest date), with every column that intervals need.
+
+    Minutes, starts and counts that are absent or null are zero; components and names that are absent are null.
+    """
+    zero = {"minutes": "double", "started": "long"} | dict.fromkeys(SUMMED, "double")
+    none = {"player_name": "string", "position_group": "string"} | dict.fromkeys(COMPONENTS, "double")
+    value = lambda c, t: F.col(c).cast(t) if c in ratings.columns else F.lit(None).cast(t)
+    made = {c: F.coalesce(value(c, t), F.lit(0).cast(t)) for c, t in zero.items()} | {c: value(c, t) for c, t in none.items()}
+    rows = ratings.where(F.col("rating").isNotNull()).withColumns(made)
     first = F.row_number().over(Window.partitionBy("player_id", "match_id").orderBy(F.col("match_date").desc(), F.col("rating").desc()))
     return rows.withColumn("_n", first).where("_n = 1").drop("_n")
 
@@ -30,7 +44,8 @@ def valuation_intervals(valuations: DataFrame, ratings: DataFrame) -> DataFrame:
     """Intervals between a rated player's valuations of ``MIN_DAYS`` to ``MAX_DAYS``, with changes of value."""
     kept = valuations.join(ratings.select("player_id").distinct(), "player_id", "left_semi")
     w = Window.partitionBy("player_id").orderBy("valuation_date")
-    rows = kept.select("player_id", "valuation_date", F.col("market_value").cast("double").alias("market_value")).withColumns(
+    age = (F.col("age_at_valuation") if "age_at_valuation" in valuations.columns else F.lit(None)).cast("double").alias("age_at_valuation")
+    rows = kept.select("player_id", "valuation_date", F.col("market_value").cast("double").alias("market_value"), age).withColumns(
         {
             "previous_valuation_date": F.lag("valuation_date").over(w),
             "previous_value": F.lag("market_value").over(w),
@@ -55,84 +70,137 @@ def weighted_mean_if(value: str, weight: str, condition: Column | None = None) -
     return F.when(total > 0, F.sum(F.when(ok, F.col(value) * F.col(weight))) / total)
 
 
+def _clipped(minutes: str) -> Column:
+    return F.least(F.greatest(F.col(minutes), F.lit(1.0)), F.lit(120.0))
+
+
 def interval_asof_join(intervals: DataFrame, ratings: DataFrame, half_life: float = HALF_LIFE) -> DataFrame:
     """Each interval with all ratings of the player strictly before the valuation: days before, decayed weight and recency rank.
 
-    An equi-join on the player with a date condition; equal dates rank by match_id, the larger first.
+    Decayed weights take minutes held within 1 and 120. Equal dates rank by match_id, the larger first. The result has a row for each interval
+    and earlier match; ``rolling_asof_form`` and ``interval_performance`` do without it.
     """
     keys = intervals.select("player_id", "previous_valuation_date", "valuation_date")
-    rows = keys.join(ratings.select("player_id", "match_id", "match_date", "minutes", "rating", "position_group"), "player_id").where(F.col("match_date") < F.col("valuation_date"))
+    rows = keys.join(ratings.select("player_id", "match_id", "match_date", "minutes", "rating"), "player_id").where(F.col("match_date") < F.col("valuation_date"))
     days = F.datediff("valuation_date", "match_date").cast("long")
     rank = F.row_number().over(Window.partitionBy("player_id", "valuation_date").orderBy(F.col("match_date").desc(), F.col("match_id").desc()))
-    weight = F.least(F.greatest(F.col("minutes"), F.lit(1.0)), F.lit(120.0))
-    return rows.withColumns({"days_before": days, "recency_rank": rank.cast("long"), "minute_weight": weight, "decayed_weight": weight * F.pow(F.lit(2.0), -days / half_life)})
+    return rows.withColumns({"days_before": days, "recency_rank": rank.cast("long"), "decayed_weight": _clipped("minutes") * F.pow(F.lit(2.0), -days / half_life)})
 
 
 _KEY = ["player_id", "valuation_date"]
 
 
-def rolling_asof_form(joined: DataFrame) -> DataFrame:
-    """Form at each valuation from all earlier matches: decayed mean, means of the last 3 and 20, and how many there were."""
-    return joined.groupBy(*_KEY).agg(
-        weighted_mean_if("rating", "decayed_weight").alias("asof_form"),
-        *(weighted_mean_if("rating", "minute_weight", F.col("recency_rank") <= k).alias(f"asof_last_{k}") for k in (3, 20)),
-        *(F.least(F.count("*"), F.lit(k)).alias(f"matches_last_{k}") for k in (3, 20)),
-    )
+def _timeline(intervals: DataFrame, ratings: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Valuations and matches as rows of one table: ``_at`` is the date, ``_kind`` 0 for a valuation, which comes before matches of its day, and 1 for a match."""
+    dates = intervals.select("player_id", F.col("valuation_date").alias("_at"), F.lit(0).alias("_kind"), "previous_valuation_date")
+    return dates.unionByName(ratings.select("player_id", F.col("match_date").alias("_at"), F.lit(1).alias("_kind"), *columns), allowMissingColumns=True)
+
 
+def rolling_asof_form(intervals: DataFrame, ratings: DataFrame, half_life: float = HALF_LIFE) -> DataFrame:
+    """Form at each valuation from all earlier matches: decayed mean, means of the last 3 and 20 by minutes, and how many there were.
 
-def interval_performance(joined: DataFrame) -> DataFrame:
-    """Performance within each interval (matches after the previous valuation): matches, minutes, latest position, means and spread of ratings."""
-    inside = joined.where(F.col("match_date") > F.col("previous_valuation_date"))
+    One row per interval that has an earlier match. Valuations and matches are ordered together, so that running sums do
+    the work of a join: a player's rows are read once, however many valuations there are. Decayed weights are relative to
+    the player's last date, which cancels.
+    """
+    rows = _timeline(intervals, ratings, ("match_id", "minutes", "rating"))
+    player = Window.partitionBy("player_id")
+    order = player.orderBy("_at", "_kind", "match_id")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    age = F.datediff(F.max("_at").over(player), F.col("_at"))
+    weight = F.when(F.col("_kind") == 1, _clipped("minutes") * F.pow(F.lit(2.0), -age / half_life))
+    rows = rows.withColumns({"_w": weight, "_k": F.sum("_kind").over(so_far)})
+    made = {"_n": F.sum(F.col("_w") * F.col("rating")).over(so_far), "_d": F.sum("_w").over(so_far)}
+    for k in (3, 20):
+        last = player.orderBy("_k").rangeBetween(-(k - 1), 0)  # a valuation has the number of the match before it
+        total = F.sum("minutes").over(last)
+        made[f"asof_last_{k}"] = F.when(total > 0, F.sum(F.col("minutes") * F.col("rating")).over(last) / total)
+        made[f"matches_last_{k}"] = F.least(F.col("_k"), F.lit(k)).cast("long")
+    found = rows.withColumns(made).where("_kind = 0 and _k > 0")
+    return found.select("player_id", F.col("_at").alias("valuation_date"), (F.col("_n") / F.col("_d")).alias("asof_form"), "asof_last_3", "asof_last_20", "matches_last_3", "matches_last_20")
+
+
+def interval_performance(intervals: DataFrame, ratings: DataFrame, half_life: float = HALF_LIFE) -> DataFrame:
+    """Performance within each interval: matches after the previous valuation and before this one.
+
+    Matches, starts, minutes, latest position and name that are known, means of ratings (by minutes, decayed, of the last 90
+    days), their spread, means of components and sums of counts; no row for an interval without a match. A player's
+    intervals do not overlap, so each match belongs to the next valuation after it and nothing is joined. ``ratings`` is as from ``ratings_prepare``.
+    """
+    columns = ("match_id", "minutes", "rating", "started", "position_group", "player_name", *SUMMED, *COMPONENTS)
+    rows = _timeline(intervals, ratings, columns)
+    upward = Window.partitionBy("player_id").orderBy(F.col("_at").desc(), F.col("_kind").desc(), F.col("match_id").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    following = F.last(F.when(F.col("_kind") == 0, F.struct("_at", "previous_valuation_date")), ignorenulls=True).over(upward)
+    rows = rows.withColumn("_next", following).where("_kind = 1").withColumns({"valuation_date": F.col("_next._at"), "_from": F.col("_next.previous_valuation_date")})
+    inside = rows.where("_at > _from")
+    days = F.datediff("valuation_date", "_at")
+    inside = inside.withColumns({"_days": days, "_decayed": _clipped("minutes") * F.pow(F.lit(2.0), -days / half_life)})
+    latest = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("_at", "match_id")))
     return inside.groupBy(*_KEY).agg(
         F.count_distinct("match_id").alias("matches"),
+        F.sum("started").alias("starts"),
         F.sum("minutes").alias("minutes"),
-        F.max_by("position_group", F.struct("match_date", "match_id")).alias("latest_position"),
-        weighted_mean_if("rating", "minute_weight").alias("mean_rating"),
-        weighted_mean_if("rating", "decayed_weight").alias("decayed_rating"),
-        weighted_mean_if("rating", "minute_weight", F.col("days_before") <= 90).alias("last_90_rating"),
+        latest("position_group").alias("latest_position"),
+        latest("player_name").alias("player_name"),
+        weighted_mean_if("rating", "minutes").alias("mean_rating"),
+        weighted_mean_if("rating", "_decayed").alias("decayed_rating"),
+        weighted_mean_if("rating", "minutes", F.col("_days") <= 90).alias("last_90_rating"),
         F.coalesce(F.stddev_samp("rating"), F.lit(0.0)).alias("rating_std"),
+        *(weighted_mean_if(c, "minutes").alias(f"mean_{c}") for c in COMPONENTS),
+        *(F.sum(c).alias(c) for c in SUMMED),
     )
 
 
 def valuation_feature_table(intervals: DataFrame, ratings: DataFrame, min_minutes: float = MIN_MINUTES) -> DataFrame:
-    """Feature rows of intervals with enough minutes: performance, as-of form and transforms."""
-    joined = interval_asof_join(intervals, ratings)
-    rows = intervals.join(interval_performance(joined), _KEY).join(rolling_asof_form(joined), _KEY, "left").where(F.col("minutes") >= min_minutes)
+    """Feature rows of intervals with enough minutes: performance, as-of form, transforms and counts per 90 minutes."""
+    rows = intervals.join(interval_performance(intervals, ratings), _KEY).join(rolling_asof_form(intervals, ratings), _KEY, "left").where(F.col("minutes") >= min_minutes)
     month = F.month("valuation_date") * (2 * 3.141592653589793 / 12)
+    per_90 = {f"{c}_per90": F.col(c) * 90.0 / F.col("minutes") for c in SUMMED}
+    over = {f"{a}_over_{b}_per90": (F.col(a) - F.col(b)) * 90.0 / F.col("minutes") for a, b in (("goals", "xg"), ("assists", "xa"))}
     return rows.withColumns(
         {
-            "log_previous_value": F.log1p("previous_value"),
+            "log_previous_value": F.log("previous_value"),
             "log_minutes": F.log1p("minutes"),
             "log_matches": F.log1p("matches"),
+            "start_share": F.col("starts") / F.col("matches"),
+            "age_squared": F.pow("age_at_valuation", F.lit(2.0)),
             "valuation_year": F.year("valuation_date").cast("long"),
             "month_sin": F.sin(month),
             "month_cos": F.cos(month),
-            "rating_trend": F.col("asof_last_3") - F.col("asof_last_20"),
+            "rating_trend": F.col("last_90_rating") - F.col("mean_rating"),
+            **per_90,
+            **over,
         }
     )
 
 
 def current_asof_features(valuations: DataFrame, ratings: DataFrame, as_of: str) -> DataFrame:
-    """The same features for a day without a valuation: a pseudo-interval from each player's latest value before it."""
+    """The same features for a day without a valuation: a pseudo-interval from each player's latest value before it, the age advanced to the day."""
     past = valuations.where(F.col("valuation_date") < F.lit(as_of).cast("date"))
     n = F.row_number().over(Window.partitionBy("player_id").orderBy(F.col("valuation_date").desc()))
-    two = past.withColumn("_n", n).where("_n <= 2").groupBy("player_id").agg(
+    age = (F.col("age_at_valuation") if "age_at_valuation" in valuations.columns else F.lit(None)).cast("double")
+    two = past.withColumns({"_n": n, "_age": age}).where("_n <= 2").groupBy("player_id").agg(
         F.max(F.when(F.col("_n") == 1, F.col("valuation_date"))).alias("previous_valuation_date"),
         F.max(F.when(F.col("_n") == 1, F.col("market_value"))).cast("double").alias("previous_value"),
         F.max(F.when(F.col("_n") == 2, F.col("market_value"))).cast("double").alias("_before"),
+        F.max(F.when(F.col("_n") == 1, F.col("_age"))).alias("_age"),
     )
+    days = F.datediff(F.lit(as_of).cast("date"), "previous_valuation_date").cast("long")
     pseudo = two.withColumns(
         {
             "valuation_date": F.lit(as_of).cast("date"),
-            "days_between": F.datediff(F.lit(as_of).cast("date"), "previous_valuation_date").cast("long"),
+            "days_between": days,
+            "age_at_valuation": F.col("_age") + days / 365.25,
             "previous_log_change": F.log(F.col("previous_value") / F.col("_before")),
         }
-    ).drop("_before")
+    ).drop("_before", "_age")
     return valuation_feature_table(pseudo.where("days_between > 0"), ratings, 1)
 
 
 def dataset_summary(features: DataFrame) -> DataFrame:
-    """One row: rows, players, first and last date."""
+    """One row: rows, players, first and last date; of a scored table the mean predicted change and probability of a rise too."""
+    scored = {"mean_predicted_change": "predicted_pct_change", "mean_probability_rise": "probability_rise"}
     return features.agg(
-        F.count("*").alias("n_rows"), F.count_distinct("player_id").alias("players"), F.min("valuation_date").alias("first_date"), F.max("valuation_date").alias("last_date")
-    )
+        F.count("*").alias("n_rows"), F.count_distinct("player_id").alias("players"), F.min("valuation_date").alias("first_date"), F.max("valuation_date").alias("last_date"),
+        *(F.avg(c).alias(name) for name, c in scored.items() if c in features.columns),
+    )

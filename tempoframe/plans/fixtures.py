@@ -52,12 +52,30 @@ SELECT o_custkey AS player_id, l_orderkey AS match_id, CAST(min(o_orderdate) AS
        CASE WHEN l_orderkey % 4 = 0 THEN 'Defender' WHEN l_orderkey % 4 = 1 THEN 'Midfielder' ELSE 'Forward' END AS position_group
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 GROUP BY o_custkey, l_orderkey
+""",
+    "rated_matches": """
+SELECT o_custkey AS player_id, l_orderkey * 8 + l_linenumber AS match_id, match_date, 'P-' || CAST(o_custkey % 40 AS VARCHAR(9)) AS player_name,
+       CASE WHEN part % 6 = 0 THEN NULL WHEN part % 3 = 0 THEN 'Defender' WHEN part % 3 = 1 THEN 'Midfielder' ELSE 'Forward' END AS position_group,
+       CASE WHEN l_linenumber % 3 > 0 THEN 1 WHEN l_linenumber % 6 > 0 THEN 0 END AS started,
+       CASE WHEN supp % 17 > 0 THEN CAST(CAST(round(quantity) AS BIGINT) * 7 % 126 AS DOUBLE) END AS minutes,
+       CASE WHEN (l_orderkey + l_linenumber) % 13 > 0 THEN 1 + CAST(CAST(round(price) AS BIGINT) % 900 AS DOUBLE) / 100 END AS rating,
+       CASE WHEN part % 7 > 0 THEN CAST(part % 3 AS DOUBLE) END AS goals, CAST(supp % 2 AS DOUBLE) AS assists,
+       CAST(part % 97 AS DOUBLE) / 100 AS xg, CAST(part % 89 AS DOUBLE) / 100 AS xgot, CAST(supp % 83 AS DOUBLE) / 100 AS xa,
+       CAST(supp % 3 AS DOUBLE) AS big_chances_missed, CAST(supp % 71 AS DOUBLE) / 100 AS big_chance_xg_missed, CASE WHEN part % 50 = 49 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS own_goals,
+       CAST(part % 31 AS DOUBLE) / 10 AS threat_component, CAST(part % 29 AS DOUBLE) / 10 AS creation_component,
+       CASE WHEN part % 5 > 0 THEN CAST(part % 23 AS DOUBLE) / 10 END AS progression_component, CAST(supp % 19 AS DOUBLE) / 10 AS retention_component,
+       CAST(supp % 17 AS DOUBLE) / 10 AS attacking_xpv_component, CAST(supp % 13 AS DOUBLE) / 10 AS defensive_component, CAST(supp % 11 AS DOUBLE) / 10 AS finishing_component
+FROM (
+  SELECT o_custkey, l_orderkey, l_linenumber, CAST(max(l_shipdate) AS DATE) AS match_date, max(l_quantity) AS quantity, max(l_extendedprice) AS price, max(l_partkey) AS part, max(l_suppkey) AS supp
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  GROUP BY o_custkey, l_orderkey, l_linenumber) t
 """,
     "player_valuations": """
-SELECT o_custkey AS player_id, CAST(o_orderdate AS DATE) AS valuation_date,
-       max(CAST(round(o_totalprice) AS BIGINT)) AS market_value
-FROM orders WHERE o_totalprice > 0 AND o_orderkey % 3 = 0
-GROUP BY o_custkey, CAST(o_orderdate AS DATE)
+SELECT player_id, valuation_date, market_value, CAST(17 + player_id % 16 AS DOUBLE) + CAST(year(valuation_date) - 1992 AS DOUBLE) AS age_at_valuation
+FROM (
+  SELECT o_custkey AS player_id, CAST(o_orderdate AS DATE) AS valuation_date, max(CAST(round(o_totalprice) AS BIGINT)) AS market_value
+  FROM orders WHERE o_totalprice > 0
+  GROUP BY o_custkey, CAST(o_orderdate AS DATE)) t
 """,
     "value_grid": """
 SELECT z AS zone, CAST((z % 12 + 1) * (z % 12 + 1) * (4 + CASE WHEN floor(z / 12) IN (3, 4) THEN 3 ELSE 0 END) AS DOUBLE) / 10000 AS grid_value

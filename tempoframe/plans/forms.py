@@ -70,39 +70,43 @@ def late_row_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frm.update_route(changes, rows, frm.form_state(rows.where("match_id % 5 <> 0")))
 
 
+def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return val.ratings_prepare(projected(spark, sf_dir, "rated_matches"))
+
+
 def valuation_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean valuations."""
-    return _values(spark, sf_dir)
+    return rounded(_values(spark, sf_dir))
 
 
 def ratings_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prepared ratings."""
-    return rounded(val.ratings_prepare(_ratings(spark, sf_dir)))
+    return rounded(_matches(spark, sf_dir))
 
 
-def valuation_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All valuation intervals."""
-    return rounded(val.valuation_intervals(_values(spark, sf_dir), _ratings(spark, sf_dir)))
+def _intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return val.valuation_intervals(_values(spark, sf_dir), _matches(spark, sf_dir))
 
 
-def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ratings = val.ratings_prepare(_ratings(spark, sf_dir))
-    return val.interval_asof_join(val.valuation_intervals(_values(spark, sf_dir), ratings), ratings)
+def valuation_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All valuation intervals."""
+    return rounded(_intervals(spark, sf_dir))
 
 
 def interval_asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Intervals with all earlier ratings."""
-    return rounded(_joined(spark, sf_dir).select("player_id", "valuation_date", "match_id", "days_before", "recency_rank", "minute_weight", "decayed_weight"))
+    made = val.interval_asof_join(_intervals(spark, sf_dir), _matches(spark, sf_dir))
+    return rounded(made.select("player_id", "valuation_date", "match_id", "days_before", "recency_rank", "minutes", "decayed_weight"))
 
 
 def rolling_asof_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Form at every valuation."""
-    return rounded(val.rolling_asof_form(_joined(spark, sf_dir)))
+    return rounded(val.rolling_asof_form(_intervals(spark, sf_dir), _matches(spark, sf_dir)))
 
 
 def interval_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Performance within every interval."""
-    return rounded(val.interval_performance(_joined(spark, sf_dir)))
+    return rounded(val.interval_performance(_intervals(spark, sf_dir), _matches(spark, sf_dir)))
 
 
 def weighted_mean_if(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,17 +116,17 @@ def weighted_mean_if(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
+_PER_90 = (*(f"{c}_per90" for c in val.SUMMED), "goals_over_xg_per90", "assists_over_xa_per90")
 _FEATURES = (
-    "player_id", "valuation_date", "days_between", "log_value_change", "pct_value_change", "previous_log_change", "matches", "minutes", "latest_position", "mean_rating",
-    "decayed_rating", "last_90_rating", "rating_std", "asof_form", "asof_last_3", "asof_last_20", "matches_last_3", "matches_last_20", "log_previous_value", "log_minutes",
-    "log_matches", "valuation_year", "month_sin", "month_cos", "rating_trend",
+    "player_id", "valuation_date", "days_between", "log_value_change", "pct_value_change", "previous_log_change", "age_at_valuation", "age_squared", "matches", "starts", "start_share",
+    "minutes", "latest_position", "player_name", "mean_rating", "decayed_rating", "last_90_rating", "rating_std", "asof_form", "asof_last_3", "asof_last_20", "matches_last_3",
+    "matches_last_20", "log_previous_value", "log_minutes", "log_matches", "valuation_year", "month_sin", "month_cos", "rating_trend", *(f"mean_{c}" for c in val.COMPONENTS), *val.SUMMED, *_PER_90,
 )
 
 
 def valuation_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature rows of all intervals."""
-    ratings = val.ratings_prepare(_ratings(spark, sf_dir))
-    made = val.valuation_feature_table(val.valuation_intervals(_values(spark, sf_dir), ratings), ratings)
+    made = val.valuation_feature_table(_intervals(spark, sf_dir), _matches(spark, sf_dir))
     return rounded(made.select(*_FEATURES))
 
 
@@ -131,7 +135,7 @@ _NOW = tuple(c for c in _FEATURES if c not in ("log_value_change", "pct_value_ch
 
 def current_asof_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature rows of all players as of a day."""
-    return rounded(val.current_asof_features(_values(spark, sf_dir), val.ratings_prepare(_ratings(spark, sf_dir)), AS_OF).select(*_NOW))
+    return rounded(val.current_asof_features(_values(spark, sf_dir), _matches(spark, sf_dir), AS_OF).select(*_NOW))
 
 
 def dataset_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,7 +148,7 @@ QUERIES = (
     interval_asof_join, rolling_asof_form, interval_performance, weighted_mean_if, valuation_feature_table, current_asof_features, dataset_summary,
 )
 
-_R, _V = ctes("player_ratings"), ctes("player_ratings", "player_valuations")
+_R, _V, _M = ctes("player_ratings"), ctes("player_valuations"), ctes("rated_matches")
 _FORM = f"""WITH {_R}, used AS (SELECT *, rating IS NOT NULL AND minutes > 0 AS ok FROM player_ratings),
 pairs AS (
   SELECT a.player_id, a.match_id, b.minutes AS m, b.rating AS r, pow(2.0::DOUBLE, -date_diff('day', b.match_date, a.match_date) / 90.0::DOUBLE) AS f,
@@ -162,49 +166,59 @@ used AS (SELECT r.*, pow(2.0::DOUBLE, -date_diff('day', match_date, l.d) / 90.0:
 SELECT l.player_id, coalesce(sum(minutes * rating * f), 0) AS ewm_numerator, coalesce(sum(minutes * f), 0) AS ewm_denominator, l.d::VARCHAR AS last_match_date,
        coalesce(string_agg(match_id::VARCHAR, ',' ORDER BY match_date, match_id) FILTER (WHERE k <= 20), '') AS recent_ids
 FROM last l LEFT JOIN used u ON u.player_id = l.player_id GROUP BY l.player_id, l.d"""
-_CLEAN = "clean AS (SELECT player_id, valuation_date, max(market_value) AS market_value FROM player_valuations WHERE market_value > 0 GROUP BY player_id, valuation_date)"
+_CLEAN = "clean AS (SELECT player_id, valuation_date, max(market_value) AS market_value, max(age_at_valuation) AS age_at_valuation FROM player_valuations WHERE market_value > 0 GROUP BY player_id, valuation_date)"
+_PREPARED = f"""prepared AS (
+  SELECT * REPLACE (coalesce(minutes, 0) AS minutes, coalesce(started, 0)::BIGINT AS started, {', '.join(f'coalesce({c}, 0) AS {c}' for c in val.SUMMED)}) FROM rated_matches WHERE rating IS NOT NULL)"""
 _LAGGED = """lagged AS (
-  SELECT player_id, valuation_date, market_value::DOUBLE AS market_value, lag(valuation_date) OVER w AS previous_valuation_date,
+  SELECT player_id, valuation_date, market_value::DOUBLE AS market_value, age_at_valuation, lag(valuation_date) OVER w AS previous_valuation_date,
          (lag(market_value) OVER w)::DOUBLE AS previous_value, (lag(market_value, 2) OVER w)::DOUBLE AS before
-  FROM clean WHERE player_id IN (SELECT player_id FROM player_ratings) WINDOW w AS (PARTITION BY player_id ORDER BY valuation_date)),
+  FROM clean WHERE player_id IN (SELECT player_id FROM prepared) WINDOW w AS (PARTITION BY player_id ORDER BY valuation_date)),
 intervals AS (
-  SELECT player_id, valuation_date, market_value, previous_valuation_date, previous_value, date_diff('day', previous_valuation_date, valuation_date) AS days_between,
-         ln(market_value / previous_value) AS log_value_change, market_value / previous_value - 1 AS pct_value_change, ln(previous_value / before) AS previous_log_change
+  SELECT player_id, valuation_date, market_value, age_at_valuation, previous_valuation_date, previous_value,
+         date_diff('day', previous_valuation_date, valuation_date) AS days_between, ln(market_value / previous_value) AS log_value_change,
+         market_value / previous_value - 1 AS pct_value_change, ln(previous_value / before) AS previous_log_change
   FROM lagged WHERE date_diff('day', previous_valuation_date, valuation_date) BETWEEN 14 AND 365)"""
-_ASOF = """joined AS (
-  SELECT i.player_id, i.previous_valuation_date, i.valuation_date, r.match_id, r.match_date, r.minutes, r.rating, r.position_group,
-         date_diff('day', r.match_date, i.valuation_date) AS days_before, least(greatest(minutes, 1), 120) AS minute_weight,
+
+
+def _mean(value: str, weight: str, condition: str = "TRUE") -> str:
+    ok = f"FILTER (WHERE {value} IS NOT NULL AND {condition})"
+    return f"CASE WHEN sum({weight}) {ok} > 0 THEN sum({value} * {weight}) {ok} / sum({weight}) {ok} END"
+
+
+_ASOF = f"""joined AS (
+  SELECT i.previous_valuation_date, i.valuation_date, r.*, date_diff('day', r.match_date, i.valuation_date) AS days_before,
          least(greatest(minutes, 1), 120) * pow(2.0::DOUBLE, -date_diff('day', r.match_date, i.valuation_date) / 90.0::DOUBLE) AS decayed_weight,
          row_number() OVER (PARTITION BY i.player_id, i.valuation_date ORDER BY r.match_date DESC, r.match_id DESC) AS recency_rank
-  FROM intervals i JOIN player_ratings r ON r.player_id = i.player_id AND r.match_date < i.valuation_date),
+  FROM intervals i JOIN prepared r ON r.player_id = i.player_id AND r.match_date < i.valuation_date),
 rolling AS (
-  SELECT player_id, valuation_date, sum(rating * decayed_weight) / sum(decayed_weight) AS asof_form,
-         sum(rating * minute_weight) FILTER (WHERE recency_rank <= 3) / sum(minute_weight) FILTER (WHERE recency_rank <= 3) AS asof_last_3,
-         sum(rating * minute_weight) FILTER (WHERE recency_rank <= 20) / sum(minute_weight) FILTER (WHERE recency_rank <= 20) AS asof_last_20,
-         least(count(*), 3) AS matches_last_3, least(count(*), 20) AS matches_last_20 FROM joined GROUP BY player_id, valuation_date),
+  SELECT player_id, valuation_date, sum(rating * decayed_weight) / sum(decayed_weight) AS asof_form, {_mean('rating', 'minutes', 'recency_rank <= 3')} AS asof_last_3,
+         {_mean('rating', 'minutes', 'recency_rank <= 20')} AS asof_last_20, least(count(*), 3) AS matches_last_3, least(count(*), 20) AS matches_last_20
+  FROM joined GROUP BY player_id, valuation_date),
 performance AS (
-  SELECT player_id, valuation_date, count(DISTINCT match_id) AS matches, sum(minutes) AS minutes, arg_max(position_group, (match_date, match_id)) AS latest_position,
-         sum(rating * minute_weight) / sum(minute_weight) AS mean_rating, sum(rating * decayed_weight) / sum(decayed_weight) AS decayed_rating,
-         sum(rating * minute_weight) FILTER (WHERE days_before <= 90) / sum(minute_weight) FILTER (WHERE days_before <= 90) AS last_90_rating,
-         coalesce(stddev_samp(rating), 0) AS rating_std FROM joined WHERE match_date > previous_valuation_date GROUP BY player_id, valuation_date),
+  SELECT player_id, valuation_date, count(DISTINCT match_id) AS matches, sum(started)::BIGINT AS starts, sum(minutes) AS minutes,
+         arg_max(position_group, (match_date, match_id)) FILTER (WHERE position_group IS NOT NULL) AS latest_position,
+         arg_max(player_name, (match_date, match_id)) FILTER (WHERE player_name IS NOT NULL) AS player_name,
+         {_mean('rating', 'minutes')} AS mean_rating, {_mean('rating', 'decayed_weight')} AS decayed_rating, {_mean('rating', 'minutes', 'days_before <= 90')} AS last_90_rating,
+         coalesce(stddev_samp(rating), 0) AS rating_std, {', '.join(f"{_mean(c, 'minutes')} AS mean_{c}" for c in val.COMPONENTS)}, {', '.join(f'sum({c}) AS {c}' for c in val.SUMMED)}
+  FROM joined WHERE match_date > previous_valuation_date GROUP BY player_id, valuation_date),
 feature_rows AS (
-  SELECT i.*, p.* EXCLUDE (player_id, valuation_date), r.* EXCLUDE (player_id, valuation_date), ln(1 + previous_value) AS log_previous_value, ln(1 + minutes) AS log_minutes,
-         ln(1 + matches) AS log_matches, year(i.valuation_date) AS valuation_year, sin(month(i.valuation_date) * 2 * pi() / 12) AS month_sin,
-         cos(month(i.valuation_date) * 2 * pi() / 12) AS month_cos, asof_last_3 - asof_last_20 AS rating_trend
+  SELECT i.*, p.* EXCLUDE (player_id, valuation_date), r.* EXCLUDE (player_id, valuation_date), ln(previous_value) AS log_previous_value, ln(1 + minutes) AS log_minutes,
+         ln(1 + matches) AS log_matches, starts / matches AS start_share, age_at_valuation * age_at_valuation AS age_squared, year(i.valuation_date) AS valuation_year,
+         sin(month(i.valuation_date) * 2 * pi() / 12) AS month_sin, cos(month(i.valuation_date) * 2 * pi() / 12) AS month_cos, last_90_rating - mean_rating AS rating_trend,
+         {', '.join(f'{c} * 90 / minutes AS {c}_per90' for c in val.SUMMED)}, (goals - xg) * 90 / minutes AS goals_over_xg_per90, (assists - xa) * 90 / minutes AS assists_over_xa_per90
   FROM intervals i JOIN performance p ON p.player_id = i.player_id AND p.valuation_date = i.valuation_date
   LEFT JOIN rolling r ON r.player_id = i.player_id AND r.valuation_date = i.valuation_date)"""
-_I = f"WITH {_V}, {_CLEAN}, {_LAGGED}"
+_I = f"WITH {_V}, {_M}, {_CLEAN}, {_PREPARED}, {_LAGGED}"
 _J = f"{_I}, {_ASOF}"
 _PSEUDO = f"""intervals AS (
   SELECT player_id, DATE '{AS_OF}' AS valuation_date, max(valuation_date) AS previous_valuation_date, arg_max(market_value, valuation_date)::DOUBLE AS previous_value,
          date_diff('day', max(valuation_date), DATE '{AS_OF}') AS days_between,
+         arg_max(age_at_valuation, valuation_date) + date_diff('day', max(valuation_date), DATE '{AS_OF}') / 365.25::DOUBLE AS age_at_valuation,
          ln(max(market_value) FILTER (WHERE k = 1)::DOUBLE / max(market_value) FILTER (WHERE k = 2)) AS previous_log_change
   FROM (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY valuation_date DESC) AS k FROM clean WHERE valuation_date < DATE '{AS_OF}') t GROUP BY player_id)"""
 _FORMS = ["form_rating_ewm", "rolling_3_match_rating", "rolling_20_match_rating"]
-_FEATURE_DOUBLES = [
-    "log_value_change", "pct_value_change", "previous_log_change", "minutes", "mean_rating", "decayed_rating", "last_90_rating", "rating_std", "asof_form", "asof_last_3",
-    "asof_last_20", "log_previous_value", "log_minutes", "log_matches", "month_sin", "month_cos", "rating_trend",
-]
+_WHOLE = ("player_id", "valuation_date", "days_between", "matches", "starts", "latest_position", "player_name", "matches_last_3", "matches_last_20", "valuation_year")
+_FEATURE_DOUBLES = [c for c in _FEATURES if c not in _WHOLE]
 _HASH = "SELECT match_id, sum(round(rating * 100)::BIGINT) AS n FROM player_ratings GROUP BY match_id"
 
 ORACLES = {
@@ -220,16 +234,16 @@ ORACLES = {
         new AS (SELECT count(DISTINCT match_id) AS n FROM player_ratings WHERE match_id % 5 = 0)
         SELECT new.n AS new_matches, 0::BIGINT AS changed_matches, late.n AS late_players,
                CASE WHEN new.n = 0 THEN 'reuse' WHEN late.n > 0 THEN 'recompute' ELSE 'append' END AS route FROM new, late""",
-    "valuation_clean": f"WITH {_V}, {_CLEAN} SELECT * FROM clean",
-    "ratings_prepare": rounded_sql(f"WITH {_R} SELECT * FROM player_ratings WHERE rating IS NOT NULL", ["minutes", "rating"]),
-    "valuation_intervals": rounded_sql(f"{_I} SELECT * FROM intervals", ["market_value", "previous_value", "log_value_change", "pct_value_change", "previous_log_change"]),
-    "interval_asof_join": rounded_sql(f"{_J} SELECT player_id, valuation_date, match_id, days_before, recency_rank, minute_weight, decayed_weight FROM joined", ["minute_weight", "decayed_weight"]),
+    "valuation_clean": rounded_sql(f"WITH {_V}, {_CLEAN} SELECT * FROM clean", ["age_at_valuation"]),
+    "ratings_prepare": rounded_sql(f"WITH {_M}, {_PREPARED} SELECT * FROM prepared", ["minutes", "rating", *val.SUMMED, *val.COMPONENTS]),
+    "valuation_intervals": rounded_sql(f"{_I} SELECT * FROM intervals", ["market_value", "previous_value", "log_value_change", "pct_value_change", "previous_log_change", "age_at_valuation"]),
+    "interval_asof_join": rounded_sql(f"{_J} SELECT player_id, valuation_date, match_id, days_before, recency_rank, minutes, decayed_weight FROM joined", ["minutes", "decayed_weight"]),
     "rolling_asof_form": rounded_sql(f"{_J} SELECT * FROM rolling", ["asof_form", "asof_last_3", "asof_last_20"]),
-    "interval_performance": rounded_sql(f"{_J} SELECT * FROM performance", ["minutes", "mean_rating", "decayed_rating", "last_90_rating", "rating_std"]),
+    "interval_performance": rounded_sql(f"{_J} SELECT * FROM performance", ["minutes", "mean_rating", "decayed_rating", "last_90_rating", "rating_std", *(f"mean_{c}" for c in val.COMPONENTS), *val.SUMMED]),
     "weighted_mean_if": rounded_sql(f"""WITH {_R} SELECT player_id, CASE WHEN sum(minutes) > 0 THEN sum(rating * minutes) / sum(minutes) END AS mean_rating,
         CASE WHEN sum(minutes) FILTER (WHERE minutes >= 60) > 0 THEN sum(rating * minutes) FILTER (WHERE minutes >= 60) / sum(minutes) FILTER (WHERE minutes >= 60) END AS long_rating
         FROM player_ratings GROUP BY player_id""", ["mean_rating", "long_rating"]),
     "valuation_feature_table": rounded_sql(f"{_J} SELECT {', '.join(_FEATURES)} FROM feature_rows WHERE minutes >= 180", _FEATURE_DOUBLES),
-    "current_asof_features": rounded_sql(f"WITH {_V}, {_CLEAN}, {_PSEUDO}, {_ASOF} SELECT {', '.join(_NOW)} FROM feature_rows WHERE minutes >= 1", [c for c in _FEATURE_DOUBLES if c in _NOW]),
+    "current_asof_features": rounded_sql(f"WITH {_V}, {_M}, {_CLEAN}, {_PREPARED}, {_PSEUDO}, {_ASOF} SELECT {', '.join(_NOW)} FROM feature_rows WHERE minutes >= 1", [c for c in _FEATURE_DOUBLES if c in _NOW]),
     "dataset_summary": f"{_J} SELECT count(*) AS n_rows, count(DISTINCT player_id) AS players, min(valuation_date) AS first_date, max(valuation_date) AS last_date FROM feature_rows WHERE minutes >= 180",
 }
