@@ -2,26 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempoframe.llm.workspace import staged, table
 
 DIMENSIONS = ("source", "lang", "topic")
-#: A category's target is its share of tokens raised to this power, which lifts small categories.
+#: Without targets of its own a category's target is its share of tokens raised to this power, which lifts small categories.
 TEMPER = {"source": 0.5, "lang": 0.5, "topic": 0.7}
-#: Rounds over the three marginals.
-SWEEPS = 10
+#: Most rounds over the three marginals, and the deviation at which they end.
+SWEEPS, TOLERANCE = 40, 1e-12
 #: Cells (source, language and topic together) up to this many are raked in memory; more are raked by joins.
 MAX_CELLS = 200_000
 LONG_TEXT = 1000
 
+Targets = Mapping[str, Mapping[str, float]]
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
 def topic(text: Column, tokens: Column) -> Column:
-    """A coarse lexical topic: the first rule that holds."""
+    """A coarse kind of text, the first rule that holds; callers with a topic model of their own give its column instead."""
     low = F.lower(F.coalesce(text, F.lit("")))
     return (
         F.when(low.contains("license"), "legal")
@@ -32,46 +37,56 @@ def topic(text: Column, tokens: Column) -> Column:
     )
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``tokens`` and the three dimensions of every row; a null category is '(none)', a null text has no tokens."""
+def _dimensions(topic_of: Callable[[Column, Column], Column]) -> dict[str, Column]:
+    """Tokens and the three dimensions as columns over ``text``, ``source`` and ``lang``."""
     tokens = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(_WORD)).cast("long")
-    named = [F.coalesce(F.col(c).cast("string"), F.lit("(none)")).alias(c) for c in ("source", "lang")]
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), tokens.alias("tokens"), *named, topic(F.col("text"), F.col("tokens")).alias("topic")
-    ) if "tokens" not in docs.columns else measured(docs.drop("tokens"))
+    named = {c: F.coalesce(F.col(c).cast("string"), F.lit("(none)")) for c in ("source", "lang")}
+    return {"tokens": tokens, **named, "topic": F.coalesce(topic_of(F.col("text"), tokens).cast("string"), F.lit("(none)"))}
+
+
+def measured(docs: DataFrame, topic_of: Callable[[Column, Column], Column] = topic) -> DataFrame:
+    """``doc_id``, ``tokens`` and the three dimensions of every row; a null category is '(none)', a null text has no tokens."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(c.alias(n) for n, c in _dimensions(topic_of).items()))
 
 
-def _targets(shares: np.ndarray, temper: float) -> np.ndarray:
-    raised = np.where(shares > 0, shares, 0) ** temper * (shares > 0)
+def _goal(names: list[str], shares: np.ndarray, temper: float, targets: Mapping[str, float] | None) -> np.ndarray:
+    raised = np.array([max(0.0, targets.get(n, 0.0)) for n in names]) if targets else np.where(shares > 0, shares, 0) ** temper * (shares > 0)
+    if not raised.sum() > 0:
+        raise ValueError("none of the target weights is of a category that has tokens")
     return raised / raised.sum()
 
 
-def _raked(cells, temper: dict[str, float], sweeps: int) -> np.ndarray:
-    """Weights of the cells (summing to one) after the given rounds, in memory."""
+def _raked(cells: pd.DataFrame, goal_of: Callable[[str, list[str], np.ndarray], np.ndarray], sweeps: int) -> np.ndarray:
+    """Weights of the cells (summing to one) once they meet the marginals, or after ``sweeps`` rounds, in memory."""
     w = cells["tokens"].to_numpy(np.float64) / cells["tokens"].sum()
-    codes = {d: np.unique(cells[d], return_inverse=True)[1] for d in DIMENSIONS}
-    goal = {d: _targets(np.bincount(codes[d], w), temper[d]) for d in DIMENSIONS}
+    names, codes = zip(*(np.unique(cells[d], return_inverse=True) for d in DIMENSIONS), strict=True)
+    goals = [goal_of(d, n.tolist(), np.bincount(c, w)) for d, n, c in zip(DIMENSIONS, names, codes, strict=True)]
     for _ in range(sweeps):
-        for d in DIMENSIONS:
-            now = np.bincount(codes[d], w)
-            w = w * np.divide(goal[d], now, out=np.zeros_like(now), where=now > 0)[codes[d]]
+        for goal, code in zip(goals, codes, strict=True):
+            now = np.bincount(code, w)
+            w = w * np.divide(goal, now, out=np.zeros_like(now), where=now > 0)[code]
+        if max(np.abs(np.bincount(c, w) - g).max() for g, c in zip(goals, codes, strict=True)) <= TOLERANCE:
+            break
     return w
 
 
-def _raked_frames(cells: DataFrame, temper: dict[str, float], sweeps: int) -> DataFrame:
-    """The same weights by aggregates and joins; every round is written to the shared folder."""
+def _raked_frames(cells: DataFrame, goal_of: Callable[[str, list[str], np.ndarray], np.ndarray], sweeps: int) -> DataFrame:
+    """The same weights by aggregates and joins, every round written to the shared folder; goals are rows of one dimension, so they are small."""
     total = cells.agg(F.sum("tokens")).first()[0]
     w = cells.withColumn("w", F.col("tokens") / F.lit(float(total)))
     goal = {}
     for d in DIMENSIONS:
-        raised = w.groupBy(d).agg(F.pow(F.sum("w"), F.lit(temper[d])).alias("g"))
-        norm = raised.agg(F.sum("g")).first()[0]
-        goal[d] = staged(raised.select(d, (F.col("g") / F.lit(norm)).alias("g")), "goals")
+        now = w.groupBy(d).agg(F.sum("w").alias("s")).toPandas().sort_values(d)
+        now["g"] = goal_of(d, now[d].tolist(), now["s"].to_numpy())
+        goal[d] = cells.sparkSession.createDataFrame(now[[d, "g"]].values.tolist(), f"{d} string, g double")
     for _ in range(sweeps):
         for d in DIMENSIONS:
-            now = w.groupBy(d).agg(F.sum("w").alias("s")).join(goal[d], d).select(d, (F.col("g") / F.col("s")).alias("f"))
-            w = w.join(now, d).withColumn("w", F.col("w") * F.col("f")).drop("f")
+            factor = w.groupBy(d).agg(F.sum("w").alias("s")).join(goal[d], d).select(d, F.when(F.col("s") > 0, F.col("g") / F.col("s")).otherwise(0.0).alias("f"))
+            w = w.join(factor, d).withColumn("w", F.col("w") * F.col("f")).drop("f")
         w = staged(w, "raked")
+        off = [w.groupBy(d).agg(F.sum("w").alias("s")).join(goal[d], d).agg(F.max(F.abs(F.col("s") - F.col("g")))).first()[0] for d in DIMENSIONS]
+        if max(off) <= TOLERANCE:
+            break
     return w
 
 
@@ -81,54 +96,97 @@ def _scaled(ratio: np.ndarray, share: np.ndarray, weight: np.ndarray, keep: floa
     r, s, w = ratio[order], share[order], weight[order]
     full = np.concatenate(([0.0], np.cumsum(s)[:-1]))
     rest = w.sum() - np.concatenate(([0.0], np.cumsum(w)[:-1]))
-    f = (keep - full) / rest
-    return float(f[np.argmax(r * f <= 1)] if (r * f <= 1).any() else 1 / r.min())
+    f = np.divide(keep - full, rest, out=np.full(len(r), np.inf), where=rest > 1e-15)
+    return float(f[np.argmax(r * f <= 1)] if (r * f <= 1).any() else 1 / r[r > 0].min())
+
 
+def _search(good: Callable[[float], bool], high: float) -> float:
+    """The largest factor up to ``high`` (to 60 halvings) that is still good; small ones are."""
+    low = 0.0
+    for _ in range(60):
+        f = (low + high) / 2
+        low, high = (f, high) if good(f) else (low, f)
+    return low
+
+
+def _plan(rows: DataFrame, keep: float | None, unmet: float, targets: Targets | None, temper: Mapping[str, float], sweeps: int, max_cells: int) -> DataFrame:
+    """``q`` of each cell: the tokens that it is due for each token that it has, and so its probability where that is below one."""
+    spark = rows.sparkSession
+    goal_of = lambda d, names, shares: _goal(names, shares, temper[d], (targets or {}).get(d))
+    cells = staged(rows.where("tokens > 0").groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells")
+    count = cells.count()
+    if count > max_cells:
+        raked = _raked_frames(cells, goal_of, sweeps)
+        total = float(cells.agg(F.sum("tokens")).first()[0])
+        curve = staged(raked.select(*DIMENSIONS, (F.col("w") * F.lit(total) / F.col("tokens")).alias("r"), (F.col("tokens") / F.lit(total)).alias("s"), "w"), "curve")
+        held = lambda f: curve.agg(F.sum(F.least(F.lit(1.0), F.col("r") * F.lit(f)) * F.col("s"))).first()[0]
+        top = 1 / curve.where("r > 0").agg(F.min("r")).first()[0]
+        factor = _search(lambda f: held(f) <= keep if keep is not None else held(f) >= f * (1 - unmet), top)
+        return curve.select(*DIMENSIONS, (F.col("r") * F.lit(factor)).alias("q"))
+    pdf = cells.toPandas().sort_values(list(DIMENSIONS)).reset_index(drop=True)  # at most max_cells rows
+    pdf["q"] = 0.0
+    if count:
+        w = _raked(pdf, goal_of, sweeps)
+        share = pdf["tokens"].to_numpy(np.float64) / pdf["tokens"].sum()
+        r = w / share
+        if keep is not None:
+            factor = _scaled(r, share, w, keep)
+        else:
+            factor = _search(lambda f: (np.minimum(1, f * r) * share).sum() >= f * (1 - unmet), 1 / r[r > 0].min())
+        pdf["q"] = factor * r
+    return F.broadcast(spark.createDataFrame(pdf[[*DIMENSIONS, "q"]].values.tolist(), "source string, lang string, topic string, q double"))
 
-def mixed(docs: DataFrame, keep: float = 0.5, temper: dict[str, float] = TEMPER, sweeps: int = SWEEPS, max_cells: int = MAX_CELLS) -> DataFrame:
+
+def _draw(key: Column) -> Column:
+    """A number in [0, 1) that follows from the key alone."""
+    return F.conv(F.substring(F.md5(key.cast("binary")), 1, 8), 16, 10).cast("double") / 4294967296.0
+
+
+def mixed(
+    docs: DataFrame, keep: float | None = 0.5, unmet: float = 0.01, targets: Targets | None = None, temper: Mapping[str, float] = TEMPER,
+    sweeps: int = SWEEPS, max_cells: int = MAX_CELLS, topic_of: Callable[[Column, Column], Column] = topic,
+) -> DataFrame:
     """Sampling decisions that bring the token mix of ``docs`` to the target marginals.
 
+    ``targets`` gives the weights of categories by dimension (``source``, ``lang``, ``topic``; a category that is not named gets none);
+    a dimension without targets takes its own shares, tempered. ``topic_of`` makes the topic of text and tokens.
+
     Returns one row per input row: ``doc_id``, ``tokens``, ``topic``, ``probability`` of being kept, ``weight`` (at least
     one: what a kept token counts where its cell would need more tokens than there are) and ``kept``. The mean of
-    probability times weight meets all three marginals; kept documents hold ``keep`` of the tokens at the mean. The
-    decision depends on the id alone (md5), so equal ids fall alike; a null id counts as empty text. Documents without
+    probability times weight meets all three marginals; kept documents hold ``keep`` of the tokens at the mean. With
+    ``keep`` None it is as much as leaves at most ``unmet`` of the target weight to such cells, so that kept tokens meet
+    the marginals without weights. Targets that contradict one another where cells are empty are met in the last dimension only,
+    after ``sweeps`` rounds.
+
+    The decision depends on the id alone (md5), so equal ids fall alike; a null id counts as empty text. Documents without
     tokens weigh nothing and are kept. Null categories are '(none)'. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    rows = staged(measured(docs), "measured")
-    cells = staged(rows.where("tokens > 0").groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells")
-    count = cells.count()
-    if count > max_cells:
-        raked = _raked_frames(cells, temper, sweeps)
-        total = cells.agg(F.sum("tokens")).first()[0]
-        curve = raked.select((F.col("w") * F.lit(float(total)) / F.col("tokens")).alias("r"), (F.col("tokens") / F.lit(float(total))).alias("s"), "w")
-        factor = _factor_by_search(curve, keep)
-        plan = raked.select(*DIMENSIONS, (F.lit(factor * total) * F.col("w") / F.col("tokens")).alias("q"))
-    else:
-        pdf = cells.toPandas().sort_values(list(DIMENSIONS)).reset_index(drop=True)
-        if count:
-            w = _raked(pdf, temper, sweeps)
-            share = pdf["tokens"].to_numpy(np.float64) / pdf["tokens"].sum()
-            pdf["q"] = _scaled(w / share, share, w, keep) * w / share
-        else:
-            pdf["q"] = []
-        plan = F.broadcast(spark.createDataFrame(list(pdf[[*DIMENSIONS, "q"]].itertuples(index=False, name=None)), "source string, lang string, topic string, q double"))
+    rows = staged(measured(docs, topic_of), "measured")
+    plan = _plan(rows, keep, unmet, targets, temper, sweeps, max_cells)
     q = F.coalesce("q", F.lit(1.0))
-    draw = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 8), 16, 10).cast("double") / 4294967296.0
     p = F.least(q, F.lit(1.0))
+    kept = _draw(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) < p
     return rows.join(plan, list(DIMENSIONS), "left").select(
-        "doc_id", "tokens", "topic", F.round(p, 9).alias("probability"), F.round(F.greatest(q, F.lit(1.0)), 6).alias("weight"), (draw < p).alias("kept")
+        "doc_id", "tokens", "topic", F.round(p, 9).alias("probability"), F.round(F.greatest(q, F.lit(1.0)), 6).alias("weight"), kept.alias("kept")
     )
 
 
-def _factor_by_search(curve: DataFrame, keep: float) -> float:
-    """``_scaled`` for cells in a table: each probe is one aggregate."""
-    low, high = 0.0, 1 / curve.agg(F.min("r")).first()[0]
-    for _ in range(60):
-        f = (low + high) / 2
-        held = curve.agg(F.sum(F.least(F.lit(1.0), F.col("r") * F.lit(f)) * F.col("s"))).first()[0]
-        low, high = (f, high) if held < keep else (low, f)
-    return high
+def sampled(
+    docs: DataFrame, keep: float | None = None, unmet: float = 0.01, targets: Targets | None = None, temper: Mapping[str, float] = TEMPER,
+    sweeps: int = SWEEPS, max_cells: int = MAX_CELLS, topic_of: Callable[[Column, Column], Column] = topic,
+) -> DataFrame:
+    """The rows of ``docs`` that ``mixed`` keeps, with all their columns.
+
+    Rows without a doc_id are drawn by their text, so that they do not all fall alike; equal ids fall alike. No text is shuffled.
+    Column names that begin with ``_mix_`` are not allowed.
+    """
+    plan = _plan(staged(measured(docs, topic_of), "measured"), keep, unmet, targets, temper, sweeps, max_cells)
+    named = {f"_mix_{n}": c for n, c in _dimensions(topic_of).items() if n != "tokens"}
+    plan = plan.select(*(F.col(d).alias(f"_mix_{d}") for d in DIMENSIONS), F.col("q").alias("_mix_q"))
+    key = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.col("text"), F.lit(""))
+    p = F.least(F.coalesce("_mix_q", F.lit(1.0)), F.lit(1.0))
+    joined = docs.withColumns(named).join(plan, [f"_mix_{d}" for d in DIMENSIONS], "left")
+    return joined.where(_draw(key) < p).select(*docs.columns)
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,9 +194,13 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents"), keep=0.5)
 
 
+#: Rounds of the SQL, which cannot end early: more than the given tables need.
+_SQL_SWEEPS = 20
+
+
 def _oracle() -> str:
     sweep, last = [], "w0"
-    for k in range(SWEEPS):
+    for k in range(_SQL_SWEEPS):
         for j, d in enumerate(DIMENSIONS):
             name = f"w{k * 3 + j + 1}"
             sweep.append(
