@@ -9,10 +9,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tempoframe.llm.workspace import staged, table
+from tempoframe.llm.workspace import join_counted, staged, table
 
-#: Groups of a packing task, at the mean; documents of a numbering task over all shards, at the mean.
-GROUPS_A_BLOCK, ROWS_A_BUCKET = 50_000, 500_000
+#: Groups of a packing task, at the mean, until there are so many tasks; documents of a numbering task over all shards, at the mean.
+GROUPS_A_BLOCK, MAX_BLOCKS, ROWS_A_BUCKET = 50_000, 4_096, 500_000
 #: Large parts of a shard, small parts of a large one, and the share of a block's bytes that goes to large ones.
 PARTS, FINE, COARSE_SHARE = 64, 32, 0.9
 
@@ -144,7 +144,7 @@ def _packer(coarse: int, fine: int):
         large = best_fit(sizes[:big], coarse)
         above = max(large, default=-1) + 1
         block["part"] = large + [above + x for x in best_fit(sizes[big:], fine)]
-        return block[["key", "block", "size", "part"]]
+        return block[["key", "block", "size", "copies", "part"]]
 
     return pack
 
@@ -153,15 +153,17 @@ def shard_documents(docs: DataFrame, n_shards: int = 8, capacity: int | None = N
     """Puts every document into a shard so that shards hold nearly as many bytes each; equal texts stay together.
 
     A document takes its UTF-8 bytes plus one; a null text takes one, and null texts are a group of their own, with
-    ``text_crc32`` 0. With ``capacity`` given, the number of shards follows from it instead: the fewest that best fit
-    needs. A group larger than a shard fills one alone (and exceeds it, as groups are not cut).
+    ``text_crc32`` 0. With ``capacity`` given, the number of shards follows from it instead: as many as best fit opens for
+    the parts. A group larger than a shard fills one alone (and exceeds it, as groups are not cut).
 
     Returns ``doc_id``, ``size``, ``text_crc32``, ``law`` ('bytes'), ``shard``, ``slot`` (from 0 without gaps in each
     shard) and ``grown_shard`` (null: this law says nothing of it), one row per input row, repeated and null ids included; an
     empty table gives none. Other columns are ignored.
 
-    Groups are packed best-fit-decreasing within blocks of about ``GROUPS_A_BLOCK`` into parts of bounded capacity,
-    in parallel; the parts, a few thousand plus a few a block however many documents there are, are then packed into the shards.
+    Packing has two levels, both best-fit-decreasing: groups of a block into parts of bounded capacity, block by block in
+    parallel, then all parts into the shards. A group larger than a part is a part of its own, so large groups are
+    placed among all by their size; the order by size of smaller ones holds within their block. The parts, a few
+    thousand for the shards and a few for each of at most ``MAX_BLOCKS`` blocks, are packed on the driver.
     """
     text = F.coalesce("text", F.lit(""))
     key = F.when(F.col("text").isNull(), F.unhex(F.lit("00"))).otherwise(F.unhex(F.sha2(text, 256))).alias("key")
@@ -175,29 +177,29 @@ def shard_documents(docs: DataFrame, n_shards: int = 8, capacity: int | None = N
     groups = staged(sized.groupBy("key").agg(F.sum("size").alias("size"), F.count("*").alias("copies")), "groups")
     count, total, rows = groups.agg(F.count("*"), F.sum("size"), F.sum("copies")).first()
     if not count:
-        parts = groups.select("key", F.lit(0).alias("shard"))
+        parts = groups.select("key", "copies", F.lit(0).alias("shard"))
     else:
         room = capacity or -(-total // n_shards)
         coarse = max(1, room // PARTS)
-        blocks = math.ceil(count / GROUPS_A_BLOCK)
-        blocked = groups.select("key", "size", F.pmod(F.xxhash64("key"), F.lit(blocks)).alias("block"))
+        blocks = min(math.ceil(count / GROUPS_A_BLOCK), MAX_BLOCKS)
+        blocked = groups.select("key", "size", "copies", F.pmod(F.xxhash64("key"), F.lit(blocks)).alias("block"))
         packed = staged(
             blocked.groupBy("block").applyInPandas(
-                _packer(coarse, max(1, coarse // FINE)), "key binary, block long, size long, part long"
+                _packer(coarse, max(1, coarse // FINE)), "key binary, block long, size long, copies long, part long"
             ),
             "parts",
         )
-        sums = packed.groupBy("block", "part").agg(F.sum("size").alias("size")).collect()
+        sums = packed.groupBy("block", "part").agg(F.sum("size").alias("size")).collect()  # bounded by MAX_BLOCKS and the shards
         sums.sort(key=lambda r: (-r["size"], r["block"], r["part"]))
         sizes = [r["size"] for r in sums]
         placed = best_fit(sizes, capacity) if capacity else _fewest(sizes, n_shards, total)
         where = docs.sparkSession.createDataFrame(
             [(r["block"], r["part"], s) for r, s in zip(sums, placed, strict=True)], "block long, part long, shard int"
         )
-        parts = packed.join(F.broadcast(where), ["block", "part"]).select("key", "shard")
+        parts = packed.join(F.broadcast(where), ["block", "part"]).select("key", "copies", "shard")
     buckets = max(64, math.ceil((rows or 0) / ROWS_A_BUCKET))
     bucket = F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(buckets)).alias("bucket")
-    put = staged(sized.join(parts, "key").select("doc_id", "size", "text_crc32", "shard", bucket), "placed")
+    put = staged(join_counted(sized, staged(parts, "shards"), ["key"]).select("doc_id", "size", "text_crc32", "shard", bucket), "placed")
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = put.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     starts = starts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
