@@ -3,43 +3,63 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tempoframe.llm import decontaminate, mixing, near_dup, quality, shards
 from tempoframe.llm.workspace import new_path, staged, table
 
-#: Share of the tokens that the mixing stage keeps.
-KEEP = 0.7
+#: Share of the target weight that the mixing stage may leave to sources, languages and topics with too few tokens.
+UNMET = 0.02
 
 
-def _only(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
-    """Documents whose id is in ``ids`` (or is not, for ``left_anti``); a null id is in none."""
-    return docs.join(staged(ids.select("doc_id").distinct(), "ids"), "doc_id", how).select(*docs.columns)
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row``, a number that no other row has: decisions are made and applied row by row, whatever doc_ids are null or repeat."""
+    return staged(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
+def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The numbered ``docs`` but those in ``rows``, as they came."""
+    return docs.join(staged(rows.select("_row").distinct(), "gone"), "_row", "left_anti").drop("_row")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject; those without an id are judged like the others."""
+    """Rows that the quality classifier does not reject. Null and empty texts are judged like others, by their statistics; so are rows without an id."""
     forest = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
     return quality.accepted(docs, forest)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one with the smallest id; so do documents without an id."""
-    found = near_dup.near_duplicates(docs, words=5, threshold=80)
-    return _only(docs, found.where("not kept"), "left_anti")
+    """One row of each group of near duplicates stays, that with the smallest doc_id (null last); among rows that share it, any one.
+
+    Rows with null or wordless texts are in no group and stay, repeated ones too.
+    """
+    rows = _numbered(docs)
+    found = near_dup.near_duplicates(rows, words=5, threshold=80, id_col="_row").select(F.col("doc_id").alias("_row"), "component_id")
+    # Groups of two rows or more; the others need no choice.
+    large = found.where("_row <> component_id").select("component_id").distinct()
+    members = staged(found.join(large, "component_id", "left_semi"), "members").join(rows.select("_row", "doc_id"), "_row")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    first = members.groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first._row").alias("_row"))
+    return _without(rows, members.select("_row").join(staged(first, "first"), "_row", "left_anti"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
-    return _only(docs, decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")), "left_anti")
+    """Rows without a benchmark passage; null and short texts hold none."""
+    rows = _numbered(docs)
+    found = decontaminate.contaminated(rows.select(F.col("_row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return _without(rows, found.select(F.col("doc_id").alias("_row")))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The sample of documents that brings sources, languages and topics to their target weights."""
-    return _only(docs, mixing.mixed(docs, keep=KEEP).where("not kept"), "left_anti")
+    """The largest sample whose tokens meet the target weights of sources, languages and topics but for ``UNMET``.
+
+    Texts without words weigh nothing and stay; rows that share a doc_id fall alike, rows without one by their text.
+    """
+    return mixing.sampled(docs, keep=None, unmet=UNMET)
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The shard and slot of each document that is left."""
+    """The shard and slot of each row that is left, null texts and repeated ids included."""
     return shards.shard_documents(docs, n_shards=8)
 
 
@@ -56,7 +76,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to ``documents``; what each keeps is written as Parquet and read again."""
+    """Applies the stages to ``documents``; what each keeps is written as Parquet and read again.
+
+    Every stage decides row by row, so null and repeated doc_ids lose no rows and hide none. Empty tables give no rows;
+    a column of ``documents`` may have any name but ``_row`` and those that begin with ``_mix_``.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = new_path(spark, name)
