@@ -4,14 +4,19 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tempoframe.llm import decontaminate, licenses, line_dedup, mixing, quality, shards
 
 
+SCHEMA = "doc_id long, text string, lang string, source string"
+
+
 def docs_of(spark, texts):
     return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
 
@@ -166,6 +171,76 @@ def test_mixing_meets_the_marginals(spark):
     assert mixing.mixed(docs.limit(0)).count() == 0
 
 
+def marginals(rows, dims=("source", "lang", "topic")):
+    total = sum(r["tokens"] for r in rows)
+    return {d: {c: sum(r["tokens"] for r in rows if r[d] == c) / total for c in {r[d] for r in rows}} for d in dims}
+
+
+def mixed_by_hand(docs, unmet):
+    """The ids that mixing keeps, by dictionaries: raking, the largest share with little unmet weight, draws by md5."""
+    rows = []
+    for r in docs:
+        words, low = re.findall(r"[^\x20\x09-\x0D]+", r.text or ""), (r.text or "").lower()
+        kind = "legal" if "license" in low else "contact" if "@" in low else "web" if "http" in low else "long" if len(words) >= 1000 else "prose"
+        rows.append({"id": r.doc_id, "tokens": len(words), "source": r.source or "(none)", "lang": r.lang or "(none)", "topic": kind})
+    dims = ("source", "lang", "topic")
+    cells = Counter()
+    for r in rows:
+        cells[tuple(r[d] for d in dims)] += r["tokens"]
+    share = {c: n / sum(cells.values()) for c, n in cells.items() if n}
+    sums = lambda w, k: {x: sum(v for c, v in w.items() if c[k] == x) for x in {c[k] for c in w}}
+    goals = []
+    for k, d in enumerate(dims):
+        raised = {x: v ** mixing.TEMPER[d] for x, v in sums(share, k).items()}
+        goals.append({x: v / sum(raised.values()) for x, v in raised.items()})
+    w = dict(share)
+    for _ in range(60):
+        for k, goal in enumerate(goals):
+            now = sums(w, k)
+            w = {c: v * goal[c[k]] / now[c[k]] for c, v in w.items()}
+    low, high = 0.0, max(share[c] / w[c] for c in w)
+    for _ in range(60):
+        f = (low + high) / 2
+        low, high = (f, high) if sum(min(share[c], f * w[c]) for c in w) >= f * (1 - unmet) else (low, f)
+    kept = set()
+    for r in rows:
+        c = tuple(r[d] for d in dims)
+        p = min(1, low * w[c] / share[c]) if c in w else 1
+        if int(hashlib.md5(str(r["id"]).encode()).hexdigest()[:8], 16) / 2**32 < p:
+            kept.add(r["id"])
+    return kept
+
+
+def test_kept_documents_have_the_target_mix(spark):
+    """What is kept, not only its probabilities, meets given and tempered targets within the error of sampling."""
+    rng = random.Random(7)
+    texts = ["plain words here " * 3, "a license note of words " * 2, "write to me@x " * 4, "see http here now " * 2]
+    rows = [(i, rng.choice(texts), rng.choices(["en", "de", "fr"], [8, 3, 1])[0], rng.choices("abc", [10, 4, 1])[0]) for i in range(30_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").cache()
+    targets = {"source": {"a": 2.0, "b": 1.0, "c": 1.0}, "lang": {"en": 0.5, "de": 0.3, "fr": 0.2}}
+    for given in (targets, None):
+        made = mixing.mixed(docs, keep=None, unmet=0.02, targets=given).join(docs.select("doc_id", "source", "lang"), "doc_id").collect()
+        kept = marginals([r.asDict() for r in made if r.kept])
+        before = marginals([r.asDict() for r in made])
+        assert sum(r.kept for r in made) > 3_000
+        for d in ("source", "lang", "topic"):
+            goal = (given or {}).get(d) or {c: v ** mixing.TEMPER[d] for c, v in before[d].items()}
+            off = sum(abs(kept[d].get(c, 0) - goal[c] / sum(goal.values())) for c in goal) / 2
+            assert off < 0.02 + 0.015
+    same = {r.doc_id for r in mixing.sampled(docs, unmet=0.02, targets=targets).collect()}
+    assert same == {r.doc_id for r in mixing.mixed(docs, keep=None, unmet=0.02, targets=targets).collect() if r.kept}
+    frames = {r.doc_id for r in mixing.sampled(docs, unmet=0.02, targets=targets, max_cells=0).collect()}
+    assert len(frames ^ same) <= 3  # both searches end within rounding of one another
+    with pytest.raises(ValueError, match="none of the target"):
+        mixing.mixed(docs, targets={"source": {"z": 1.0}})
+
+
+def test_a_topic_of_the_callers_own(spark):
+    docs = spark.createDataFrame([(i, "x " * (i % 5 + 1), "en", "s") for i in range(50)], SCHEMA)
+    got = mixing.mixed(docs, topic_of=lambda text, tokens: (tokens % 2).cast("string")).collect()
+    assert {r.topic for r in got} == {"0", "1"}
+
+
 def test_room_tree_and_best_fit():
     rng = random.Random(1)
     sizes = sorted((rng.randrange(1, 60) for _ in range(400)), reverse=True)
@@ -200,6 +275,77 @@ def test_shards(spark):
     assert len({r.shard for r in big if r.size > 10}) == 1
 
 
+def test_shards_of_a_fixed_capacity(spark, monkeypatch):
+    """Over one block and over many: no shard exceeds the capacity but by one group, and few more shards than plain best fit."""
+    rng = random.Random(6)
+    texts = [f"{i} " + "y" * rng.randrange(1, 900) for i in range(900)] + ["z" * 30_000] * 2
+    sizes = Counter()
+    for t in texts:
+        sizes[t] += len(t) + 1
+    plain = max(shards.best_fit(sorted(sizes.values(), reverse=True), 20_000)) + 1
+    for block in (50_000, 200):
+        monkeypatch.setattr(shards, "GROUPS_A_BLOCK", block)
+        load, groups = Counter(), defaultdict(set)
+        for r in shards.shard_documents(docs_of(spark, texts), capacity=20_000).collect():
+            load[r.shard] += r.size
+            groups[r.shard].add(texts[r.doc_id])
+        assert all(n <= 20_000 or len(groups[s]) == 1 for s, n in load.items())
+        assert plain <= len(load) <= plain + 2 and sum(load.values()) == sum(sizes.values())
+
+
+def walked(forest, row):
+    """The score of one row, a tree and a node at a time."""
+    raw = forest.base
+    for k in forest.roots:
+        while forest.left[k] != k:
+            k = forest.right[k] if row[forest.feature[k]] > forest.threshold[k] else forest.left[k]
+        raw += forest.value[k]
+    return 1 / (1 + np.exp(-raw))
+
+
+def test_forest_against_single_steps():
+    rng = np.random.default_rng(3)
+    x, y = rng.integers(0, 9, (300, 3)).astype(float), rng.integers(0, 2, 300).astype(float)
+    forest = quality.fit_forest(x, y, trees=12, depth=3)
+    assert forest.scores(x) == pytest.approx([walked(forest, r) for r in x])
+
+
+def test_first_split_against_all_splits():
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 12, (400, 3)).astype(float)
+    y = ((x[:, 1] > 6) ^ (rng.random(400) < 0.2)).astype(float)
+    forest = quality.fit_forest(x, y, trees=1, depth=1, rate=1.0, least=4.0, ridge=1.0)
+    p = 1 / (1 + np.exp(-forest.base))
+    g, h = p - y, np.full(400, p * (1 - p))
+    best = (-1.0,)
+    for f in range(3):
+        for cut in np.unique(x[:, f])[:-1]:
+            left = x[:, f] <= cut
+            if min(h[left].sum(), h[~left].sum()) >= 4:
+                gain = sum(g[m].sum() ** 2 / (h[m].sum() + 1) for m in (left, ~left)) - g.sum() ** 2 / (h.sum() + 1)
+                if gain > best[0] + 1e-12:
+                    best = (gain, f, cut, -g[left].sum() / (h[left].sum() + 1), -g[~left].sum() / (h[~left].sum() + 1))
+    root = forest.roots[0]
+    assert (forest.feature[root], forest.threshold[root]) == best[1:3]
+    assert (forest.value[forest.left[root]], forest.value[forest.right[root]]) == pytest.approx(best[3:])
+
+
+def test_statistics_of_texts_by_hand():
+    texts = ["The CAT sat,\nthe cat sat!\nthe", "", None, "é1$ x", "w " * 3000]
+    got = quality.text_features(pa.array(texts))
+    for row, text in zip(got, texts, strict=True):
+        raw = (text or "").encode()
+        words = re.findall(rb"[^\x20\x09-\x0D]+", raw.lower())
+        upper, lower = sum(65 <= b <= 90 for b in raw), sum(97 <= b <= 122 for b in raw)
+        wide = sum(b >= 128 for b in raw)
+        named = dict(zip(quality.FEATURES, row, strict=True))
+        assert named["log_words"] == pytest.approx(np.log1p(len(words))) and named["log_bytes"] == pytest.approx(np.log1p(len(raw)))
+        assert named["upper_share"] == pytest.approx(upper / max(upper + lower, 1)) and named["wide_share"] == pytest.approx(wide / max(len(raw), 1))
+        assert named["distinct_words"] == pytest.approx(len(set(words)) / max(len(words), 1))
+        assert named["top_word"] == pytest.approx(max(Counter(words).values(), default=0) / max(len(words), 1))
+        assert named["distinct_lines"] == pytest.approx(len(set(raw.split(b"\n"))) / len(raw.split(b"\n")))
+
+
 def test_forest_learns_and_scores():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(600, 4))
