@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tempoframe.llm.workspace import staged
+from tempoframe.llm.workspace import join_counted, staged
 
 
 def _two_way(edges: DataFrame) -> DataFrame:
@@ -18,18 +18,18 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     ``edges`` has long columns ``u`` and ``v``, in any direction, with repeats and loops allowed; null ends are
     ignored. Returns ``node``, ``component`` (one row per node; no row for an empty table). Alternates the large-star and small-star
-    rewrites: each keeps the number of edges, and the joins on a node with many edges are ordinary equi-joins that
-    adaptive execution splits. Every round is written to the shared folder.
+    rewrites: each keeps the number of edges, and what a node of very many edges needs is broadcast instead of joined in one task.
+    Every round is written to the shared folder.
     """
     stars = staged(
         edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges"
     )
     for _ in range(max_rounds):
-        both = _two_way(stars)
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        hooked = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        both, n = _two_way(stars), 2 * stars.count()
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("copies"))
+        large = join_counted(both.where("v > u"), low, ["u"], total=n).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("copies"))
+        hooked = join_counted(large, least, ["u"], total=n).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         after = staged(hooked.where("u <> v").distinct(), "edges")
         # A forest of stars: no node is both a leaf and a centre, and no leaf has two centres.
         leaves = after.groupBy("u").agg(F.count("*").alias("n"))

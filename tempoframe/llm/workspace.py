@@ -24,15 +24,17 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def join_counted(rows: DataFrame, keyed: DataFrame, on: list[str], copies: str = "copies") -> DataFrame:
-    """Inner join of ``rows`` with ``keyed``, which has one row a key and in ``copies`` how many of ``rows`` have it.
+def join_counted(rows: DataFrame, keyed: DataFrame, on: list[str], copies: str = "copies", total: int | None = None) -> DataFrame:
+    """Inner join of ``rows`` with ``keyed``, which has one row a key and in ``copies`` how many of ``rows`` have it (``total`` together).
 
     A key of more than ``HOT_ROWS`` rows and more than a ``MAX_HOT``-th of all would fill one task; there are at most
     ``MAX_HOT`` such keys, so they are broadcast, and only the rows of other keys are shuffled.
     """
-    least = max(HOT_ROWS, (keyed.agg(F.sum(copies)).first()[0] or 0) // MAX_HOT)
+    known = total is not None
+    total = total if known else keyed.agg(F.sum(copies)).first()[0] or 0
+    least = max(HOT_ROWS, total // MAX_HOT)
     hot = F.broadcast(keyed.where(F.col(copies) > least))
-    if hot.isEmpty():
+    if total <= least or (not known and hot.isEmpty()):
         return rows.join(keyed, on)
     rest = rows.join(hot.select(*on), on, "left_anti").join(keyed.where(F.col(copies) <= least), on)
     return rows.join(hot, on).unionByName(rest)
