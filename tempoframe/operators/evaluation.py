@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tempoframe.functions.ranks import average_ranks, quantiles
+
 RISE, FALL = math.log(1.10), math.log(0.90)
 
 
@@ -28,7 +30,8 @@ def chronological_split(rows: DataFrame, date: str, test_share: float = 0.2) ->
 
 def impute_standardize(rows: DataFrame, columns: list[str], train: Column) -> DataFrame:
     """Columns with nulls replaced by the training median, then centred and scaled by training mean and population deviation (one if it is zero)."""
-    medians = rows.where(train).agg(*(F.coalesce(F.expr(f"percentile({c}, 0.5)"), F.lit(0.0)).alias(f"_m_{c}") for c in columns))
+    middle = quantiles(rows.where(train), {f"_m_{c}": (c, 0.5) for c in columns})
+    medians = middle.select(*(F.coalesce(c, F.lit(0.0)).alias(c) for c in middle.columns))
     filled = rows.crossJoin(F.broadcast(medians)).withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}")) for c in columns}).drop(*(f"_m_{c}" for c in columns))  # one row
     stats = filled.where(train).agg(*(F.avg(c).alias(f"_a_{c}") for c in columns), *(F.stddev_pop(c).alias(f"_s_{c}") for c in columns))
     joined = filled.crossJoin(F.broadcast(stats))  # one row
@@ -36,9 +39,11 @@ def impute_standardize(rows: DataFrame, columns: list[str], train: Column) -> Da
 
 
 def category_codes(rows: DataFrame, column: str, levels_from: Column | None = None) -> DataFrame:
-    """Adds ``<column>_code``: the place of the level among the sorted levels (of the chosen rows); an unknown level gets their number."""
+    """Adds ``<column>_code``: the place of the level among the sorted levels (of the chosen rows); an unknown level gets their number.
+
+    Levels are those of a category, so they are few: they are sorted in one task.
+    """
     known = (rows if levels_from is None else rows.where(levels_from)).where(F.col(column).isNotNull()).select(column).distinct()
-    # one sort of the different levels
     codes = known.withColumn("_code", (F.dense_rank().over(Window.orderBy(column)) - 1).cast("long"))
     n = known.count()
     return rows.join(codes, column, "left").withColumn(f"{column}_code", F.coalesce("_code", F.lit(n))).drop("_code")
@@ -85,17 +90,10 @@ def _direction(c: Column) -> Column:
     return F.when(c > RISE, 1).when(c < FALL, -1).otherwise(0)
 
 
-def _ranked(rows: DataFrame, c: str) -> DataFrame:
-    """Average ranks of equal values, from counts of the different values."""
-    counts = rows.groupBy(c).agg(F.count("*").alias("_n"))
-    ranks = counts.withColumn("_r", F.sum("_n").over(Window.orderBy(c)) - (F.col("_n") - 1) / 2.0)
-    return rows.join(ranks.select(c, F.col("_r").alias(f"_rank_{c}")), c)
-
-
 def regression_metrics(rows: DataFrame, actual: str, predicted: str) -> DataFrame:
     """One row of errors, R², three-class direction accuracy and rank correlation; pairs with a null are left out."""
     pairs = rows.select(F.col(actual).cast("double").alias("a"), F.col(predicted).cast("double").alias("p")).dropna()
-    ranked = _ranked(_ranked(pairs, "a"), "p")
+    ranked = average_ranks(average_ranks(pairs, "a", "_rank_a"), "p", "_rank_p")
     e = F.col("p") - F.col("a")
     return ranked.agg(
         F.count("*").alias("n"), F.avg(F.abs(e)).alias("mae"), (F.exp(F.avg(F.abs(e))) - 1).alias("approximate_mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
@@ -107,8 +105,8 @@ def regression_metrics(rows: DataFrame, actual: str, predicted: str) -> DataFram
 def calibration_deciles(rows: DataFrame, actual: str, predicted: str, bins: int = 10) -> DataFrame:
     """Bins by quantile edges of the prediction (equal edges once), right-closed: size, means and the share of rises."""
     pairs = rows.select(F.col(actual).cast("double").alias("a"), F.col(predicted).cast("double").alias("p")).dropna()
-    at = ", ".join(str(k / bins) for k in range(bins + 1))
-    edges = pairs.agg(F.array_distinct(F.expr(f"percentile(p, array({at}))")).alias("edges"))
+    found = quantiles(pairs, {f"_{k}": ("p", k / bins) for k in range(bins + 1)})
+    edges = found.select(F.array_distinct(F.array(*found.columns)).alias("edges"))
     # the first bin takes the lowest edge too
     bin_of = F.greatest(F.size(F.filter("edges", lambda e: e < F.col("p"))) - 1, F.lit(0))
     placed = pairs.crossJoin(F.broadcast(edges)).withColumn("bin", bin_of.cast("long"))  # one row
@@ -163,7 +161,9 @@ def bootstrap_difference(rows: DataFrame, actual: str, a: str, b: str, samples:
 
 def interval_coverage(rows: DataFrame, actual: str, lower: str, upper: str) -> DataFrame:
     """Share of values inside their interval, and its median width."""
-    return rows.agg(F.avg(F.col(actual).between(F.col(lower), F.col(upper)).cast("double")).alias("coverage"), F.expr(f"percentile({upper} - {lower}, 0.5)").alias("median_width"))
+    share = rows.agg(F.avg(F.col(actual).between(F.col(lower), F.col(upper)).cast("double")).alias("coverage"))
+    width = rows.select((F.col(upper) - F.col(lower)).alias("w"))
+    return share.crossJoin(F.broadcast(quantiles(width, {"median_width": ("w", 0.5)})))  # one row each
 
 
 def promotion_gate(metrics: DataFrame) -> DataFrame:

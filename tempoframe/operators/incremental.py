@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tempoframe.operators.valuation import weighted_mean_if
+from tempoframe.functions.state import written
+from tempoframe.operators.valuation import replay_steps, rolling_asof_form, valuation_feature_table
 
 
 def select_new_work(found: DataFrame, done: DataFrame, today: str, most: int) -> DataFrame:
@@ -33,19 +36,29 @@ def select_last_n(rows: DataFrame, n: int, player_id: int | None = None) -> Data
     return last.withColumn("sequence", F.row_number().over(Window.orderBy("match_date", "match_id")).cast("long"))  # n rows
 
 
-def replay_sequence(ratings: DataFrame, n: int) -> DataFrame:
-    """For each player's last ``n`` matches the form as it was after each, and its change from the step before.
+def replay_sequence(valuations: DataFrame, ratings: DataFrame, n: int, predict: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Each player's last ``n`` matches over again: what a frozen model made of the player the day after each of them.
 
-    Set-wise: each step joins the player's matches up to it; nothing is fitted again.
+    ``ratings`` hold what was rated with frozen statistics, as from ``ratings_prepare``; nothing is fitted again. ``predict`` adds ``log_change``, ``log_lower`` and
+    ``log_upper`` to rows of ``valuation_feature_table``. Returns one row per match: ``sequence``, ``status`` ('succeeded', or
+    'skipped_missing_value' without an earlier value and 'skipped_no_minutes' without minutes since), form and matches known, ``estimate`` with
+    limits, and ``estimate_change`` from the estimate before. All steps of all players are one as-of aggregation.
     """
-    order = Window.partitionBy("player_id").orderBy(F.col("match_date").desc(), F.col("match_id").desc())
-    steps = ratings.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= n).select("player_id", F.col("match_id").alias("step_match"), F.col("match_date").alias("step_date"))
-    past = steps.join(ratings, "player_id").where(F.struct("match_date", "match_id") <= F.struct(F.col("step_date").alias("match_date"), F.col("step_match").alias("match_id")))
-    days = F.datediff("step_date", "match_date")
-    past = past.withColumn("_w", F.col("minutes") * F.pow(F.lit(2.0), -days / 90.0))
-    made = past.groupBy("player_id", "step_match", "step_date").agg(weighted_mean_if("rating", "_w", F.col("minutes") > 0).alias("estimate"), F.count("*").alias("matches_known"))
-    w = Window.partitionBy("player_id").orderBy("step_date", "step_match")
-    return made.withColumns({"sequence": F.row_number().over(w).cast("long"), "estimate_change": F.col("estimate") - F.lag("estimate").over(w)}).drop("step_date")
+    steps = written(replay_steps(valuations, ratings, n), "steps")
+    asked = steps.where("previous_value is not null").drop("match_id", "match_date", "sequence").distinct()
+    features = predict(valuation_feature_table(asked, ratings, 1, overlapping=True))
+    value = lambda c: F.col("previous_value") * F.exp(c)
+    found = features.select(
+        "player_id", "valuation_date", value("log_change").alias("estimate"), value("log_lower").alias("estimate_lower"), value("log_upper").alias("estimate_upper"), F.lit(True).alias("_scored")
+    )
+    form = rolling_asof_form(steps.select("player_id", "valuation_date", "previous_valuation_date").distinct(), ratings).select("player_id", "valuation_date", "asof_form", "matches_last_20")
+    status = F.when(F.col("_scored"), "succeeded").when(F.col("previous_value").isNull(), "skipped_missing_value").otherwise("skipped_no_minutes")
+    before = Window.partitionBy("player_id").orderBy("sequence").rowsBetween(Window.unboundedPreceding, -1)
+    rows = steps.join(form, ["player_id", "valuation_date"], "left").join(found, ["player_id", "valuation_date"], "left")
+    return rows.select(
+        "player_id", "match_id", "sequence", status.alias("status"), "asof_form", "matches_last_20", "estimate", "estimate_lower", "estimate_upper",
+        (F.col("estimate") - F.last("estimate", ignorenulls=True).over(before)).alias("estimate_change"),
+    )
 
 
 def stamp_provenance(rows: DataFrame, provider: str, season: str, version: str, scored_at: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempoframe.functions.expressions import clip
@@ -41,20 +41,55 @@ def shot_frame(shots: DataFrame) -> DataFrame:
     return made.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in SHOT_NUMERIC}).withColumn("label", (F.col("is_goal") == 1).cast("double"))
 
 
-def fit_xg(shots: DataFrame, rounds: int = 20, seed: int = 42) -> PipelineModel:
-    """Goal probability of shots in scope."""
+#: Features with long tails, held within quantiles of the shots that a model is fitted on.
+CLIPPED = ("inverse_distance", "distance_angle_ratio", "central_close")
+
+
+def fit_xg(shots: DataFrame, rounds: int = 20, seed: int = 42) -> tuple[PipelineModel, DataFrame]:
+    """Goal probability of shots in scope, and the bounds (one row) within which long-tailed features were held."""
     rows = shot_frame(shots.where(sho.xg_scope(shots)))
-    return Pipeline(stages=[*_assembled(SHOT_NUMERIC, SHOT_CATEGORIES), _trees(GBTClassifier, "label", rounds, seed)]).fit(rows)
+    bounds = written(sho.quantile_bounds(rows, list(CLIPPED)), "bounds")
+    held = sho.clip_to(rows, bounds, list(CLIPPED))
+    return Pipeline(stages=[*_assembled(SHOT_NUMERIC, SHOT_CATEGORIES), _trees(GBTClassifier, "label", rounds, seed)]).fit(held), bounds
 
 
-def score_xg(shots: DataFrame, model: PipelineModel) -> DataFrame:
+def score_xg(shots: DataFrame, model: PipelineModel, bounds: DataFrame) -> DataFrame:
     """``xg`` of each shot: zero for own goals, a fixed probability for penalties, the model's otherwise; null coordinates have none."""
-    scored = model.transform(shot_frame(shots))
+    scored = model.transform(sho.clip_to(shot_frame(shots), bounds, list(CLIPPED)))
     p = vector_to_array("probability")[1]
     xg = F.when(F.coalesce(F.col("is_own_goal"), F.lit(0)) == 1, sho.OWN_GOAL_XG).when(F.coalesce("is_penalty_situation", F.lit(False)), sho.PENALTY_XG).when(F.col("x").isNotNull() & F.col("y").isNotNull(), p)
     return scored.select("match_id", "event_id", xg.alias("xg"))
 
 
+def save_model(path: str, *parts: PipelineModel | DataFrame) -> str:
+    """Writes the parts of a fit, fitted pipelines and tables, to folders of ``path``."""
+    for k, part in enumerate(parts):
+        writer = part.write.mode("overwrite") if isinstance(part, DataFrame) else part.write().overwrite()
+        (writer.parquet if isinstance(part, DataFrame) else writer.save)(f"{path}/{'table' if isinstance(part, DataFrame) else 'pipeline'}-{k}")
+    return path
+
+
+def load_model(spark: SparkSession, path: str, *kinds: str) -> tuple[PipelineModel | DataFrame, ...]:
+    """The parts of a fit as ``save_model`` wrote them; ``kinds`` names each as 'pipeline' or 'table'."""
+    return tuple(spark.read.parquet(f"{path}/table-{k}") if kind == "table" else PipelineModel.load(f"{path}/pipeline-{k}") for k, kind in enumerate(kinds))
+
+
+def held_out(keys: Column, share: float = 0.2) -> Column:
+    """Whether a row is kept out of a fit, by the hash of its keys: whole matches stay together where the match is the key."""
+    return F.pmod(F.xxhash64(keys), F.lit(1000)) < int(share * 1000)
+
+
+def probability_metrics(rows: DataFrame, label: str, probability: str) -> DataFrame:
+    """One row: rows, share of the label, mean probability, Brier score, log loss, and the log loss of always saying the share."""
+    y, p = F.col(label).cast("double"), F.least(F.greatest(F.col(probability), F.lit(1e-9)), F.lit(1 - 1e-9))
+    got = rows.where(F.col(probability).isNotNull() & F.col(label).isNotNull()).agg(
+        F.count("*").alias("n"), F.avg(y).alias("base_rate"), F.avg(p).alias("mean_probability"), F.avg((p - y) * (p - y)).alias("brier"),
+        F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p))).alias("log_loss"),
+    )
+    b = F.least(F.greatest(F.col("base_rate"), F.lit(1e-9)), F.lit(1 - 1e-9))
+    return got.withColumn("base_log_loss", -(b * F.log(b) + (1 - b) * F.log(1 - b)))
+
+
 def fit_xgot(shots: DataFrame, rounds: int = 20, seed: int = 42) -> tuple[PipelineModel, DataFrame]:
     """Goal probability of aimed shots (column ``xg`` known) and the goal frame that it was fitted in."""
     scope = shots.where(sho.xgot_scope(shots))
@@ -276,32 +311,35 @@ def effect_summary(fit: RobustFit) -> DataFrame:
     return rows.withColumns({"lower": F.col("mean") - 1.6449 * F.col("sd"), "upper": F.col("mean") + 1.6449 * F.col("sd"), "p_positive": p})
 
 
-def posterior_score(rows: DataFrame, fit: RobustFit, key: str, player: str = "player_id", draws: int = 400, seed: int = 3) -> DataFrame:
+def posterior_score(rows: DataFrame, fit: RobustFit, key: str, player: str = "player_id", draws: int = 4000, seed: int = 3) -> DataFrame:
     """Median, 5 to 95 % range and probability of a rise of each row's predicted change.
 
-    Draws of the coefficients are made once and sent along; the noise of a row comes from a generator seeded by its key, so results do not depend on
-    partitions. An unknown player has no intercept of its own. Null predictors and unknown positions raise an error.
+    Draws of coefficients, intercepts and noise are made once and shared by all rows, so results depend neither on partitions nor
+    on other rows; blocks of rows are scored as matrices. An unknown player has no intercept of its own. Null predictors and unknown
+    positions raise an error.
     """
-    sample = np.random.default_rng(seed).multivariate_normal(fit.beta, fit.covariance, draws)
-    nu, sigma = fit.nu, fit.sigma
+    rng = np.random.default_rng(seed)
+    sample = rng.multivariate_normal(fit.beta, fit.covariance, draws).T
+    own, noise = rng.standard_normal(draws), fit.sigma * rng.standard_t(fit.nu, draws)
     known = fit.players.select(F.col("player").alias(player), "u", F.sqrt("c").alias("su"), "h")
     position = [] if fit.position is None else [F.col(fit.position).cast("string").alias("position")]
     shape = (fit.predictors, fit.levels, "position" if position else None, fit.slopes)
     zeros = F.array_repeat(F.lit(0.0), len(fit.beta))
-    joined = rows.select(F.col(key).alias("row_key"), player, *fit.predictors, *position).join(known, player, "left").withColumns({"u": F.coalesce("u", F.lit(0.0)), "su": F.coalesce("su", F.lit(0.0)), "h": F.coalesce("h", zeros)})
-    off = sample - fit.beta
+    joined = rows.select(F.col(key).alias("row_key"), player, *fit.predictors, *position).join(known, player, "left")
+    joined = joined.withColumns({"u": F.coalesce("u", F.lit(0.0)), "su": F.coalesce("su", F.lit(0.0)), "h": F.coalesce("h", zeros)})
+    beta = fit.beta
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        off = sample - beta[:, None]
         for batch in batches:
-            m = _design(batch, *shape)
-            if np.isnan(m).any():
-                raise ValueError("a predictor is null")
-            out = np.zeros((len(batch), 4))
-            for i, (row, k, u, su, h) in enumerate(zip(m, batch["row_key"], batch["u"], batch["su"], batch["h"], strict=True)):
-                rng = np.random.default_rng([seed, int(k) & 0xFFFFFFFFFFFF])
-                d = sample @ row + u - off @ h + su * rng.standard_normal(draws)
-                y = d + sigma * rng.standard_t(nu, draws)
-                out[i] = (np.median(d), *np.quantile(y, (0.05, 0.95)), (y > 0).mean())
-            yield pd.DataFrame({"row_key": batch["row_key"], **dict(zip(("median", "lower", "upper", "p_increase"), out.T, strict=True))})
+            for a in range(0, len(batch), 256):
+                part = batch.iloc[a : a + 256]
+                m, h = _design(part, *shape), np.stack(part["h"].tolist())
+                if np.isnan(m).any():
+                    raise ValueError("a predictor is null")
+                d = m @ sample - h @ off + part["u"].to_numpy()[:, None] + part["su"].to_numpy()[:, None] * own
+                y = d + noise
+                low, high = np.quantile(y, (0.05, 0.95), axis=1)
+                yield pd.DataFrame({"row_key": part["row_key"], "median": np.median(d, axis=1), "lower": low, "upper": high, "p_increase": (y > 0).mean(axis=1)})
 
     return joined.mapInPandas(score, "row_key long, median double, lower double, upper double, p_increase double")

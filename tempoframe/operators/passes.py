@@ -100,8 +100,11 @@ GEOMETRY = (
         " ELSE 'pass_other' END",
     },
 )
-#: What a model reads of a pass.
-NUMERIC = tuple(c for layer in GEOMETRY[:3] for c in layer if c not in ("goal_dx", "goal_dy", "start_third", "end_third", "end_channel"))
+#: What a model reads of a pass: where it starts and ends, its own length and angle, its flags and its geometry.
+NUMERIC = (
+    "x", "y", "end_x", "end_y", "pass_length", "pass_angle", "is_cross", "is_through_ball", "is_long_ball", "is_corner", "is_free_kick", "is_throw_in", "is_goal_kick",
+    *(c for layer in GEOMETRY[:3] for c in layer if c not in ("goal_dx", "goal_dy", "start_third", "end_third", "end_channel")),
+)
 CATEGORIES = ("pass_type", "start_third", "end_third", "end_channel")
 
 

@@ -57,24 +57,26 @@ def infer_carries(
     passed = F.coalesce(kind.isin(*IGNORED) | tried | (kind == "Foul"), F.lit(False))
     lost = F.coalesce(lost, F.lit(False))
     dribble = F.coalesce((kind == "TakeOn") & (outcome == "Successful"), F.lit(False)).cast("long")
-    back = [F.col("event_time_seconds").desc(), F.col("event_id").desc()]
+    uid = ["event_uid"] if "event_uid" in rows.columns else []  # orders events of one id, and names carries
+    back = [F.col(c).desc() for c in ("event_time_seconds", "event_id", *uid)]
     whole = Window.partitionBy("match_id", "period_value").orderBy(*back)
     ahead, ahead_team = whole.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("match_id", "period_value", "team_id").orderBy(*back).rowsBetween(Window.unboundedPreceding, -1)
     here = F.struct(
-        "event_time_seconds", "event_id", "team_id", "player_id", "type_name", "x", "y", F.col("_left").alias("dribbles_left")
+        "event_time_seconds", "event_id", *uid, "team_id", "player_id", "type_name", "x", "y", F.col("_left").alias("dribbles_left")
     )
+    name = lambda at: F.coalesce(*(at(c).cast("string") for c in (*uid, "event_id")))
     rows = rows.withColumn("_left", F.sum(dribble).over(whole.rowsBetween(Window.unboundedPreceding, 0)))
     rows = rows.withColumns(
         {
             "_next": F.last(F.when(~passed & ~lost, here), ignorenulls=True).over(ahead),
-            "_own": F.last(F.when(lost, F.struct("event_time_seconds", "event_id")), ignorenulls=True).over(ahead_team),
+            "_own": F.last(F.when(lost, F.struct("event_time_seconds", "event_id", *uid)), ignorenulls=True).over(ahead_team),
             "_after": F.lag("event_time_seconds").over(whole),
         }
     )
     n = F.col("_next")
     seconds = n["event_time_seconds"] - F.col("event_time_seconds")
     metres = _metres(F.col("end_x"), F.col("end_y"), n["x"], n["y"])
-    blocked = F.coalesce(F.col("_own") < F.struct(n["event_time_seconds"].alias("event_time_seconds"), n["event_id"].alias("event_id")), F.lit(False))
+    blocked = F.coalesce(F.col("_own") < F.struct(*(n[c].alias(c) for c in ("event_time_seconds", "event_id", *uid))), F.lit(False))
     found = rows.where(
         kind.isin(*CARRY_FROM) & (outcome == "Successful") & F.col("end_x").isNotNull() & F.col("end_y").isNotNull()
         & n.isNotNull() & ~blocked & (n["team_id"] == F.col("team_id")) & n["type_name"].isin(*CARRY_TO)
@@ -89,7 +91,7 @@ def infer_carries(
     return found.select(
         "match_id",
         (F.col("event_id") + 0.5).cast("double").alias("event_id"),
-        F.concat(F.lit("carry:"), F.col("event_id").cast("string"), F.lit(":"), n["event_id"].cast("string")).alias("event_uid"),
+        F.concat(F.lit("carry:"), name(F.col), F.lit(":"), name(lambda c: n[c])).alias("event_uid"),
         F.col("event_id").alias("source_event_id"),
         n["event_id"].alias("target_event_id"),
         "period_value",

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tempoframe.functions.expressions import clip, layered, non_null_sum
+from tempoframe.functions.ranks import quantiles
 from tempoframe.operators.passes import qualifier_flags
 
 # Qualifier names behind each shot flag.
@@ -145,24 +146,25 @@ def bucketize_shots(shots: DataFrame) -> DataFrame:
 
 def quantile_bounds(shots: DataFrame, columns: list[str], low: float = 0.001, high: float = 0.999) -> DataFrame:
     """One row of ``<column>_lo`` and ``<column>_hi``: elements at the quantiles (the first that is not below), nulls left out."""
-    return shots.agg(
-        *(F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY {c})").alias(f"{c}_{n}") for c in columns for n, q in (("lo", low), ("hi", high)))
-    )
+    return quantiles(shots, {f"{c}_{n}": (c, q) for c in columns for n, q in (("lo", low), ("hi", high))}, discrete=True)
 
 
 def quantile_clip(scope: DataFrame, shots: DataFrame, columns: list[str], low: float = 0.001, high: float = 0.999) -> DataFrame:
     """``shots`` with columns held within the quantile bounds of ``scope``; without values there the column stays as it is."""
-    joined = shots.crossJoin(F.broadcast(quantile_bounds(scope, columns, low, high)))  # one row
+    return clip_to(shots, quantile_bounds(scope, columns, low, high), columns)
+
+
+def clip_to(shots: DataFrame, bounds: DataFrame, columns: list[str]) -> DataFrame:
+    """``shots`` with columns held within the one row of ``bounds``."""
+    joined = shots.crossJoin(F.broadcast(bounds))  # one row
     held = {c: F.when(F.col(c).isNotNull(), F.greatest(F.least(F.col(c), F.col(f"{c}_hi")), F.col(f"{c}_lo"))) for c in columns}
     return joined.withColumns(held).select(*shots.columns)
 
 
 def goal_frame_params(shots: DataFrame) -> DataFrame:
     """One row: centre, low, high and half width of the goal mouth in y and its height in z."""
-    y, z = (lambda q, c: F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY {c})")), "goal_mouth_z"
-    row = shots.agg(
-        y(0.01, "goal_mouth_y").alias("gm_y_low"), y(0.5, "goal_mouth_y").alias("gm_y_center"), y(0.99, "goal_mouth_y").alias("gm_y_high"), y(0.99, z).alias("gm_z_high")
-    )
+    y, z = "goal_mouth_y", "goal_mouth_z"
+    row = quantiles(shots, {"gm_y_low": (y, 0.01), "gm_y_center": (y, 0.5), "gm_y_high": (y, 0.99), "gm_z_high": (z, 0.99)}, discrete=True)
     half = F.greatest(F.col("gm_y_high") - F.col("gm_y_center"), F.col("gm_y_center") - F.col("gm_y_low"))
     return row.withColumns({"gm_y_half_width": half, "gm_z_low": F.lit(0.0)})
 

@@ -132,7 +132,17 @@ def interval_performance(intervals: DataFrame, ratings: DataFrame, half_life: fl
     upward = Window.partitionBy("player_id").orderBy(F.col("_at").desc(), F.col("_kind").desc(), F.col("match_id").desc()).rowsBetween(Window.unboundedPreceding, 0)
     following = F.last(F.when(F.col("_kind") == 0, F.struct("_at", "previous_valuation_date")), ignorenulls=True).over(upward)
     rows = rows.withColumn("_next", following).where("_kind = 1").withColumns({"valuation_date": F.col("_next._at"), "_from": F.col("_next.previous_valuation_date")})
-    inside = rows.where("_at > _from")
+    return _performed(rows.where("_at > _from"), half_life)
+
+
+def overlapping_performance(intervals: DataFrame, ratings: DataFrame, half_life: float = HALF_LIFE) -> DataFrame:
+    """``interval_performance`` for intervals of a player that overlap, such as those of several days of judgement: each is joined with its matches."""
+    keys = intervals.select("player_id", "previous_valuation_date", "valuation_date")
+    inside = keys.join(ratings, "player_id").withColumnRenamed("match_date", "_at").where("_at > previous_valuation_date and _at < valuation_date")
+    return _performed(inside, half_life)
+
+
+def _performed(inside: DataFrame, half_life: float) -> DataFrame:
     days = F.datediff("valuation_date", "_at")
     inside = inside.withColumns({"_days": days, "_decayed": _clipped("minutes") * F.pow(F.lit(2.0), -days / half_life)})
     latest = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("_at", "match_id")))
@@ -151,9 +161,10 @@ def interval_performance(intervals: DataFrame, ratings: DataFrame, half_life: fl
     )
 
 
-def valuation_feature_table(intervals: DataFrame, ratings: DataFrame, min_minutes: float = MIN_MINUTES) -> DataFrame:
+def valuation_feature_table(intervals: DataFrame, ratings: DataFrame, min_minutes: float = MIN_MINUTES, overlapping: bool = False) -> DataFrame:
     """Feature rows of intervals with enough minutes: performance, as-of form, transforms and counts per 90 minutes."""
-    rows = intervals.join(interval_performance(intervals, ratings), _KEY).join(rolling_asof_form(intervals, ratings), _KEY, "left").where(F.col("minutes") >= min_minutes)
+    performance = overlapping_performance if overlapping else interval_performance
+    rows = intervals.join(performance(intervals, ratings), _KEY).join(rolling_asof_form(intervals, ratings), _KEY, "left").where(F.col("minutes") >= min_minutes)
     month = F.month("valuation_date") * (2 * 3.141592653589793 / 12)
     per_90 = {f"{c}_per90": F.col(c) * 90.0 / F.col("minutes") for c in SUMMED}
     over = {f"{a}_over_{b}_per90": (F.col(a) - F.col(b)) * 90.0 / F.col("minutes") for a, b in (("goals", "xg"), ("assists", "xa"))}
@@ -197,6 +208,32 @@ def current_asof_features(valuations: DataFrame, ratings: DataFrame, as_of: str)
     return valuation_feature_table(pseudo.where("days_between > 0"), ratings, 1)
 
 
+def replay_steps(valuations: DataFrame, ratings: DataFrame, n: int) -> DataFrame:
+    """The last ``n`` matches of each player as days of judgement: a pseudo-interval from the last value known to the day after each match.
+
+    One row per match: ``match_id``, ``match_date``, ``sequence`` from 1, ``valuation_date`` (the day after) and, where a value was
+    known by then, ``previous_valuation_date``, ``previous_value``, ``previous_log_change`` and ``age_at_valuation`` on the day. Values and days are ordered together, not joined.
+    """
+    latest = Window.partitionBy("player_id").orderBy(F.col("match_date").desc(), F.col("match_id").desc())
+    steps = ratings.select("player_id", "match_id", "match_date").withColumn("_k", F.row_number().over(latest)).where(F.col("_k") <= n).drop("_k")
+    by_date = Window.partitionBy("player_id").orderBy("valuation_date")
+    age = (F.col("age_at_valuation") if "age_at_valuation" in valuations.columns else F.lit(None)).cast("double")
+    value = F.col("market_value").cast("double")
+    known = valuations.select("player_id", "valuation_date", F.struct("valuation_date", value.alias("value"), F.lag(value).over(by_date).alias("before"), age.alias("age")).alias("_known"))
+    asked = steps.withColumn("valuation_date", F.date_add("match_date", 1))
+    both = asked.unionByName(known, allowMissingColumns=True)
+    # a value of the day itself is not known yet
+    so_far = Window.partitionBy("player_id").orderBy("valuation_date", F.col("_known").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    rows = both.withColumn("_last", F.last("_known", ignorenulls=True).over(so_far)).where("match_id is not null")
+    days = F.datediff("valuation_date", "_last.valuation_date").cast("long")
+    order = Window.partitionBy("player_id").orderBy("match_date", "match_id")
+    return rows.select(
+        "player_id", "match_id", "match_date", F.row_number().over(order).cast("long").alias("sequence"), "valuation_date",
+        F.col("_last.valuation_date").alias("previous_valuation_date"), F.col("_last.value").alias("previous_value"), days.alias("days_between"),
+        F.log(F.col("_last.value") / F.col("_last.before")).alias("previous_log_change"), (F.col("_last.age") + days / 365.25).alias("age_at_valuation"),
+    )
+
+
 def dataset_summary(features: DataFrame) -> DataFrame:
     """One row: rows, players, first and last date; of a scored table the mean predicted change and probability of a rise too."""
     scored = {"mean_predicted_change": "predicted_pct_change", "mean_probability_rise": "probability_rise"}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,27 +73,28 @@ def scan_match_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.scan_match_partitions(spark, path, events.select("match_id").where("match_id % 3 = 0")).withColumn("match_id", F.col("match_id").cast("long"))
 
 
-def _arrivals(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Ratings as three files, in order of date."""
-    path, rows, before = shared_path(spark, name), projected(spark, sf_dir, "player_ratings").select("player_id", "match_id", "match_date", "minutes", "rating"), "1000-01-01"
-    for cut in _CUTS:
-        rows.where((F.col("match_date") >= before) & (F.col("match_date") < cut)).coalesce(1).write.mode("append").parquet(path)
-        before = cut
-    return path
+_SCHEMA = "player_id long, match_id long, match_date date, minutes double, rating double"
 
 
-_SCHEMA = "player_id long, match_id long, match_date date, minutes double, rating double"
+def _streamed(spark: SparkSession, sf_dir: str, name: str, run: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """All ratings as three arrivals in order of date; the stream is started again for each, and goes on in the state that it left."""
+    path, root = shared_path(spark, name), shared_path(spark, f"{name}-state")
+    rows, before = projected(spark, sf_dir, "player_ratings").select("player_id", "match_id", "match_date", "minutes", "rating"), "1000-01-01"
+    for cut in _CUTS:
+        rows.where((F.col("match_date") >= before) & (F.col("match_date") < cut)).write.mode("append").parquet(path)
+        table, before = run(stm.file_stream(spark, path, _SCHEMA), root), cut
+    return table
 
 
 def stream_form_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Form state after a stream of all ratings."""
-    return _flat(stm.stream_form_state(stm.file_stream(spark, _arrivals(spark, sf_dir, "arrivals"), _SCHEMA)))
+    return _flat(_streamed(spark, sf_dir, "arrivals", lambda s, root: stm.stream_form_state(s, root)))
 
 
 def stream_upsert_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest rating of every player after a stream of upserts by player."""
-    stream = stm.file_stream(spark, _arrivals(spark, sf_dir, "upserts"), _SCHEMA).select("player_id", "match_id", "rating", "minutes")
-    return rounded(stm.stream_upsert(stream, ["player_id", "match_id"]))
+    made = _streamed(spark, sf_dir, "upserts", lambda s, root: stm.stream_upsert(s.select("player_id", "match_id", "rating", "minutes"), ["player_id", "match_id"], path=root))
+    return rounded(made)
 
 
 QUERIES = (sink_json_csv, scan_entity_documents, scan_jsonl_strict, scan_work_manifest, scan_overrides, sink_partition_overwrite, scan_match_partitions, stream_form_state, stream_upsert_partitions)

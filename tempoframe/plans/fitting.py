@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tempoframe.functions.state import shared_path
 from tempoframe.operators import models as mod
 from tempoframe.operators import passes as pas
 from tempoframe.plans import features as fea
@@ -12,22 +13,36 @@ from tempoframe.plans.fixtures import on_tables
 from tempoframe.plans.modelling import MODEL_ROWS
 
 
+def _stored(spark: SparkSession, name: str, *parts):
+    """The parts of a fit as they come back from the shared folder."""
+    kinds = ["table" if isinstance(p, DataFrame) else "pipeline" for p in parts]
+    return mod.load_model(spark, mod.save_model(shared_path(spark, name), *parts), *kinds)
+
+
+def _taught(rows: DataFrame) -> DataFrame:
+    """The matches that models are fitted on; a fifth is held out."""
+    return rows.where(~mod.held_out(F.col("match_id")))
+
+
 def xg_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fitted xG of all shots."""
+    """xG of all shots by a model fitted on four fifths of the matches, stored and read back."""
     shots = fea._shots(spark, sf_dir)
-    return mod.score_xg(shots, mod.fit_xg(shots))
+    scored = mod.score_xg(shots, *_stored(spark, "xg", *mod.fit_xg(_taught(shots))))
+    return scored.withColumn("held_out", mod.held_out(F.col("match_id")))
 
 
 def xgot_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fitted xGOT of all aimed shots."""
+    """xGOT of all aimed shots, likewise."""
     shots = fea._shots(spark, sf_dir)
-    return mod.score_xgot(shots, *mod.fit_xgot(shots))
+    scored = mod.score_xgot(shots, *_stored(spark, "xgot", *mod.fit_xgot(_taught(shots))))
+    return scored.withColumn("held_out", mod.held_out(F.col("match_id")))
 
 
 def xa_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fitted xA of all completed passes."""
+    """xA of all completed passes, likewise."""
     rows = mod.xa_frame(fea._passes(spark, sf_dir), pas.xa_targets(fea._shots(spark, sf_dir)))
-    return mod.score_xa(rows, mod.fit_xa(rows))
+    scored = mod.score_xa(rows, _stored(spark, "xa", *mod.fit_xa(_taught(rows))))
+    return scored.withColumn("held_out", mod.held_out(F.col("match_id")))
 
 
 def _fit(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, mod.RobustFit]:

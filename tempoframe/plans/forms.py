@@ -208,7 +208,9 @@ feature_rows AS (
          {', '.join(f'{c} * 90 / minutes AS {c}_per90' for c in val.SUMMED)}, (goals - xg) * 90 / minutes AS goals_over_xg_per90, (assists - xa) * 90 / minutes AS assists_over_xa_per90
   FROM intervals i JOIN performance p ON p.player_id = i.player_id AND p.valuation_date = i.valuation_date
   LEFT JOIN rolling r ON r.player_id = i.player_id AND r.valuation_date = i.valuation_date)"""
-_I = f"WITH {_V}, {_M}, {_CLEAN}, {_PREPARED}, {_LAGGED}"
+#: Clean valuations and prepared matches, and what is built on ``intervals`` over them, for other modules too.
+VALUES, AS_OF_SQL = f"{_V}, {_M}, {_CLEAN}, {_PREPARED}", _ASOF
+_I = f"WITH {VALUES}, {_LAGGED}"
 _J = f"{_I}, {_ASOF}"
 _PSEUDO = f"""intervals AS (
   SELECT player_id, DATE '{AS_OF}' AS valuation_date, max(valuation_date) AS previous_valuation_date, arg_max(market_value, valuation_date)::DOUBLE AS previous_value,

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tempoframe.functions.expressions import rounded, rounded_sql
 from tempoframe.operators import incremental as inc
+from tempoframe.operators.valuation import ratings_prepare, valuation_clean
+from tempoframe.plans import forms
 from tempoframe.plans.fixtures import ctes, projected, table
 
 
@@ -29,13 +31,24 @@ def input_signature_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def select_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last eight matches of player 7."""
-    return inc.select_last_n(projected(spark, sf_dir, "player_ratings"), 8, 7)
+    """The last eight matches of all."""
+    return inc.select_last_n(projected(spark, sf_dir, "player_ratings"), 8)
+
+
+# A given frozen model: log change of value by form, trend and age, and half the width of its 90 % interval.
+_LOG_CHANGE = "0.03 * (asof_form - 5.5) + 0.01 * coalesce(rating_trend, 0) - 0.004 * (age_at_valuation - 27)"
+_HALF_WIDTH = 0.35
+
+
+def _frozen(features: DataFrame) -> DataFrame:
+    made = features.withColumn("log_change", F.expr(_LOG_CHANGE))
+    return made.withColumns({"log_lower": F.col("log_change") - _HALF_WIDTH, "log_upper": F.col("log_change") + _HALF_WIDTH})
 
 
 def replay_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replays of every player's last five matches."""
-    return rounded(inc.replay_sequence(projected(spark, sf_dir, "player_ratings"), 5))
+    values = valuation_clean(projected(spark, sf_dir, "player_valuations"))
+    return rounded(inc.replay_sequence(values, ratings_prepare(projected(spark, sf_dir, "rated_matches")), 5, _frozen), 4)
 
 
 def stamp_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,12 +86,23 @@ ORACLES = {
     "select_new_work": """WITH s AS (SELECT o_orderkey AS item_id, o_orderdate::DATE AS item_date, o_orderstatus AS kind, CASE WHEN o_orderkey % 3 = 0 THEN 'completed' WHEN o_orderdate::DATE > DATE '2000-06-30' THEN 'deferred' ELSE 'open' END AS st FROM orders)
         SELECT item_id, item_date, kind, CASE WHEN st <> 'open' THEN st WHEN row_number() OVER (PARTITION BY st ORDER BY item_date DESC, item_id DESC) <= 100 THEN 'selected' ELSE 'waiting' END AS status FROM s""",
     "input_signature_skip": f"WITH {_R} SELECT DISTINCT match_id, CASE WHEN match_id % 3 = 0 AND match_id % 6 > 0 THEN 'skip' ELSE 'process' END AS action FROM player_ratings",
-    "select_last_n": f"WITH {_R}, l AS (SELECT DISTINCT match_id, match_date FROM player_ratings WHERE player_id = 7 ORDER BY match_date DESC, match_id DESC LIMIT 8) SELECT *, row_number() OVER (ORDER BY match_date, match_id) AS sequence FROM l",
-    "replay_sequence": rounded_sql(f"""WITH {_R}, k AS (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY match_date DESC, match_id DESC) AS n FROM player_ratings),
-        e AS (SELECT a.player_id, a.match_id AS step_match, a.match_date AS d, sum(b.minutes * b.rating * pow(2.0::DOUBLE, -date_diff('day', b.match_date, a.match_date) / 90.0::DOUBLE)) FILTER (WHERE b.minutes > 0)
-                / sum(b.minutes * pow(2.0::DOUBLE, -date_diff('day', b.match_date, a.match_date) / 90.0::DOUBLE)) FILTER (WHERE b.minutes > 0) AS estimate, count(*) AS matches_known
-              FROM k a JOIN k b ON a.player_id = b.player_id AND (b.match_date, b.match_id) <= (a.match_date, a.match_id) WHERE a.n <= 5 GROUP BY a.player_id, a.match_id, a.match_date)
-        SELECT player_id, step_match, estimate, matches_known, row_number() OVER w AS sequence, estimate - lag(estimate) OVER w AS estimate_change FROM e WINDOW w AS (PARTITION BY player_id ORDER BY d, step_match)""", ["estimate", "estimate_change"]),
+    "select_last_n": f"WITH {_R}, l AS (SELECT DISTINCT match_id, match_date FROM player_ratings ORDER BY match_date DESC, match_id DESC LIMIT 8) SELECT *, row_number() OVER (ORDER BY match_date, match_id) AS sequence FROM l",
+    "replay_sequence": rounded_sql(f"""WITH {forms.VALUES}, steps AS (
+          SELECT player_id, match_id, match_date, match_date + 1 AS valuation_date FROM (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY match_date DESC, match_id DESC) AS k FROM prepared) t WHERE k <= 5),
+        placed AS (
+          SELECT s.player_id, s.match_id, s.match_date, s.valuation_date, max(c.valuation_date) AS previous_valuation_date, arg_max(c.market_value, c.valuation_date)::DOUBLE AS previous_value,
+                 arg_max(c.age_at_valuation, c.valuation_date) + date_diff('day', max(c.valuation_date), s.valuation_date) / 365.25::DOUBLE AS age_at_valuation
+          FROM steps s LEFT JOIN clean c ON c.player_id = s.player_id AND c.valuation_date < s.valuation_date
+          GROUP BY s.player_id, s.match_id, s.match_date, s.valuation_date),
+        intervals AS (SELECT DISTINCT player_id, valuation_date, previous_valuation_date, previous_value, age_at_valuation FROM placed), {forms.AS_OF_SQL},
+        scored AS (SELECT player_id, valuation_date, {_LOG_CHANGE} AS c FROM feature_rows WHERE minutes >= 1),
+        told AS (
+          SELECT p.player_id, p.match_id, row_number() OVER (PARTITION BY p.player_id ORDER BY match_date, match_id) AS sequence,
+                 CASE WHEN c IS NOT NULL THEN 'succeeded' WHEN previous_value IS NULL THEN 'skipped_missing_value' ELSE 'skipped_no_minutes' END AS status, asof_form, matches_last_20,
+                 previous_value * exp(c) AS estimate, previous_value * exp(c - {_HALF_WIDTH}) AS estimate_lower, previous_value * exp(c + {_HALF_WIDTH}) AS estimate_upper
+          FROM placed p LEFT JOIN rolling r ON r.player_id = p.player_id AND r.valuation_date = p.valuation_date LEFT JOIN scored s ON s.player_id = p.player_id AND s.valuation_date = p.valuation_date)
+        SELECT *, estimate - last_value(estimate IGNORE NULLS) OVER (PARTITION BY player_id ORDER BY sequence ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS estimate_change FROM told""",
+        ["asof_form", "estimate", "estimate_lower", "estimate_upper", "estimate_change"], 4),
     "stamp_provenance": f"WITH {_R} SELECT player_id, match_id, 'given' AS provider, '2024-2025' AS season, 'v1' AS model_version, '2024-01-02 03:04:05' AS scored_at FROM player_ratings",
     "roster_priority_merge": "SELECT c_custkey AS player_id, c_nationkey AS club_id, CASE WHEN c_custkey % 3 = 0 THEN 0 WHEN c_custkey % 2 = 0 THEN 1 ELSE 2 END AS priority FROM customer WHERE c_custkey % 3 = 0 OR c_custkey % 2 = 0 OR c_custkey % 5 > 0",
     "clean_player_records": """WITH s AS (SELECT CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN c_custkey - 1 ELSE c_custkey END AS player_id, CASE WHEN c_custkey % 13 > 0 THEN c_name END AS player_name,

@@ -1,42 +1,78 @@
-"""Keyed state and upserts on file streams, idempotent by batch."""
+"""Keyed state and upserts on file streams, idempotent by batch and resumed where they stopped."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempoframe.functions.state import shared_path
 from tempoframe.operators.form import form_append, form_state
 from tempoframe.operators.serving import merge_upsert
 
+#: Parts of a state by the hash of its keys; a batch rewrites those that it touches.
+BUCKETS = 16
 
-def _fold(stream: DataFrame, step: Callable[[DataFrame | None, DataFrame, int], DataFrame], name: str) -> DataFrame:
-    """Folds a stream's batches into a table of versions: batch n reads version n and writes version n + 1, so that a repeated batch writes the same again."""
+Step = Callable[[DataFrame | None, DataFrame, int], DataFrame]
+
+
+def _bucket(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
+
+def _places(spark: SparkSession, root: str, n: int) -> dict[int, int]:
+    """The version in which each bucket was last written, before batch ``n``."""
+    return {r["bucket"]: r["version"] for r in spark.read.parquet(f"{root}/manifest/batch={n}").collect()} if n else {}
+
+
+def _state(spark: SparkSession, root: str, places: dict[int, int]) -> DataFrame | None:
+    paths = [f"{root}/data/version={v}/bucket={b}" for b, v in sorted(places.items())]
+    return spark.read.parquet(*paths) if paths else None
+
+
+def _fold(stream: DataFrame, step: Step, keys: list[str], root: str) -> DataFrame:
+    """Folds a stream's batches into a table in ``root``, a bucket of keys at a time.
+
+    Batch n reads the buckets that it touches as manifest n lists them, writes them as version n + 1 and then manifest n + 1, so a
+    batch that is repeated after a failure finds what it found before. A stream that is started again with the
+    same ``root`` goes on after its last batch. Returns the table after the last batch.
+    """
     spark = stream.sparkSession
-    root, last = shared_path(spark, name), [0]
 
     def batch(df: DataFrame, n: int) -> None:
         own = df.sparkSession
-        before = own.read.parquet(f"{root}/v{n}") if n else None
-        step(before, df, n).write.mode("overwrite").parquet(f"{root}/v{n + 1}")
-        last[0] = n + 1
+        df = df.persist()
+        places = _places(own, root, n)
+        touched = {r[0] for r in df.select(_bucket(keys)).distinct().collect()}  # at most BUCKETS
+        if touched:
+            after = step(_state(own, root, {b: v for b, v in places.items() if b in touched}), df, n)
+            after.withColumn("bucket", _bucket(keys)).write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/data/version={n + 1}")
+        rows = list((places | dict.fromkeys(touched, n + 1)).items())
+        own.createDataFrame(rows, "bucket int, version long").coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest/batch={n + 1}")
+        df.unpersist()
 
     query = stream.writeStream.foreachBatch(batch).option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).start()
     query.awaitTermination()
-    if not last[0]:
-        raise ValueError("the stream had no batch")
-    return spark.read.parquet(f"{root}/v{last[0]}")
+    try:
+        last = spark.read.parquet(f"{root}/manifest").agg(F.max("batch")).first()[0]
+    except AnalysisException:
+        last = None
+    found = _state(spark, root, _places(spark, root, last)) if last else None
+    if found is None:
+        raise ValueError("the stream had no rows")
+    return found
 
 
-def file_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A stream of Parquet files, one a batch."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+def file_stream(spark: SparkSession, path: str, schema: str, files: int | None = None) -> DataFrame:
+    """A stream of Parquet files: all that are new in one batch, or ``files`` a batch."""
+    reader = spark.readStream.schema(schema)
+    return (reader if files is None else reader.option("maxFilesPerTrigger", files)).parquet(path)
 
 
-def stream_form_state(stream: DataFrame, late_path: str | None = None) -> DataFrame:
-    """Form state after a stream of rated rows. Rows older than their player's state are kept apart in ``late_path`` (if given) and change nothing."""
+def stream_form_state(stream: DataFrame, path: str | None = None, late_path: str | None = None) -> DataFrame:
+    """Form state after a stream of rated rows, kept in ``path``. Rows older than their player's state are kept apart in ``late_path`` (if given) and change nothing."""
 
     def step(before: DataFrame | None, new: DataFrame, n: int) -> DataFrame:
         if before is None:
@@ -47,13 +83,13 @@ def stream_form_state(stream: DataFrame, late_path: str | None = None) -> DataFr
             known.where(late).drop("last_match_date").write.mode("overwrite").parquet(f"{late_path}/batch={n}")
         return form_append(before, known.where(~late).drop("last_match_date"))
 
-    return _fold(stream, step, "form-stream")
+    return _fold(stream, step, ["player_id"], path or shared_path(stream.sparkSession, "form-stream"))
 
 
-def stream_upsert(stream: DataFrame, keys: list[str], digest: str | None = None) -> DataFrame:
-    """A table after upserting every batch of a stream by key."""
+def stream_upsert(stream: DataFrame, keys: list[str], digest: str | None = None, path: str | None = None) -> DataFrame:
+    """A table, kept in ``path``, after upserting every batch of a stream by key."""
 
     def step(before: DataFrame | None, new: DataFrame, n: int) -> DataFrame:
         return merge_upsert(new.limit(0) if before is None else before, new, keys, digest)
 
-    return _fold(stream, step, "upsert-stream")
+    return _fold(stream, step, keys, path or shared_path(stream.sparkSession, "upsert-stream"))
