@@ -28,8 +28,10 @@ def _units(values: list[np.ndarray]) -> np.ndarray:
 
 
 def _cells(pivots: np.ndarray, radius: float):
-    """Emits every vector for its own cell and for each cell whose border is within ``radius``.
+    """Emits every vector for its own cell and for each cell whose border is within ``radius`` and that meets its own.
 
+    Two cells meet in one of the two, the lower or the higher one by the parity of their sum, so that a pair is compared once
+    and every cell has about half of its neighbours.
     A vector x belongs to its nearest pivot p. A partner y in the cell of q with |x - y| <= radius has
     |y - q| <= |y - p|, so x lies within radius of the bisecting plane of p and q: (|x-q|² - |x-p|²) / (2 |p-q|) <= radius.
     """
@@ -43,7 +45,9 @@ def _cells(pivots: np.ndarray, radius: float):
                 cos = x @ pivots.T
                 home = cos.argmax(axis=1)
                 margin = (cos[np.arange(len(x)), home][:, None] - cos) - radius * apart[home]
-                row, cell = np.nonzero(margin <= _SLACK)
+                other, own = np.arange(len(pivots))[None, :], home[:, None]
+                meets = (other == own) | np.where((other + own) % 2 == 0, own < other, own > other)
+                row, cell = np.nonzero((margin <= _SLACK) & meets)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("vec_id").take(pa.array(row)),
@@ -60,29 +64,36 @@ def _cells(pivots: np.ndarray, radius: float):
 
 def _block_join(threshold: float):
     def join(unit: pd.DataFrame) -> pd.DataFrame:
-        """Counts the links of the home vectors of a block and emits a spanning forest of them."""
+        """Counts the links between home vectors and guests of a block, for either end, and emits a spanning forest of them."""
         unit = unit.sort_values("vec_id", kind="stable").reset_index(drop=True)
         home, guest = unit[unit["as_home"]], unit[~unit["as_home"]]
+        none = pd.DataFrame({"vec_id": [], "links": [], "root": []}).astype("int64")
         if not len(home) or not len(guest):
-            return pd.DataFrame({"vec_id": [], "links": [], "root": []}).astype("int64")
-        hid, gid, gcopies = home["vec_id"].to_numpy(), guest["vec_id"].to_numpy(), guest["copies"].to_numpy()
+            return none
+        (hid, hcopies), (gid, gcopies) = ((part["vec_id"].to_numpy(), part["copies"].to_numpy()) for part in (home, guest))
+        inner = guest["home"].to_numpy()  # of two vectors of this cell the one with the larger id counts the pair
         h, g = _units(home["embedding"].tolist()), _units(guest["embedding"].tolist())
         h32, g32 = h.astype(np.float32), g.astype(np.float32)
-        out = []
+        out, back = [], np.zeros(len(g), np.int64)
         for a in range(0, len(h), _TILE):
             i, j = np.nonzero(h32[a : a + _TILE] @ g32.T >= threshold - 1e-4)
             i += a
-            ok = (np.einsum("ij,ij->i", h[i], g[j]) >= threshold) & (hid[i] != gid[j])
+            ok = (hid[i] != gid[j]) & ~(inner[j] & (gid[j] > hid[i]))
+            i, j = i[ok], j[ok]
+            ok = np.einsum("ij,ij->i", h[i], g[j]) >= threshold
             i, j = i[ok], j[ok]
             if not len(i):
                 continue
             links = np.bincount(i, gcopies[j], len(h)).astype(np.int64)
+            back += np.bincount(j, hcopies[i], len(g)).astype(np.int64)
             ids, at = np.unique(np.concatenate([hid[i], gid[j]]), return_inverse=True)
             root = local_components(at[: len(i)], at[len(i) :], len(ids))
             told = np.flatnonzero(links)
             out.append(pd.DataFrame({"vec_id": hid[told], "links": links[told], "root": hid[told]}))
             out.append(pd.DataFrame({"vec_id": ids, "links": 0, "root": ids[root]}))
-        return pd.concat(out) if out else pd.DataFrame({"vec_id": [], "links": [], "root": []}).astype("int64")
+        told = np.flatnonzero(back)
+        out.append(pd.DataFrame({"vec_id": gid[told], "links": back[told], "root": gid[told]}))
+        return pd.concat(out) if len(out) > 1 else none
 
     return join
 
@@ -146,8 +157,8 @@ def _range_join(classes: DataFrame, threshold: float) -> DataFrame:
     at = lambda n: F.pmod(F.xxhash64("vec_id"), F.greatest(F.lit(1), F.col(n)))
     upto = lambda n: F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(1).cast("long"), F.col(n)) - 1)
     cols = ["vec_id", "embedding", "copies", "cell"]
-    homes = spread.where("home").select(*cols, at("hb").alias("i"), F.explode(upto("gb")).alias("j"), F.lit(True).alias("as_home"))
-    guests = spread.select(*cols, F.explode(upto("hb")).alias("i"), at("gb").alias("j"), F.lit(False).alias("as_home"))
+    homes = spread.where("home").select(*cols, "home", at("hb").alias("i"), F.explode(upto("gb")).alias("j"), F.lit(True).alias("as_home"))
+    guests = spread.select(*cols, "home", F.explode(upto("hb")).alias("i"), at("gb").alias("j"), F.lit(False).alias("as_home"))
     return homes.unionAll(guests).groupBy("cell", "i", "j").applyInPandas(_block_join(threshold), "vec_id long, links long, root long")
 
 
