@@ -57,3 +57,24 @@ def test_unfinished_fits_raise_or_fail_the_gate(spark, rows):
     for converged, promoted in ((unfinished.converged, False), (True, True)):
         gate = {r["check"]: r for r in eva.promotion_gate(good.withColumn("converged", F.lit(converged))).collect()}
         assert gate["em_converged"]["passed"] is promoted and gate["em_converged"]["promoted"] is promoted
+
+
+def test_shot_models_on_held_out_matches(spark, tmp_path):
+    """A planted goal probability is found again on matches that the model has not seen, by the model as stored."""
+    from tempoframe.plans import features as fea
+
+    shots = fea._shots(spark, "/root/testdata/sf0.01").withColumn("is_own_goal", F.lit(0))
+    drawn = F.pmod(F.xxhash64("match_id", "event_id"), F.lit(1_000_000)) / 1_000_000
+    planted = shots.withColumn("is_goal", (drawn < 1 / (1 + F.exp((F.col("distance_to_goal") - 25) / 8))).cast("long"))
+    apart = mod.held_out(F.col("match_id"), 0.3)
+    path = mod.save_model(f"file://{tmp_path}", *mod.fit_xg(planted.where(~apart)))
+    scored = mod.score_xg(planted, *mod.load_model(spark, path, "pipeline", "table"))
+    unseen = scored.join(planted.where(apart).select("match_id", "event_id", "is_goal", "situation"), ["match_id", "event_id"]).where("situation <> 'Penalty'")
+    (m,) = mod.probability_metrics(unseen, "is_goal", "xg").collect()
+    assert m.n > 100 and m.log_loss < 0.8 * m.base_log_loss and m.mean_probability == pytest.approx(m.base_rate, abs=0.08)
+
+
+def test_pass_models_read_every_input(spark):
+    from tempoframe.operators import passes as pas
+
+    assert {"x", "y", "end_x", "end_y", "pass_length", "pass_angle", *(c for c in pas.PASS_FLAGS if c in ("is_cross", "is_corner", "is_throw_in"))} <= set(pas.NUMERIC) and len(pas.NUMERIC) == 45
