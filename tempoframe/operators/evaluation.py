@@ -91,14 +91,17 @@ def _direction(c: Column) -> Column:
 
 
 def regression_metrics(rows: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """One row of errors, R², three-class direction accuracy and rank correlation; pairs with a null are left out."""
+    """One row of errors, R², three-class direction accuracy and rank correlation; pairs with a null are left out.
+
+    R² is null where the actual values are all equal, the rank correlation where either side is.
+    """
     pairs = rows.select(F.col(actual).cast("double").alias("a"), F.col(predicted).cast("double").alias("p")).dropna()
     ranked = average_ranks(average_ranks(pairs, "a", "_rank_a"), "p", "_rank_p")
     e = F.col("p") - F.col("a")
     return ranked.agg(
         F.count("*").alias("n"), F.avg(F.abs(e)).alias("mae"), (F.exp(F.avg(F.abs(e))) - 1).alias("approximate_mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
-        (1 - F.sum(e * e) / (F.var_pop("a") * F.count("*"))).alias("r2"), F.avg((_direction(F.col("a")) == _direction(F.col("p"))).cast("double")).alias("direction_accuracy"),
-        F.corr("_rank_a", "_rank_p").alias("spearman"), F.avg(e).alias("mean_error"),
+        (1 - F.try_divide(F.sum(e * e), F.var_pop("a") * F.count("*"))).alias("r2"), F.avg((_direction(F.col("a")) == _direction(F.col("p"))).cast("double")).alias("direction_accuracy"),
+        F.try_divide(F.covar_pop("_rank_a", "_rank_p"), F.stddev_pop("_rank_a") * F.stddev_pop("_rank_p")).alias("spearman"), F.avg(e).alias("mean_error"),
     )
 
 

@@ -54,7 +54,7 @@ def _thirds(x: str) -> str:
     return f"CASE WHEN {x} < 33.3 THEN 'defensive_third' WHEN {x} < 66.7 THEN 'middle_third' ELSE 'final_third' END"
 
 
-#: Geometry of a pass, in layers; the goal is at (105, 34) metres and 7.32 wide.
+#: Areas, thresholds and geometry of a pass, in layers; the goal is at (105, 34) metres and 7.32 wide.
 GEOMETRY = (
     {"dx": "end_x - x", "dy": "end_y - y", "dx_m": "1.05 * (end_x - x)", "dy_m": "0.68 * (end_y - y)", "goal_dx": "105 - 1.05 * end_x", "goal_dy": "34 - 0.68 * end_y"},
     {

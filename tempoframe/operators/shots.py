@@ -75,6 +75,7 @@ def _flag(condition: str) -> str:
     return f"CASE WHEN {condition} THEN 1 ELSE 0 END"
 
 
+# Zone limits and feature formulas that results depend on.
 _INSIDE = "x >= 83 AND y BETWEEN 20 AND 80"
 ZONES = (
     {
@@ -109,7 +110,7 @@ def _ladder(column: str, steps: list[tuple[float, str]], last: str) -> str:
     return "CASE " + " ".join(f"WHEN {column} <= {top} THEN '{name}'" for top, name in steps) + f" ELSE '{last}' END"
 
 
-#: Right-closed buckets.
+#: Right-closed buckets.
 BUCKETS = (
     {
         "distance_bucket": _ladder(
@@ -173,7 +174,7 @@ def _corner(y: int, z: int) -> str:
     return f"sqrt((gm_y_norm - {y}) * (gm_y_norm - {y}) + (gm_z_norm - {z}) * (gm_z_norm - {z}))"
 
 
-#: Where a shot enters the goal frame; reads ``xg`` and the columns of ``goal_frame_params``.
+#: Where a shot enters the goal frame; reads ``xg`` and the columns of ``goal_frame_params``.
 PLACEMENT = (
     {
         "gm_y_centered": "goal_mouth_y - gm_y_center",
@@ -207,7 +208,7 @@ PLACEMENT = (
         "xg_placement_dist": "xg * placement_dist_from_center",
     },
 )
-#: How a shot gets there; reads the placement columns and ``distance_to_goal``.
+#: How a shot gets there; reads the placement columns and ``distance_to_goal``.
 TRAJECTORY = (
     {
         "shot_y_centered": "y - 50",
