@@ -37,16 +37,20 @@ def topic(text: Column, tokens: Column) -> Column:
     )
 
 
-def _dimensions(topic_of: Callable[[Column, Column], Column]) -> dict[str, Column]:
-    """Tokens and the three dimensions as columns over ``text``, ``source`` and ``lang``."""
-    tokens = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(_WORD)).cast("long")
-    named = {c: F.coalesce(F.col(c).cast("string"), F.lit("(none)")) for c in ("source", "lang")}
-    return {"tokens": tokens, **named, "topic": F.coalesce(topic_of(F.col("text"), tokens).cast("string"), F.lit("(none)"))}
+def _with_dimensions(docs: DataFrame, topic_of: Callable[[Column, Column], Column]) -> DataFrame:
+    """``docs`` with ``_mix_tokens`` and the three dimensions as ``_mix_source``, ``_mix_lang`` and ``_mix_topic``; the words of a text are counted once."""
+    named = {f"_mix_{c}": F.coalesce(F.col(c).cast("string"), F.lit("(none)")) for c in ("source", "lang")}
+    counted = docs.withColumns({"_mix_tokens": F.regexp_count(F.coalesce("text", F.lit("")), F.lit(_WORD)).cast("long"), **named})
+    return counted.withColumn("_mix_topic", F.coalesce(topic_of(F.col("text"), F.col("_mix_tokens")).cast("string"), F.lit("(none)")))
+
+
+_MEASURES = ("tokens", *DIMENSIONS)
 
 
 def measured(docs: DataFrame, topic_of: Callable[[Column, Column], Column] = topic) -> DataFrame:
     """``doc_id``, ``tokens`` and the three dimensions of every row; a null category is '(none)', a null text has no tokens."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(c.alias(n) for n, c in _dimensions(topic_of).items()))
+    made = _with_dimensions(docs.select("doc_id", "text", "source", "lang"), topic_of)
+    return made.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(f"_mix_{c}").alias(c) for c in _MEASURES))
 
 
 def _goal(names: list[str], shares: np.ndarray, temper: float, targets: Mapping[str, float] | None) -> np.ndarray:
@@ -180,12 +184,12 @@ def sampled(
     Rows without a doc_id are drawn by their text, so that they do not all fall alike; equal ids fall alike. No text is shuffled.
     Column names that begin with ``_mix_`` are not allowed.
     """
-    plan = _plan(staged(measured(docs, topic_of), "measured"), keep, unmet, targets, temper, sweeps, max_cells)
-    named = {f"_mix_{n}": c for n, c in _dimensions(topic_of).items() if n != "tokens"}
+    rows = staged(_with_dimensions(docs, topic_of), "measured")  # texts are read once more, but their words are not counted again
+    plan = _plan(rows.select(*(F.col(f"_mix_{c}").alias(c) for c in _MEASURES)), keep, unmet, targets, temper, sweeps, max_cells)
     plan = plan.select(*(F.col(d).alias(f"_mix_{d}") for d in DIMENSIONS), F.col("q").alias("_mix_q"))
     key = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.col("text"), F.lit(""))
     p = F.least(F.coalesce("_mix_q", F.lit(1.0)), F.lit(1.0))
-    joined = docs.withColumns(named).join(plan, [f"_mix_{d}" for d in DIMENSIONS], "left")
+    joined = rows.join(plan, [f"_mix_{d}" for d in DIMENSIONS], "left")
     return joined.where(_draw(key) < p).select(*docs.columns)
 
 
