@@ -132,14 +132,15 @@ def _poisson(keys: np.ndarray, draws: np.ndarray) -> np.ndarray:
     return weight
 
 
-def bootstrap_difference(rows: DataFrame, actual: str, a: str, b: str, samples: int = 5000, seed: int = 7) -> DataFrame:
+def bootstrap_difference(rows: DataFrame, actual: str, a: str, b: str, samples: int = 5000, seed: int = 7, key: str | None = None) -> DataFrame:
     """Resampled difference of mean absolute errors (``a`` less ``b``): mean, limits and the share below zero.
 
-    Each row enters a sample with a Poisson weight drawn from a hash of seed, sample and row key, so tasks need no shared draw and retries repeat it.
+    Each row enters a sample with a Poisson weight drawn from a hash of seed, sample and row key, so tasks need no shared draw and retries repeat it. ``key`` names a
+    column that no two rows share; without one, rows that are equal in all columns are drawn together, which widens the limits.
     Equal in distribution to drawing rows with replacement, not in numbers. Tasks add up the weighted errors block by block and return one row per sample.
     """
     e = F.abs(F.col(a) - F.col(actual)) - F.abs(F.col(b) - F.col(actual))
-    base = rows.select(F.xxhash64(F.lit(seed), *rows.columns).alias("key"), e.cast("double").alias("e")).dropna()
+    base = rows.select(F.xxhash64(F.lit(seed), *(rows.columns if key is None else [key])).alias("key"), e.cast("double").alias("e")).dropna()
     half = (samples + 1) // 2
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -61,7 +61,7 @@ def calibration_deciles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bootstrap_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Resampled difference between prediction and no change."""
     rows = eva.baseline_predictions(_rows(spark, sf_dir)).select("row_id", "actual", "predicted", "zero_change")
-    return eva.bootstrap_difference(rows, "actual", "predicted", "zero_change", 5000)
+    return eva.bootstrap_difference(rows, "actual", "predicted", "zero_change", 5000, key="row_id")
 
 
 def interval_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,3 +39,20 @@ def test_bootstrap_equals_drawing_rows(spark):
 def test_bootstrap_odd_number_of_samples(spark):
     rows = spark.createDataFrame([(i, 0.0, 1.0, 0.0) for i in range(50)], "row_id long, y double, a double, b double")
     assert list(eva.bootstrap_difference(rows, "y", "a", "b", 7).first()) == [1.0, 1.0, 1.0, 0.0]
+
+
+def test_equal_rows_are_drawn_apart_by_their_key(spark):
+    """A hundred equal rows and one other: by key the sample means vary as little as those of drawn rows."""
+    rng = np.random.default_rng(8)
+    rows = spark.createDataFrame([(i, 0.0, 1.0 + (i % 2), 0.0) for i in range(200)], "row_id long, y double, a double, b double")
+    apart = eva.bootstrap_difference(rows, "y", "a", "b", key="row_id").first()
+    together = eva.bootstrap_difference(rows.drop("row_id"), "y", "a", "b").first()
+    drawn = (1.0 + rng.integers(0, 2, (5000, 200))).mean(axis=1)
+    assert apart["upper"] - apart["lower"] == pytest.approx(np.quantile(drawn, 0.975) - np.quantile(drawn, 0.025), rel=0.15)
+    assert together["upper"] - together["lower"] > 3 * (apart["upper"] - apart["lower"])
+
+
+def test_constant_predictions_have_no_rank_correlation(spark):
+    rows = spark.createDataFrame([(float(i), 2.0, 1.0) for i in range(9)], "y double, p double, z double")
+    assert eva.regression_metrics(rows, "y", "p").first()["spearman"] is None
+    assert eva.regression_metrics(rows, "z", "y").first()["r2"] is None
