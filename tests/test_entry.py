@@ -38,7 +38,11 @@ def compared(spark, name, sql):
     return sorted(repr([plain(v) for v in r]) for r in got.collect()), rows
 
 
-@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+#: Steps of ``rating_adjustments`` and ``materialize``, which are compared as wholes; each of them takes as long.
+STEPS = {"composite_restandardize", "goalkeeper_rating", "outfield_rating", "per90_log_features", "position_composite", "rating_components", "zscore_apply", "zscore_fit"}
+
+
+@pytest.mark.parametrize("name", sorted(set(registry.oracle_sql()) - STEPS))
 def test_query_equals_its_sql(spark, name):
     got, want = compared(spark, name, registry.oracle_sql()[name])
     assert got == want
