@@ -157,7 +157,7 @@ def bootstrap_difference(rows: DataFrame, actual: str, a: str, b: str, samples:
                         weights[first : first + len(draws)] += part[:, 1]
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(samples)), pa.array(sums[:samples]), pa.array(weights[:samples])], names=["rep", "s", "w"])
 
-    sums = base.mapInArrow(added, "rep long, s double, w double").groupBy("rep").agg((F.sum("s") / F.sum("w")).alias("d"))
+    sums = base.mapInArrow(added, "rep long, s double, w double").groupBy("rep").agg(F.try_divide(F.sum("s"), F.sum("w")).alias("d"))  # a sample without rows counts for nothing
     return sums.agg(
         F.avg("d").alias("mean_difference"), F.expr("percentile(d, 0.025)").alias("lower"), F.expr("percentile(d, 0.975)").alias("upper"), F.avg((F.col("d") < 0).cast("double")).alias("p_below_zero")
     )
