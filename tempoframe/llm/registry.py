@@ -11,6 +11,7 @@ from tempoframe.llm import (
     chat,
     decontaminate,
     embedding_dedup,
+    hard_negatives,
     licenses,
     line_dedup,
     mixing,
@@ -30,9 +31,10 @@ _QUERIES = (
     archives.op8_warc,
     chat.op9_chat_format,
     near_dup.op10_near_duplicates,
+    hard_negatives.op11_hard_negatives,
 )
 _ORACLES = tuple(
-    m.ORACLE for m in (line_dedup, decontaminate, licenses, mixing, embedding_dedup, archives, chat, near_dup)
+    m.ORACLE for m in (line_dedup, decontaminate, licenses, mixing, embedding_dedup, archives, chat, near_dup, hard_negatives)
 )
 
 

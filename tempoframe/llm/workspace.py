@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tempoframe.functions.state import shared_path as new_path
 from tempoframe.functions.state import written as staged
 
-__all__ = ["join_counted", "new_path", "staged", "table", "width"]
+__all__ = ["best_rows", "join_counted", "new_path", "staged", "table", "width"]
 
 #: Keys of at least this many rows can be hot, and at most this many keys are: both bound what a hot key costs.
 HOT_ROWS, MAX_HOT = 1_000, 1_000
@@ -38,3 +38,18 @@ def join_counted(rows: DataFrame, keyed: DataFrame, on: list[str], copies: str =
         return rows.join(keyed, on)
     rest = rows.join(hot.select(*on), on, "left_anti").join(keyed.where(F.col(copies) <= least), on)
     return rows.join(hot, on).unionByName(rest)
+
+
+#: Parts in which the rows of one key are ranked first.
+_RANKED = 32
+
+
+def best_rows(rows: DataFrame, keys: list[str], order: list[Column], k: int, name: str) -> DataFrame:
+    """The first ``k`` rows of each key in ``order``, with their place (an int from 1) in the column ``name``.
+
+    Every task and then every part of a key drops what cannot be among them, so that few rows of a key meet in one place.
+    """
+    part = F.pmod(F.xxhash64(*[c for c in rows.columns if c not in keys]), F.lit(_RANKED))
+    place = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order))
+    first = rows.withColumn("_part", part).withColumn(name, place).where(F.col(name) <= k).drop("_part", name)
+    return first.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(name) <= k)
