@@ -55,6 +55,14 @@ def _words(raw: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return start, mix((total[end] - total[start]) * down[start] + (end - start).astype(U))
 
 
+def spans(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the stretches of ``codes`` (one for each byte, above 0) from ``start`` to ``end``."""
+    up, down = _tables(len(codes))
+    total = np.zeros(len(codes) + 1, U)
+    np.cumsum(codes * up[: len(codes)], out=total[1:])
+    return mix((total[end] - total[start]) * down[start] + (end - start).astype(U))
+
+
 def _pieces(values: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
     """Runs of texts of about two million bytes together; a longer text is a run of its own."""
     a = 0

@@ -12,11 +12,13 @@ from tempoframe.llm import (
     decontaminate,
     embedding_dedup,
     hard_negatives,
+    lexical,
     licenses,
     line_dedup,
     mixing,
     near_dup,
     quality,
+    quality_rules,
     shards,
 )
 
@@ -32,9 +34,11 @@ _QUERIES = (
     chat.op9_chat_format,
     near_dup.op10_near_duplicates,
     hard_negatives.op11_hard_negatives,
+    lexical.op12_lexical_search,
+    quality_rules.op13_quality_rules,
 )
 _ORACLES = tuple(
-    m.ORACLE for m in (line_dedup, decontaminate, licenses, mixing, embedding_dedup, archives, chat, near_dup, hard_negatives)
+    m.ORACLE for m in (line_dedup, decontaminate, licenses, mixing, embedding_dedup, archives, chat, near_dup, hard_negatives, lexical, quality_rules)
 )
 
 
