@@ -36,9 +36,8 @@ class _Block:
         return int(np.searchsorted(self.labels, label, "left")), int(np.searchsorted(self.labels, label, "right"))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], dims: int, kind: type) -> Iterator[_Block]:
-    """Blocks of ``BLOCK_CELLS`` components from Arrow batches of any size."""
-    size = max(1, BLOCK_CELLS // max(1, dims))
+def _blocks(batches: Iterator[pa.RecordBatch], dims: int, kind: type, size: int) -> Iterator[_Block]:
+    """Blocks of ``size`` vectors from Arrow batches of any size."""
     held: list[tuple[np.ndarray, ...]] = []
     count = 0
 
@@ -121,12 +120,12 @@ def _kth(values: np.ndarray, k: int):
     return np.partition(values, len(values) - k)[len(values) - k]
 
 
-def _positives(ids: np.ndarray, labels: np.ndarray, anchors: np.ndarray, k: int):
+def _positives(ids: np.ndarray, labels: np.ndarray, anchors: np.ndarray, k: int, size: int):
     """A task's first ``k`` rows of each anchor's label."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = [_Best(k) for _ in ids]
-        for block in _blocks(batches, anchors.shape[1], anchors.dtype.type):
+        for block in _blocks(batches, anchors.shape[1], anchors.dtype.type, size):
             for label in np.unique(labels):
                 start, end = block.of_label(label)
                 mine = np.flatnonzero(labels == label)
@@ -160,13 +159,13 @@ def _batch(**columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.asarray(c, np.int64)) for c in columns.values()], names=list(columns))
 
 
-def _negatives(ids: np.ndarray, labels: np.ndarray, anchors: np.ndarray, positives: list[np.ndarray], k: int, low: int, high: int):
+def _negatives(ids: np.ndarray, labels: np.ndarray, anchors: np.ndarray, positives: list[np.ndarray], k: int, low: int, high: int, size: int):
     """A task's first ``k`` rows of other labels in the window of each of an anchor's different positive scores."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = [[(int(p), -((-low * int(p)) // 100), (high * int(p)) // 100, _Best(k)) for p in np.unique(scores)] for scores in positives]
         windows = [[w for w in own if w[1] <= w[2]] for own in windows]
-        for block in _blocks(batches, anchors.shape[1], anchors.dtype.type):
+        for block in _blocks(batches, anchors.shape[1], anchors.dtype.type, size):
             for tile in range(0, len(ids), _TILE):
                 order, least, most = _bounds(anchors[tile : tile + _TILE], block.columns)
                 for i, a in enumerate(range(tile, min(len(ids), tile + _TILE))):
@@ -244,7 +243,8 @@ def hard_negatives(
             raise ValueError(f"components of up to {kind.most} have scores beyond 64 bits")
         exact = np.float64 if limit < 1 << 52 else np.int64  # sums of whole numbers are exact in doubles up to there
         own = one.where(F.size("q") == kind.d).select("vec_id", "label", "q")
-        own = staged(own.repartition(max(1, math.ceil(kind.n * max(1, kind.d) / BLOCK_CELLS))), "blocks")
+        size = max(1, BLOCK_CELLS // max(1, kind.d))
+        own = staged(own.repartition(math.ceil(kind.n / size)), "blocks")
         portions = math.ceil(kind.anchors * max(1, kind.d) / ANCHOR_CELLS)
         for portion in range(portions):
             chosen = own.where(anchors & (F.pmod(F.xxhash64("vec_id"), F.lit(portions)) == portion)).toPandas().sort_values("vec_id")
@@ -252,7 +252,7 @@ def hard_negatives(
                 continue
             ids, labels = chosen["vec_id"].to_numpy(np.int64), chosen["label"].to_numpy(np.int64)
             x = np.array(chosen["q"].tolist(), exact).reshape(len(chosen), kind.d)
-            local = own.mapInArrow(_positives(ids, labels, x, positives), near_schema)
+            local = own.mapInArrow(_positives(ids, labels, x, positives, size), near_schema)
             path = new_path(spark, "nearest")
             best_rows(local, ["anchor_id"], [F.desc("positive_score"), F.asc("positive_id")], positives, "rank").drop("rank").write.parquet(path)
             best = spark.read.schema(near_schema).parquet(path)
@@ -260,7 +260,7 @@ def hard_negatives(
             scores = best.select("anchor_id", "positive_score").distinct().toPandas()  # a few for each anchor of the portion
             per = dict(scores.groupby("anchor_id")["positive_score"].apply(lambda s: s.to_numpy(np.int64)))
             windows = [per.get(i, np.zeros(0, np.int64)) for i in ids]
-            local = own.mapInArrow(_negatives(ids, labels, x, windows, negatives, low, high), found_schema)
+            local = own.mapInArrow(_negatives(ids, labels, x, windows, negatives, low, high, size), found_schema)
             order = [F.desc("negative_score"), F.asc("negative_id")]
             best_rows(local, ["anchor_id", "positive_score"], order, negatives, "rank").write.mode("append").parquet(found)
     none = spark.createDataFrame([], near_schema), spark.createDataFrame([], found_schema + ", rank int")

@@ -111,7 +111,7 @@ class _First:
         return (bounds > self.scores[-1]) | ((bounds == self.scores[-1]) & (least_ids < self.ids[-1]))
 
 
-def _search(seg: _Segment, terms: np.ndarray, times: np.ndarray, first: _First) -> int:
+def _search(seg: _Segment, terms: np.ndarray, times: np.ndarray, first: _First, split: int = SPLIT, leaf: int = LEAF) -> int:
     """Adds the segment's best documents for an item with these terms to ``first``; returns how many documents were scored."""
     at = np.searchsorted(seg.terms, terms)
     at[at == len(seg.terms)] = 0
@@ -131,13 +131,13 @@ def _search(seg: _Segment, terms: np.ndarray, times: np.ndarray, first: _First)
             return scored
         low, high, start, stop, best, parts, bound = (x[keep] for x in (low, high, start, stop, best, parts, bound))
         order = np.argsort(-bound, kind="stable")
-        now, later = order[:SPLIT], order[SPLIT:]
+        now, later = order[:split], order[split:]
         nl, nh, ns, ne = low[now], high[now], start[now], stop[now]
         # The document of the largest impact in the interval divides it.
         lead = parts[now].argmax(axis=1)
-        split = seg.docs[best[now, lead]]
+        middle = seg.docs[best[now, lead]]
         # Intervals of few postings are summed outright.
-        small = (ne - ns).sum(axis=1) <= LEAF
+        small = (ne - ns).sum(axis=1) <= leaf
         if small.any():
             sizes = (ne - ns)[small].ravel()
             where = np.repeat(ns[small].ravel(), sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -148,14 +148,14 @@ def _search(seg: _Segment, terms: np.ndarray, times: np.ndarray, first: _First)
             first.add(seg.ids[different], total)
             scored += len(different)
         big = ~small
-        nl, nh, ns, ne, split = nl[big], nh[big], ns[big], ne[big], split[big]
-        wanted = base[None, :] + split[:, None]
+        nl, nh, ns, ne, middle = nl[big], nh[big], ns[big], ne[big], middle[big]
+        wanted = base[None, :] + middle[:, None]
         cut = np.searchsorted(seg.keys, wanted)
         hit = seg.keys[np.minimum(cut, len(seg.keys) - 1)] == wanted
         total = np.where(hit, seg.impacts[np.minimum(cut, len(seg.keys) - 1)] * times, 0).sum(axis=1)
-        first.add(seg.ids[split], total)
-        scored += len(split)
-        fresh = (np.concatenate([nl, split + 1]), np.concatenate([split, nh]), np.concatenate([ns, cut + hit]), np.concatenate([cut, ne]))
+        first.add(seg.ids[middle], total)
+        scored += len(middle)
+        fresh = (np.concatenate([nl, middle + 1]), np.concatenate([middle, nh]), np.concatenate([ns, cut + hit]), np.concatenate([cut, ne]))
         b, i = seg.largest(fresh[2], fresh[3])
         p = i * times
         low, high, start, stop, best, parts, bound = (
@@ -171,7 +171,7 @@ def impacts_of(terms: np.ndarray, times: np.ndarray, n: np.ndarray, weights: np.
     return weights[terms] * (1_000_000_000 * times // (1000 * times + 8 * m))
 
 
-def _ranked(items: list[tuple[int, np.ndarray, np.ndarray]], weights: np.ndarray, documents: int, length: int, k: int):
+def _ranked(items: list[tuple[int, np.ndarray, np.ndarray]], weights: np.ndarray, documents: int, length: int, k: int, postings: int):
     """A task's first ``k`` documents of every item, segment after segment."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +194,7 @@ def _ranked(items: list[tuple[int, np.ndarray, np.ndarray]], weights: np.ndarray
                 terms, times = (part.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("terms", "times"))
                 held.append((part.column("doc_id").to_numpy(), sizes, part.column("n").to_numpy(), terms, times))
                 count += len(terms)
-                if count >= SEGMENT_POSTINGS:
+                if count >= postings:
                     search()
                     held, count = [], 0
         if count:
@@ -250,7 +250,7 @@ def ranked_documents(docs: DataFrame, items: DataFrame, k: int = FIRST) -> DataF
         held = kept.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n")).toPandas()  # a row a term of the portion
         df[held["t"].to_numpy(np.int64)] = held["n"].to_numpy(np.int64)
         weights = np.floor(1000 * np.log((2.0 * documents + 2) / (2.0 * df + 1))).astype(np.int64)
-        search = _ranked([(int(i), t, n) for i, t, n in wanted], weights, documents, length, k)
+        search = _ranked([(int(i), t, n) for i, t, n in wanted], weights, documents, length, k, SEGMENT_POSTINGS)
         local = kept.where("doc_id is not null and size(terms) > 0").mapInArrow(search, schema)
         best_rows(local, ["item_id"], [F.desc("score"), F.asc("doc_id")], k, "rank").write.mode("append").parquet(out)
     return spark.read.schema(schema + ", rank int").parquet(out).select("item_id", "rank", "doc_id", "score")

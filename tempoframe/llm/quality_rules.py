@@ -18,7 +18,7 @@ BITS = 14
 #: The target's multinomial is fitted on at most this many trusted rows, those with the smallest hashes of their ids.
 MAX_TRUSTED = 20_000
 #: Pseudo-count of a bucket in the target; the corpus gets as many in proportion to its size.
-PRIOR = 1.0
+PRIOR = 16.0
 #: A document is kept if its mean log-likelihood ratio, in millionths, reaches this.
 CUT = -50_000
 #: Fewest words, and the largest share of words in repeated windows in percent.
