@@ -10,6 +10,8 @@ from tempoframe.operators import evaluation as eva
 from tempoframe.operators import models as mod
 from tempoframe.operators import valuation as val
 from tempoframe.operators.form import form_history
+from tempoframe.operators.preparation import fit_preparation
+from tempoframe.operators.regression import ols_robust, predicted
 from tempoframe.operators.serving import latest_per_key, merge_upsert
 
 #: What the regression reads of a feature row; positions have slopes on the third and the last.
@@ -22,29 +24,28 @@ def _keyed(features: DataFrame) -> DataFrame:
     return features.withColumns({"row_id": F.abs(F.xxhash64(*_KEYS)), "place": F.coalesce("latest_position", F.lit("Unknown"))})
 
 
-def _prepared(rows: DataFrame, predictors: list[str]) -> DataFrame:
-    """Predictors filled and scaled by the rows whose ``part`` is train; rows of positions that those lack are left out."""
-    known = rows.where("part = 'train'").select("place").distinct()
-    return eva.impute_standardize(rows, predictors, F.col("part") == "train").join(F.broadcast(known), "place", "left_semi")  # a row for each position
+def _scored(rows: DataFrame, model: mod.ValuationModel) -> DataFrame:
+    return rows.join(model.score(rows, "row_id").withColumnRenamed("row_key", "row_id"), "row_id")
 
 
-def _scored(rows: DataFrame, fit: mod.RobustFit) -> DataFrame:
-    return rows.join(mod.posterior_score(rows, fit, "row_id").withColumnRenamed("row_key", "row_id"), "row_id")
-
-
-def train(features: DataFrame, predictors: tuple[str, ...] = PREDICTORS, test_share: float = 0.2) -> tuple[mod.RobustFit, DataFrame, DataFrame, DataFrame]:
+def train(features: DataFrame, predictors: tuple[str, ...] = PREDICTORS, test_share: float = 0.2) -> tuple[mod.ValuationModel, DataFrame, DataFrame, DataFrame]:
     """Fits on the earlier valuations and judges on the later ones.
 
-    Returns the fit, its scores of the later rows, metrics of it, of least squares and of both baselines (one row a model), and the checks of the gate.
+    Returns the model (a fit with the preparation of its rows), its scores of the later rows, metrics of it, of least squares and of both baselines (one row a model), and
+    the checks of the gate. Predictors are filled and scaled by the earlier rows alone; positions are those of all rows.
     """
     names = list(predictors)
-    rows = eva.chronological_split(_keyed(features), "valuation_date", test_share)
-    rows = written(_prepared(eva.baseline_predictions(rows), names), "prepared")
+    rows = written(eva.baseline_predictions(eva.chronological_split(_keyed(features), "valuation_date", test_share)), "split")
     learned, later = rows.where("part = 'train'"), rows.where("part = 'test'")
-    fit = mod.robust_hierarchical_fit(learned, "log_value_change", names, position="place", age="age_at_valuation", form="decayed_rating", must_converge=False)
-    line = {r["term"]: r["coefficient"] for r in eva.ols_robust(learned, "log_value_change", names).collect()}
-    ols = sum((F.col(c) * line[c] for c in names), F.lit(line["intercept"]))
-    scored = written(_scored(later, fit).withColumn("ols", ols), "scored")
+    ready = fit_preparation(learned, names, "place", rows)
+    learned = written(ready.apply(learned), "prepared")
+    fit = mod.robust_hierarchical_fit(
+        learned, "log_value_change", names, position="place", age="age_at_valuation", form="decayed_rating", levels=ready.levels, must_converge=False
+    )
+    model = mod.ValuationModel(ready, fit)
+    line = ols_robust(learned, "log_value_change", names, "place", ready.levels)
+    ols = predicted(ready.apply(later), line, "ols", "place").select("row_id", "ols")
+    scored = written(_scored(later, model).join(ols, "row_id"), "scored")
     models = {"student_t": "median", "ols": "ols", "zero_change": "zero_change", "previous_change": "previous_change"}
     parts = [eva.regression_metrics(scored, "log_value_change", c).withColumn("model", F.lit(name)) for name, c in models.items()]
     metrics = written(parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]), "metrics")
@@ -53,14 +54,12 @@ def train(features: DataFrame, predictors: tuple[str, ...] = PREDICTORS, test_sh
     candidate = metrics.where("model = 'student_t'").withColumns({
         "zero_mae": F.lit(by["zero_change"]["mae"]), "zero_direction": F.lit(by["zero_change"]["direction_accuracy"]), "ols_mae": F.lit(by["ols"]["mae"]), "converged": F.lit(fit.converged),
     })
-    return fit, scored, metrics, written(eva.promotion_gate(candidate.crossJoin(cover)), "gate")  # one row each
+    return model, scored, metrics, written(eva.promotion_gate(candidate.crossJoin(cover)), "gate")  # one row each
 
 
-def estimates(features: DataFrame, current: DataFrame, fit: mod.RobustFit, predictors: tuple[str, ...] = PREDICTORS) -> DataFrame:
-    """Estimated values of ``current`` rows with 90 % limits; they are prepared by the statistics of all ``features`` rows."""
-    names = list(predictors)
-    both = _keyed(features).withColumn("part", F.lit("train")).unionByName(_keyed(current).withColumn("part", F.lit("now")), allowMissingColumns=True)
-    scored = _scored(_prepared(both, names).where("part = 'now'"), fit)
+def estimates(current: DataFrame, model: mod.ValuationModel) -> DataFrame:
+    """Estimated values of ``current`` rows with 90 % limits, prepared as the rows that the model was fitted on; a position that it does not know raises an error."""
+    scored = _scored(_keyed(current), model)
     value = lambda c: F.col("previous_value") * F.exp(c)
     return scored.select(
         *_KEYS, "previous_value", value("median").alias("estimate"), value("lower").alias("estimate_lower"), value("upper").alias("estimate_upper"),
@@ -87,12 +86,13 @@ def run(valuations: DataFrame, ratings: DataFrame, as_of: str, path: str, previo
     form = stored("form", form_history(rated).select("player_id", "match_id", "match_date", "rating", "form_rating_ewm"))
     intervals = stored("intervals", val.valuation_intervals(val.valuation_clean(valuations), rated))
     features = stored("features", val.valuation_feature_table(intervals, rated))
-    fit, _, metrics, gate = train(features)
+    model, _, metrics, gate = train(features)
+    model = mod.ValuationModel.load(spark, model.save(f"{path}/model"))
     stored("metrics", metrics)
-    stored("effects", mod.effect_summary(fit))
+    stored("effects", mod.effect_summary(model.fit))
     promoted = stored("gate", gate).first()["promoted"]
     now = stored("current", val.current_asof_features(val.valuation_clean(valuations), rated, as_of))
-    made = estimates(features, now, fit)
+    made = estimates(now, model)
     valued = stored("estimates", made if promoted else made.limit(0), "succeeded" if promoted else "skipped_not_promoted")
     players = latest_per_key(form, ["player_id"], ["match_date", "match_id"]).join(valued.select("player_id", "estimate", "estimate_lower", "estimate_upper"), "player_id", "left")
     stored("players", players if previous is None else merge_upsert(previous, players, ["player_id"]))

@@ -7,10 +7,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tempoframe.functions.ranks import average_ranks, quantiles
+from tempoframe.operators.preparation import apply_codes, fit_codes, fit_preparation
 
 RISE, FALL = math.log(1.10), math.log(0.90)
 
@@ -30,55 +31,12 @@ def chronological_split(rows: DataFrame, date: str, test_share: float = 0.2) ->
 
 def impute_standardize(rows: DataFrame, columns: list[str], train: Column) -> DataFrame:
     """Columns with nulls replaced by the training median, then centred and scaled by training mean and population deviation (one if it is zero)."""
-    middle = quantiles(rows.where(train), {f"_m_{c}": (c, 0.5) for c in columns})
-    medians = middle.select(*(F.coalesce(c, F.lit(0.0)).alias(c) for c in middle.columns))
-    filled = rows.crossJoin(F.broadcast(medians)).withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}")) for c in columns}).drop(*(f"_m_{c}" for c in columns))  # one row
-    stats = filled.where(train).agg(*(F.avg(c).alias(f"_a_{c}") for c in columns), *(F.stddev_pop(c).alias(f"_s_{c}") for c in columns))
-    joined = filled.crossJoin(F.broadcast(stats))  # one row
-    return joined.withColumns({c: (F.col(c) - F.col(f"_a_{c}")) / F.when(F.col(f"_s_{c}") > 0, F.col(f"_s_{c}")).otherwise(1.0) for c in columns}).select(*rows.columns)
+    return fit_preparation(rows.where(train), columns).apply(rows)
 
 
 def category_codes(rows: DataFrame, column: str, levels_from: Column | None = None) -> DataFrame:
-    """Adds ``<column>_code``: the place of the level among the sorted levels (of the chosen rows); an unknown level gets their number.
-
-    Levels are those of a category, so they are few: they are sorted in one task.
-    """
-    known = (rows if levels_from is None else rows.where(levels_from)).where(F.col(column).isNotNull()).select(column).distinct()
-    codes = known.withColumn("_code", (F.dense_rank().over(Window.orderBy(column)) - 1).cast("long"))
-    n = known.count()
-    return rows.join(codes, column, "left").withColumn(f"{column}_code", F.coalesce("_code", F.lit(n))).drop("_code")
-
-
-def _moments(rows: DataFrame, names: list[str], weight: Column | None = None) -> np.ndarray:
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    w = F.lit(1.0) if weight is None else weight
-    got = rows.agg(*(F.sum(w * F.col(a) * F.col(b)).alias(f"m{k}") for k, (a, b) in enumerate(pairs))).first()
-    at = {n: i for i, n in enumerate(names)}
-    m = np.zeros((len(names), len(names)))
-    for k, (a, b) in enumerate(pairs):
-        m[at[a], at[b]] = m[at[b], at[a]] = got[k] or 0.0
-    return m
-
-
-def ols_robust(rows: DataFrame, target: str, predictors: list[str]) -> DataFrame:
-    """Least squares with intercept and HC3 errors: one row per term with coefficient, error, z and p-value. Two aggregate passes; only sums reach the driver.
-
-    Rows with a null in target or predictors are left out.
-    """
-    x = ["_one", *predictors]
-    used = rows.dropna(subset=[target, *predictors]).withColumn("_one", F.lit(1.0)).select(*(F.col(c).cast("double").alias(c) for c in (*x, target)))
-    m = _moments(used, [*x, target])
-    inverse = np.linalg.pinv(m[:-1, :-1])
-    beta = inverse @ m[:-1, -1]
-    fit = sum((F.col(c) * float(b) for c, b in zip(x, beta, strict=True)), F.lit(0.0))
-    hat = sum((F.col(a) * F.col(b) * float(inverse[i, j]) for i, a in enumerate(x) for j, b in enumerate(x)), F.lit(0.0))
-    meat = _moments(used, x, F.pow((F.col(target) - fit) / (1 - hat), F.lit(2.0)))
-    error = np.sqrt(np.maximum(np.diag(inverse @ meat @ inverse), 0))
-    out = []
-    for name, b, e in zip(["intercept", *predictors], beta, error, strict=True):
-        z = b / e if e > 0 else 0.0
-        out.append((name, float(b), float(e), float(z), math.erfc(abs(z) / math.sqrt(2))))
-    return rows.sparkSession.createDataFrame(out, "term string, coefficient double, std_error double, z double, p_value double")
+    """Adds ``<column>_code``: the place of the level among the sorted levels (of the chosen rows); an unknown level gets their number."""
+    return apply_codes(rows, fit_codes(rows if levels_from is None else rows.where(levels_from), column), column)
 
 
 def baseline_predictions(rows: DataFrame, previous: str = "previous_log_change") -> DataFrame:

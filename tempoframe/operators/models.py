@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pandas as pd
@@ -20,6 +21,7 @@ from tempoframe.functions.expressions import clip
 from tempoframe.functions.state import written
 from tempoframe.operators import passes as pas
 from tempoframe.operators import shots as sho
+from tempoframe.operators.preparation import Preparation
 
 SHOT_NUMERIC = ("distance_to_goal", "angle_to_goal", "x", *sho.BASE[0], *sho.BASE[1])
 SHOT_CATEGORIES = ("body_part_clean", "situation_clean", "shot_location_name_clean", *sho.BUCKETS[0])
@@ -160,6 +162,42 @@ class RobustFit:
     players: DataFrame
 
 
+def save_fit(path: str, fit: RobustFit) -> str:
+    """Writes a fit to folders of ``path``: its numbers as a line of JSON, effects of players as a table."""
+    plain = {f.name: getattr(fit, f.name) for f in fields(fit) if f.name != "players"}
+    text = json.dumps(plain | {"beta": fit.beta.tolist(), "covariance": fit.covariance.tolist()})
+    fit.players.sparkSession.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/numbers")
+    fit.players.write.mode("overwrite").parquet(f"{path}/players")
+    return path
+
+
+def load_fit(spark: SparkSession, path: str) -> RobustFit:
+    """A fit as ``save_fit`` wrote it."""
+    got = json.loads(spark.read.text(f"{path}/numbers").first()[0])
+    got |= {c: np.array(got[c]) for c in ("beta", "covariance")} | {c: tuple(got[c]) for c in ("predictors", "levels", "slopes")}
+    return RobustFit(**got | {"terms": tuple(tuple(t) for t in got["terms"]), "players": spark.read.parquet(f"{path}/players")})
+
+
+@dataclass(frozen=True)
+class ValuationModel:
+    """A fit with the preparation that its predictors went through: whatever is scored later goes through the same one."""
+
+    preparation: Preparation
+    fit: RobustFit
+
+    def score(self, rows: DataFrame, key: str) -> DataFrame:
+        """``posterior_score`` of raw rows."""
+        return posterior_score(self.preparation.apply(rows), self.fit, key)
+
+    def save(self, path: str) -> str:
+        self.preparation.save(self.fit.players.sparkSession, f"{path}/preparation")
+        return save_fit(f"{path}/fit", self.fit).removesuffix("/fit")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> ValuationModel:
+        return ValuationModel(Preparation.load(spark, f"{path}/preparation"), load_fit(spark, f"{path}/fit"))
+
+
 def _design(batch: pd.DataFrame, predictors: tuple[str, ...], levels: tuple[str, ...], position: str | None, slopes: tuple[str, ...]) -> np.ndarray:
     """Rows of the normal equations: one, predictors, then for each effect of positions one column a level."""
     x = np.column_stack([np.ones(len(batch)), *(batch[c].to_numpy(np.float64) for c in predictors)])
@@ -205,14 +243,14 @@ def _summed(rows: DataFrame, task) -> np.ndarray:
 
 def robust_hierarchical_fit(
     rows: DataFrame, target: str, predictors: list[str], player: str = "player_id", position: str | None = None, age: str | None = None, form: str | None = None,
-    rounds: int = 200, tolerance: float = 1e-4, must_converge: bool = True,
+    levels: tuple[str, ...] | None = None, rounds: int = 200, tolerance: float = 1e-4, must_converge: bool = True,
 ) -> RobustFit:
     """Student-t regression with intercepts of players and of positions and slopes of positions on ``age`` and ``form`` (two of the predictors), all drawn towards zero.
 
     Expectation maximisation: rows are weighted by (nu + 1) / (nu + r² / s²), sums by player take the player's intercept out of the normal equations (Schur
     complement), and their totals, whose size is that of the predictors and positions, are solved on the driver. The scales of all effects and of the noise
     have half-normal priors and are moved to where the effects and their degrees of freedom agree; nu - 2 has an exponential prior and is taken from the
-    profile of the likelihood. Rounds end when coefficients, scales and the logarithm of nu move by less than ``tolerance`` (nu: its hundredfold); if they do not, an
+    profile of the likelihood. ``levels`` may name positions that no row has; their effects are zero with the spread of the others. Rounds end when coefficients, scales and the logarithm of nu move by less than ``tolerance`` (nu: its hundredfold); if they do not, an
     error is raised, or without ``must_converge`` the fit says so. This approximates a sampled posterior by its mode and curvature; rows with nulls are left out.
     """
     slopes = tuple(c for c in (age, form) if c is not None)
@@ -221,7 +259,10 @@ def robust_hierarchical_fit(
     keys = [player] if position is None else [player, position]
     named = [F.col(player).alias("player"), F.col(target).cast("double").alias("y"), *(F.col(c).cast("double").alias(c) for c in predictors)]
     base = written(rows.dropna(subset=[target, *keys, *predictors]).select(*named, *([] if position is None else [F.col(position).cast("string").alias("position")])), "fit-rows")
-    levels = () if position is None else tuple(sorted(r[0] for r in base.select("position").distinct().collect()))
+    if position is None:
+        levels = ()
+    elif levels is None:
+        levels = tuple(sorted(r[0] for r in base.select("position").distinct().collect()))
     shape = (tuple(predictors), levels, None if position is None else "position", slopes)
     kinds = [("position", "intercept"), *((n, f"{n}_slope") for n, c in (("age", age), ("form", form)) if c is not None)] if levels else []
     terms = (("coefficient", None, "intercept"), *(("coefficient", None, c) for c in predictors), *(("position", v, e) for _, e in kinds for v in levels))
@@ -312,7 +353,7 @@ def effect_summary(fit: RobustFit) -> DataFrame:
 
 
 def posterior_score(rows: DataFrame, fit: RobustFit, key: str, player: str = "player_id", draws: int = 4000, seed: int = 3) -> DataFrame:
-    """Median, 5 to 95 % range and probability of a rise of each row's predicted change.
+    """Median and probability of a rise of each row's expected change, and the 5 to 95 % range of the change with its noise.
 
     Draws of coefficients, intercepts and noise are made once and shared by all rows, so results depend neither on partitions nor
     on other rows; blocks of rows are scored as matrices. An unknown player has no intercept of its own. Null predictors and unknown
@@ -340,6 +381,6 @@ def posterior_score(rows: DataFrame, fit: RobustFit, key: str, player: str = "pl
                 d = m @ sample - h @ off + part["u"].to_numpy()[:, None] + part["su"].to_numpy()[:, None] * own
                 y = d + noise
                 low, high = np.quantile(y, (0.05, 0.95), axis=1)
-                yield pd.DataFrame({"row_key": part["row_key"], "median": np.median(d, axis=1), "lower": low, "upper": high, "p_increase": (y > 0).mean(axis=1)})
+                yield pd.DataFrame({"row_key": part["row_key"], "median": np.median(d, axis=1), "lower": low, "upper": high, "p_increase": (d > 0).mean(axis=1)})
 
     return joined.mapInPandas(score, "row_key long, median double, lower double, upper double, p_increase double")

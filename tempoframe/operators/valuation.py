@@ -40,6 +40,12 @@ def ratings_prepare(ratings: DataFrame) -> DataFrame:
     return rows.withColumn("_n", first).where("_n = 1").drop("_n")
 
 
+def _ready(ratings: DataFrame) -> DataFrame:
+    """``ratings`` as they are if they have all columns of ``ratings_prepare``, else prepared."""
+    needed = {"minutes", "started", "player_name", "position_group", *SUMMED, *COMPONENTS}
+    return ratings if needed <= set(ratings.columns) else ratings_prepare(ratings)
+
+
 def valuation_intervals(valuations: DataFrame, ratings: DataFrame) -> DataFrame:
     """Intervals between a rated player's valuations of ``MIN_DAYS`` to ``MAX_DAYS``, with changes of value."""
     kept = valuations.join(ratings.select("player_id").distinct(), "player_id", "left_semi")
@@ -125,8 +131,10 @@ def interval_performance(intervals: DataFrame, ratings: DataFrame, half_life: fl
 
     Matches, starts, minutes, latest position and name that are known, means of ratings (by minutes, decayed, of the last 90
     days), their spread, means of components and sums of counts; no row for an interval without a match. A player's
-    intervals do not overlap, so each match belongs to the next valuation after it and nothing is joined. ``ratings`` is as from ``ratings_prepare``.
+    intervals do not overlap, so each match belongs to the next valuation after it and nothing is joined. ``ratings`` that lack columns of
+    ``ratings_prepare`` are prepared first.
     """
+    ratings = _ready(ratings)
     columns = ("match_id", "minutes", "rating", "started", "position_group", "player_name", *SUMMED, *COMPONENTS)
     rows = _timeline(intervals, ratings, columns)
     upward = Window.partitionBy("player_id").orderBy(F.col("_at").desc(), F.col("_kind").desc(), F.col("match_id").desc()).rowsBetween(Window.unboundedPreceding, 0)
@@ -137,6 +145,7 @@ def interval_performance(intervals: DataFrame, ratings: DataFrame, half_life: fl
 
 def overlapping_performance(intervals: DataFrame, ratings: DataFrame, half_life: float = HALF_LIFE) -> DataFrame:
     """``interval_performance`` for intervals of a player that overlap, such as those of several days of judgement: each is joined with its matches."""
+    ratings = _ready(ratings)
     keys = intervals.select("player_id", "previous_valuation_date", "valuation_date")
     inside = keys.join(ratings, "player_id").withColumnRenamed("match_date", "_at").where("_at > previous_valuation_date and _at < valuation_date")
     return _performed(inside, half_life)
@@ -163,7 +172,7 @@ def _performed(inside: DataFrame, half_life: float) -> DataFrame:
 
 def valuation_feature_table(intervals: DataFrame, ratings: DataFrame, min_minutes: float = MIN_MINUTES, overlapping: bool = False) -> DataFrame:
     """Feature rows of intervals with enough minutes: performance, as-of form, transforms and counts per 90 minutes."""
-    performance = overlapping_performance if overlapping else interval_performance
+    performance, ratings = overlapping_performance if overlapping else interval_performance, _ready(ratings)
     rows = intervals.join(performance(intervals, ratings), _KEY).join(rolling_asof_form(intervals, ratings), _KEY, "left").where(F.col("minutes") >= min_minutes)
     month = F.month("valuation_date") * (2 * 3.141592653589793 / 12)
     per_90 = {f"{c}_per90": F.col(c) * 90.0 / F.col("minutes") for c in SUMMED}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tempoframe.functions.state import shared_path
 from tempoframe.operators import models as mod
 from tempoframe.operators import passes as pas
+from tempoframe.operators.preparation import fit_preparation
 from tempoframe.plans import features as fea
 from tempoframe.plans.fixtures import on_tables
 from tempoframe.plans.modelling import MODEL_ROWS
@@ -62,9 +63,13 @@ def effect_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def posterior_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predicted changes of all rows."""
-    rows, fit = _fit(spark, sf_dir)
-    return mod.posterior_score(rows.where(F.col("predicted").isNotNull()), fit, "row_id")
+    """Predicted changes of all rows by a model fitted on those before 1997: predictors go through the preparation of that fit, both stored and read back."""
+    rows = on_tables(spark, sf_dir, f"WITH {MODEL_ROWS} SELECT s.*, o_custkey AS player_id FROM scored s JOIN orders ON o_orderkey = row_id")
+    learned = rows.where("day < '1997-01-01'")
+    ready = fit_preparation(learned, ["predicted", "a1", "a2"], "level", rows)
+    fit = mod.robust_hierarchical_fit(ready.apply(learned), "actual", ["predicted", "a1", "a2"], position="level", age="a1", form="predicted", levels=ready.levels)
+    model = mod.ValuationModel(ready, fit)
+    return mod.ValuationModel.load(spark, model.save(shared_path(spark, "valuation-model"))).score(rows, "row_id")
 
 
 QUERIES = (xg_model, xgot_model, xa_model, robust_hierarchical_fit, effect_summary, posterior_score)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tempoframe.functions.expressions import rounded, rounded_sql
 from tempoframe.operators import evaluation as eva
+from tempoframe.operators import regression as reg
 from tempoframe.plans.fixtures import on_tables
 
 MODEL_ROWS = """
@@ -38,9 +39,38 @@ def category_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return eva.category_codes(_rows(spark, sf_dir), "level", F.col("level") != "5-LOW").select("row_id", "level_code")
 
 
+#: Predictors and positions of the least squares below; the first position has no column of its own.
+_SLOPES = {"predicted": "predicted", "a1": "a1", "a1_squared": "a1 * a1"}
+_PLACES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+
+
 def ols_robust(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Least squares of the actual values on one predictor."""
-    return rounded(eva.ols_robust(_rows(spark, sf_dir), "actual", ["predicted"]).select("term", "coefficient", "std_error"))
+    """Least squares of the actual values on three predictors, one the square of another, and positions."""
+    rows = _rows(spark, sf_dir).withColumns({c: F.expr(e) for c, e in _SLOPES.items()})
+    return rounded(reg.ols_robust(rows, "actual", list(_SLOPES), "level").select("term", "coefficient", "std_error"))
+
+
+def _ols_sql() -> str:
+    """Least squares by Gram-Schmidt: a term's coefficient is that of the target on what the other columns leave of its column."""
+    names = ["intercept", *_SLOPES, *(f"position_{v}" for v in _PLACES[1:])]
+    columns = ["1.0::DOUBLE", *_SLOPES.values(), *(f"(level = '{v}')::INT::DOUBLE" for v in _PLACES[1:])]
+    ctes = [f"b AS (SELECT row_id, actual AS y, {', '.join(f'{e} AS x{i}' for i, e in enumerate(columns))} FROM scored)"]
+    for j in range(len(columns)):
+        order, source = [i for i in range(len(columns)) if i != j] + [j], "b"
+        for step, pivot in enumerate(order):
+            rest = [*(f"x{i}" for i in order[step + 1 :]), "y"]
+            made = [f"{c} - x{pivot} * (sum({c} * x{pivot}) OVER () / sum(x{pivot} * x{pivot}) OVER ()) AS {c}" for c in rest]
+            slope = f"sum(y * x{pivot}) OVER () / sum(x{pivot} * x{pivot}) OVER () AS slope, x{pivot} / sum(x{pivot} * x{pivot}) OVER () AS pull"
+            done = [f"x{i}" for i in order[:step]]
+            ctes.append(f"g{j}_{step} AS (SELECT row_id, {', '.join([*done, f'x{pivot}', *made, slope])} FROM {source})")
+            source = f"g{j}_{step}"
+    k = len(columns) - 1
+    lever = " + ".join(f"x{i} * x{i} / sum(x{i} * x{i}) OVER ()" for i in range(k + 1))
+    ctes.append(f"e AS (SELECT row_id, y / (1 - ({lever})) AS e FROM g{k}_{k})")
+    parts = [
+        f"SELECT '{n}' AS term, any_value(slope) AS coefficient, sqrt(sum(e * e * pull * pull)) AS std_error FROM g{j}_{k} JOIN e USING (row_id)" for j, n in enumerate(names)
+    ]
+    return f"WITH {MODEL_ROWS}, {', '.join(ctes)} {' UNION ALL '.join(parts)}"
 
 
 def baseline_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,10 +130,7 @@ ORACLES = {
         t AS (SELECT avg(a1) AS u1, stddev_pop(a1) AS s1, avg(a2) AS u2, stddev_pop(a2) AS s2 FROM f WHERE day < DATE '1999-01-01') SELECT row_id, (a1 - u1) / s1 AS a1, (a2 - u2) / s2 AS a2 FROM f, t""", ["a1", "a2"]),
     "category_codes": f"""{_S}, l AS (SELECT level, row_number() OVER (ORDER BY level) - 1 AS c, count(*) OVER () AS n FROM (SELECT DISTINCT level FROM scored WHERE level <> '5-LOW') d)
         SELECT row_id, coalesce(c, (SELECT max(n) FROM l)) AS level_code FROM scored s LEFT JOIN l ON l.level = s.level""",
-    "ols_robust": rounded_sql(f"""{_S}, m AS (SELECT avg(predicted) AS mx, var_pop(predicted) * count(*) AS sxx, count(*) AS n, regr_slope(actual, predicted) AS b, regr_intercept(actual, predicted) AS a FROM scored),
-        e AS (SELECT pow((actual - a - b * predicted) / (1 - 1.0 / n - pow(predicted - mx, 2) / sxx), 2) AS w, predicted - mx AS d, m.* FROM scored, m)
-        SELECT 'intercept' AS term, any_value(a) AS coefficient, sqrt(sum(w * pow(1.0 / n - mx * d / sxx, 2))) AS std_error FROM e
-        UNION ALL SELECT 'predicted', any_value(b), sqrt(sum(w * pow(d / sxx, 2))) FROM e""", ["coefficient", "std_error"]),
+    "ols_robust": rounded_sql(_ols_sql(), ["coefficient", "std_error"]),
     "baseline_predictions": rounded_sql(f"{_S} SELECT row_id, 0.0::DOUBLE AS zero_change, coalesce(previous_log_change, 0) AS previous_change FROM scored", ["zero_change", "previous_change"]),
     "regression_metrics": rounded_sql(f"{_S} {_METRICS % 'predicted'}", ["mae", "approximate_mae", "rmse", "r2", "direction_accuracy", "spearman", "mean_error"]),
     "calibration_deciles": rounded_sql(f"""{_S}, e AS (SELECT unnest(list_distinct(quantile_cont(predicted, {[k / 10 for k in range(11)]}))) AS e FROM scored),

@@ -1,68 +1,132 @@
-"""Keyed state and upserts on file streams, idempotent by batch and resumed where they stopped."""
+"""Keyed state on streams: form and upserted rows, held in state stores, resumed where they stopped and read back as tables."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType
 
 from tempoframe.functions.state import shared_path
-from tempoframe.operators.form import form_append, form_state
-from tempoframe.operators.serving import merge_upsert
+from tempoframe.operators.form import HALF_LIFE, LAST
 
-#: Parts of a state by the hash of its keys; a batch rewrites those that it touches.
-BUCKETS = 16
+#: States are in RocksDB, of which a batch writes its changes.
+_STORES = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+_ITEM = "match_date date, match_id long, minutes double, rating double"
 
-Step = Callable[[DataFrame | None, DataFrame, int], DataFrame]
 
+class FormProcessor(StatefulProcessor):
+    """Of each player the decayed sums at the last match (a value) and the last twenty rated matches (a list).
 
-def _bucket(keys: list[str]) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
-
+    A batch reads and writes the states of its own players alone. Rows older than the state that the batch found, and rows without a date, are late: they
+    change nothing and are returned.
+    """
 
-def _places(spark: SparkSession, root: str, n: int) -> dict[int, int]:
-    """The version in which each bucket was last written, before batch ``n``."""
-    return {r["bucket"]: r["version"] for r in spark.read.parquet(f"{root}/manifest/batch={n}").collect()} if n else {}
+    def __init__(self, half_life: float = HALF_LIFE) -> None:
+        self.half_life = half_life
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.sums = handle.getValueState("sums", "ewm_numerator double, ewm_denominator double, last_match_date date")
+        self.recent = handle.getListState("recent", _ITEM)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        top, bottom, stored = self.sums.get() if self.sums.exists() else (0.0, 0.0, None)
+        recent, end, changed = list(self.recent.get()) if self.recent.exists() else [], stored, False
+        for part in rows:  # a player's rows may come in many parts, in any order
+            date = part["match_date"]
+            late = date.isna() | (False if stored is None else date.map(lambda d: d is not None and d < stored))
+            if late.any():
+                yield part[late]
+            part = part[~late]
+            if not len(part):
+                continue
+            changed, newest = True, max(part["match_date"])
+            if end is None or newest > end:
+                fade = 0.0 if end is None else 0.5 ** ((newest - end).days / self.half_life)
+                top, bottom, end = top * fade, bottom * fade, newest
+            rated = part[part["rating"].notna() & (part["minutes"].fillna(0) > 0)]
+            weight = rated["minutes"].to_numpy(float) * 0.5 ** (np.array([(end - d).days for d in rated["match_date"]], float) / self.half_life)
+            top, bottom = top + float((weight * rated["rating"].to_numpy(float)).sum()), bottom + float(weight.sum())
+            items = zip(rated["match_date"], rated["match_id"], rated["minutes"], rated["rating"], strict=True)
+            recent = sorted([*map(tuple, recent), *((d, int(m), float(n), float(r)) for d, m, n, r in items)])[-LAST:]
+        if changed:
+            self.sums.update((top, bottom, end))
+            if recent:  # a list of a player without rated matches does not exist
+                self.recent.put(recent)
+
+    def close(self) -> None:
+        pass
+
+
+class UpsertProcessor(StatefulProcessor):
+    """Of each key the row that came last: by batches, and within a batch by ``order``, else by all columns.
+
+    With ``digest`` a row whose digest is the stored one is not written. Returned is each row that was written.
+    """
 
+    def __init__(self, keys: list[str], values: StructType, digest: str | None, order: str | None) -> None:
+        self.keys, self.values, self.digest, self.order = keys, values, digest, order
 
-def _state(spark: SparkSession, root: str, places: dict[int, int]) -> DataFrame | None:
-    paths = [f"{root}/data/version={v}/bucket={b}" for b, v in sorted(places.items())]
-    return spark.read.parquet(*paths) if paths else None
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.row = handle.getValueState("row", self.values)
 
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        names = self.values.names
 
-def _fold(stream: DataFrame, step: Step, keys: list[str], root: str) -> DataFrame:
-    """Folds a stream's batches into a table in ``root``, a bucket of keys at a time.
+        def place(row: Row) -> list:
+            given = [self.order] if self.order else []
+            return [(row[c] is not None, row[c]) for c in (*given, *names) if not isinstance(row[c], dict)]
 
-    Batch n reads the buckets that it touches as manifest n lists them, writes them as version n + 1 and then manifest n + 1, so a
-    batch that is repeated after a failure finds what it found before. A stream that is started again with the
-    same ``root`` goes on after its last batch. Returns the table after the last batch.
-    """
+        last = None
+        for row in rows:
+            if last is None or place(row) >= place(last):
+                last = row
+        if last is None:
+            return
+        if self.digest and self.row.exists() and self.row.get()[names.index(self.digest)] == last[self.digest]:
+            return
+        self.row.update(tuple(last[c] for c in names))
+        yield Row(**{c: last[c] for c in (*self.keys, *names)})
+
+    def close(self) -> None:
+        pass
+
+
+def _advance(stream: DataFrame, made: Callable[[DataFrame], DataFrame], root: str, sink: str | None) -> None:
+    """Runs what the stream has now through a stateful step, whose states and progress are kept in ``root``; rows that come out go to ``sink``, a folder a batch."""
     spark = stream.sparkSession
 
     def batch(df: DataFrame, n: int) -> None:
-        own = df.sparkSession
-        df = df.persist()
-        places = _places(own, root, n)
-        touched = {r[0] for r in df.select(_bucket(keys)).distinct().collect()}  # at most BUCKETS
-        if touched:
-            after = step(_state(own, root, {b: v for b, v in places.items() if b in touched}), df, n)
-            after.withColumn("bucket", _bucket(keys)).write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/data/version={n + 1}")
-        rows = list((places | dict.fromkeys(touched, n + 1)).items())
-        own.createDataFrame(rows, "bucket int, version long").coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest/batch={n + 1}")
-        df.unpersist()
-
-    query = stream.writeStream.foreachBatch(batch).option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).start()
-    query.awaitTermination()
+        if sink:
+            df.write.mode("overwrite").parquet(f"{sink}/batch={n}")  # a repeated batch overwrites its own
+        else:
+            df.write.format("noop").mode("overwrite").save()
+
+    before = {k: spark.conf.get(k, None) for k in _STORES}
+    for k, v in _STORES.items():
+        spark.conf.set(k, v)
     try:
-        last = spark.read.parquet(f"{root}/manifest").agg(F.max("batch")).first()[0]
-    except AnalysisException:
-        last = None
-    found = _state(spark, root, _places(spark, root, last)) if last else None
-    if found is None:
-        raise ValueError("the stream had no rows")
-    return found
+        writer = made(stream).writeStream.outputMode("update").foreachBatch(batch)
+        writer.option("checkpointLocation", root).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _state(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A state variable after the last batch, as it lies in the stores."""
+    try:
+        return spark.read.format("statestore").option("stateVarName", name).option("flattenCollectionTypes", False).load(root)
+    except PySparkException as e:
+        raise ValueError("the stream had no rows") from e
 
 
 def file_stream(spark: SparkSession, path: str, schema: str, files: int | None = None) -> DataFrame:
@@ -71,25 +135,29 @@ def file_stream(spark: SparkSession, path: str, schema: str, files: int | None =
     return (reader if files is None else reader.option("maxFilesPerTrigger", files)).parquet(path)
 
 
-def stream_form_state(stream: DataFrame, path: str | None = None, late_path: str | None = None) -> DataFrame:
-    """Form state after a stream of rated rows, kept in ``path``. Rows older than their player's state are kept apart in ``late_path`` (if given) and change nothing."""
+def stream_form_state(stream: DataFrame, path: str | None = None, late_path: str | None = None, half_life: float = HALF_LIFE) -> DataFrame:
+    """Form state, as ``form_state`` gives it, after a stream of rated rows (dates as days); states are kept in ``path``, and a stream started again with it goes on.
 
-    def step(before: DataFrame | None, new: DataFrame, n: int) -> DataFrame:
-        if before is None:
-            return form_state(new)
-        known = new.join(before.select("player_id", "last_match_date"), "player_id", "left")
-        late = F.coalesce(F.col("match_date") < F.col("last_match_date"), F.lit(False))
-        if late_path:
-            known.where(late).drop("last_match_date").write.mode("overwrite").parquet(f"{late_path}/batch={n}")
-        return form_append(before, known.where(~late).drop("last_match_date"))
-
-    return _fold(stream, step, ["player_id"], path or shared_path(stream.sparkSession, "form-stream"))
+    Rows without a player have no state. Rows older than their player's state go to ``late_path`` (if given), a folder a batch, and change nothing; ``apply_edits`` takes them in later.
+    """
+    spark, root = stream.sparkSession, path or shared_path(stream.sparkSession, "form-stream")
+    rows = stream.select("player_id", "match_id", F.col("match_date").cast("date").alias("match_date"), F.col("minutes").cast("double"), F.col("rating").cast("double"))
+    rows = rows.where("player_id is not null")
+    shape = rows.schema
+    _advance(rows, lambda s: s.groupBy("player_id").transformWithStateInPandas(FormProcessor(half_life), shape, "Update", "None"), root, late_path)
+    sums = _state(spark, root, "sums").select(F.col("key.player_id").alias("player_id"), "value.*")
+    last = _state(spark, root, "recent").select(F.col("key.player_id").alias("player_id"), F.col("list_value").alias("recent"))
+    return sums.join(last, "player_id", "left").withColumn("recent", F.coalesce("recent", F.array()))
 
 
-def stream_upsert(stream: DataFrame, keys: list[str], digest: str | None = None, path: str | None = None) -> DataFrame:
-    """A table, kept in ``path``, after upserting every batch of a stream by key."""
+def stream_upsert(stream: DataFrame, keys: list[str], digest: str | None = None, path: str | None = None, order: str | None = None, changes: str | None = None) -> DataFrame:
+    """The table after upserting every batch of a stream by key, kept in ``path``; the rows that a batch wrote go to ``changes`` (if given), a folder a batch.
 
-    def step(before: DataFrame | None, new: DataFrame, n: int) -> DataFrame:
-        return merge_upsert(new.limit(0) if before is None else before, new, keys, digest)
+    Of rows of a batch that share a key that counts which is last by ``order``, else by all columns.
+    """
+    spark, root, shape = stream.sparkSession, path or shared_path(stream.sparkSession, "upsert-stream"), stream.schema
+    values = StructType([f for f in shape.fields if f.name not in keys])
+    out = StructType([*(shape[k] for k in keys), *values.fields])
+    _advance(stream, lambda s: s.groupBy(*keys).transformWithState(UpsertProcessor(keys, values, digest, order), out, "Update", "None"), root, changes)
+    return _state(spark, root, "row").select("key.*", "value.*").select(*shape.names)
 
-    return _fold(stream, step, keys, path or shared_path(stream.sparkSession, "upsert-stream"))
