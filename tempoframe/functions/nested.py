@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tempoframe.functions.state import written
+
 
 def balanced_object(text: str, start: int) -> str | None:
     """The object that opens at the first brace from ``start``, to its closing brace; braces in strings do not count."""
@@ -34,31 +35,26 @@ def extract_embedded_json(pages: DataFrame, marker: str, column: str = "html") -
     return pages.withColumn("payload", payload(column))
 
 
-def event_objects(value: object, path: str = "$") -> Iterator[tuple[str, str]]:
-    """Path and text of every nested object with an id (``id`` or ``eventId``), a ``minute`` and an object as ``type``."""
-    stack = [(value, path)]
-    while stack:
-        node, at = stack.pop()
-        if isinstance(node, dict):
-            if ("id" in node or "eventId" in node) and "minute" in node and isinstance(node.get("type"), dict):
-                yield at, json.dumps(node, sort_keys=True)
-            stack.extend((v, f"{at}.{k}") for k, v in node.items())
-        elif isinstance(node, list):
-            stack.extend((v, f"{at}[{i}]") for i, v in enumerate(node))
+def _objects(payloads: DataFrame) -> DataFrame:
+    """The root of each payload as a variant; text that is no JSON, or in which an object names a key twice, has none."""
+    return payloads.select("match_id", F.lit("$").alias("json_path"), F.try_parse_json("payload").alias("v")).where("v is not null")
 
 
 def walk_raw_events(payloads: DataFrame) -> DataFrame:
-    """``match_id``, ``json_path`` and ``event_json`` of every object in a payload that looks like an event; a payload that is no JSON has none."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for match_id, text in batch.itertuples(index=False, name=None):
-                try:
-                    tree = json.loads(text) if text else None
-                except ValueError:
-                    continue
-                rows = [(match_id, p, e) for p, e in event_objects(tree)]
-                if rows:
-                    yield pd.DataFrame(rows, columns=["match_id", "json_path", "event_json"])
-
-    return payloads.select("match_id", "payload").mapInPandas(run, "match_id long, json_path string, event_json string")
+    """``match_id``, ``json_path`` and ``event_json`` of every object in a payload that looks like an event: with an ``id`` or ``eventId``, a ``minute`` and an object as ``type``.
+
+    Payloads are variants that are walked level by level until no object or list is left; a level is a table, so there are as many steps as
+    payloads are deep, and a payload's level may lie in many tasks. ``event_json`` has sorted keys and no blanks; a payload that is no JSON has no rows.
+    """
+    spark = payloads.sparkSession
+    has = lambda key: F.try_variant_get("v", f"$.{key}", "variant").isNotNull()
+    is_event = (has("id") | has("eventId")) & has("minute") & F.to_json(F.try_variant_get("v", "$.type", "variant")).startswith("{")
+    level, found = written(_objects(payloads), "level"), None
+    while not level.isEmpty():
+        events = level.where(is_event).select("match_id", "json_path", F.to_json("v").alias("event_json"))
+        found = events if found is None else found.unionAll(events)
+        below = level.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
+        step = F.when(F.col("key").isNull(), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))).otherwise(F.concat(F.lit("."), "key"))
+        nested = F.left(F.to_json("value"), F.lit(1)).isin("{", "[")
+        level = written(below.where(nested).select("match_id", F.concat("json_path", step).alias("json_path"), F.col("value").alias("v")), "level")
+    return found if found is not None else _objects(payloads).select("match_id", "json_path", F.lit("").alias("event_json")).limit(0)

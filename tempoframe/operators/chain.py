@@ -9,10 +9,13 @@ from tempoframe.functions.state import written
 from tempoframe.operators import evaluation as eva
 from tempoframe.operators import models as mod
 from tempoframe.operators import valuation as val
+from tempoframe.operators.entities import collect_entities, match_entities, review_queue
 from tempoframe.operators.form import form_history
+from tempoframe.operators.journal import Journal
 from tempoframe.operators.preparation import fit_preparation
 from tempoframe.operators.regression import ols_robust, predicted
-from tempoframe.operators.serving import latest_per_key, merge_upsert
+from tempoframe.operators.ratings import rate_matches
+from tempoframe.operators.serving import latest_per_key, match_impacts, merge_upsert
 
 #: What the regression reads of a feature row; positions have slopes on the third and the last.
 PREDICTORS = ("log_previous_value", "previous_log_change", "age_at_valuation", "age_squared", "log_minutes", "start_share", "rating_trend", "asof_form", "decayed_rating")
@@ -67,33 +70,72 @@ def estimates(current: DataFrame, model: mod.ValuationModel) -> DataFrame:
     )
 
 
-def run(valuations: DataFrame, ratings: DataFrame, as_of: str, path: str, previous: DataFrame | None = None) -> DataFrame:
-    """Runs all stages and writes their tables below ``path``: form, features, metrics, gate, effects, estimates, players.
+def run(
+    valuations: DataFrame, ratings: DataFrame, as_of: str, path: str, previous: DataFrame | None = None, candidates: DataFrame | None = None, overrides: DataFrame | None = None
+) -> DataFrame:
+    """Runs all stages with a journal below ``path``: rated, (mapping, review), form, intervals, features, metrics, effects, gate, current, estimates, players.
 
-    Returns the record of the run, one row a stage with ``rows`` and ``status``, which is written last (``run``), so that a run without a record did
-    not end. Estimates are made only by a model that the gate promotes; otherwise their stage is 'skipped_not_promoted'. ``players`` is the latest rating and form of
-    each player with the estimate, upserted into ``previous`` if that is given.
+    ``ratings`` are rated rows, or player-match rows that are rated first. With ``candidates`` (``candidate_id``, ``name_key``) valuations are those of candidates, which are
+    mapped to players by approved ``overrides`` and unique names; the rest is in the review stage. Estimates are made only by a model that the gate promotes; otherwise their
+    stage is 'skipped_not_promoted'. ``players`` is the latest rating and form of each player with the estimate, upserted into ``previous`` if that is given.
+
+    Returns the last record of each stage. A stage whose inputs were seen before is read again, not made; a stage that fails leaves a record 'failed', and so
+    does the run, and the next run starts there. ``Journal(spark, path).latest(stage)`` reads a stage's table.
     """
-    spark, record = ratings.sparkSession, []
-
-    def stored(name: str, df: DataFrame, status: str = "succeeded") -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
-        table = spark.read.parquet(f"{path}/{name}")
-        record.append((len(record) + 1, name, table.count(), status))
-        return table
-
-    rated = stored("ratings", val.ratings_prepare(ratings))
-    form = stored("form", form_history(rated).select("player_id", "match_id", "match_date", "rating", "form_rating_ewm"))
-    intervals = stored("intervals", val.valuation_intervals(val.valuation_clean(valuations), rated))
-    features = stored("features", val.valuation_feature_table(intervals, rated))
-    model, _, metrics, gate = train(features)
-    model = mod.ValuationModel.load(spark, model.save(f"{path}/model"))
-    stored("metrics", metrics)
-    stored("effects", mod.effect_summary(model.fit))
-    promoted = stored("gate", gate).first()["promoted"]
-    now = stored("current", val.current_asof_features(val.valuation_clean(valuations), rated, as_of))
+    journal = Journal(ratings.sparkSession, path)
+    return journal.whole(lambda j: _stages(j, valuations, ratings, as_of, previous, candidates, overrides))
+
+
+def _stages(journal: Journal, valuations: DataFrame, ratings: DataFrame, as_of: str, previous: DataFrame | None, candidates: DataFrame | None, overrides: DataFrame | None) -> None:
+    spark, stage = journal.spark, journal.stage
+    for name, df in (("ratings", ratings), ("valuations", valuations), ("previous", previous), ("candidates", candidates), ("overrides", overrides)):
+        journal.input(name, df)
+    rate = "rating" not in ratings.columns
+    rated = stage("rated", ["ratings"], lambda _: val.ratings_prepare(rate_matches(ratings).withColumnRenamed("post_match_rating", "rating") if rate else ratings))
+    worth, of = valuations, "valuations"
+    if candidates is not None:
+        none = spark.createDataFrame([], "player_id long, candidate_id long")
+        names = collect_entities(rated.withColumns({c: F.lit(None).cast("long") for c in ("team_id", "position") if c not in rated.columns}))
+        mapping = stage("mapping", ["rated", "candidates", "overrides"], lambda _: match_entities(names, candidates, none if overrides is None else overrides))
+        stage("review", ["rated", "candidates", "mapping"], lambda _: review_queue(names, candidates, mapping))
+        worth, of = valuations.join(mapping.select("player_id", "candidate_id"), "candidate_id").drop("candidate_id"), "mapping"
+    form = stage("form", ["rated"], lambda _: form_history(rated).select("player_id", "match_id", "match_date", "rating", "form_rating_ewm"))
+    intervals = stage("intervals", ["valuations", of, "rated"], lambda _: val.valuation_intervals(val.valuation_clean(worth), rated))
+    features = stage("features", ["intervals", "rated"], lambda _: val.valuation_feature_table(intervals, rated))
+
+    def trained(place: str) -> DataFrame:
+        model, _, metrics, gate = train(features)
+        model.save(f"{place}-model")
+        gate.write.mode("overwrite").parquet(f"{place}-gate")
+        return metrics
+
+    stage("metrics", ["features"], trained)
+    place = journal.place("metrics")
+    model = mod.ValuationModel.load(spark, f"{place}-model")
+    stage("effects", ["metrics"], lambda _: mod.effect_summary(model.fit))
+    promoted = stage("gate", ["metrics"], lambda _: spark.read.parquet(f"{place}-gate")).first()["promoted"]
+    now = stage("current", ["valuations", of, "rated"], lambda _: val.current_asof_features(val.valuation_clean(worth), rated, as_of), as_of)
     made = estimates(now, model)
-    valued = stored("estimates", made if promoted else made.limit(0), "succeeded" if promoted else "skipped_not_promoted")
+    valued = stage("estimates", ["current", "gate"], lambda _: made if promoted else made.limit(0), None, "succeeded" if promoted else "skipped_not_promoted")
     players = latest_per_key(form, ["player_id"], ["match_date", "match_id"]).join(valued.select("player_id", "estimate", "estimate_lower", "estimate_upper"), "player_id", "left")
-    stored("players", players if previous is None else merge_upsert(previous, players, ["player_id"]))
-    return stored("run", spark.createDataFrame(record, "step int, stage string, rows long, status string"))
+    stage("players", ["form", "estimates", "previous"], lambda _: players if previous is None else merge_upsert(previous, players, ["player_id"]))
+
+
+def materialize(features: DataFrame, path: str, previous: DataFrame | None = None) -> DataFrame:
+    """The serving table of players from player-match rows with ``match_date``: rated, with form, the latest row of each player, upserted into the previous table.
+
+    The stages are kept in a journal below ``path``, as those of ``run``.
+    """
+    journal = Journal(features.sparkSession, path)
+
+    def work(j: Journal) -> None:
+        j.input("player_rows", features)
+        j.input("previous", previous)
+        rated = j.stage("rated", ["player_rows"], lambda _: rate_matches(features).select("player_id", "match_id", "match_date", "minutes", F.col("post_match_rating").alias("rating")))
+        form = j.stage("form", ["rated"], lambda _: form_history(rated))
+        latest = match_impacts(latest_per_key(form, ["player_id"], ["match_date", "match_id"]))
+        served = latest.select("player_id", "match_id", "rating", "form_rating_ewm", "impact", "impact_label")
+        j.stage("players", ["form", "previous"], lambda _: served if previous is None else merge_upsert(previous, served, ["player_id"]))
+
+    journal.whole(work)
+    return journal.latest("players")

@@ -85,22 +85,3 @@ def changed_partitions(current: DataFrame, processed: DataFrame, key: str = "mat
     joined = current.join(known, key, "left")
     status = F.when(F.col("_known").isNull(), "new").when(~F.col(digest).eqNullSafe(F.col("_was")), "changed")
     return joined.withColumn("status", status).where("status is not null").select(key, digest, "status")
-
-
-def update_route(changes: DataFrame, rows: DataFrame, states: DataFrame) -> DataFrame:
-    """What an update has to do, one row: ``reuse`` without changes, ``refit`` if a known match changed, ``append`` if all new rows are
-    in order, else ``recompute`` of the players with late rows."""
-    touched = rows.join(changes.where("status = 'new'").select("match_id"), "match_id", "left_semi")
-    late = touched.join(states.select("player_id", "last_match_date"), "player_id").where(F.col("match_date") < F.col("last_match_date"))
-    c = changes.agg(F.count_if(F.col("status") == "new").alias("new_matches"), F.count_if(F.col("status") == "changed").alias("changed_matches"))
-    n = late.agg(F.count_distinct("player_id").alias("late_players"))
-    route = F.when(F.col("changed_matches") > 0, "refit").when(F.col("new_matches") == 0, "reuse").when(F.col("late_players") > 0, "recompute").otherwise("append")
-    return c.crossJoin(n).withColumn("route", route)  # one row each
-
-
-def incremental_update(history: DataFrame, new: DataFrame) -> DataFrame:
-    """History with form after new rows came in: players without new rows keep theirs, the others are computed again from all their rows."""
-    base = [c for c in history.columns if c in new.columns]
-    affected = new.select("player_id").distinct()
-    again = history.join(affected, "player_id", "left_semi").select(*base).unionByName(new.select(*base))
-    return history.join(affected, "player_id", "left_anti").unionByName(form_history(again).select(*history.columns))

@@ -181,10 +181,3 @@ def event_quality_checks(events: DataFrame) -> DataFrame:
         check("unique_events", "error", "d", F.col("d") == 0), check("coordinate_range", "error", "r", F.col("r") == 0), check("has_passes", "error", "p", F.col("p") > 0),
         check("has_shots", "warning", "s", F.col("s") > 0), check("id_coverage", "info", "n", F.col("n") == 0),
     )))
-
-
-def content_hash_files(df: DataFrame, name: str, content: str, group: list[str]) -> DataFrame:
-    """SHA-256 signature of each group over its sorted (name, content digest) pairs."""
-    digest = F.sha2(F.coalesce(F.col(content), F.lit("")).cast("binary"), 256)
-    line = F.concat_ws(":", F.col(name).cast("string"), digest)
-    return df.groupBy(*group).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(line)), "\n").cast("binary"), 256).alias("signature"), F.count("*").alias("files"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tempoframe.functions.expressions import non_null_sum
+from tempoframe.functions.state import written
 from tempoframe.operators import passes as pas
 from tempoframe.operators import sequences as seq
 from tempoframe.operators import shots as sho
@@ -13,8 +14,8 @@ from tempoframe.operators import shots as sho
 KEYS = ["match_id", "player_id"]
 
 
-def guarded(lineups: DataFrame, events: DataFrame) -> DataFrame:
-    """Rows with positive minutes; a row that starts or acts without minutes, has no known group or over 130 minutes raises an error when it is read."""
+def lineup_faults(lineups: DataFrame, events: DataFrame) -> DataFrame:
+    """Lineup rows with ``fault``: why a row that starts or acts without minutes, has no known group or over 130 minutes cannot be used; null for others."""
     acted = events.where(F.col("type_name") != "Card").dropna(subset=KEYS).select(*KEYS, F.lit(True).alias("_acted")).distinct()
     rows = lineups.join(acted, KEYS, "left")
     minutes = F.coalesce(F.col("minutes"), F.lit(0.0))
@@ -24,8 +25,14 @@ def guarded(lineups: DataFrame, events: DataFrame) -> DataFrame:
         .when((minutes > 0) & F.coalesce(F.col("position_group") == "Unknown", F.lit(True)), "unknown position")
         .when(minutes > 130, "invalid minutes")
     )
-    checked = F.when(fault.isNotNull(), F.raise_error(F.concat(fault, F.lit(" in match "), F.col("match_id").cast("string"))).cast("double")).otherwise(minutes)
-    return rows.withColumn("minutes", checked).where("minutes > 0").drop("_acted")
+    return rows.withColumns({"fault": fault, "minutes": minutes}).drop("_acted")
+
+
+def guarded(lineups: DataFrame, events: DataFrame) -> DataFrame:
+    """Rows with positive minutes; a row with a fault raises an error when it is read."""
+    rows = lineup_faults(lineups, events)
+    stop = F.raise_error(F.concat("fault", F.lit(" in match "), F.col("match_id").cast("string"))).cast("double")
+    return rows.withColumn("minutes", F.when(F.col("fault").isNotNull(), stop).otherwise(F.col("minutes"))).where("minutes > 0").drop("fault")
 
 
 def player_match_features(
@@ -63,10 +70,25 @@ def player_match_features(
     return rows
 
 
+def match_outcomes(pending: DataFrame, lineups: DataFrame, events: DataFrame) -> DataFrame:
+    """``status`` and ``error`` of each pending match (``match_id``): 'failed' with the first fault by name of its lineup, or without any events or lineup, else 'processed'."""
+    ids = pending.select("match_id").distinct()
+    only = lambda df: df.join(ids, "match_id", "left_semi")
+    faults = lineup_faults(only(lineups), only(events)).groupBy("match_id").agg(F.min("fault").alias("fault"), F.count_if(F.col("minutes") > 0).alias("played"))
+    seen = only(events).groupBy("match_id").agg(F.count("*").alias("events"))
+    rows = ids.join(faults, "match_id", "left").join(seen, "match_id", "left")
+    error = F.coalesce("fault", F.when(F.coalesce("played", F.lit(0)) == 0, "no player took part"), F.when(F.coalesce("events", F.lit(0)) == 0, "no events"))
+    return rows.select("match_id", F.when(error.isNull(), "processed").otherwise("failed").alias("status"), error.alias("error"))
+
+
 def enrich_increment(
     pending: DataFrame, lineups: DataFrame, events: DataFrame, passes: DataFrame, shots: DataFrame, keepers: DataFrame, grid: DataFrame
-) -> DataFrame:
-    """Player-match rows of the pending matches alone (``match_id``): every input is cut down to them before any work is done."""
-    ids = pending.select("match_id").distinct()
+) -> tuple[DataFrame, DataFrame]:
+    """Player-match rows of the pending matches alone (``match_id``), and the outcome of each of them.
+
+    Every input is cut down to them before any work is done. A match with a fault has no rows and is 'failed' with the reason; the others are not touched by it.
+    """
+    outcomes = written(match_outcomes(pending, lineups, events), "outcomes")
+    ids = outcomes.where("status = 'processed'").select("match_id")
     only = lambda df: df.join(ids, "match_id", "left_semi")
-    return player_match_features(only(lineups), only(events), only(passes), only(shots), only(keepers), grid)
+    return player_match_features(only(lineups), only(events), only(passes), only(shots), only(keepers), grid), outcomes

@@ -178,6 +178,11 @@ def rate_matches(features: DataFrame, priors: DataFrame | None = None, stats: Da
 
     What is fitted and then applied to the same rows is written once to the shared folder in between.
     """
+    return fitted_ratings(features, priors, stats)[0]
+
+
+def fitted_ratings(features: DataFrame, priors: DataFrame | None = None, stats: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Ratings with the priors and the statistics (of features and of the composite) that they were made with, to be frozen."""
     priors = pass_completion_prior(features) if priors is None else priors
     made = written(per90_log_features(features, priors), "per90")
     fitted = zscore_fit(made) if stats is None else stats
@@ -187,7 +192,8 @@ def rate_matches(features: DataFrame, priors: DataFrame | None = None, stats: Da
     final = zscore_apply(composed, again, ("reliability_adjusted_composite",), COMPOSITE_CLIP)
     z = F.col("z_reliability_adjusted_composite")
     base = F.when(finite(F.col("minutes")) > 0, F.when(F.col("position_group") == "Goalkeeper", goalkeeper_rating()).otherwise(outfield_rating(z)))
-    return rating_adjustments(final.withColumn("standardized_composite", z).withColumn("base_rating", base))
+    rated = rating_adjustments(final.withColumn("standardized_composite", z).withColumn("base_rating", base))
+    return rated, priors, fitted if stats is not None else fitted.unionByName(again)
 
 
 def primary_position(features: DataFrame, keys: tuple[str, ...] = ("season", "player_id")) -> DataFrame:

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tempoframe.operators.form import form_history
-from tempoframe.operators.ratings import rate_matches
-
 DEFAULT_EXPLANATION = "No standout component"
 
 
@@ -94,24 +91,16 @@ def run_rollup(items: DataFrame, by: list[str]) -> DataFrame:
     return counts.withColumn("run_status", status)
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], digest: str | None = None) -> DataFrame:
+def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], digest: str | None = None, order: list[str] | None = None) -> DataFrame:
     """``target`` after an upsert by key: rows of ``source`` replace those with the same key or are added.
 
-    Of repeated source keys one row counts, the first by all columns. With ``digest`` rows whose digest is unchanged stay as they are. Applying the same source again changes nothing.
+    Of repeated source keys one row counts, the last by ``order`` or else the first by all columns. With ``digest`` rows whose digest is unchanged stay as they are. Applying the same source again changes nothing.
     """
     cols = target.columns
     rest = [c for c in source.columns if c not in keys]
-    n = F.row_number().over(Window.partitionBy(*keys).orderBy(*rest))
+    n = F.row_number().over(Window.partitionBy(*keys).orderBy(*(F.col(c).desc() for c in order or ()), *rest))
     new = source.withColumn("_n", n).where("_n = 1").select(*cols)
     if digest:
         same = target.select(*keys, F.col(digest).alias("_was"))
         new = new.join(same, keys, "left").where(~F.col(digest).eqNullSafe(F.col("_was")) | F.col("_was").isNull()).select(*cols)
     return target.join(new.select(*keys), keys, "left_anti").unionByName(new)
-
-
-def materialize(features: DataFrame, previous: DataFrame | None = None) -> DataFrame:
-    """The serving table of players from player-match rows with ``match_date``: rated, with form, the latest row of each player, upserted into the previous table."""
-    rated = rate_matches(features).select("player_id", "match_id", "match_date", "minutes", F.col("post_match_rating").alias("rating"))
-    latest = latest_per_key(form_history(rated), ["player_id"], ["match_date", "match_id"])
-    served = match_impacts(latest).select("player_id", "match_id", "rating", "form_rating_ewm", "impact", "impact_label")
-    return served if previous is None else merge_upsert(previous, served, ["player_id"])

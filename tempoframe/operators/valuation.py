@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 HALF_LIFE = 90.0
 MIN_DAYS, MAX_DAYS, MIN_MINUTES = 14, 365, 180
+_KEY = ["player_id", "valuation_date"]
 
 
 def valuation_clean(valuations: DataFrame) -> DataFrame:
@@ -80,20 +81,45 @@ def _clipped(minutes: str) -> Column:
     return F.least(F.greatest(F.col(minutes), F.lit(1.0)), F.lit(120.0))
 
 
-def interval_asof_join(intervals: DataFrame, ratings: DataFrame, half_life: float = HALF_LIFE) -> DataFrame:
+#: Days of a bucket of the as-of join.
+BUCKET_DAYS = 90
+
+
+def interval_asof_join(intervals: DataFrame, ratings: DataFrame, half_life: float = HALF_LIFE, bucket_days: int = BUCKET_DAYS) -> DataFrame:
     """Each interval with all ratings of the player strictly before the valuation: days before, decayed weight and recency rank.
 
     Decayed weights take minutes held within 1 and 120. Equal dates rank by match_id, the larger first. The result has a row for each interval
     and earlier match; ``rolling_asof_form`` and ``interval_performance`` do without it.
+
+    Dates are cut into buckets and an interval asks each bucket up to its own, so the join is on player and bucket and a long history lies in as many tasks as it has
+    buckets; dates are compared in the last bucket alone. A match has its place in the player's order and an interval the number of matches before it, of whole
+    buckets by running counts, so ranks are differences and nothing is sorted by interval.
     """
-    keys = intervals.select("player_id", "previous_valuation_date", "valuation_date")
-    rows = keys.join(ratings.select("player_id", "match_id", "match_date", "minutes", "rating"), "player_id").where(F.col("match_date") < F.col("valuation_date"))
+    bucket = lambda c: F.floor(F.datediff(F.col(c), F.lit("1970-01-01").cast("date")) / bucket_days)
+    matches = ratings.select("player_id", "match_id", "match_date", "minutes", "rating", bucket("match_date").alias("_b"))
+    within = Window.partitionBy("player_id", "_b").orderBy("match_date", "match_id")
+    matches = matches.withColumn("_in", F.row_number().over(within))
+    sizes = matches.groupBy("player_id", "_b").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy("player_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))  # a row for each player and bucket
+    first = sizes.groupBy("player_id").agg(F.min("_b").alias("_first"))
+    asked = intervals.select("player_id", "previous_valuation_date", "valuation_date", bucket("valuation_date").alias("_own")).join(first, "player_id").where("_own >= _first")
+    asked = asked.select("player_id", "previous_valuation_date", "valuation_date", "_own", F.explode(F.sequence("_first", "_own")).alias("_b"))
+    rows = asked.join(sizes, ["player_id", "_b"])
+    # How many matches of the cut bucket are before the valuation.
+    cut = rows.where("_b = _own").join(matches.select("player_id", "_b", "match_date"), ["player_id", "_b"]).groupBy("player_id", "valuation_date").agg(
+        F.count_if(F.col("match_date") < F.col("valuation_date")).alias("_cut")
+    )
+    whole = F.max(F.when(F.col("_b") < F.col("_own"), F.col("_before") + F.col("_n")))
+    known = rows.groupBy("player_id", "valuation_date").agg(F.coalesce(whole, F.lit(0)).alias("_whole")).join(cut, _KEY, "left")
+    known = known.select(*_KEY, (F.col("_whole") + F.coalesce("_cut", F.lit(0))).alias("_known"))
+    pairs = rows.join(matches, ["player_id", "_b"]).where((F.col("_b") < F.col("_own")) | (F.col("match_date") < F.col("valuation_date"))).join(known, _KEY)
     days = F.datediff("valuation_date", "match_date").cast("long")
-    rank = F.row_number().over(Window.partitionBy("player_id", "valuation_date").orderBy(F.col("match_date").desc(), F.col("match_id").desc()))
-    return rows.withColumns({"days_before": days, "recency_rank": rank.cast("long"), "decayed_weight": _clipped("minutes") * F.pow(F.lit(2.0), -days / half_life)})
-
-
-_KEY = ["player_id", "valuation_date"]
+    rank = (F.col("_known") - F.col("_before") - F.col("_in") + 1).cast("long")
+    return pairs.select(
+        *_KEY, "previous_valuation_date", "match_id", "match_date", "minutes", "rating", days.alias("days_before"), rank.alias("recency_rank"),
+        (_clipped("minutes") * F.pow(F.lit(2.0), -days / half_life)).alias("decayed_weight"),
+    )
 
 
 def _timeline(intervals: DataFrame, ratings: DataFrame, columns: tuple[str, ...]) -> DataFrame:

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempoframe.functions.expressions import rounded, rounded_sql
+from tempoframe.functions.state import written
 from tempoframe.operators import form as frm
+from tempoframe.operators import ledger as led
 from tempoframe.operators import valuation as val
 from tempoframe.plans.fixtures import ctes, projected
 
@@ -56,18 +58,35 @@ def changed_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frm.changed_partitions(_hashes(spark, sf_dir, True), _hashes(spark, sf_dir, False).where("match_id % 5 <> 0"))
 
 
+def _stored(rows: DataFrame) -> DataFrame:
+    """What was known before: a part of the matches is still to come, a part is late and a part had other ratings."""
+    known = rows.where((F.col("match_date") < SPLIT) & (F.col("match_id") % 11 > 0))
+    return known.withColumn("rating", F.when(F.col("match_id") % 7 == 0, F.col("rating") - 1).otherwise(F.col("rating")))
+
+
+def _edits(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Retractions and insertions between the known and the current rows of matches whose digests differ."""
+    digest = lambda df: df.groupBy("match_id").agg(F.bit_xor(F.xxhash64("player_id", "minutes", "rating", "match_date")).cast("string").alias("input_hash"))
+    changes = frm.changed_partitions(digest(rows), digest(known))
+    return led.edits_between(known, rows, changes)
+
+
 def incremental_rating_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """History with form, brought up to date with newer rows."""
-    rows = _ratings(spark, sf_dir)
-    cut = frm.incremental_update(frm.form_history(rows.where(F.col("match_date") < SPLIT)), rows.where(F.col("match_date") >= SPLIT))
-    return rounded(cut.select("player_id", "match_id", "form_rating_ewm", "rolling_3_match_rating", "rolling_20_match_rating"))
+    """History with form, brought up to date with new, late and corrected rows, each player by its own route."""
+    rows = written(_ratings(spark, sf_dir).select("player_id", "match_id", "match_date", "minutes", "rating"), "current")
+    known = written(_stored(rows), "known")
+    history = led.advanced(frm.form_history(known), led.form_ledger(known), _edits(rows, known))[0]
+    return rounded(history.select("player_id", "match_id", "form_rating_ewm", "rolling_3_match_rating", "rolling_20_match_rating"))
 
 
 def late_row_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The route of an update in which some rows are late."""
-    rows = _ratings(spark, sf_dir)
-    changes = rows.where("match_id % 5 = 0").select("match_id", F.lit("new").alias("status")).distinct()
-    return frm.update_route(changes, rows, frm.form_state(rows.where("match_id % 5 <> 0")))
+    """Each player's route when some matches come in, many of them late, and the state that it leads to."""
+    rows = written(_ratings(spark, sf_dir).select("player_id", "match_id", "match_date", "minutes", "rating"), "current")
+    known = rows.where("match_id % 5 <> 0")
+    edits = rows.where("match_id % 5 = 0").withColumn("op", F.lit("insert"))
+    _, ledger, routes = led.advanced(frm.form_history(known), led.form_ledger(known), edits)
+    states = led.state_of(ledger).join(routes, "player_id", "left").withColumn("route", F.coalesce("route", F.lit("reuse")))
+    return _flat(states).join(states.select("player_id", "route"), "player_id")
 
 
 def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,11 +250,10 @@ ORACLES = {
         SELECT match_id, md5((n + CASE WHEN match_id % 7 = 0 THEN 1 ELSE 0 END)::VARCHAR) AS input_hash, CASE WHEN match_id % 5 = 0 THEN 'new' ELSE 'changed' END AS status
         FROM s WHERE match_id % 5 = 0 OR match_id % 7 = 0""",
     "incremental_rating_update": rounded_sql(_FORM, _FORMS),
-    "late_row_route": f"""WITH {_R}, last AS (SELECT player_id, max(match_date) AS d FROM player_ratings WHERE match_id % 5 <> 0 GROUP BY player_id),
-        late AS (SELECT count(DISTINCT r.player_id) AS n FROM player_ratings r JOIN last l ON l.player_id = r.player_id AND r.match_date < l.d WHERE r.match_id % 5 = 0),
-        new AS (SELECT count(DISTINCT match_id) AS n FROM player_ratings WHERE match_id % 5 = 0)
-        SELECT new.n AS new_matches, 0::BIGINT AS changed_matches, late.n AS late_players,
-               CASE WHEN new.n = 0 THEN 'reuse' WHEN late.n > 0 THEN 'recompute' ELSE 'append' END AS route FROM new, late""",
+    "late_row_route": rounded_sql(f"""WITH {_R}, place AS (SELECT *, date_diff('day', DATE '1990-01-01', match_date)::BIGINT * 10000000000 + match_id AS pos FROM player_ratings),
+        known AS (SELECT player_id, max(pos) AS last FROM place WHERE match_id % 5 <> 0 GROUP BY player_id),
+        r AS (SELECT p.player_id, bool_or(coalesce(p.pos <= k.last, false)) AS late FROM place p LEFT JOIN known k ON k.player_id = p.player_id WHERE p.match_id % 5 = 0 GROUP BY p.player_id)
+        SELECT s.*, CASE WHEN r.late THEN 'recompute' WHEN r.player_id IS NOT NULL THEN 'append' ELSE 'reuse' END AS route FROM ({_STATE}) s LEFT JOIN r ON r.player_id = s.player_id""", ["ewm_numerator", "ewm_denominator"]),
     "valuation_clean": rounded_sql(f"WITH {_V}, {_CLEAN} SELECT * FROM clean", ["age_at_valuation"]),
     "ratings_prepare": rounded_sql(f"WITH {_M}, {_PREPARED} SELECT * FROM prepared", ["minutes", "rating", *val.SUMMED, *val.COMPONENTS]),
     "valuation_intervals": rounded_sql(f"{_I} SELECT * FROM intervals", ["market_value", "previous_value", "log_value_change", "pct_value_change", "previous_log_change", "age_at_valuation"]),

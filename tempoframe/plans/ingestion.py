@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tempoframe.functions import nested as nes
 from tempoframe.functions.expressions import rounded, rounded_sql
+from tempoframe.functions.state import shared_path
 from tempoframe.operators import ingest as ing
 from tempoframe.plans.fixtures import ctes, projected, table
+from tempoframe.sources import files as src
 
 
 def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,9 +166,11 @@ def event_quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def content_hash_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Signatures of pages by hundreds."""
-    pages = table(spark, sf_dir, "pages").withColumn("batch", F.floor(F.col("page_id") / 100))
-    return ing.content_hash_files(pages, "page_id", "html", ["batch"])
+    """Signatures of files of pages, ten pages a file and ten files a group."""
+    path = shared_path(spark, "page-files")
+    pages = table(spark, sf_dir, "pages").select(F.floor(F.col("page_id") / 100).alias("batch"), F.floor(F.col("page_id") / 10).alias("file"), "page_id", F.coalesce("html", F.lit("")).alias("value"))
+    pages.repartition("batch", "file").sortWithinPartitions("batch", "file", "page_id").select("batch", "file", "value").write.partitionBy("batch", "file").text(path)
+    return src.hash_files(spark, path, r"/file=(-?\d+)/", r"/batch=(-?\d+)/").withColumnRenamed("group", "batch")
 
 
 QUERIES = (
@@ -213,5 +217,6 @@ ORACLES = {
         count(*) FILTER (WHERE type_name = 'Pass') AS p, count(*) FILTER (WHERE is_shot = 1) AS s, count(*) FILTER (WHERE event_id IS NULL) AS n FROM match_events GROUP BY match_id)
         SELECT match_id, 'unique_events' AS "check", 'error' AS severity, d AS n, d = 0 AS passed FROM s UNION ALL SELECT match_id, 'coordinate_range', 'error', r, r = 0 FROM s
         UNION ALL SELECT match_id, 'has_passes', 'error', p, p > 0 FROM s UNION ALL SELECT match_id, 'has_shots', 'warning', s, s > 0 FROM s UNION ALL SELECT match_id, 'id_coverage', 'info', n, n = 0 FROM s""",
-    "content_hash_files": "SELECT page_id // 100 AS batch, sha256(string_agg(line, chr(10) ORDER BY line)) AS signature, count(*) AS files FROM (SELECT page_id, page_id || ':' || sha256(coalesce(html, '')) AS line FROM pages) t GROUP BY page_id // 100",
+    "content_hash_files": """SELECT batch::VARCHAR AS batch, sha256(string_agg(line, chr(10) ORDER BY line)) AS signature, count(*) AS files FROM (
+        SELECT page_id // 100 AS batch, (page_id // 10) || ':' || sha256(string_agg(coalesce(html, '') || chr(10), '' ORDER BY page_id)) AS line FROM pages GROUP BY page_id // 100, page_id // 10) t GROUP BY batch""",
 }

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempoframe.functions.expressions import rounded, rounded_sql
-from tempoframe.functions.state import written
+from tempoframe.functions.state import shared_path, written
 from tempoframe.operators import appearances as app
+from tempoframe.operators import chain
 from tempoframe.operators import player_match as pm
 from tempoframe.operators import ratings as rat
-from tempoframe.operators import serving as ser
 from tempoframe.plans import features as fea
 from tempoframe.plans.events import ACTIONS, CARRIES, DEFENCE, VALUED
 from tempoframe.plans.fixtures import ctes, projected
@@ -63,12 +63,14 @@ def player_match_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enrich_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Player-match rows of the pending third of the matches."""
+    """Player-match rows of the pending third of the matches with the outcome of each; some lineups have a row of 131 minutes, and their matches fail alone."""
     events = _events(spark, sf_dir)
     lineups = _minutes(spark, sf_dir).withColumn("position_group", F.coalesce(app.position_group(F.col("position_code"), "lenient"), F.lit("Midfielder")))
+    lineups = lineups.withColumn("minutes", F.when(F.col("match_id") % 9 == 0, F.lit(131.0)).otherwise(F.col("minutes")))
     pending = events.select("match_id").where("match_id % 3 = 0")
-    made = pm.enrich_increment(pending, lineups, events, fea._passes(spark, sf_dir), fea._shots(spark, sf_dir), fea._keepers(spark, sf_dir), projected(spark, sf_dir, "value_grid"))
-    return rounded(made.select("match_id", "player_id", "minutes", *TOTALS))
+    made, outcomes = pm.enrich_increment(pending, lineups, events, fea._passes(spark, sf_dir), fea._shots(spark, sf_dir), fea._keepers(spark, sf_dir), projected(spark, sf_dir, "value_grid"))
+    rows = outcomes.join(made.select("match_id", "player_id", "minutes", *TOTALS), "match_id", "left")
+    return rounded(rows.select("match_id", "status", "error", "player_id", "minutes", *TOTALS))
 
 
 def pass_completion_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,7 +150,9 @@ def rating_adjustments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The serving table of all players."""
     rows = written(_rows(spark, sf_dir), "player-rows").withColumn("match_date", F.date_add(F.lit("2024-08-01"), F.col("match_id").cast("int")))
-    return rounded(ser.materialize(rows))
+    path = shared_path(spark, "materialized")
+    chain.materialize(rows, path)
+    return rounded(chain.materialize(rows, path))  # a second run reads what the first one kept
 
 
 def primary_position(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,7 +322,10 @@ ORACLES = {
         first AS (SELECT match_id, player_id, g FROM chain QUALIFY row_number() OVER (PARTITION BY match_id, player_id ORDER BY depth, g) = 1)
         SELECT s.match_id, s.player_id, f.g AS position_group FROM start s LEFT JOIN first f ON f.match_id = s.match_id AND f.player_id = s.player_id""",
     "player_match_features": rounded_sql(f"{_R} SELECT season, match_id, player_id, team_id, position_group, minutes, {', '.join(TOTALS)} FROM player_rows", _DOUBLE_TOTALS),
-    "enrich_increment": rounded_sql(f"{_R} SELECT match_id, player_id, minutes, {', '.join(TOTALS)} FROM player_rows WHERE match_id % 3 = 0", _DOUBLE_TOTALS),
+    "enrich_increment": rounded_sql(f"""{_R}, work AS (SELECT DISTINCT match_id FROM match_events WHERE match_id % 3 = 0)
+        SELECT w.match_id, CASE WHEN w.match_id % 9 = 0 THEN 'failed' ELSE 'processed' END AS status, CASE WHEN w.match_id % 9 = 0 THEN 'invalid minutes' END AS error,
+               p.player_id, p.minutes, {', '.join('p.' + c for c in TOTALS)}
+        FROM work w LEFT JOIN player_rows p ON p.match_id = w.match_id AND w.match_id % 9 > 0""", ["minutes", *_DOUBLE_TOTALS]),
     "pass_completion_prior": rounded_sql(f"{_R}, {PRIORS} SELECT * FROM priors", ["observed_variance", "sampling_variance", "between_match_variance", "pass_completion_prior", "prior_strength"]),
     "per90_log_features": rounded_sql(f"{_P} SELECT match_id, player_id, {', '.join(_PER90)} FROM per90", list(_PER90)),
     "zscore_fit": rounded_sql(f"{_P}, {STATS} SELECT * FROM stats", ["mean", "std"]),

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tempoframe.functions.expressions import rounded, rounded_sql
+from tempoframe.functions.state import shared_path, written
 from tempoframe.functions.text import normalize_name as _normalize
 from tempoframe.operators import entities as ent
 from tempoframe.operators import serving as ser
 from tempoframe.plans.fixtures import ctes, on_tables, projected, table
+from tempoframe.sources import files as src
 
 ENTITIES = """
 named AS (SELECT c_custkey AS player_id, 'Name-' || CAST(c_custkey % 1200 AS VARCHAR(20)) || ' X' AS player_name, c_nationkey AS team_id, c_mktsegment AS position, c_acctbal FROM customer),
@@ -138,12 +140,14 @@ def run_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sink_keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ratings after an upsert of newer and changed rows, applied twice."""
-    rows = projected(spark, sf_dir, "player_ratings").select("player_id", "match_id", "rating").withColumn("h", F.md5(F.col("rating").cast("decimal(10,2)").cast("string").cast("binary")))
-    target = rows.where("match_id % 4 > 0")
-    source = rows.where("match_id % 3 = 0").withColumn("rating", F.col("rating") + 1).withColumn("h", F.md5(F.col("rating").cast("decimal(10,2)").cast("string").cast("binary")))
-    once = ser.merge_upsert(target, source, ["player_id", "match_id"], "h")
-    return rounded(ser.merge_upsert(once, source, ["player_id", "match_id"], "h").drop("h"))
+    """Ratings, written as a keyed table, after an upsert of newer and changed rows, applied twice and read back."""
+    digest = F.md5(F.col("rating").cast("decimal(10,2)").cast("string").cast("binary"))
+    rows = written(projected(spark, sf_dir, "player_ratings").select("player_id", "match_id", "rating").withColumn("h", digest), "upsert-rows")
+    source = rows.where("match_id % 3 = 0").withColumn("rating", F.col("rating") + 1).withColumn("h", digest)
+    path = shared_path(spark, "keyed")
+    for part in (rows.where("match_id % 4 > 0"), source, source):
+        src.sink_keyed_upsert(part, path, ["player_id", "match_id"], "h")
+    return rounded(src.keyed_table(spark, path).drop("h"))
 
 
 QUERIES = (
