@@ -14,6 +14,8 @@ UNMET = 0.02
 
 def _numbered(docs: DataFrame) -> DataFrame:
     """``docs`` with ``_row``, a number that no other row has: decisions are made and applied row by row, whatever doc_ids are null or repeat."""
+    if "_row" in docs.columns:
+        raise ValueError("documents may not have a column _row")
     return staged(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
 
 

@@ -23,6 +23,9 @@ FILE_BYTES, LEAST_FILE_BYTES = 64_000_000, 4_000_000
 LEAST_REVISIT = 100
 #: Effort of the compression.
 LEVEL = 4
+_GZIP, _NEAR = b"\x1f\x8b", 1 << 20
+#: Rows of records that revisit others up to which all tasks get them all (about 20 MB).
+BROADCAST_REVISITS = 200_000
 #: Records in which a task hands bytes on.
 _ROWS = 64
 
@@ -32,6 +35,7 @@ ARC_FIELDS = {
     "2": "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
 _STAMP = "%04d%02d%02d000000"
+_VERSION = re.compile(rb"\d+ \d+ [^\r\n]*\r?\nURL IP-address ")
 _PAGE = re.compile(r"^X-Page-Id: (-?\d+)\r?$", re.M)
 
 
@@ -68,7 +72,7 @@ def _parts(block: bytes) -> tuple[bytes, bytes, bytes]:
     return (block[: cut.start()], cut[0], block[cut.end() :]) if cut else (block, b"", b"")
 
 
-def _exactly(stream: io.BufferedReader, length: int, what: str) -> bytes:
+def _exactly(stream: io.BufferedReader | io.BytesIO, length: int, what: str) -> bytes:
     block = stream.read(length)
     if len(block) < length:
         raise ValueError(f"{what} declares {length} bytes and has {len(block)}")
@@ -81,7 +85,7 @@ def arc_records(pages: pd.DataFrame, version: str, name: str) -> Iterator[bytes]
         body = (row.html or "").encode()
         known = "" if pd.isna(row.page_id) else f"X-Page-Id: {row.page_id}\r\n"
         head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n{known}\r\n".encode()
-        url = re.sub(r"\s", lambda m: "%%%02X" % ord(m[0]), row.url or "") or "about:blank"
+        url = re.sub(r"\s", lambda m: "".join("%%%02X" % b for b in m[0].encode()), row.url or "") or "about:blank"
         k = 0 if pd.isna(row.page_id) else int(row.page_id)
         stamp = _STAMP % (2000 + k % 20, 1 + k % 12, 1 + k % 28)
         extra = f"200 - - 0 {name}.arc " if version == "2" else ""
@@ -95,24 +99,72 @@ def arc_start(version: str, name: str) -> bytes:
     return f"filedesc://{name}.arc 0.0.0.0 20240101000000 text/plain {extra}{len(origin)}\n{origin}\n".encode()
 
 
-def parse_arc(content: bytes) -> Iterator[dict]:
+def parse_arc(content: bytes, salvage: bool = False) -> Iterator[dict]:
+    """``read_records``, or, with ``salvage``, what of them can be read: of a damaged record a dict with ``kind`` 'damaged', its place and the ``error``.
+
+    In a file of gzip members reading goes on at the next member, so that only the damaged ones are lost; of any other file the rest is lost.
+    """
+    if not salvage:
+        yield from read_records(_unzipped(content))
+        return
+    at, fields, version = -1, None, None
+    for part in _separate(content):
+        try:
+            for r in read_records(io.BytesIO(_inflated(part) if part[:2] == _GZIP else part), fields, version, at):
+                at, fields, version = r["at"], r["fields"], r["arc_version"]
+                yield r
+        except (ValueError, EOFError, OSError, zlib.error) as e:
+            at += 1
+            yield {"at": at, "kind": "damaged", "error": f"{type(e).__name__}: {e}"}
+
+
+def _separate(content: bytes) -> Iterator[bytes]:
+    """The gzip members of a file, a damaged one up to where the next begins; a file that is not gzipped as it is."""
+    if content[:2] != _GZIP:
+        yield content
+        return
+    at, n = 0, len(content)
+    while at < n:
+        unpacker, end = zlib.decompressobj(31), at
+        try:
+            while not unpacker.eof:
+                if end >= n:
+                    raise EOFError("a gzip member is cut off")
+                unpacker.decompress(content[end : end + _NEAR])
+                end = min(n, end + _NEAR)
+            end -= len(unpacker.unused_data)
+        except (zlib.error, EOFError):
+            found = content.find(_GZIP + b"\x08", at + 1)
+            end = found if found > 0 else n
+        yield content[at:end]
+        at = end
+
+
+def _inflated(part: bytes) -> bytes:
+    unpacker = zlib.decompressobj(31)
+    made = unpacker.decompress(part) + unpacker.flush()
+    if not unpacker.eof:
+        raise EOFError("a gzip member is cut off")
+    return made
+
+
+def read_records(stream: io.BufferedReader | io.BytesIO, fields: list[str] | None = None, version: str | None = None, at: int = -1) -> Iterator[dict]:
     """Records of an ARC file of either version, gzipped as a whole or by records, or plain.
 
     A version block tells which fields the header lines after it have; each header line declares the length of what
     follows. ``kind`` is ``version`` for such a block, ``http`` for a record that begins with a status line and
     ``other`` for any other (names resolved, other protocols), whose ``http`` is empty. URLs that hold blanks are kept.
     """
-    stream, fields = _unzipped(content), None
-    at = -1
     while line := stream.readline():
         if not line.strip():
             continue
         at += 1
         line = line.rstrip(b"\r\n")
-        start = line.startswith(b"filedesc://")
-        if not start and fields is None:
+        named = line.startswith(b"filedesc://")
+        if not named and fields is None:
             raise ValueError("the file does not begin with an ARC version block")
         block = _exactly(stream, int(line.rsplit(b" ", 1)[-1]), "an ARC record")
+        start = named and (fields is None or _VERSION.match(block) is not None)  # a page may have such an address too
         if start:
             version = block.split(b" ", 1)[0].decode("ascii", "replace")
             if version not in ARC_FIELDS:
@@ -126,7 +178,7 @@ def parse_arc(content: bytes) -> Iterator[dict]:
         yield {
             "at": at, "kind": "version" if start else "http" if header else "other", "url": values["URL"], "ip": values["IP-address"],
             "stamp": values["Archive-date"].ljust(14, "0"), "content_type": values["Content-type"], "http": header, "gap": gap,
-            "payload": payload, "arc_version": version,
+            "payload": payload, "arc_version": version, "fields": fields,
         }
 
 
@@ -208,18 +260,24 @@ def _contents(spark: SparkSession, path: str) -> DataFrame:
 _ARC = "file string, at long, kind string, url string, stamp string, page_id long, digest string, size long"
 
 
-def read_arc(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
+def read_arc(spark: SparkSession, path: str, payloads: bool = False, salvage: bool = False) -> DataFrame:
     """Records of the ARC files in ``path``, without version blocks: where they are, what their header says, digest and size of the
-    payload, ``page_id`` where the HTTP header names one, and the payload itself if asked for."""
+    payload, ``page_id`` where the HTTP header names one, and the payload itself if asked for.
+
+    A damaged record raises an error; with ``salvage`` it has a row of ``kind`` 'damaged' with the error as its ``url``, and the others are read (see ``parse_arc``).
+    """
     columns = [c.split(" ")[0] for c in _ARC.split(", ")] + ["payload"] * payloads
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for file, content in zip(batch["file"], batch["content"], strict=True):
                 rows = []
-                for r in parse_arc(content):
+                for r in parse_arc(content, salvage):
                     if r["kind"] == "version":
                         continue
+                    if r["kind"] == "damaged":
+                        rows.append({"file": file, "at": r["at"], "kind": "damaged", "url": r["error"]})
+                        continue
                     page = _PAGE.search(r["http"].decode("utf-8", "replace"))
                     rows.append(r | {"file": file, "page_id": int(page[1]) if page else None, "digest": hashlib.sha256(r["payload"]).hexdigest(), "size": len(r["payload"])})
                     if len(rows) == (_ROWS if payloads else 4096):
@@ -245,31 +303,38 @@ def _revisits(records: DataFrame) -> DataFrame:
     return joined.where("file <> head.file or at <> head.at").select("file", "at", F.struct("head.file", "head.at", "head.stamp").alias("first"))
 
 
-def convert(spark: SparkSession, arc: str, path: str) -> None:
+def convert(spark: SparkSession, arc: str, path: str, salvage: bool = False) -> None:
     """Writes WARC files in ``path`` of the ARC files in ``arc``, a gzip member a record.
 
     Version blocks become warcinfo records, HTTP records responses or revisits of an earlier equal payload of ``LEAST_REVISIT`` bytes or more,
     all others resources. Which records revisit is found on digests alone; the files are then read again, each with its
-    own list, so that no payload is shuffled but within its compressed file.
+    own list. That goes to all tasks while it is short, so that files stay where they are read; a longer one meets its compressed file in a shuffle.
+    A damaged record raises an error; with ``salvage`` it is left out (``read_arc`` names it).
     """
-    records = staged(read_arc(spark, arc).select("file", "at", "kind", "stamp", "page_id", "digest", "size"), "records")
-    again = _revisits(records).groupBy("file").agg(F.collect_list(F.struct("at", "first")).alias("again"))
+    records = staged(read_arc(spark, arc, salvage=salvage).select("file", "at", "kind", "stamp", "page_id", "digest", "size"), "records")
+    revisits = staged(_revisits(records), "revisits")
+    again = revisits.groupBy("file").agg(F.collect_list(F.struct("at", "first")).alias("again"))
     files = _contents(spark, arc)
-    dealt = files.repartition(max(1, files.select("file").count()), "file")
+    if revisits.count() <= BROADCAST_REVISITS:
+        dealt = files.join(F.broadcast(again), "file", "left")
+    else:
+        dealt = files.repartition(max(1, files.select("file").count()), "file").join(again.hint("shuffle_hash"), "file", "left")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for file, content, revisits in batch[["file", "content", "again"]].itertuples(index=False, name=None):
                 first = {r["at"]: (r["first"]["file"], r["first"]["at"], r["first"]["stamp"]) for r in (() if revisits is None else revisits)}
                 made = []
-                for record in parse_arc(content):
+                for record in parse_arc(content, salvage):
+                    if record["kind"] == "damaged":
+                        continue
                     made.append(member(warc_record(file, record, first.get(record["at"]))))
                     if len(made) == _ROWS:
                         yield pd.DataFrame({"value": made})
                         made = []
                 yield pd.DataFrame({"value": made})
 
-    _write(dealt.join(again.hint("shuffle_hash"), "file", "left").mapInPandas(run, "value binary"), path)
+    _write(dealt.mapInPandas(run, "value binary"), path)
 
 
 _WARC = "record_id string, record_type string, date string, url string, page_id long, payload_bytes long, payload_digest string, refers_to_id string"

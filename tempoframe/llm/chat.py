@@ -93,7 +93,7 @@ def format_conversations(turns: DataFrame, template: Template, loss_role: str =
     Returns one row per conversation: ``conv_id``, ``formatted``, ``turn_spans``, ``loss_spans`` (texts of ``loss_role`` turns, in
     order) and ``rewrites`` (turns, from 0, at which the template changed earlier output). Spans count code points. Rows are
     taken by turn (null first), equal turns by role and text; repeated rows are turns of their own; a null role or text is
-    empty. Rows without a conv_id are left out; other columns are ignored; an empty table gives no rows. A conversation is one
+    empty. Rows without a conv_id are one conversation; other columns are ignored; an empty table gives no rows. A conversation is one
     training example and is held by one task; rendering prefixes costs the square of its number of turns.
     """
 
@@ -109,12 +109,12 @@ def format_conversations(turns: DataFrame, template: Template, loss_role: str =
                 yield pd.DataFrame(rows, columns=["conv_id", "formatted", "turn_spans", "loss_spans", "rewrites"])
 
     whole = (
-        turns.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text")
-        .where("conv_id is not null")
+        turns.select(F.col("conv_id").cast("long").cast("string").alias("conv_id"), "turn", "role", "text")  # a null among pandas integers would make them floats
         .groupBy("conv_id")
         .agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("said"))
     )
-    return whole.mapInPandas(run, _OUTPUT)
+    made = whole.mapInPandas(run, _OUTPUT.replace("conv_id long", "conv_id string"))
+    return made.withColumn("conv_id", F.col("conv_id").cast("long"))
 
 
 def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -135,13 +135,14 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     written = staged(format_conversations(rows, marked_turns), "chats")
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    return written.select("conv_id", "formatted", "loss_spans").mapInPandas(_digests, schema)
+    digests = written.select(F.col("conv_id").cast("string").alias("conv_id"), "formatted", "loss_spans").mapInPandas(_digests, schema.replace("conv_id long", "conv_id string"))
+    return digests.withColumn("conv_id", F.col("conv_id").cast("long"))
 
 
 ORACLE = {
     "op9_chat_format": r"""
 WITH c AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
 x AS (
   SELECT *, length(role) + (length(role) - length(replace(role, '\', ''))) + (length(role) - length(replace(role, ':', '')))

@@ -55,7 +55,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     different ones: ``doc_id``, ``item_id``, ``n_windows`` (matching pairs of positions), ``first_token`` and
     ``end_token`` (the span in the document that matching windows cover), ``substitutions`` (least of any window).
     Tokens are lower-cased runs of letters and digits. Items with equal tokens are one, under their smallest id; rows
-    that share a doc_id are one document. Null texts, texts of fewer than twelve tokens and rows without an id match
+    that share a doc_id and tokens are one, and the windows of different texts of one id add up. Items of fewer than twelve tokens are found nowhere. Null texts, texts of fewer than twelve tokens and rows without an id match
     nothing; other columns are ignored; empty tables give no rows. Documents are read whole, at every position, and
     only the index of the benchmark is broadcast, if it is small enough.
     """
@@ -72,30 +72,38 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ids = hits.select("doc_id").distinct()
     few = ids.count() <= BROADCAST_IDS
     chosen = _hashed(source.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi"), "doc_id")
-    both = hits.join(chosen, "doc_id").join(items.withColumnRenamed("h", "g"), "item_id")
-    low = F.greatest("shift", F.lit(0))
-    high = F.least(F.size("h"), F.size("g") + F.col("shift")) - 1
-    differs = F.transform(F.sequence(low, high), lambda i: F.when(F.get("h", i) == F.get("g", i - F.col("shift")), 0).otherwise(1))
-    strips = both.where(high - low + 1 >= WINDOW).select(
-        "doc_id", "item_id", "shift", F.inline(F.array(F.struct(low.alias("low"), differs.alias("d"))))
-    )
-    sums = F.transform(
-        F.sequence(F.lit(1), F.size("d") - WINDOW + 1), lambda i: F.aggregate(F.slice("d", i, WINDOW), F.lit(0), lambda a, x: a + x)
-    )
-    windows = strips.select("doc_id", "item_id", "shift", "low", F.posexplode(sums).alias("k", "bad")).where(F.col("bad") <= SUBSTITUTIONS)
+    shifts = hits.groupBy("doc_id", "item_id").agg(F.collect_set("shift").alias("shifts"))  # a document has as many diagonals as tokens at most
+    both = shifts.join(chosen.distinct(), "doc_id").join(items.withColumnRenamed("h", "g"), "item_id")
+    found = both.select("doc_id", "item_id", F.inline(F.transform("shifts", _diagonal)))
     return (
-        windows.groupBy("doc_id", "item_id", "shift", (F.col("low") + F.col("k")).alias("at"))
-        .agg(F.min("bad").alias("bad"))
+        found.where("n > 0")
         .groupBy("doc_id", "item_id")
         .agg(
-            F.count("*").alias("n_windows"),
-            F.min("at").cast("long").alias("first_token"),
-            (F.max("at") + WINDOW).cast("long").alias("end_token"),
+            F.sum("n").alias("n_windows"),
+            F.min("first").cast("long").alias("first_token"),
+            (F.max("last") + WINDOW).cast("long").alias("end_token"),
             F.min("bad").cast("long").alias("substitutions"),
         )
     )
 
 
+def _diagonal(shift: Column) -> Column:
+    """Of the windows on a diagonal of ``h`` and ``g`` with few enough substitutions: how many, the first and the last place in ``h``, and the fewest substitutions.
+
+    Arrays are bound to names by mapping over a list of one, so that each is made once a diagonal; no window becomes a row.
+    """
+    low = F.greatest(shift, F.lit(0))
+    high = F.least(F.size("h"), F.size("g") + shift) - 1
+    differs = F.transform(F.sequence(low, high), lambda i: F.when(F.get("h", i) == F.get("g", i - shift), 0).otherwise(1))
+    sums = lambda d: F.transform(F.sequence(F.lit(1), F.size(d) - WINDOW + 1), lambda i: F.aggregate(F.slice(d, i, WINDOW), F.lit(0), lambda a, x: a + x))
+    good = lambda d: F.filter(F.transform(sums(d), lambda bad, i: F.struct(bad.alias("bad"), (low + i).alias("at"))), lambda w: w["bad"] <= SUBSTITUTIONS)
+    told = lambda w: F.struct(
+        F.size(w).cast("long").alias("n"), F.get(w, F.lit(0))["at"].alias("first"), F.get(w, F.size(w) - 1)["at"].alias("last"), F.array_min(w["bad"]).alias("bad")
+    )
+    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"), F.lit(None).cast("int").alias("bad"))
+    return F.when(high - low + 1 >= WINDOW, F.get(F.transform(F.array(differs), lambda d: F.get(F.transform(F.array(good(d)), told), F.lit(0))), F.lit(0))).otherwise(none)
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in all documents."""
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -16,6 +16,8 @@ DIMENSIONS = ("source", "lang", "topic")
 TEMPER = {"source": 0.5, "lang": 0.5, "topic": 0.7}
 #: Most rounds over the three marginals, and the deviation at which they end.
 SWEEPS, TOLERANCE = 40, 1e-12
+#: Deviation of a marginal from given targets that is an error once the rounds are over.
+MISSED = 1e-6
 #: Cells (source, language and topic together) up to this many are raked in memory; more are raked by joins.
 MAX_CELLS = 200_000
 LONG_TEXT = 1000
@@ -60,7 +62,12 @@ def _goal(names: list[str], shares: np.ndarray, temper: float, targets: Mapping[
     return raised / raised.sum()
 
 
-def _raked(cells: pd.DataFrame, goal_of: Callable[[str, list[str], np.ndarray], np.ndarray], sweeps: int) -> np.ndarray:
+def _checked(off: float, given: bool) -> None:
+    if given and off > MISSED:
+        raise ValueError(f"the targets contradict one another: a marginal is still {off:.3g} away from its target")
+
+
+def _raked(cells: pd.DataFrame, goal_of: Callable[[str, list[str], np.ndarray], np.ndarray], sweeps: int, given: bool) -> np.ndarray:
     """Weights of the cells (summing to one) once they meet the marginals, or after ``sweeps`` rounds, in memory."""
     w = cells["tokens"].to_numpy(np.float64) / cells["tokens"].sum()
     names, codes = zip(*(np.unique(cells[d], return_inverse=True) for d in DIMENSIONS), strict=True)
@@ -69,12 +76,14 @@ def _raked(cells: pd.DataFrame, goal_of: Callable[[str, list[str], np.ndarray],
         for goal, code in zip(goals, codes, strict=True):
             now = np.bincount(code, w)
             w = w * np.divide(goal, now, out=np.zeros_like(now), where=now > 0)[code]
-        if max(np.abs(np.bincount(c, w) - g).max() for g, c in zip(goals, codes, strict=True)) <= TOLERANCE:
+        off = max(np.abs(np.bincount(c, w) - g).max() for g, c in zip(goals, codes, strict=True))
+        if off <= TOLERANCE:
             break
+    _checked(off, given)
     return w
 
 
-def _raked_frames(cells: DataFrame, goal_of: Callable[[str, list[str], np.ndarray], np.ndarray], sweeps: int) -> DataFrame:
+def _raked_frames(cells: DataFrame, goal_of: Callable[[str, list[str], np.ndarray], np.ndarray], sweeps: int, given: bool) -> DataFrame:
     """The same weights by aggregates and joins, every round written to the shared folder; goals are rows of one dimension, so they are small."""
     total = cells.agg(F.sum("tokens")).first()[0]
     w = cells.withColumn("w", F.col("tokens") / F.lit(float(total)))
@@ -91,6 +100,7 @@ def _raked_frames(cells: DataFrame, goal_of: Callable[[str, list[str], np.ndarra
         off = [w.groupBy(d).agg(F.sum("w").alias("s")).join(goal[d], d).agg(F.max(F.abs(F.col("s") - F.col("g")))).first()[0] for d in DIMENSIONS]
         if max(off) <= TOLERANCE:
             break
+    _checked(max(off), given)
     return w
 
 
@@ -120,7 +130,7 @@ def _plan(rows: DataFrame, keep: float | None, unmet: float, targets: Targets |
     cells = staged(rows.where("tokens > 0").groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells")
     count = cells.count()
     if count > max_cells:
-        raked = _raked_frames(cells, goal_of, sweeps)
+        raked = _raked_frames(cells, goal_of, sweeps, bool(targets))
         total = float(cells.agg(F.sum("tokens")).first()[0])
         curve = staged(raked.select(*DIMENSIONS, (F.col("w") * F.lit(total) / F.col("tokens")).alias("r"), (F.col("tokens") / F.lit(total)).alias("s"), "w"), "curve")
         held = lambda f: curve.agg(F.sum(F.least(F.lit(1.0), F.col("r") * F.lit(f)) * F.col("s"))).first()[0]
@@ -130,7 +140,7 @@ def _plan(rows: DataFrame, keep: float | None, unmet: float, targets: Targets |
     pdf = cells.toPandas().sort_values(list(DIMENSIONS)).reset_index(drop=True)  # at most max_cells rows
     pdf["q"] = 0.0
     if count:
-        w = _raked(pdf, goal_of, sweeps)
+        w = _raked(pdf, goal_of, sweeps, bool(targets))
         share = pdf["tokens"].to_numpy(np.float64) / pdf["tokens"].sum()
         r = w / share
         if keep is not None:
@@ -159,8 +169,8 @@ def mixed(
     one: what a kept token counts where its cell would need more tokens than there are) and ``kept``. The mean of
     probability times weight meets all three marginals; kept documents hold ``keep`` of the tokens at the mean. With
     ``keep`` None it is as much as leaves at most ``unmet`` of the target weight to such cells, so that kept tokens meet
-    the marginals without weights. Targets that contradict one another where cells are empty are met in the last dimension only,
-    after ``sweeps`` rounds.
+    the marginals without weights. Given targets that contradict one another where cells are empty, so that they are not met after ``sweeps``
+    rounds, raise a ValueError; tempered shares that do are met in the last dimension.
 
     The decision depends on the id alone (md5), so equal ids fall alike; a null id counts as empty text. Documents without
     tokens weigh nothing and are kept. Null categories are '(none)'. An empty table gives no rows.
@@ -198,13 +208,9 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents"), keep=0.5)
 
 
-#: Rounds of the SQL, which cannot end early: more than the given tables need.
-_SQL_SWEEPS = 20
-
-
 def _oracle() -> str:
     sweep, last = [], "w0"
-    for k in range(_SQL_SWEEPS):
+    for k in range(SWEEPS):
         for j, d in enumerate(DIMENSIONS):
             name = f"w{k * 3 + j + 1}"
             sweep.append(

@@ -172,7 +172,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING
     """Fits the forest on labelled documents that are not held out, at most ``max_rows`` of them.
 
     A row of ``labels`` without an id or a quality is ignored; ids that repeat count once, with the lower quality. Labels of absent
-    documents teach nothing.
+    documents teach nothing; of documents that share an id the first text in order teaches.
     """
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("y"))
@@ -182,7 +182,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(max_rows)
     )
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id").select("y", "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.min("y").alias("y"), F.min("text").alias("text")).select("y", "text")
     schema = "y double, " + ", ".join(f"{f} double" for f in FEATURES)
     sample = rows.mapInArrow(_features_of, schema).toPandas().to_numpy(np.float64)
     sample = sample[np.lexsort(sample.T[::-1])]  # the same order whichever task ended first
