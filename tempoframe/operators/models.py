@@ -241,16 +241,44 @@ def _summed(rows: DataFrame, task) -> np.ndarray:
     return got.sort_values("i")["s"].to_numpy()
 
 
+class _Accelerator:
+    """Anderson's mixing of the rounds of a fixed point: the next start is the point whose change, by the last ``memory`` rounds, would be least.
+
+    A round whose change has grown to twice the least so far, or a step far beyond the plain one, drops what is remembered and goes on plainly.
+    """
+
+    def __init__(self, memory: int) -> None:
+        self.memory, self.changes, self.ends, self.least = memory, [], [], math.inf
+
+    def next(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        change = end - start
+        size = float(np.linalg.norm(change))
+        if size > 2 * self.least:
+            self.changes, self.ends = [], []
+        self.least = min(self.least, size)
+        self.changes, self.ends = [*self.changes[-self.memory :], change], [*self.ends[-self.memory :], end]
+        if self.memory < 1 or len(self.changes) < 2:
+            return end
+        moves, steps = np.diff(np.array(self.changes), axis=0).T, np.diff(np.array(self.ends), axis=0).T
+        ridge = 1e-10 * max(float((moves**2).sum()), 1e-300)
+        mix = np.linalg.solve(moves.T @ moves + ridge * np.eye(moves.shape[1]), moves.T @ change)
+        step = steps @ mix
+        if not np.isfinite(step).all() or np.linalg.norm(step) > 20 * size:
+            self.changes, self.ends = self.changes[-1:], self.ends[-1:]
+            return end
+        return end - step
+
+
 def robust_hierarchical_fit(
     rows: DataFrame, target: str, predictors: list[str], player: str = "player_id", position: str | None = None, age: str | None = None, form: str | None = None,
-    levels: tuple[str, ...] | None = None, rounds: int = 200, tolerance: float = 1e-4, must_converge: bool = True,
+    levels: tuple[str, ...] | None = None, memory: int = 5, rounds: int = 200, tolerance: float = 1e-4, must_converge: bool = True,
 ) -> RobustFit:
     """Student-t regression with intercepts of players and of positions and slopes of positions on ``age`` and ``form`` (two of the predictors), all drawn towards zero.
 
     Expectation maximisation: rows are weighted by (nu + 1) / (nu + r² / s²), sums by player take the player's intercept out of the normal equations (Schur
     complement), and their totals, whose size is that of the predictors and positions, are solved on the driver. The scales of all effects and of the noise
     have half-normal priors and are moved to where the effects and their degrees of freedom agree; nu - 2 has an exponential prior and is taken from the
-    profile of the likelihood. ``levels`` may name positions that no row has; their effects are zero with the spread of the others. Rounds end when coefficients, scales and the logarithm of nu move by less than ``tolerance`` (nu: its hundredfold); if they do not, an
+    profile of the likelihood. Rounds are accelerated by Anderson's mixing over ``memory`` of them (0: not), on coefficients and on logarithms of scales. ``levels`` may name positions that no row has; their effects are zero with the spread of the others. Rounds end when coefficients, scales and the logarithm of nu move by less than ``tolerance`` (nu: its hundredfold); if they do not, an
     error is raised, or without ``must_converge`` the fit says so. This approximates a sampled posterior by its mode and curvature; rows with nulls are left out.
     """
     slopes = tuple(c for c in (age, form) if c is not None)
@@ -276,11 +304,15 @@ def robust_hierarchical_fit(
     sigma, nu, beta = max(first["s"], 1e-6), 5.0, np.zeros(k)
     scales, beta[0] = {g: SCALE_PRIORS[g] / 2 for g in (*groups, "player")}, first["m"]
     players = base.select("player").distinct().withColumn("u", F.lit(0.0))
+    mixer, ahead = _Accelerator(memory), None
     n_players = players.count()
     converged, done = False, 0
     while done < rounds and not converged:
         done += 1
-        known = base.join(players.select("player", "u"), "player")
+        own = F.col("u")
+        if ahead is not None:  # intercepts that belong to the coefficients that the round starts from
+            own = own - F.aggregate(F.zip_with("h", F.array(*(F.lit(float(v)) for v in ahead)), lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v)
+        known = base.join(players.select("player", own.alias("u")), "player")
 
         def weighted(batches: Iterator[pd.DataFrame], beta=beta, sigma=sigma, nu=nu) -> Iterator[pd.DataFrame]:
             for batch in batches:
@@ -329,11 +361,17 @@ def robust_hierarchical_fit(
         free = {g: max(part.stop - part.start - (np.diag(covariance)[part]).sum() / scales[g] ** 2, 1e-9) for g, part in groups.items()} | {"player": max(n_players - got["vv"] / scales["player"] ** 2, 1e-9)}
         size = {g: float((new[part] ** 2).sum()) for g, part in groups.items()} | {"player": got["uu"]}
         was = np.array([*beta, *scales.values(), sigma])
+        begun = np.array([*beta, *np.log([*scales.values(), sigma, max(nu_was - 2, 1e-6)])])
         scales = {g: _scale(free[g], size[g], SCALE_PRIORS[g]) for g in scales}
         sigma = _scale(max(n - sum(free.values()) - 1, 1.0), rss, SCALE_PRIORS["sigma"])
         beta = new
         moved = np.abs(np.array([*beta, *scales.values(), sigma]) - was).max()
         converged = bool(moved < tolerance and abs(math.log(nu / nu_was)) < 100 * tolerance)
+        if not converged and done < rounds:
+            start = mixer.next(begun, np.array([*beta, *np.log([*scales.values(), sigma, max(nu - 2, 1e-6)])]))
+            ahead = start[:k] - beta
+            beta, raised = start[:k], np.exp(start[k:])
+            scales, sigma, nu = dict(zip(scales, raised, strict=False)), float(raised[-2]), 2 + float(raised[-1])
     if must_converge and not converged:
         raise RuntimeError(f"no convergence within {rounds} rounds")
     return RobustFit(tuple(predictors), terms, levels, position, slopes, beta, covariance, sigma, scales, nu, converged, done, players)

@@ -29,6 +29,13 @@ def fit(rows):
     return mod.robust_hierarchical_fit(rows, "y", ["age", "form"], position="place", age="age", form="form")
 
 
+def test_rounds_are_saved(rows, fit):
+    """Accelerated rounds end at the mode of plain ones, and there are fewer of them."""
+    plain = mod.robust_hierarchical_fit(rows, "y", ["age", "form"], position="place", age="age", form="form", memory=0)
+    assert fit.rounds < 0.75 * plain.rounds
+    assert fit.beta == pytest.approx(plain.beta, abs=2e-3) and fit.sigma == pytest.approx(plain.sigma, rel=2e-3)
+
+
 def test_planted_effects_of_positions(fit):
     found = {r["effect"]: r["mean"] for r in mod.effect_summary(fit).where("kind <> 'player'").collect()}
     for base, effect, planted in (("intercept", "intercept", 0.1 + INTERCEPT), ("age", "age_slope", 0.3 + AGE), ("form", "form_slope", -0.2 + FORM)):
