@@ -99,22 +99,26 @@ def appearance_minutes(lineups: DataFrame, events: DataFrame, substitutions: Dat
 def propagate_positions(lineups: DataFrame, substitutions: DataFrame, group: str = "position_group", max_rounds: int = 50) -> DataFrame:
     """Substitutes without a group take that of the player they replaced, along chains.
 
-    A player replaced several others in turn takes the smallest known group. Each round hands groups one step on; it ends when nothing changes, and every
-    round is written to the shared folder.
+    A player replaced several others in turn takes the smallest known group. Each round hands the groups of the last one a step on, to players that
+    have none yet; only these and their substitutions are written in a round, and lineups are joined once, at the end.
     """
+    key = ["match_id", "player_id"]
     came = F.col("type_name") == "SubstitutionOn"
     pairs = substitutions.where(F.col("type_name").isin("SubstitutionOn", "SubstitutionOff")).select(
         "match_id",
         F.when(came, F.col("player_id")).otherwise(F.col("related_player_id")).alias("player_id"),
         F.when(came, F.col("related_player_id")).otherwise(F.col("player_id")).alias("replaced_id"),
     ).dropna().distinct()
-    now = lineups
+    unknown = lineups.where(F.col(group).isNull()).select(*key).distinct()
+    pairs = written(pairs.join(unknown, key, "left_semi"), "pairs")
+    known = lineups.where(F.col(group).isNotNull()).select("match_id", F.col("player_id").alias("replaced_id"), F.col(group).alias("_given"))
+    last = written(pairs.join(known, ["match_id", "replaced_id"]).groupBy(*key).agg(F.min("_given").alias("_given")), "given")
+    found = last
     for _ in range(max_rounds):
-        known = now.where(F.col(group).isNotNull()).select("match_id", F.col("player_id").alias("replaced_id"), F.col(group).alias("_given"))
-        given = pairs.join(known, ["match_id", "replaced_id"]).groupBy("match_id", "player_id").agg(F.min("_given").alias("_given"))
-        after = written(now.join(given, ["match_id", "player_id"], "left").withColumn("_new", F.col(group).isNull() & F.col("_given").isNotNull()), "positions")
-        changed = not after.where("_new").isEmpty()
-        now = after.withColumn(group, F.coalesce(group, "_given")).drop("_given", "_new")
-        if not changed:
-            return now
+        if last.isEmpty():
+            return lineups.join(found, key, "left").withColumn(group, F.coalesce(group, "_given")).select(*lineups.columns)
+        step = last.withColumnRenamed("player_id", "replaced_id")
+        rest = pairs.join(found.select(*key), key, "left_anti")
+        last = written(rest.join(step, ["match_id", "replaced_id"]).groupBy(*key).agg(F.min("_given").alias("_given")), "given")
+        found = found.unionByName(last)
     raise RuntimeError(f"positions did not settle in {max_rounds} rounds")

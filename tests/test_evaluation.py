@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import inspect
-
 import numpy as np
 import pytest
 
@@ -11,12 +9,12 @@ from tempoframe.operators import evaluation as eva
 from tempoframe.plans import modelling
 
 
-def test_bootstrap_draws_5000_samples(spark, monkeypatch):
-    assert inspect.signature(eva.bootstrap_difference).parameters["samples"].default == 5000
-    asked = []
-    monkeypatch.setattr(eva, "bootstrap_difference", lambda *a, samples=5000, **k: asked.append(a[4] if len(a) > 4 else samples))
-    modelling.bootstrap_difference(spark, "/root/testdata/sf0.001")
-    assert asked == [5000]
+def test_bootstrap_of_the_query_moves_in_steps_of_a_5000th(spark):
+    """A close race: the share of samples below zero is a whole number of 5,000ths and of nothing coarser."""
+    rows = spark.createDataFrame([(i, 0.0, 1.0 + i * 37 % 101 / 1000, 1.0 + i * 53 % 101 / 1000) for i in range(303)], "row_id long, y double, a double, b double")
+    p = eva.bootstrap_difference(rows, "y", "a", "b", key="row_id").first()["p_below_zero"]
+    assert 0 < p < 1 and round(p * 5000) == pytest.approx(p * 5000) and any(round(p * n) != pytest.approx(p * n) for n in (200, 500, 1000, 2500))
+    assert modelling.bootstrap_difference(spark, "/root/testdata/sf0.001").count() == 1
 
 
 def test_bootstrap_equals_drawing_rows(spark):

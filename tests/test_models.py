@@ -85,3 +85,40 @@ def test_pass_models_read_every_input(spark):
     from tempoframe.operators import passes as pas
 
     assert {"x", "y", "end_x", "end_y", "pass_length", "pass_angle", *(c for c in pas.PASS_FLAGS if c in ("is_cross", "is_corner", "is_throw_in"))} <= set(pas.NUMERIC) and len(pas.NUMERIC) == 45
+
+
+def test_aimed_shot_model_on_held_out_matches(spark, tmp_path):
+    """Shots far from the middle of the goal go in, as planted; the stored model finds it on matches that it has not seen."""
+    from tempoframe.plans import features as fea
+
+    shots = fea._shots(spark, "/root/testdata/sf0.01")
+    drawn = F.pmod(F.xxhash64("match_id", "event_id", F.lit(1)), F.lit(1_000_000)) / 1_000_000
+    middle = shots.where(mod.sho.xgot_scope(shots)).agg(F.percentile("goal_mouth_y", 0.5)).first()[0]
+    wide = F.abs(F.col("goal_mouth_y") - middle)
+    half = shots.where(mod.sho.xgot_scope(shots)).agg(F.percentile(wide, 0.5)).first()[0]
+    planted = shots.withColumn("is_goal", (drawn < F.when(wide > half, 0.85).otherwise(0.15)).cast("long"))
+    apart = mod.held_out(F.col("match_id"), 0.3)
+    path = mod.save_model(f"file://{tmp_path}", *mod.fit_xgot(planted.where(~apart)))
+    scored = mod.score_xgot(planted, *mod.load_model(spark, path, "pipeline", "table"))
+    unseen = scored.join(planted.where(apart).select("match_id", "event_id", "is_goal"), ["match_id", "event_id"])
+    (m,) = mod.probability_metrics(unseen, "is_goal", "xgot").collect()
+    assert m.n > 50 and m.log_loss < 0.85 * m.base_log_loss and m.mean_probability == pytest.approx(m.base_rate, abs=0.1)
+
+
+def test_pass_models_on_held_out_matches(spark, tmp_path):
+    """Passes that end near the goal lead to shots worth more, as planted; the stored models find it on matches that they have not seen."""
+    from tempoframe.operators import passes as pas
+    from tempoframe.plans import features as fea
+
+    rows = mod.xa_frame(fea._passes(spark, "/root/testdata/sf0.01"), pas.xa_targets(fea._shots(spark, "/root/testdata/sf0.01")))
+    drawn = F.pmod(F.xxhash64("match_id", "event_id", F.lit(2)), F.lit(1_000_000)) / 1_000_000
+    near = F.col("end_x") > 60
+    chance, worth = F.when(near, 0.6).otherwise(0.05), F.when(near, 0.4).otherwise(0.1)
+    label = (drawn < chance).cast("double")
+    planted = rows.withColumns({"label": label, "value": label * worth, "expected": chance * worth})
+    apart = mod.held_out(F.col("match_id"), 0.3)
+    path = mod.save_model(f"file://{tmp_path}", *mod.fit_xa(planted.where(~apart)))
+    scored = mod.score_xa(planted.where(apart), mod.load_model(spark, path, "pipeline", "pipeline"))
+    joined = scored.join(planted.select("match_id", "event_id", "expected"), ["match_id", "event_id"])
+    by = {round(r.expected, 3): r.m for r in joined.groupBy("expected").agg(F.avg("xa_model").alias("m")).collect()}
+    assert by[0.24] == pytest.approx(0.24, abs=0.05) and by[0.005] < 0.04
