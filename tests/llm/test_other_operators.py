@@ -169,7 +169,7 @@ def test_conversations(spark):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = {r.conv_id: r for r in chat.format_conversations(df, chat.marked_turns).collect()}
     assert got[1].formatted == "### user: a</turn>\n### user: a</turn>\n### assistant: b</turn>\n" and len(got[1].loss_spans) == 1
-    assert got[2].formatted == "### : </turn>\n" and set(got) == {1, 2}
+    assert got[2].formatted == "### : </turn>\n" and set(got) == {1, 2, None} and got[None].formatted == "### user: lost</turn>\n"
 
 
 def test_pipeline_by_hand(spark):
