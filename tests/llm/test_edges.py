@@ -187,3 +187,25 @@ def test_a_reserved_name_is_refused(spark):
 
     with pytest.raises(ValueError, match="_row"):
         corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(DOCS, SCHEMA).withColumn("_row", F.lit(1)), "")
+
+
+def test_the_pipeline_on_long_texts_and_clashing_columns(spark, tmp_path):
+    """Every stage keeps all columns, whatever their names, and takes whole texts, nulls and rows without an id."""
+    import corpus_pipeline
+
+    good = " ".join(f"A sentence of some words number {i} ends here." for i in range(60))
+    rows = [*DOCS, *((100 + i, f"{good} Page {i} of the book, {i * 31}.", ("en", "de")[i % 2], ("web", "news")[i % 2]) for i in range(40))]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit("clash") for c in CLASHES})
+    docs.write.parquet(f"file://{tmp_path}/documents.parquet")
+    spark.createDataFrame([(100 + i, 1, 0) for i in range(40)] + [(8, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"file://{tmp_path}/labels.parquet")
+    bench(spark).write.parquet(f"file://{tmp_path}/benchmark.parquet")
+    kept = spark.read.parquet(f"file://{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, kept, f"file://{tmp_path}")
+        assert after.columns == docs.columns and after.exceptAll(kept).isEmpty(), name
+        path = f"file://{tmp_path}/{name}"
+        after.write.parquet(path)
+        kept = spark.read.parquet(path)
+    last = corpus_pipeline.STAGES[-1][1](spark, kept, f"file://{tmp_path}")
+    assert last.count() == kept.count() and {"shard", "slot"} <= set(last.columns)
+    assert not kept.where("text like '%nine ten eleven twelve%'").count()  # the long texts hold a benchmark passage
