@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,10 @@ _STORES = {
 _ITEM = "match_date date, match_id long, minutes double, rating double"
 
 
+# Processors travel whole: the process that sets up a stateful step beside the driver need not find this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 class FormProcessor(StatefulProcessor):
     """Of each player the decayed sums at the last match (a value) and the last twenty rated matches (a list).
 
