@@ -16,8 +16,8 @@ STEPS = (9, 24)
 #: Frequent letters; their counts tell most lines apart before a pair is made.
 LETTERS = "entriashdlcoug"
 #: Lines in candidate pairs up to this many are found by a broadcast of their ids (16 MB), more by shuffling.
-#: Characters of which blank lines consist.
-BLANK = " \t\x0b\x0c\r"
+#: What a line that is not blank holds.
+NOT_BLANK = r"[^ \t\x0B\f\r]"
 BROADCAST_IDS = 1_000_000
 
 
@@ -143,7 +143,7 @@ def edit_distance(df: DataFrame, a: str, b: str, edits: int, name: str = "distan
 def distinct_lines(docs: DataFrame) -> DataFrame:
     """Every different line that is not blank, with the number of its copies, its first document, an id and a sketch."""
     lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(F.split("text", "\n")).alias("line"))
-    found = lines.where(F.trim("line", F.lit(BLANK)) != "").groupBy("line").agg(F.count("*").alias("n_copies"), F.min("doc_id").alias("first_doc_id"))
+    found = lines.where(F.col("line").rlike(NOT_BLANK)).groupBy("line").agg(F.count("*").alias("n_copies"), F.min("doc_id").alias("first_doc_id"))
     made = found.withColumns({"id": F.monotonically_increasing_id(), "sketch": line_sketch(F.col("line"))})
     return staged(made, "lines")  # ids hold once they are written
 
@@ -223,7 +223,7 @@ def without_repeats(docs: DataFrame, classes: DataFrame) -> DataFrame:
     lines = rows.select("_row", F.col("doc_id").alias("_doc"), F.posexplode(F.split("text", "\n")).alias("_at", "_line"))
     lines = staged(lines.withColumn("line_md5", F.md5(F.col("_line").cast("binary"))), "lines")
     known = classes.where("n_copies > 1 or not kept").select("line_md5", F.col("first_doc_id").alias("_first"), F.col("kept").alias("_stays"))
-    blank = F.trim("_line", F.lit(BLANK)) == ""
+    blank = ~F.col("_line").rlike(NOT_BLANK)
     counted = lines.where(~blank).groupBy("line_md5").agg(F.count("*").alias("copies"))
     known = staged(counted.join(known, "line_md5"), "known")
     judged = join_counted(lines.where(~blank), known, ["line_md5"])
