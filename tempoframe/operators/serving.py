@@ -51,13 +51,16 @@ def publish_update_join(target: DataFrame, results: DataFrame, keys: list[str],
 
 
 def lateral_top1(players: DataFrame, forms: DataFrame, values: DataFrame) -> DataFrame:
-    """Players with their newest form and value, by lateral subqueries."""
+    """Players with their newest form (by date, then match) and value, by lateral subqueries.
+
+    The newest row is the largest by its date, an aggregate: the order of a lateral subquery with a limit is lost when it sorts by a column that it does not select.
+    """
     spark = players.sparkSession
     return spark.sql(
-        """SELECT p.player_id, f.rating AS newest_rating, f.match_id AS newest_match, v.market_value AS newest_value
+        """SELECT p.player_id, f.top.rating AS newest_rating, f.top.match_id AS newest_match, v.top.market_value AS newest_value
         FROM {players} p
-        LEFT JOIN LATERAL (SELECT rating, match_id FROM {forms} x WHERE x.player_id = p.player_id ORDER BY match_date DESC, match_id DESC LIMIT 1) f
-        LEFT JOIN LATERAL (SELECT market_value FROM {values} y WHERE y.player_id = p.player_id ORDER BY valuation_date DESC LIMIT 1) v""",
+        LEFT JOIN LATERAL (SELECT max(struct(match_date, match_id, rating)) AS top FROM {forms} x WHERE x.player_id = p.player_id) f
+        LEFT JOIN LATERAL (SELECT max(struct(valuation_date, market_value)) AS top FROM {values} y WHERE y.player_id = p.player_id) v""",
         players=players, forms=forms, values=values,
     )
 

@@ -124,3 +124,16 @@ def test_versions_of_seasons(spark):
     edited = rows.withColumn("x", F.when((F.col("season") == "b") & (F.col("match_id") == 2) & (F.col("player_id") == 0), 9.0).otherwise(F.col("x"))).repartition(5)
     new = {r.season: r.version for r in mom.season_versions(mom.match_digests(edited)).collect()}
     assert new["a"] == old["a"] and new["b"] != old["b"]
+
+def test_newest_form_whatever_the_order_of_rows(spark):
+    from tempoframe.operators.serving import lateral_top1
+
+    forms = spark.range(0, 60000, numPartitions=9).selectExpr("id % 500 AS player_id", "id AS match_id", "date_add(date'2000-01-01', cast(id * 7919 % 3001 AS int)) AS match_date", "cast(id AS double) AS rating")
+    values = spark.range(0, 60000, numPartitions=9).selectExpr("id % 500 AS player_id", "id AS market_value", "date_add(date'2000-01-01', cast(id * 7919 % 60013 AS int)) AS valuation_date")
+    forms, values = forms.repartition(16), values.repartition(16)
+    got = lateral_top1(spark.range(500).selectExpr("id AS player_id"), forms, values).collect()
+    newest = {r.player_id: r.m for r in forms.groupBy("player_id").agg(F.max(F.struct("match_date", "match_id")).alias("m")).collect()}
+    dearest = {r.player_id: r.m for r in values.groupBy("player_id").agg(F.max(F.struct("valuation_date", "market_value")).alias("m")).collect()}
+    assert all(r.newest_match == newest[r.player_id].match_id and r.newest_value == dearest[r.player_id].market_value for r in got) and len(got) == 500
+    plan = lateral_top1(spark.range(500).selectExpr("id AS player_id"), forms, values)._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan  # a limit becomes row numbers in no order, which leave the newest row to chance
