@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -25,12 +24,14 @@ def balanced_object(text: str, start: int) -> str | None:
 
 
 def extract_embedded_json(pages: DataFrame, marker: str, column: str = "html") -> DataFrame:
-    """Adds ``payload``: the JSON object after the first ``marker`` in a page; null without marker or whole object."""
+    """Adds ``payload``: the JSON object after the first ``marker`` in a page; null without marker or whole object.
 
-    @F.pandas_udf(StringType())
-    def payload(html: pd.Series) -> pd.Series:
-        found = [None if h is None or (at := h.find(marker)) < 0 else balanced_object(h, at + len(marker)) for h in html]
-        return pd.Series(found, dtype=object)
+    Pages are large, so rows go to Python a hundred at a time and not in Arrow batches of thousands.
+    """
+
+    @F.udf(StringType(), useArrow=False)
+    def payload(html: str | None) -> str | None:
+        return None if html is None or (at := html.find(marker)) < 0 else balanced_object(html, at + len(marker))
 
     return pages.withColumn("payload", payload(column))
 

@@ -102,6 +102,16 @@ def test_payloads_are_walked(spark):
     assert walk_raw_events(spark.createDataFrame([], "match_id long, payload string")).count() == 0
 
 
+def test_long_texts_reach_python_in_small_batches(spark):
+    from tempoframe.functions.nested import extract_embedded_json
+    from tempoframe.functions.text import normalize_name
+
+    rows = spark.createDataFrame([('<a> d = {"a": "}"}; x', "Ä b"), (None, None), ("d = {", "")], "html string, name string")
+    made = extract_embedded_json(rows, "d = ").withColumn("k", normalize_name("name"))
+    assert [(r.payload, r.k) for r in made.collect()] == [('{"a": "}"}', "a b"), (None, None), (None, "")]
+    assert "ArrowEvalPython" not in made._jdf.queryExecution().executedPlan().toString()
+
+
 def test_asof_join_by_buckets(spark):
     from tempoframe.operators import valuation as val
 
