@@ -5,20 +5,18 @@ from __future__ import annotations
 import re
 import unicodedata
 
-import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 
-@F.pandas_udf(StringType())
-def normalize_name(names: pd.Series) -> pd.Series:
-    """Letters without marks in lower case, runs of anything but a-z and 0-9 as one space, trimmed; null stays null."""
+@F.udf(StringType(), useArrow=False)
+def normalize_name(name: str | None) -> str | None:
+    """Letters without marks in lower case, runs of anything but a-z and 0-9 as one space, trimmed; null stays null.
 
-    def plain(name: str | None) -> str | None:
-        if name is None:
-            return None
-        apart = unicodedata.normalize("NFKD", name)
-        bare = "".join(c for c in apart if not unicodedata.combining(c)).casefold()
-        return re.sub("[^a-z0-9]+", " ", bare).strip()
-
-    return names.map(plain, na_action="ignore")
+    Texts may be long, so rows go to Python a hundred at a time and not in Arrow batches of thousands.
+    """
+    if name is None:
+        return None
+    apart = unicodedata.normalize("NFKD", name)
+    bare = "".join(c for c in apart if not unicodedata.combining(c)).casefold()
+    return re.sub("[^a-z0-9]+", " ", bare).strip()
