@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -41,21 +41,41 @@ def _objects(payloads: DataFrame) -> DataFrame:
     return payloads.select("match_id", F.lit("$").alias("json_path"), F.try_parse_json("payload").alias("v")).where("v is not null")
 
 
+#: Levels that one pass over payloads walks.
+LEVELS = 4
+
+
 def walk_raw_events(payloads: DataFrame) -> DataFrame:
     """``match_id``, ``json_path`` and ``event_json`` of every object in a payload that looks like an event: with an ``id`` or ``eventId``, a ``minute`` and an object as ``type``.
 
-    Payloads are variants that are walked level by level until no object or list is left; a level is a table, so there are as many steps as
-    payloads are deep, and a payload's level may lie in many tasks. ``event_json`` has sorted keys and no blanks; a payload that is no JSON has no rows.
+    Payloads are variants. A pass goes down ``LEVELS`` levels row by row, writes the events it met and, for the next pass, what is deeper; so a task holds one
+    payload at a time and there are a fourth as many passes as payloads are deep. What has no key ``minute`` in its text holds no event and is not entered. ``event_json``
+    has sorted keys and no blanks; a payload that is no JSON has no rows.
     """
-    spark = payloads.sparkSession
-    has = lambda key: F.try_variant_get("v", f"$.{key}", "variant").isNotNull()
-    is_event = (has("id") | has("eventId")) & has("minute") & F.to_json(F.try_variant_get("v", "$.type", "variant")).startswith("{")
-    level, found = written(_objects(payloads), "level"), None
-    while not level.isEmpty():
-        events = level.where(is_event).select("match_id", "json_path", F.to_json("v").alias("event_json"))
+    step_type, nothing = "struct<step:string,event_json:string,v:variant>", F.lit(None)
+
+    def event(v: Column) -> Column:
+        has = lambda key: F.try_variant_get(v, f"$.{key}", "variant").isNotNull()
+        is_event = (has("id") | has("eventId")) & has("minute") & F.to_json(F.try_variant_get(v, "$.type", "variant")).startswith("{")
+        return F.when(is_event, F.to_json(v))
+
+    def met(step: Column, v: Column) -> Column:
+        return F.struct(step.alias("step"), event(v).alias("event_json"), v.alias("v")).cast(step_type)
+
+    own = F.when(F.col("event_json").isNotNull(), F.array(F.struct(F.lit("").alias("step"), F.col("event_json"), nothing.alias("v")).cast(step_type)))
+    items = F.transform(F.try_variant_get("v", "$", "array<variant>"), lambda v, i: F.struct(F.concat(F.lit("["), i.cast("string"), F.lit("]")).alias("key"), v.alias("value")))
+    fields = F.transform(F.map_entries(F.try_variant_get("v", "$", "map<string,variant>")), lambda e: F.struct(F.concat(F.lit("."), e["key"]).alias("key"), e["value"].alias("value")))
+    entered = F.filter(F.coalesce(items, fields, F.array().cast("array<struct<key:string,value:variant>>")), lambda e: F.to_json(e["value"]).rlike(r'(?s)^[{\[].*?"minute":'))
+    # What a row gives: itself, if it is an event, and what is in it; rows are chosen in lists, so that no row carries what it came from.
+    given = F.concat(F.coalesce(own, F.array().cast(f"array<{step_type}>")), F.transform(entered, lambda e: met(e["key"], e["value"])))
+    rows, found = _objects(payloads).select("match_id", "json_path", event(F.col("v")).alias("event_json"), "v"), None
+    while rows is not None:
+        for _ in range(LEVELS):
+            below = rows.select("match_id", "json_path", F.inline_outer(given))  # not inline, which makes lists three times: it asks first whether they are empty
+            rows = below.select("match_id", F.concat("json_path", "step").alias("json_path"), "event_json", "v")
+        part = written(rows.where("json_path is not null"), "walked")
+        events = part.where("event_json is not null").select("match_id", "json_path", "event_json")
         found = events if found is None else found.unionAll(events)
-        below = level.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
-        step = F.when(F.col("key").isNull(), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))).otherwise(F.concat(F.lit("."), "key"))
-        nested = F.left(F.to_json("value"), F.lit(1)).isin("{", "[")
-        level = written(below.where(nested).select("match_id", F.concat("json_path", step).alias("json_path"), F.col("value").alias("v")), "level")
-    return found if found is not None else _objects(payloads).select("match_id", "json_path", F.lit("").alias("event_json")).limit(0)
+        deeper = part.where("v is not null").select("match_id", "json_path", F.lit(None).cast("string").alias("event_json"), "v")  # its events are found already
+        rows = None if deeper.isEmpty() else deeper
+    return found

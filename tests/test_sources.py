@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tempoframe.functions.nested import walk_raw_events
+from tempoframe.functions.state import written as nes_written
 from tempoframe.sources import files as src
 
 
@@ -102,6 +103,19 @@ def test_payloads_are_walked(spark):
     assert walk_raw_events(spark.createDataFrame([], "match_id long, payload string")).count() == 0
 
 
+def test_a_walk_writes_events_and_not_payloads(spark, monkeypatch):
+    from tempoframe.functions import nested as nes
+
+    kept = []
+    monkeypatch.setattr(nes, "written", lambda df, name: kept.append(nes_written(df, name)) or kept[-1])
+    event = {"id": 1, "minute": 2, "type": {"value": 3, "more": {"deep": [{"x": 1}]}}}
+    payloads = [(k, json.dumps({"home": {"incidents": [event] * 5}, "events": [event] * 200})) for k in range(3)]
+    found = walk_raw_events(spark.createDataFrame(payloads, "match_id long, payload string"))
+    assert found.count() == 3 * 205
+    sizes = [max((len(json.dumps(json.loads(v))) for r in df.selectExpr("to_json(v) AS v").collect() if (v := r.v)), default=0) for df in kept]
+    assert max(sizes) < 1000 and sum(df.count() for df in kept) == 3 * 205
+
+
 def test_long_texts_reach_python_in_small_batches(spark):
     from tempoframe.functions.nested import extract_embedded_json
     from tempoframe.functions.text import normalize_name
