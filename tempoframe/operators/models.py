@@ -315,20 +315,21 @@ def robust_hierarchical_fit(
         known = base.join(players.select("player", own.alias("u")), "player")
 
         def weighted(batches: Iterator[pd.DataFrame], beta=beta, sigma=sigma, nu=nu) -> Iterator[pd.DataFrame]:
+            total = 0.0
             for batch in batches:
-                d = _design(batch, *shape)
-                r = (batch["y"] - batch["u"]).to_numpy() - d @ beta
-                yield pd.DataFrame({"player": batch["player"], "w": (nu + 1) / (nu + r * r / sigma**2), "y": batch["y"], **dict(zip(columns, d.T, strict=True))})
+                d, y = _design(batch, *shape), batch["y"].to_numpy()
+                r2 = (y - batch["u"].to_numpy() - d @ beta) ** 2 / sigma**2
+                w, v = (nu + 1) / (nu + r2), np.column_stack([y, d])
+                total = total + np.concatenate([(v.T @ (v * w[:, None])).ravel(), *(np.log1p(r2 / x).sum(keepdims=True) for x in _NUS)])
+                yield pd.DataFrame({"player": batch["player"], "i": -1, "w": w, "y": y, **dict(zip(columns, d.T, strict=True))})
+            if np.ndim(total):  # a task's part of the cross products of all rows, as rows without a player
+                yield pd.DataFrame({"player": pd.Series([None] * len(total), dtype=object), "i": np.arange(len(total)), "w": total, "y": 0.0, **dict.fromkeys(columns, 0.0)})
 
         player_type = base.schema["player"].dataType.simpleString()
-        made = known.mapInPandas(weighted, f"player {player_type}, w double, y double, {', '.join(f'{c} double' for c in columns)}")
-        by = written(made.groupBy("player").agg(F.sum("w").alias("w"), *(F.sum(F.col("w") * F.col(c)).alias(c) for c in ("y", *columns))), "player-sums")
-
-        def crossed(batch: pd.DataFrame, beta=beta, sigma=sigma, nu=nu) -> np.ndarray:
-            d, y = _design(batch, *shape), batch["y"].to_numpy()
-            r2 = (y - batch["u"].to_numpy() - d @ beta) ** 2 / sigma**2
-            v = np.column_stack([y, d])
-            return np.concatenate([(v.T @ (v * ((nu + 1) / (nu + r2))[:, None])).ravel(), *(np.log1p(r2 / x).sum(keepdims=True) for x in _NUS)])
+        # one pass over the rows gives both the sums of players and those of all rows
+        made = known.mapInPandas(weighted, f"player {player_type}, i int, w double, y double, {', '.join(f'{c} double' for c in columns)}")
+        sums = written(made.groupBy("player", "i").agg(F.sum("w").alias("w"), *(F.sum(F.col("w") * F.col(c)).alias(c) for c in ("y", *columns))), "player-sums")
+        by = sums.where("player is not null").drop("i")
 
         pull = (sigma / scales["player"]) ** 2
 
@@ -336,7 +337,7 @@ def robust_hierarchical_fit(
             v, d = batch[["y", *columns]].to_numpy(), batch["w"].to_numpy() + pull
             return (v.T @ (v / d[:, None])).ravel()
 
-        whole, logs = np.split(_summed(known, crossed), [(k + 1) ** 2])
+        whole, logs = np.split(sums.where("player is null").select("i", "w").toPandas().sort_values("i")["w"].to_numpy(), [(k + 1) ** 2])
         whole, nu_was, nu = whole.reshape(k + 1, k + 1), nu, _nu(logs, n)
         m = whole - _summed(by, taken).reshape(k + 1, k + 1)
         precision = np.full(k, INTERCEPT_SD**-2.0)
@@ -354,7 +355,7 @@ def robust_hierarchical_fit(
                 ur = u * (u * batch["w"].to_numpy() - 2 * u * d)
                 yield pd.DataFrame({"player": batch["player"], "u": u, "v": c + ((h @ covariance) * h).sum(axis=1), "c": c, "h": list(h), "ur": ur})
 
-        players = written(by.mapInPandas(solved, f"player {player_type}, u double, v double, c double, h array<double>, ur double"), "player-effects")
+        players = by.mapInPandas(solved, f"player {player_type}, u double, v double, c double, h array<double>, ur double")  # as small a step as reading it
         got = players.agg(F.sum(F.col("u") ** 2).alias("uu"), F.sum("v").alias("vv"), F.sum("ur").alias("ur")).first()
         side = np.concatenate(([1.0], -new))
         rss = max(side @ whole @ side + got["ur"], 1e-12 * n)
@@ -374,7 +375,7 @@ def robust_hierarchical_fit(
             scales, sigma, nu = dict(zip(scales, raised, strict=False)), float(raised[-2]), 2 + float(raised[-1])
     if must_converge and not converged:
         raise RuntimeError(f"no convergence within {rounds} rounds")
-    return RobustFit(tuple(predictors), terms, levels, position, slopes, beta, covariance, sigma, scales, nu, converged, done, players)
+    return RobustFit(tuple(predictors), terms, levels, position, slopes, beta, covariance, sigma, scales, nu, converged, done, written(players, "player-effects"))
 
 
 def effect_summary(fit: RobustFit) -> DataFrame:
