@@ -72,6 +72,23 @@ def test_upserts_by_key(spark, tmp_path):
     assert sorted(r.k for r in spark.read.parquet(f"{changes}/batch=1").collect()) == [3, 4]
 
 
+def test_upserts_without_a_digest_stay_out_of_python(spark, tmp_path, monkeypatch):
+    """The last row of a key by batch, then by ``order``, then by all columns; also after a batch that ran twice, and with the rows that a batch wrote."""
+    monkeypatch.setattr(tables, "UpsertProcessor", None)
+    source, root, changes = (f"file://{tmp_path}/{n}" for n in ("in", "state", "changes"))
+    schema = "k long, part string, v double, at long"
+    read = lambda: sorted(map(tuple, tables.stream_upsert(tables.file_stream(spark, source, schema), ["k", "part"], None, root, "at", changes).collect()))
+    spark.createDataFrame([(1, "a", 5.0, 1), (1, "a", 9.0, 0), (2, None, None, None), (2, None, 1.0, None), (3, "c", 1.0, 1)], schema).write.parquet(source)
+    assert read() == [(1, "a", 5.0, 1), (2, None, 1.0, None), (3, "c", 1.0, 1)]
+    spark.createDataFrame([(1, "a", 2.0, 0), (3, "c", None, None), (4, "d", 0.5, 1)], schema).write.mode("append").parquet(source)
+    want = [(1, "a", 2.0, 0), (2, None, 1.0, None), (3, "c", None, None), (4, "d", 0.5, 1)]  # a later batch counts, whatever its ``order``
+    assert read() == want
+    for name in ("1", ".1.crc"):
+        os.remove(tmp_path / "state" / "commits" / name)
+    assert read() == want
+    assert sorted(r.k for r in spark.read.parquet(f"{changes}/batch=1").collect()) == [1, 3, 4]
+
+
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     """A failure after the sink and before the commit: the batch runs again from the states that it found."""
     source, root = f"file://{tmp_path}/in", f"file://{tmp_path}/state"
