@@ -122,20 +122,24 @@ def interval_asof_join(intervals: DataFrame, ratings: DataFrame, half_life: floa
     )
 
 
-def _timeline(intervals: DataFrame, ratings: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """Valuations and matches as rows of one table: ``_at`` is the date, ``_kind`` 0 for a valuation, which comes before matches of its day, and 1 for a match."""
+def _timeline(intervals: DataFrame, ratings: DataFrame, columns: tuple[str, ...], parts: int) -> DataFrame:
+    """Valuations and matches as rows of one table: ``_at`` is the date, ``_kind`` 0 for a valuation, which comes before matches of its day, and 1 for a match.
+
+    Players are dealt into ``parts``, which bound what a task orders; 0 leaves that to adaptive execution.
+    """
     dates = intervals.select("player_id", F.col("valuation_date").alias("_at"), F.lit(0).alias("_kind"), "previous_valuation_date")
-    return dates.unionByName(ratings.select("player_id", F.col("match_date").alias("_at"), F.lit(1).alias("_kind"), *columns), allowMissingColumns=True)
+    both = dates.unionByName(ratings.select("player_id", F.col("match_date").alias("_at"), F.lit(1).alias("_kind"), *columns), allowMissingColumns=True)
+    return both.repartition(parts, "player_id") if parts else both
 
 
-def rolling_asof_form(intervals: DataFrame, ratings: DataFrame, half_life: float = HALF_LIFE) -> DataFrame:
+def rolling_asof_form(intervals: DataFrame, ratings: DataFrame, half_life: float = HALF_LIFE, parts: int = 0) -> DataFrame:
     """Form at each valuation from all earlier matches: decayed mean, means of the last 3 and 20 by minutes, and how many there were.
 
     One row per interval that has an earlier match. Valuations and matches are ordered together, so that running sums do
     the work of a join: a player's rows are read once, however many valuations there are. Decayed weights are relative to
     the player's last date, which cancels.
     """
-    rows = _timeline(intervals, ratings, ("match_id", "minutes", "rating"))
+    rows = _timeline(intervals, ratings, ("match_id", "minutes", "rating"), parts)
     player = Window.partitionBy("player_id")
     order = player.orderBy("_at", "_kind", "match_id")
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
@@ -152,7 +156,7 @@ def rolling_asof_form(intervals: DataFrame, ratings: DataFrame, half_life: float
     return found.select("player_id", F.col("_at").alias("valuation_date"), (F.col("_n") / F.col("_d")).alias("asof_form"), "asof_last_3", "asof_last_20", "matches_last_3", "matches_last_20")
 
 
-def interval_performance(intervals: DataFrame, ratings: DataFrame, half_life: float = HALF_LIFE) -> DataFrame:
+def interval_performance(intervals: DataFrame, ratings: DataFrame, half_life: float = HALF_LIFE, parts: int = 0) -> DataFrame:
     """Performance within each interval: matches after the previous valuation and before this one.
 
     Matches, starts, minutes, latest position and name that are known, means of ratings (by minutes, decayed, of the last 90
@@ -162,7 +166,7 @@ def interval_performance(intervals: DataFrame, ratings: DataFrame, half_life: fl
     """
     ratings = _ready(ratings)
     columns = ("match_id", "minutes", "rating", "started", "position_group", "player_name", *SUMMED, *COMPONENTS)
-    rows = _timeline(intervals, ratings, columns)
+    rows = _timeline(intervals, ratings, columns, parts)
     upward = Window.partitionBy("player_id").orderBy(F.col("_at").desc(), F.col("_kind").desc(), F.col("match_id").desc()).rowsBetween(Window.unboundedPreceding, 0)
     following = F.last(F.when(F.col("_kind") == 0, F.struct("_at", "previous_valuation_date")), ignorenulls=True).over(upward)
     rows = rows.withColumn("_next", following).where("_kind = 1").withColumns({"valuation_date": F.col("_next._at"), "_from": F.col("_next.previous_valuation_date")})
@@ -196,10 +200,11 @@ def _performed(inside: DataFrame, half_life: float) -> DataFrame:
     )
 
 
-def valuation_feature_table(intervals: DataFrame, ratings: DataFrame, min_minutes: float = MIN_MINUTES, overlapping: bool = False) -> DataFrame:
+def valuation_feature_table(intervals: DataFrame, ratings: DataFrame, min_minutes: float = MIN_MINUTES, overlapping: bool = False, parts: int = 0) -> DataFrame:
     """Feature rows of intervals with enough minutes: performance, as-of form, transforms and counts per 90 minutes."""
-    performance, ratings = overlapping_performance if overlapping else interval_performance, _ready(ratings)
-    rows = intervals.join(performance(intervals, ratings), _KEY).join(rolling_asof_form(intervals, ratings), _KEY, "left").where(F.col("minutes") >= min_minutes)
+    ratings = _ready(ratings)
+    performance = overlapping_performance(intervals, ratings) if overlapping else interval_performance(intervals, ratings, parts=parts)
+    rows = intervals.join(performance, _KEY).join(rolling_asof_form(intervals, ratings, parts=parts), _KEY, "left").where(F.col("minutes") >= min_minutes)
     month = F.month("valuation_date") * (2 * 3.141592653589793 / 12)
     per_90 = {f"{c}_per90": F.col(c) * 90.0 / F.col("minutes") for c in SUMMED}
     over = {f"{a}_over_{b}_per90": (F.col(a) - F.col(b)) * 90.0 / F.col("minutes") for a, b in (("goals", "xg"), ("assists", "xa"))}

@@ -10,7 +10,7 @@ from tempoframe.functions.state import written
 from tempoframe.operators import form as frm
 from tempoframe.operators import ledger as led
 from tempoframe.operators import valuation as val
-from tempoframe.plans.fixtures import ctes, projected
+from tempoframe.plans.fixtures import ctes, dealt, parts, projected
 
 #: Rows from this date on count as new.
 SPLIT = "1997-01-01"
@@ -47,15 +47,16 @@ def form_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(frm.form_append(frm.form_state(rows.where(F.col("match_date") < SPLIT)), rows.where(F.col("match_date") >= SPLIT)))
 
 
-def _hashes(spark: SparkSession, sf_dir: str, edited: bool) -> DataFrame:
-    rows = _ratings(spark, sf_dir).groupBy("match_id").agg(F.sum(F.round(F.col("rating") * 100).cast("long")).alias("n"))
+def _hashes(rows: DataFrame, edited: bool) -> DataFrame:
     shift = F.when(F.col("match_id") % 7 == 0, 1).otherwise(0) if edited else F.lit(0)
     return rows.select("match_id", F.md5((F.col("n") + shift).cast("string").cast("binary")).alias("input_hash"))
 
 
 def changed_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New and changed matches."""
-    return frm.changed_partitions(_hashes(spark, sf_dir, True), _hashes(spark, sf_dir, False).where("match_id % 5 <> 0"))
+    sums = written(_ratings(spark, sf_dir).groupBy("match_id").agg(F.sum(F.round(F.col("rating") * 100).cast("long")).alias("n")), "sums")
+    n = parts(spark, sf_dir)
+    return frm.changed_partitions(dealt(_hashes(sums, True), n, "match_id"), dealt(_hashes(sums, False).where("match_id % 5 <> 0"), n, "match_id"))
 
 
 def _stored(rows: DataFrame) -> DataFrame:
@@ -71,17 +72,23 @@ def _edits(rows: DataFrame, known: DataFrame) -> DataFrame:
     return led.edits_between(known, rows, changes)
 
 
+def _by_player(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ratings, written once and dealt by player."""
+    rows = written(_ratings(spark, sf_dir).select("player_id", "match_id", "match_date", "minutes", "rating"), "current")
+    return dealt(rows, parts(spark, sf_dir), "player_id")
+
+
 def incremental_rating_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History with form, brought up to date with new, late and corrected rows, each player by its own route."""
-    rows = written(_ratings(spark, sf_dir).select("player_id", "match_id", "match_date", "minutes", "rating"), "current")
-    known = written(_stored(rows), "known")
+    rows = _by_player(spark, sf_dir)
+    known = dealt(written(_stored(rows), "known"), parts(spark, sf_dir), "player_id")
     history = led.advanced(frm.form_history(known), led.form_ledger(known), _edits(rows, known))[0]
     return rounded(history.select("player_id", "match_id", "form_rating_ewm", "rolling_3_match_rating", "rolling_20_match_rating"))
 
 
 def late_row_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each player's route when some matches come in, many of them late, and the state that it leads to."""
-    rows = written(_ratings(spark, sf_dir).select("player_id", "match_id", "match_date", "minutes", "rating"), "current")
+    rows = _by_player(spark, sf_dir)
     known = rows.where("match_id % 5 <> 0")
     edits = rows.where("match_id % 5 = 0").withColumn("op", F.lit("insert"))
     _, ledger, routes = led.advanced(frm.form_history(known), led.form_ledger(known), edits)
@@ -90,7 +97,7 @@ def late_row_route(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return val.ratings_prepare(projected(spark, sf_dir, "rated_matches"))
+    return val.ratings_prepare(dealt(projected(spark, sf_dir, "rated_matches"), parts(spark, sf_dir), "player_id"))
 
 
 def valuation_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,12 +127,12 @@ def interval_asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rolling_asof_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Form at every valuation."""
-    return rounded(val.rolling_asof_form(_intervals(spark, sf_dir), _matches(spark, sf_dir)))
+    return rounded(val.rolling_asof_form(_intervals(spark, sf_dir), _matches(spark, sf_dir), parts=parts(spark, sf_dir)))
 
 
 def interval_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Performance within every interval."""
-    return rounded(val.interval_performance(_intervals(spark, sf_dir), _matches(spark, sf_dir)))
+    return rounded(val.interval_performance(_intervals(spark, sf_dir), _matches(spark, sf_dir), parts=parts(spark, sf_dir)))
 
 
 def weighted_mean_if(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +152,7 @@ _FEATURES = (
 
 def valuation_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature rows of all intervals."""
-    made = val.valuation_feature_table(_intervals(spark, sf_dir), _matches(spark, sf_dir))
+    made = val.valuation_feature_table(_intervals(spark, sf_dir), _matches(spark, sf_dir), parts=parts(spark, sf_dir))
     return rounded(made.select(*_FEATURES))
 
 

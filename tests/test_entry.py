@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import duckdb
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
 import __spark_entry__
-from tempoframe.plans import registry
+from tempoframe.plans import fixtures, registry
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -46,3 +47,18 @@ STEPS = {"composite_restandardize", "goalkeeper_rating", "outfield_rating", "per
 def test_query_equals_its_sql(spark, name):
     got, want = compared(spark, name, registry.oracle_sql()[name])
     assert got == want
+
+
+#: Queries whose players or matches are dealt into parts as the tables grow.
+DEALT = ("input_signature_skip", "changed_partitions", "ratings_prepare", "valuation_intervals", "rolling_asof_form", "interval_performance", "interval_asof_join", "valuation_feature_table", "late_row_route", "incremental_rating_update")
+
+
+@pytest.mark.parametrize("name", DEALT)
+def test_parts_grow_with_the_tables(spark, monkeypatch, name):
+    """Of small parts there are many, more than adaptive execution makes, and the result is that of the SQL."""
+    monkeypatch.setattr(fixtures, "PART_ROWS", 500)
+    assert fixtures.parts(spark, SF) == 12
+    asked = []
+    monkeypatch.setattr(DataFrame, "repartition", lambda df, n, *keys, real=DataFrame.repartition: asked.append(n) or real(df, n, *keys))
+    got, want = compared(spark, name, registry.oracle_sql()[name])
+    assert got == want and 12 in asked
