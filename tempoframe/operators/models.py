@@ -29,8 +29,8 @@ XGOT_NUMERIC = tuple(c for layer in (*sho.PLACEMENT, *sho.TRAJECTORY) for c in l
 
 
 def _assembled(numeric: tuple[str, ...], categories: tuple[str, ...]) -> list:
-    steps = [StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="keep") for c in categories]
-    return [*steps, VectorAssembler(inputCols=[*numeric, *(f"{c}_index" for c in categories)], outputCol="model_features", handleInvalid="keep")]
+    steps = StringIndexer(inputCols=list(categories), outputCols=[f"{c}_index" for c in categories], handleInvalid="keep")  # all in one pass
+    return [steps, VectorAssembler(inputCols=[*numeric, *(f"{c}_index" for c in categories)], outputCol="model_features", handleInvalid="keep")]
 
 
 def _trees(kind, label: str, rounds: int, seed: int):
@@ -118,6 +118,7 @@ def xa_frame(passes: DataFrame, targets: DataFrame) -> DataFrame:
 
 def fit_xa(rows: DataFrame, rounds: int = 10, seed: int = 42) -> tuple[PipelineModel, PipelineModel]:
     """Probability that a pass makes a shot, and the xG of the shot if it does."""
+    rows = written(rows.select(*pas.NUMERIC, *pas.CATEGORIES, "label", "value"), "xa-rows")  # a fit reads its rows many times
     shape = _assembled(pas.NUMERIC, pas.CATEGORIES)
     made = Pipeline(stages=[*shape, _trees(GBTClassifier, "label", rounds, seed)]).fit(rows)
     worth = Pipeline(stages=[*shape, _trees(GBTRegressor, "value", rounds, seed)]).fit(rows.where("label = 1"))

@@ -122,3 +122,19 @@ def test_pass_models_on_held_out_matches(spark, tmp_path):
     joined = scored.join(planted.select("match_id", "event_id", "expected"), ["match_id", "event_id"])
     by = {round(r.expected, 3): r.m for r in joined.groupBy("expected").agg(F.avg("xa_model").alias("m")).collect()}
     assert by[0.24] == pytest.approx(0.24, abs=0.05) and by[0.005] < 0.04
+
+
+def test_a_fit_of_passes_makes_its_rows_once(spark):
+    """Both models and their indexers read what was written, however many passes they take."""
+    from tempoframe.operators import passes as pas
+    from tempoframe.plans import features as fea
+
+    rows = mod.xa_frame(fea._passes(spark, "/root/testdata/sf0.001"), pas.xa_targets(fea._shots(spark, "/root/testdata/sf0.001")))
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(k):
+        made.add(1)
+        return float(k % 2)
+
+    mod.fit_xa(rows.withColumn("label", F.udf(counted, "double")("event_id")), rounds=1)
+    assert made.value == rows.count()
