@@ -113,7 +113,8 @@ def interval_asof_join(intervals: DataFrame, ratings: DataFrame, half_life: floa
     whole = F.max(F.when(F.col("_b") < F.col("_own"), F.col("_before") + F.col("_n")))
     known = rows.groupBy("player_id", "valuation_date").agg(F.coalesce(whole, F.lit(0)).alias("_whole")).join(cut, _KEY, "left")
     known = known.select(*_KEY, (F.col("_whole") + F.coalesce("_cut", F.lit(0))).alias("_known"))
-    pairs = rows.join(matches, ["player_id", "_b"]).where((F.col("_b") < F.col("_own")) | (F.col("match_date") < F.col("valuation_date"))).join(known, _KEY)
+    # Intervals learn their number before they meet matches: pairs, the most rows by far, are not moved.
+    pairs = rows.join(known, _KEY).join(matches, ["player_id", "_b"]).where((F.col("_b") < F.col("_own")) | (F.col("match_date") < F.col("valuation_date")))
     days = F.datediff("valuation_date", "match_date").cast("long")
     rank = (F.col("_known") - F.col("_before") - F.col("_in") + 1).cast("long")
     return pairs.select(

@@ -121,7 +121,8 @@ def valuation_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def interval_asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Intervals with all earlier ratings."""
-    made = val.interval_asof_join(_intervals(spark, sf_dir), _matches(spark, sf_dir))
+    matches = written(_matches(spark, sf_dir).select("player_id", "match_id", "match_date", "minutes", "rating"), "matches")
+    made = val.interval_asof_join(val.valuation_intervals(_values(spark, sf_dir), matches), matches)
     return rounded(made.select("player_id", "valuation_date", "match_id", "days_before", "recency_rank", "minutes", "decayed_weight"))
 
 
