@@ -153,7 +153,9 @@ _FEATURES = (
 
 def valuation_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature rows of all intervals."""
-    made = val.valuation_feature_table(_intervals(spark, sf_dir), _matches(spark, sf_dir), parts=parts(spark, sf_dir))
+    matches = written(_matches(spark, sf_dir), "matches")
+    intervals = written(val.valuation_intervals(_values(spark, sf_dir), matches), "intervals")
+    made = val.valuation_feature_table(intervals, matches, parts=parts(spark, sf_dir))
     return rounded(made.select(*_FEATURES))
 
 
