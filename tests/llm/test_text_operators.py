@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tempoframe.llm import decontaminate, licenses, line_dedup, mixing, quality, shards
 
@@ -80,6 +81,39 @@ def test_line_links_match_brute_force(spark, steps):
         assert got[name[a]].class_md5 <= name[a]
 
 
+def test_code_of_line_steps_is_short_enough_to_be_compiled(spark, monkeypatch):
+    found, staged = {}, line_dedup.staged
+
+    def seen(df, name):
+        code = spark.sparkContext._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+        found[name] = max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code)), default=0)
+        return staged(df, name)
+
+    monkeypatch.setattr(line_dedup, "staged", seen)
+    plain = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}  # else plans are known only after they ran
+    before = {k: spark.conf.get(k) for k in plain}
+    try:
+        for k, v in plain.items():
+            spark.conf.set(k, v)
+        line_dedup.line_classes(docs_of(spark, ["one line that is long enough", "one line that is long enough!"])).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found["lines"] > 0 and found["pairs"] > 0
+    assert all(size < 8000 for size in found.values()), found  # the JVM interprets longer methods
+
+
+def test_sketches_count_letters_modulo_16(spark):
+    rng = random.Random(8)
+    texts = ["", "é", "e" * 23, "e" * 8, "x" * 300, *("".join(rng.choice("entriashdlcoug xyzéß") for _ in range(rng.randrange(400))) for _ in range(30))]
+    sketches = line_dedup.with_sketch(spark.createDataFrame([(x,) for x in texts], "line string"))
+    a, b = (sketches.select(F.col("line").alias(c), F.col("sketch").alias(f"s{c}")) for c in "ab")
+    got = a.crossJoin(b).select("a", "b", line_dedup.sketches_apart(F.col("sa"), F.col("sb")).alias("apart")).collect()
+    counts = {x: [*(x.count(c) for c in line_dedup.LETTERS), sum(c not in line_dedup.LETTERS for c in x)] for x in texts}
+    want = lambda a, b: sum(min((p - q) % 16, (q - p) % 16) for p, q in zip(counts[a], counts[b]))
+    assert len(got) == len(texts) ** 2 and all(r.apart == want(r.a, r.b) for r in got)
+
+
 def test_lines_are_removed_but_the_first(spark):
     docs = docs_of(spark, ["one line that is long enough\nshort", "one line that is long enough!\n\nother text here", None, ""])
     out = {r.doc_id: r.text for r in line_dedup.without_repeats(docs, line_dedup.line_classes(docs)).collect()}
